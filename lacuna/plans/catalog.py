@@ -58,4 +58,40 @@ def q_monthly_mean(spark, sf):
 @query("densify_series")
 def q_densify(spark, sf):
     return rounded(monthly_levels(spark, sf))
-FLAGSHIP = "impute_linear"
+
+
+
+# ---------------------------------------------------------------- fusion (flagship)
+from lacuna.operators import weather as W  # noqa: E402
+from lacuna.operators import spatial as SP  # noqa: E402
+from lacuna.plans.fusion import fuse  # noqa: E402
+
+
+def pet_monthly(spark, sf):
+    return W.monthly_by_point(dt.pet_daily(spark, sf), "pet", "time", "sum")
+
+
+@query("monthly_sum_by_point")
+def q_monthly_sum_by_point(spark, sf):
+    return rounded(pet_monthly(spark, sf))
+
+
+@query("monthly_mean_by_point")
+def q_monthly_mean_by_point(spark, sf):
+    return rounded(W.monthly_by_point(dt.pet_daily(spark, sf), "pet", "time", "mean"))
+
+
+@query("nearest_valid_join")
+def q_nearest_valid_join(spark, sf):
+    f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf))
+    return rounded(f.select("station_id", "month", "level", "lon", "lat", "pet", "rain", "temp"))
+
+
+@query("nearest_reference_year_join")
+def q_nearest_reference_year_join(spark, sf):
+    g = monthly_levels(spark, sf).select("station_id", F.add_months("month", 24 * 12).alias("month"), "lat", "lon")
+    out = SP.nearest_reference_year_join(g, dt.soil(spark, sf))
+    return rounded(out.select("station_id", "month", "sealed_area", "total_area"))
+
+
+FLAGSHIP = "nearest_valid_join"

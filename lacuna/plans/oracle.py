@@ -60,3 +60,68 @@ SELECT station_id, month, round(level, 6) AS level,
              WHEN p1 IS NULL THEN x0
              ELSE x0 + (x1 - x0) * (pos - p0) / (p1 - p0) END, 6) AS filled
 FROM v""")
+
+PET_DAILY = """
+pd_ AS (
+  SELECT CAST(41 + (c.c_nationkey * 53 % 1000) / 100.0 AS DOUBLE) AS lat,
+         CAST(-5 + (c.c_nationkey * 71 % 1400) / 100.0 AS DOUBLE) AS lon,
+         CAST(o.o_orderdate AS DATE) AS time,
+         CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE o.o_totalprice / 100000.0 END AS pet
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+petm AS (SELECT lat, lon, CAST(date_trunc('month', time) AS DATE) AS month, coalesce(sum(pet), 0.0) AS pet
+         FROM pd_ GROUP BY 1, 2, 3)"""
+
+POINTS = """
+pt0 AS (
+  SELECT c.c_nationkey AS nk, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
+         avg(o.o_totalprice) AS rain_v, CAST(count(*) AS DOUBLE) AS temp_v
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
+pt AS (
+  SELECT CAST(41 + (nk * 53 % 1000) / 100.0 AS DOUBLE) AS lat, CAST(-5 + (nk * 71 % 1400) / 100.0 AS DOUBLE) AS lon, month,
+         CASE WHEN (nk + month(month)) % 4 = 0 THEN NULL ELSE rain_v END AS rain,
+         CASE WHEN (nk + month(month)) % 3 = 0 THEN NULL ELSE temp_v END AS temp
+  FROM pt0)"""
+
+SQL["monthly_sum_by_point"] = with_(PET_DAILY, "SELECT lat, lon, month, round(pet, 6) AS pet FROM petm")
+SQL["monthly_mean_by_point"] = with_(PET_DAILY, """
+SELECT lat, lon, CAST(date_trunc('month', time) AS DATE) AS month, round(avg(pet), 6) AS pet FROM pd_ GROUP BY 1, 2, 3""")
+
+FUSED = DENSE + "," + PET_DAILY + "," + POINTS + """,
+pl AS (SELECT lat AS plat, lon AS plon, month, 'pet' AS variable, pet AS value FROM petm WHERE pet IS NOT NULL
+       UNION ALL SELECT lat, lon, month, 'rain', rain FROM pt WHERE rain IS NOT NULL
+       UNION ALL SELECT lat, lon, month, 'temp', temp FROM pt WHERE temp IS NOT NULL),
+tc AS (SELECT DISTINCT lat, lon, month FROM f),
+cand AS (
+  SELECT tc.lat, tc.lon, tc.month, pl.variable, pl.value,
+         row_number() OVER (PARTITION BY tc.lat, tc.lon, tc.month, pl.variable
+                            ORDER BY (tc.lat - pl.plat) * (tc.lat - pl.plat) + (tc.lon - pl.plon) * (tc.lon - pl.plon), pl.plat, pl.plon) AS rn
+  FROM tc JOIN pl ON tc.month = pl.month),
+best AS (
+  SELECT lat, lon, month,
+         max(value) FILTER (WHERE variable = 'pet') AS pet,
+         max(value) FILTER (WHERE variable = 'rain') AS rain,
+         max(value) FILTER (WHERE variable = 'temp') AS temp
+  FROM cand WHERE rn = 1 GROUP BY 1, 2, 3),
+fz AS (SELECT f.*, best.pet, best.rain, best.temp FROM f LEFT JOIN best
+       ON f.lat = best.lat AND f.lon = best.lon AND f.month = best.month)"""
+
+SQL["nearest_valid_join"] = with_(FUSED, """
+SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat,
+       round(pet, 6) AS pet, round(rain, 6) AS rain, round(temp, 6) AS temp FROM fz""")
+
+SOIL = """
+soil AS (
+  SELECT CAST(41 + (n_nationkey * 53 % 1000) / 100.0 AS DOUBLE) AS lat,
+         CAST(-5 + (n_nationkey * 71 % 1400) / 100.0 AS DOUBLE) AS lon, y.year,
+         CAST(n_nationkey * 10 + y.year - 2019 AS DOUBLE) AS sealed_area,
+         CAST(n_nationkey + 1000 AS DOUBLE) AS total_area
+  FROM nation CROSS JOIN (VALUES (2020), (2023)) AS y(year))"""
+
+SQL["nearest_reference_year_join"] = with_(DENSE + "," + SOIL + """,
+t AS (SELECT station_id, CAST(month + INTERVAL 288 MONTH AS DATE) AS month, lat, lon FROM f),
+t2 AS (SELECT *, CASE WHEN year(month) < 2023 THEN 2020 ELSE 2023 END AS ry FROM t),
+c AS (SELECT t2.station_id, t2.month, s.sealed_area, s.total_area,
+             row_number() OVER (PARTITION BY t2.station_id, t2.month
+               ORDER BY (t2.lat - s.lat) * (t2.lat - s.lat) + (t2.lon - s.lon) * (t2.lon - s.lon), s.lat, s.lon) AS rn
+      FROM t2 LEFT JOIN soil s ON s.year = t2.ry AND s.sealed_area IS NOT NULL)""", """
+SELECT station_id, month, round(sealed_area, 6) AS sealed_area, round(total_area, 6) AS total_area FROM c WHERE rn = 1""")

@@ -95,3 +95,168 @@ def q_nearest_reference_year_join(spark, sf):
 
 
 FLAGSHIP = "nearest_valid_join"
+
+
+# ---------------------------------------------------------------- profiling, clustering, windows
+from lacuna.operators import profile as P  # noqa: E402
+from lacuna.operators import cluster as CL  # noqa: E402
+
+
+def clustered(spark, sf):
+    return CL.assign_clusters(monthly_levels(spark, sf), "level")
+
+
+@query("availability_by_month")
+def q_availability(spark, sf):
+    return P.availability_by_month(dt.points(spark, sf), ["rain", "temp"])
+
+
+@query("calendar_left_join")
+def q_calendar_left_join(spark, sf):
+    return P.calendar_left_join(dt.readings(spark, sf), ["level"], time="time")
+
+
+@query("missing_months_by_year")
+def q_missing_months(spark, sf):
+    return P.missing_months_by_year(dt.points(spark, sf), ["rain", "temp"])
+
+
+@query("fill_ratio")
+def q_fill_ratio(spark, sf):
+    return rounded(P.fill_ratio(monthly_levels(spark, sf), ["level", "lon", "lat"]))
+
+
+@query("activity_span")
+def q_activity_span(spark, sf):
+    return P.activity_span(monthly_levels(spark, sf), ["level"])
+
+
+@query("presence_matrix")
+def q_presence(spark, sf):
+    return P.presence_matrix(dt.sparse_readings(spark, sf), "level")
+
+
+@query("distinct_stations")
+def q_distinct_stations(spark, sf):
+    return rounded(P.distinct_stations(dt.readings(spark, sf)))
+
+
+@query("seasonal_median")
+def q_seasonal_median(spark, sf):
+    return rounded(P.seasonal_median(monthly_levels(spark, sf), "level"))
+
+
+@query("station_constants")
+def q_station_constants(spark, sf):
+    return rounded(P.station_constants(monthly_levels(spark, sf), ["lon", "lat", "level"]))
+
+
+@query("value_range_padded")
+def q_value_range(spark, sf):
+    return rounded(P.value_range_padded(monthly_levels(spark, sf), "level"))
+
+
+@query("station_dimension")
+def q_station_dimension(spark, sf):
+    return rounded(P.station_dimension(clustered(spark, sf)))
+
+
+@query("fluctuation_index")
+def q_fluctuation_index(spark, sf):
+    return rounded(CL.fluctuation_index(monthly_levels(spark, sf), "level"))
+
+
+@query("fluctuation_class")
+def q_fluctuation_class(spark, sf):
+    return rounded(CL.fluctuation_class(CL.fluctuation_index(monthly_levels(spark, sf), "level")))
+
+
+@query("cluster_two_way")
+def q_cluster_two_way(spark, sf):
+    return rounded(CL.cluster_two_way(CL.fluctuation_index(monthly_levels(spark, sf), "level")))
+
+
+@query("duration_buckets")
+def q_duration_buckets(spark, sf):
+    return CL.duration_buckets(monthly_levels(spark, sf), "level")
+
+
+@query("streak_buckets")
+def q_streak_buckets(spark, sf):
+    return CL.streak_buckets(dt.sparse_readings(spark, sf), "level")
+
+
+@query("cluster_counts")
+def q_cluster_counts(spark, sf):
+    return CL.cluster_counts(clustered(spark, sf))
+
+
+def overrides(spark, sf):
+    """Manual class moves, derived from the data: suppliers with a negative balance are set inertial."""
+    s = dt.table(spark, sf, "supplier")
+    return s.filter(F.col("s_acctbal") < 0).select(F.col("s_suppkey").alias("station_id"), F.lit("inertial").alias("cluster"))
+
+
+@query("cluster_override")
+def q_cluster_override(spark, sf):
+    c = clustered(spark, sf).select("station_id", "cluster").distinct()
+    return CL.cluster_override(c, overrides(spark, sf))
+
+
+@query("quality_filter")
+def q_quality_filter(spark, sf):
+    return rounded(CL.quality_filter(monthly_levels(spark, sf), "level", 5).select("station_id", "month", "level"))
+
+
+@query("cluster_selection")
+def q_cluster_selection(spark, sf):
+    return rounded(CL.cluster_selection(clustered(spark, sf), ["reactive"]).select("station_id", "month", "level", "cluster"))
+
+
+@query("series_diff")
+def q_series_diff(spark, sf):
+    return rounded(S.series_diff(monthly_levels(spark, sf), "level").select("station_id", "month", "diff"))
+
+
+@query("rate_per_day")
+def q_rate_per_day(spark, sf):
+    return rounded(S.rate_per_day(monthly_levels(spark, sf), "level")
+                   .select("station_id", "month", "days_diff", "delta", "delta_per_day"))
+
+
+@query("variation_transform")
+def q_variation(spark, sf):
+    return rounded(S.variation_transform(monthly_levels(spark, sf), ["level"]).select("station_id", "month", "level"))
+
+
+@query("ffill_bfill")
+def q_ffill_bfill(spark, sf):
+    return rounded(S.ffill_bfill(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "filled"))
+
+
+@query("longest_streak")
+def q_longest_streak(spark, sf):
+    return S.longest_streak(dt.sparse_readings(spark, sf), "level")
+
+
+@query("segments_and_gaps")
+def q_segments(spark, sf):
+    return S.segments_and_gaps(monthly_levels(spark, sf), "level")
+
+
+@query("series_shift")
+def q_series_shift(spark, sf):
+    g = S.with_position(monthly_levels(spark, sf)).withColumn("lag", F.col("station_id") % 5 - 2)
+    return rounded(S.series_shift(g, "level", "lag").select("station_id", "month", "lag", "shifted"))
+
+
+@query("cumulative_reconstruct")
+def q_cumulative(spark, sf):
+    g = S.ffill_bfill(monthly_levels(spark, sf), "level")
+    d = g.withColumn("delta", F.col("level")).transform(lambda x: S.variation_transform(x, ["delta"]))
+    return rounded(S.cumulative_reconstruct(d, "level", "delta", sign=-1).select("station_id", "month", "rebuilt"), 4)
+
+
+@query("time_split")
+def q_time_split(spark, sf):
+    return S.time_split(monthly_levels(spark, sf)).select("station_id", "month", "split")

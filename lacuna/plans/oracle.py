@@ -125,3 +125,173 @@ c AS (SELECT t2.station_id, t2.month, s.sealed_area, s.total_area,
                ORDER BY (t2.lat - s.lat) * (t2.lat - s.lat) + (t2.lon - s.lon) * (t2.lon - s.lon), s.lat, s.lon) AS rn
       FROM t2 LEFT JOIN soil s ON s.year = t2.ry AND s.sealed_area IS NOT NULL)""", """
 SELECT station_id, month, round(sealed_area, 6) AS sealed_area, round(total_area, 6) AS total_area FROM c WHERE rn = 1""")
+
+CLUSTERED = DENSE + """,
+dd AS (SELECT station_id, level - lag(level) OVER (PARTITION BY station_id ORDER BY month) AS d
+       FROM f WHERE level IS NOT NULL),
+fi AS (SELECT s.station_id, avg(abs(d)) + stddev_samp(d) AS fluctuation_index
+       FROM (SELECT DISTINCT station_id FROM f) s LEFT JOIN dd ON dd.station_id = s.station_id GROUP BY 1),
+cl AS (SELECT f.*, CASE WHEN fi.fluctuation_index > 0.4 THEN 'reactive' ELSE 'inertial' END AS cluster
+       FROM f LEFT JOIN fi ON f.station_id = fi.station_id)"""
+
+SPARSE = """
+sp AS (SELECT o_custkey AS station_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+              avg(o_totalprice) AS level FROM orders GROUP BY 1, 2)"""
+
+SQL["availability_by_month"] = with_(POINTS, "SELECT month, count(rain) AS n_rain, count(temp) AS n_temp FROM pt GROUP BY 1")
+
+SQL["calendar_left_join"] = with_(READINGS + """,
+cnt AS (SELECT CAST(date_trunc('month', time) AS DATE) AS month, count(level) AS n FROM r GROUP BY 1),
+calm AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM cnt)""", """
+SELECT calm.month, coalesce(cnt.n, 0) AS n_level FROM calm LEFT JOIN cnt ON calm.month = cnt.month""")
+
+SQL["missing_months_by_year"] = with_(POINTS + """,
+cnt AS (SELECT month, count(rain) AS nr, count(temp) AS nt FROM pt GROUP BY 1),
+calm AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM cnt)""", """
+SELECT year(calm.month) AS year,
+       CAST(sum(CASE WHEN coalesce(nr, 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_rain,
+       CAST(sum(CASE WHEN coalesce(nt, 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_temp
+FROM calm LEFT JOIN cnt ON calm.month = cnt.month GROUP BY 1""")
+
+SQL["fill_ratio"] = with_(DENSE, """
+SELECT station_id, round(count(level) / count(*), 6) AS ratio_level, round(count(lon) / count(*), 6) AS ratio_lon,
+       round(count(lat) / count(*), 6) AS ratio_lat FROM f GROUP BY 1""")
+
+SQL["activity_span"] = with_(DENSE, """
+SELECT station_id, min(month) AS first, max(month) AS last, datediff('day', min(month), max(month)) AS span_days
+FROM f WHERE level IS NOT NULL GROUP BY 1""")
+
+SQL["presence_matrix"] = with_(SPARSE + """,
+calm AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM sp),
+pres AS (SELECT station_id, month, max(CASE WHEN level IS NOT NULL THEN 1 ELSE 0 END) AS present FROM sp GROUP BY 1, 2),
+fa AS (SELECT station_id, min(month) AS fm FROM pres WHERE present = 1 GROUP BY 1),
+rk AS (SELECT station_id, dense_rank() OVER (ORDER BY fm, station_id) AS station_rank FROM fa)""", """
+SELECT s.station_id, calm.month, coalesce(pres.present, 0) AS present, rk.station_rank
+FROM (SELECT DISTINCT station_id FROM sp) s CROSS JOIN calm
+LEFT JOIN pres ON pres.station_id = s.station_id AND pres.month = calm.month
+LEFT JOIN rk ON rk.station_id = s.station_id""")
+
+SQL["distinct_stations"] = with_(READINGS, "SELECT DISTINCT station_id, round(lon, 6) AS lon, round(lat, 6) AS lat FROM r")
+
+SQL["seasonal_median"] = with_(DENSE, """
+SELECT station_id, dayofyear(month) AS doy, round(median(level), 6) AS profile FROM f GROUP BY 1, 2""")
+
+SQL["station_constants"] = with_(DENSE, """
+SELECT station_id,
+  round(round(arg_min(lon, month) FILTER (WHERE lon IS NOT NULL), 4), 6) AS lon,
+  round(round(arg_min(lat, month) FILTER (WHERE lat IS NOT NULL), 4), 6) AS lat,
+  round(round(arg_min(level, month) FILTER (WHERE level IS NOT NULL), 4), 6) AS level
+FROM f GROUP BY 1""")
+
+SQL["value_range_padded"] = with_(DENSE + """,
+a AS (SELECT station_id, min(level) AS vmin, max(level) AS vmax FROM f GROUP BY 1)""", """
+SELECT station_id,
+  round(vmin - (CASE WHEN vmax <> vmin THEN vmax - vmin ELSE 1.0 END) * 0.05, 6) AS y_min,
+  round(vmax + (CASE WHEN vmax <> vmin THEN vmax - vmin ELSE 1.0 END) * 0.05, 6) AS y_max FROM a""")
+
+SQL["station_dimension"] = with_(CLUSTERED, """
+SELECT station_id, round(arg_min(lat, month), 6) AS lat, round(arg_min(lon, month), 6) AS lon, arg_min(cluster, month) AS cluster
+FROM cl GROUP BY 1 HAVING arg_min(lat, month) <> 0 AND arg_min(lon, month) <> 0""")
+
+SQL["fluctuation_index"] = with_(CLUSTERED, "SELECT station_id, round(fluctuation_index, 6) AS fluctuation_index FROM fi")
+
+SQL["fluctuation_class"] = with_(CLUSTERED, """
+SELECT station_id, round(fluctuation_index, 6) AS fluctuation_index,
+  CASE WHEN fluctuation_index > 1.0 THEN 'reactive' WHEN fluctuation_index > 0.4 THEN 'intermediate' ELSE 'inertial' END AS class
+FROM fi""")
+
+SQL["cluster_two_way"] = with_(CLUSTERED, """
+SELECT station_id, round(fluctuation_index, 6) AS fluctuation_index,
+  CASE WHEN fluctuation_index > 0.4 THEN 'reactive' ELSE 'inertial' END AS cluster FROM fi""")
+
+BUCKET_LIST = "bl AS (SELECT * FROM (VALUES ('>30'), ('>20'), ('>10'), ('<10')) AS t(bucket))"
+
+
+def _bucket_sql(expr: str) -> str:
+    return (f"CASE WHEN {expr} > 30 THEN '>30' WHEN {expr} > 20 THEN '>20' "
+            f"WHEN {expr} > 10 THEN '>10' ELSE '<10' END")
+
+
+SQL["duration_buckets"] = with_(DENSE + ",\n" + BUCKET_LIST + """,
+du AS (SELECT station_id, datediff('day', min(month), max(month)) / 365.25 AS years FROM f WHERE level IS NOT NULL GROUP BY 1),
+bc AS (SELECT """ + _bucket_sql("years") + """ AS bucket, count(*) AS n FROM du GROUP BY 1)""", """
+SELECT bl.bucket, coalesce(bc.n, 0) AS n_stations FROM bl LEFT JOIN bc ON bl.bucket = bc.bucket""")
+
+SQL["streak_buckets"] = with_(SPARSE + ",\n" + BUCKET_LIST + """,
+k AS (SELECT DISTINCT station_id, year(month) * 12 + month(month) AS mi FROM sp WHERE level IS NOT NULL),
+isl AS (SELECT station_id, mi - row_number() OVER (PARTITION BY station_id ORDER BY mi) AS g FROM k),
+st AS (SELECT station_id, max(n) AS ls FROM (SELECT station_id, g, count(*) AS n FROM isl GROUP BY 1, 2) GROUP BY 1),
+bc AS (SELECT """ + _bucket_sql("ls") + """ AS bucket, count(*) AS n FROM st GROUP BY 1)""", """
+SELECT bl.bucket, coalesce(bc.n, 0) AS n_stations FROM bl LEFT JOIN bc ON bl.bucket = bc.bucket""")
+
+SQL["longest_streak"] = with_(SPARSE + """,
+k AS (SELECT DISTINCT station_id, year(month) * 12 + month(month) AS mi FROM sp WHERE level IS NOT NULL),
+isl AS (SELECT station_id, mi - row_number() OVER (PARTITION BY station_id ORDER BY mi) AS g FROM k)""", """
+SELECT station_id, max(n) AS longest_streak FROM (SELECT station_id, g, count(*) AS n FROM isl GROUP BY 1, 2) GROUP BY 1""")
+
+SQL["cluster_counts"] = with_(CLUSTERED + """,
+pc AS (SELECT cluster, count(*) AS n_stations FROM (SELECT DISTINCT station_id, cluster FROM cl) GROUP BY 1)""", """
+SELECT cluster, n_stations, count(*) OVER () AS n_classes FROM pc""")
+
+SQL["cluster_override"] = with_(CLUSTERED + """,
+ov AS (SELECT s_suppkey AS station_id, 'inertial' AS cluster FROM supplier WHERE s_acctbal < 0),
+sc AS (SELECT DISTINCT station_id, cluster FROM cl)""", """
+SELECT sc.station_id, coalesce(ov.cluster, sc.cluster) AS cluster FROM sc LEFT JOIN ov ON sc.station_id = ov.station_id""")
+
+SQL["quality_filter"] = with_(DENSE + """,
+ok AS (SELECT station_id FROM f WHERE level IS NOT NULL GROUP BY 1
+       HAVING datediff('day', min(month), max(month)) / 365.25 >= 5)""", """
+SELECT station_id, month, round(level, 6) AS level FROM f WHERE station_id IN (SELECT station_id FROM ok)""")
+
+SQL["cluster_selection"] = with_(CLUSTERED, """
+SELECT station_id, month, round(level, 6) AS level, cluster FROM cl WHERE cluster IN ('reactive')""")
+
+SQL["series_diff"] = with_(DENSE + """,
+k AS (SELECT station_id, month, level - lag(level) OVER (PARTITION BY station_id ORDER BY month) AS diff
+      FROM f WHERE level IS NOT NULL)""", "SELECT station_id, month, round(diff, 6) AS diff FROM k WHERE diff IS NOT NULL")
+
+SQL["rate_per_day"] = with_(DENSE + """,
+k AS (SELECT station_id, month,
+        CAST(datediff('day', lag(month) OVER w, month) AS DOUBLE) AS days_diff,
+        level - lag(level) OVER w AS delta
+      FROM f WINDOW w AS (PARTITION BY station_id ORDER BY month))""", """
+SELECT station_id, month, round(days_diff, 6) AS days_diff, round(delta, 6) AS delta,
+       round(delta / days_diff, 6) AS delta_per_day FROM k""")
+
+SQL["variation_transform"] = with_(DENSE, """
+SELECT station_id, month, round(coalesce(lag(level) OVER (PARTITION BY station_id ORDER BY month) - level, 0.0), 6) AS level FROM f""")
+
+SQL["ffill_bfill"] = with_(DENSE, """
+SELECT station_id, month, round(coalesce(
+  last_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS filled
+FROM f""")
+
+SQL["segments_and_gaps"] = with_(DENSE + """,
+t AS (SELECT *, row_number() OVER w AS rn,
+        sum(CASE WHEN level IS NULL THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl
+      FROM f WINDOW w AS (PARTITION BY station_id ORDER BY month)),
+sg AS (SELECT station_id, isl, min(month) AS seg_start, max(month) AS seg_end, count(*) AS n_rows,
+              min(rn) AS r0, max(rn) AS r1 FROM t WHERE level IS NOT NULL GROUP BY 1, 2)""", """
+SELECT station_id, row_number() OVER w AS segment, seg_start, seg_end, n_rows,
+       lead(seg_start) OVER w AS next_start, lead(r0) OVER w - r1 - 1 AS gap_rows
+FROM sg WINDOW w AS (PARTITION BY station_id ORDER BY seg_start)""")
+
+SQL["series_shift"] = with_(DENSE_POS, """
+SELECT a.station_id, a.month, a.station_id % 5 - 2 AS lag, round(b.level, 6) AS shifted
+FROM fp a LEFT JOIN fp b ON b.station_id = a.station_id AND b.pos = a.pos - (a.station_id % 5 - 2)""")
+
+SQL["cumulative_reconstruct"] = with_(DENSE + """,
+ff AS (SELECT station_id, month, coalesce(
+  last_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS level FROM f),
+de AS (SELECT *, coalesce(lag(level) OVER w - level, 0.0) AS delta,
+              row_number() OVER w AS rn, first_value(level) OVER w AS start
+       FROM ff WINDOW w AS (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""", """
+SELECT station_id, month,
+  round(start - sum(CASE WHEN rn = 1 THEN 0.0 ELSE delta END) OVER (PARTITION BY station_id ORDER BY month
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS rebuilt FROM de""")
+
+SQL["time_split"] = with_(DENSE + """,
+o AS (SELECT station_id, month, row_number() OVER (ORDER BY station_id, month) - 1 AS g, count(*) OVER () AS n FROM f)""", """
+SELECT station_id, month, CASE WHEN g < floor(n * 0.8) THEN 'train' ELSE 'val' END AS split FROM o""")

@@ -260,3 +260,17 @@ def q_cumulative(spark, sf):
 @query("time_split")
 def q_time_split(spark, sf):
     return S.time_split(monthly_levels(spark, sf)).select("station_id", "month", "split")
+
+
+# ---------------------------------------------------------------- local cubic imputation
+from lacuna.operators.impute.local import impute_pchip, impute_akima  # noqa: E402
+
+
+@query("impute_pchip")
+def q_impute_pchip(spark, sf):
+    return rounded(impute_pchip(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+@query("impute_akima")
+def q_impute_akima(spark, sf):
+    return rounded(impute_akima(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))

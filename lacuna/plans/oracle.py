@@ -295,3 +295,72 @@ SELECT station_id, month,
 SQL["time_split"] = with_(DENSE + """,
 o AS (SELECT station_id, month, row_number() OVER (ORDER BY station_id, month) - 1 AS g, count(*) OVER () AS n FROM f)""", """
 SELECT station_id, month, CASE WHEN g < floor(n * 0.8) THEN 'train' ELSE 'val' END AS split FROM o""")
+
+# ---- local cubic interpolation, written over the known points only (independent of the window form)
+KNOWN_NB = DENSE_POS + """,
+k AS (SELECT station_id, pos, level AS y FROM fp WHERE level IS NOT NULL),
+kk AS (SELECT station_id, pos AS p, y,
+         lag(pos, 1) OVER w AS p1, lag(y, 1) OVER w AS y1, lag(pos, 2) OVER w AS p2, lag(y, 2) OVER w AS y2,
+         lead(pos, 1) OVER w AS q1, lead(y, 1) OVER w AS z1, lead(pos, 2) OVER w AS q2, lead(y, 2) OVER w AS z2,
+         count(*) OVER (PARTITION BY station_id) AS m
+       FROM k WINDOW w AS (PARTITION BY station_id ORDER BY pos)),
+sl AS (SELECT *, (y - y1) / (p - p1) AS sp, (z1 - y) / (q1 - p) AS sn,
+              (y1 - y2) / (p1 - p2) AS sp2, (z2 - z1) / (q2 - q1) AS sn2,
+              CAST(p - p1 AS DOUBLE) AS hp, CAST(q1 - p AS DOUBLE) AS hn,
+              CAST(p1 - p2 AS DOUBLE) AS hp2, CAST(q2 - q1 AS DOUBLE) AS hn2 FROM kk)"""
+
+HERMITE_EVAL = """,
+ev AS (SELECT fp.station_id, fp.month, fp.pos, fp.level,
+         max(CASE WHEN fp.level IS NOT NULL THEN fp.pos END) OVER (PARTITION BY fp.station_id ORDER BY fp.pos
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lpos,
+         min(CASE WHEN fp.level IS NOT NULL THEN fp.pos END) OVER (PARTITION BY fp.station_id ORDER BY fp.pos
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rpos
+       FROM fp),
+ev2 AS (SELECT ev.*, CASE WHEN rpos IS NULL THEN a.p1 ELSE lpos END AS pa,
+               CASE WHEN rpos IS NULL THEN lpos ELSE rpos END AS pb, a.m AS m
+        FROM ev LEFT JOIN dd a ON a.station_id = ev.station_id AND a.p = ev.lpos),
+ev3 AS (SELECT ev2.*, A.y AS ya, A.d AS da, B.y AS yb, B.d AS db, CAST(pb - pa AS DOUBLE) AS h,
+               (pos - pa) / CAST(pb - pa AS DOUBLE) AS t
+        FROM ev2 LEFT JOIN dd A ON A.station_id = ev2.station_id AND A.p = ev2.pa
+                 LEFT JOIN dd B ON B.station_id = ev2.station_id AND B.p = ev2.pb)"""
+
+HERMITE_VALUE = """((2*t*t*t - 3*t*t + 1) * ya + (t*t*t - 2*t*t + t) * h * da + (-2*t*t*t + 3*t*t) * yb + (t*t*t - t*t) * h * db)"""
+
+SQL["impute_pchip"] = with_(KNOWN_NB + """,
+eg AS (SELECT *, ((2*hn + hn2) * sn - hn * sn2) / (hn + hn2) AS ef, ((2*hp + hp2) * sp - hp * sp2) / (hp + hp2) AS el FROM sl),
+dd AS (SELECT station_id, p, p1, y, m, CASE
+    WHEN m = 2 THEN coalesce(sn, sp)
+    WHEN p1 IS NULL THEN CASE WHEN sign(ef) <> sign(sn) THEN 0.0
+                              WHEN sign(sn) <> sign(sn2) AND abs(ef) > 3 * abs(sn) THEN 3 * sn ELSE ef END
+    WHEN q1 IS NULL THEN CASE WHEN sign(el) <> sign(sp) THEN 0.0
+                              WHEN sign(sp) <> sign(sp2) AND abs(el) > 3 * abs(sp) THEN 3 * sp ELSE el END
+    WHEN sign(sp) <> sign(sn) OR sp = 0 OR sn = 0 THEN 0.0
+    ELSE ((2*hn + hp) + (hn + 2*hp)) / ((2*hn + hp) / sp + (hn + 2*hp) / sn) END AS d
+  FROM eg)""" + HERMITE_EVAL, """
+SELECT station_id, month, round(level, 6) AS level,
+  round(CASE WHEN level IS NOT NULL THEN level WHEN m IS NULL OR m < 2 OR lpos IS NULL THEN NULL
+             ELSE """ + HERMITE_VALUE + """ END, 6) AS filled
+FROM ev3""")
+
+SQL["impute_akima"] = with_(KNOWN_NB + """,
+ends AS (SELECT station_id,
+           max(CASE WHEN p1 IS NULL THEN sn END) AS d0, max(CASE WHEN p1 IS NULL THEN sn2 END) AS d1,
+           max(CASE WHEN q1 IS NULL THEN sp END) AS e0, max(CASE WHEN q1 IS NULL THEN sp2 END) AS e1
+         FROM sl GROUP BY 1),
+ex AS (SELECT sl.*, 2*d0 - d1 AS l1, 2*(2*d0 - d1) - d0 AS l2, 2*e0 - e1 AS r1, 2*(2*e0 - e1) - e0 AS r2
+       FROM sl JOIN ends USING (station_id)),
+s4 AS (SELECT *,
+         CASE WHEN p2 IS NOT NULL THEN sp2 WHEN p1 IS NOT NULL THEN l1 ELSE l2 END AS ma,
+         CASE WHEN p1 IS NOT NULL THEN sp ELSE l1 END AS mb,
+         CASE WHEN q1 IS NOT NULL THEN sn ELSE r1 END AS mc,
+         CASE WHEN q2 IS NOT NULL THEN sn2 WHEN q1 IS NOT NULL THEN r1 ELSE r2 END AS md FROM ex),
+s5 AS (SELECT *, abs(md - mc) AS f1, abs(mb - ma) AS f2, abs(md - mc) + abs(mb - ma) AS f12 FROM s4),
+s6 AS (SELECT *, max(f12) OVER (PARTITION BY station_id) AS f12max FROM s5),
+dd AS (SELECT station_id, p, p1, y, m, CASE
+    WHEN m = 2 THEN coalesce(sn, sp)
+    WHEN f12 > 1e-9 * f12max THEN (f1 * mb + f2 * mc) / f12
+    ELSE 0.5 * (md + ma) END AS d FROM s6)""" + HERMITE_EVAL, """
+SELECT station_id, month, round(level, 6) AS level,
+  round(CASE WHEN level IS NOT NULL THEN level WHEN m IS NULL OR m < 2 OR lpos IS NULL OR rpos IS NULL THEN NULL
+             ELSE """ + HERMITE_VALUE + """ END, 6) AS filled
+FROM ev3""")

@@ -274,3 +274,29 @@ def q_impute_pchip(spark, sf):
 @query("impute_akima")
 def q_impute_akima(spark, sf):
     return rounded(impute_akima(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+# ---------------------------------------------------------------- seasonal and kNN imputation
+from lacuna.operators.impute.seasonal import impute_seasonal, seasonal_profile  # noqa: E402
+from lacuna.operators.impute.knn import impute_knn  # noqa: E402
+
+
+@query("impute_seasonal")
+def q_impute_seasonal(spark, sf):
+    return rounded(impute_seasonal(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+@query("lookup_seasonal_profile")
+def q_seasonal_profile(spark, sf):
+    return rounded(seasonal_profile(monthly_levels(spark, sf), "level"))
+
+
+@query("impute_knn")
+def q_impute_knn(spark, sf):
+    return rounded(impute_knn(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+@query("impute_knn_past")
+def q_impute_knn_past(spark, sf):
+    return rounded(impute_knn(monthly_levels(spark, sf), "level", past_only=True, out="filled")
+                   .select("station_id", "month", "level", "filled"))

@@ -364,3 +364,59 @@ SELECT station_id, month, round(level, 6) AS level,
   round(CASE WHEN level IS NOT NULL THEN level WHEN m IS NULL OR m < 2 OR lpos IS NULL OR rpos IS NULL THEN NULL
              ELSE """ + HERMITE_VALUE + """ END, 6) AS filled
 FROM ev3""")
+
+SEASONAL = DENSE + """,
+pr AS (SELECT station_id, dayofyear(month) AS doy, median(level) AS med FROM f GROUP BY 1, 2),
+pr2 AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY doy) - 1 AS pos FROM pr),
+pr3 AS (SELECT a.*,
+   (SELECT max(b.pos) FROM pr2 b WHERE b.station_id = a.station_id AND b.pos <= a.pos AND b.med IS NOT NULL) AS p0,
+   (SELECT min(b.pos) FROM pr2 b WHERE b.station_id = a.station_id AND b.pos >= a.pos AND b.med IS NOT NULL) AS p1
+   FROM pr2 a),
+pr4 AS (SELECT pr3.station_id, pr3.doy, CASE
+     WHEN pr3.med IS NOT NULL THEN pr3.med WHEN p0 IS NULL THEN NULL WHEN p1 IS NULL THEN x0.med
+     ELSE x0.med + (x1.med - x0.med) * (pr3.pos - p0) / (p1 - p0) END AS v
+   FROM pr3 LEFT JOIN pr2 x0 ON x0.station_id = pr3.station_id AND x0.pos = pr3.p0
+            LEFT JOIN pr2 x1 ON x1.station_id = pr3.station_id AND x1.pos = pr3.p1),
+mn AS (SELECT station_id, avg(level) AS mean FROM f GROUP BY 1),
+prof AS (SELECT pr4.station_id, pr4.doy, coalesce(pr4.v, mn.mean) AS profile FROM pr4 JOIN mn USING (station_id))"""
+
+SQL["lookup_seasonal_profile"] = with_(SEASONAL, "SELECT station_id, doy, round(profile, 6) AS profile FROM prof")
+SQL["impute_seasonal"] = with_(SEASONAL, """
+SELECT f.station_id, f.month, round(f.level, 6) AS level, round(coalesce(f.level, prof.profile), 6) AS filled
+FROM f LEFT JOIN prof ON prof.station_id = f.station_id AND prof.doy = dayofyear(f.month)""")
+
+
+def _knn_sql(past_only: bool) -> str:
+    past = "AND i.month < q.month" if past_only else ""
+    return with_(DENSE + """,
+ft AS (SELECT *, CAST(year(month) AS DOUBLE) AS fy, sin(2 * pi() * month(month) / 12) AS fs,
+              cos(2 * pi() * month(month) / 12) AS fc,
+              (lon IS NOT NULL AND lat IS NOT NULL) AS fok FROM f),
+st AS (SELECT station_id, count(*) FILTER (WHERE level IS NOT NULL AND fok) AS nc,
+         avg(level) FILTER (WHERE level IS NOT NULL AND fok) AS cmean, avg(level) AS vmean,
+         avg(lon) FILTER (WHERE level IS NOT NULL AND fok) AS m1, stddev_pop(lon) FILTER (WHERE level IS NOT NULL AND fok) AS s1,
+         avg(lat) FILTER (WHERE level IS NOT NULL AND fok) AS m2, stddev_pop(lat) FILTER (WHERE level IS NOT NULL AND fok) AS s2,
+         avg(fy) FILTER (WHERE level IS NOT NULL AND fok) AS m3, stddev_pop(fy) FILTER (WHERE level IS NOT NULL AND fok) AS s3,
+         avg(fs) FILTER (WHERE level IS NOT NULL AND fok) AS m4, stddev_pop(fs) FILTER (WHERE level IS NOT NULL AND fok) AS s4,
+         avg(fc) FILTER (WHERE level IS NOT NULL AND fok) AS m5, stddev_pop(fc) FILTER (WHERE level IS NOT NULL AND fok) AS s5
+       FROM ft GROUP BY 1),
+z AS (SELECT ft.station_id, ft.month, ft.level, ft.fok, st.nc, st.cmean, st.vmean,
+        (lon - m1) / CASE WHEN s1 = 0 THEN 1.0 ELSE s1 END AS z1, (lat - m2) / CASE WHEN s2 = 0 THEN 1.0 ELSE s2 END AS z2,
+        (fy - m3) / CASE WHEN s3 = 0 THEN 1.0 ELSE s3 END AS z3, (fs - m4) / CASE WHEN s4 = 0 THEN 1.0 ELSE s4 END AS z4,
+        (fc - m5) / CASE WHEN s5 = 0 THEN 1.0 ELSE s5 END AS z5
+      FROM ft JOIN st USING (station_id)),
+pairs AS (SELECT q.station_id, q.month, i.level AS v,
+    row_number() OVER (PARTITION BY q.station_id, q.month ORDER BY
+      round(sqrt((q.z1-i.z1)*(q.z1-i.z1) + (q.z2-i.z2)*(q.z2-i.z2) + (q.z3-i.z3)*(q.z3-i.z3)
+               + (q.z4-i.z4)*(q.z4-i.z4) + (q.z5-i.z5)*(q.z5-i.z5)), 9), i.month) AS rn
+  FROM z q JOIN z i ON q.station_id = i.station_id AND i.level IS NOT NULL AND i.fok """ + past + """
+  WHERE q.level IS NULL AND q.fok AND q.nc >= 5),
+est AS (SELECT station_id, month, avg(v) AS knn FROM pairs WHERE rn <= 5 GROUP BY 1, 2)""", """
+SELECT z.station_id, z.month, round(z.level, 6) AS level,
+  round(CASE WHEN z.level IS NOT NULL THEN z.level WHEN z.nc < 5 THEN z.vmean WHEN NOT z.fok THEN z.cmean
+             ELSE est.knn END, 6) AS filled
+FROM z LEFT JOIN est ON est.station_id = z.station_id AND est.month = z.month""")
+
+
+SQL["impute_knn"] = _knn_sql(False)
+SQL["impute_knn_past"] = _knn_sql(True)

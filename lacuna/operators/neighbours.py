@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str, iid: str,
                 band: str, dist: Callable[[], Column], k: int, widths: list[float], scale: Column | float = 1.0,
-                tiebreak: list[Column] | None = None, pair_filter: Callable[[], Column] | None = None) -> DataFrame:
+                tiebreak: list[Column] | None = None, pair_filter: Callable[[], Column] | None = None,
+                band_scale: Column | float = 1.0) -> DataFrame:
     """Return (part…, qid, iid, dist, rank) with rank ≤ k for every query.
 
     ``queries`` columns are prefixed ``q_`` and ``items`` columns ``i_`` by the caller except
@@ -32,10 +33,12 @@ def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str,
     open_q = queries
     results = []
     ordering = [F.col("_dist").asc_nulls_last()] + tiebreak + [F.col(iid)]
+    bs = band_scale if isinstance(band_scale, Column) else F.lit(float(band_scale))
     for w in widths:
+        # bucket width w·band_scale (band_scale may depend on the partition columns)
         qb = open_q.withColumn("_b", F.explode(F.array(*[
-            (F.floor(F.col(f"q_{band}") / w) + d).cast("long") for d in (-1, 0, 1)])))
-        ib = items.withColumn("_b", F.floor(F.col(f"i_{band}") / w).cast("long"))
+            (F.floor(F.col(f"q_{band}") / (bs * w)) + d).cast("long") for d in (-1, 0, 1)])))
+        ib = items.withColumn("_b", F.floor(F.col(f"i_{band}") / (bs * w)).cast("long"))
         j = qb.join(ib, part + ["_b"])
         if pair_filter is not None:
             j = j.filter(pair_filter())
@@ -47,7 +50,7 @@ def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str,
         # a query is final when its k-th candidate is within the guaranteed radius, or it saw all items
         kth = (top.groupBy(*part, qid)
                .agg(F.max("_dist").alias("_kd"), F.max("_ncand").alias("_nc"), F.count(F.lit(1)).alias("_nt"),
-                    F.first(scale_c).alias("_scale"))
+                    F.first(scale_c * bs).alias("_scale"))
                .join(avail, part))
         done = kth.filter(((F.col("_nt") >= k) & (F.col("_kd") <= F.col("_scale") * w))
                           | (F.col("_nc") >= F.col("_avail"))).select(*part, qid)

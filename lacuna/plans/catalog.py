@@ -300,3 +300,186 @@ def q_impute_knn(spark, sf):
 def q_impute_knn_past(spark, sf):
     return rounded(impute_knn(monthly_levels(spark, sf), "level", past_only=True, out="filled")
                    .select("station_id", "month", "level", "filled"))
+
+
+# ---------------------------------------------------------------- splines, similar series
+from lacuna.operators.impute import splines as SPL  # noqa: E402
+from lacuna.operators.impute import similar as SIM  # noqa: E402
+
+
+@query("impute_cubic")
+def q_impute_cubic(spark, sf):
+    return rounded(SPL.impute_cubic(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+@query("impute_quadratic")
+def q_impute_quadratic(spark, sf):
+    return rounded(SPL.impute_quadratic(monthly_levels(spark, sf), "level", out="filled").select("station_id", "month", "level", "filled"))
+
+
+@query("impute_smoothing_spline")
+def q_impute_smoothing(spark, sf):
+    return rounded(SPL.impute_smoothing_spline(monthly_levels(spark, sf), "level", out="filled")
+                   .select("station_id", "month", "level", "filled"))
+
+
+@query("spectrum_signature")
+def q_spectrum(spark, sf):
+    return rounded(SIM.spectrum(monthly_levels(spark, sf), "level", ["station_id"]), 4)
+
+
+@query("spectrum_similarity")
+def q_spectrum_similarity(spark, sf):
+    """H9b on the embedding spectra: correlation of bins 1..10 for every pair inside a label cluster
+    is S²; this query ranks the 3 most similar per vector (F2) with the exact banded search."""
+    sp = dt.spectra(spark, sf)
+    long = sp.select("cluster", "station_id", F.posexplode("amp").alias("bin", "amp"))
+    return rounded(similar_from_vectors(long, 3), 6)
+
+
+@query("impute_similar_series")
+def q_impute_similar(spark, sf):
+    return rounded(SIM.impute_similar_series(clustered(spark, sf), "level", out="filled")
+                   .select("station_id", "month", "level", "filled"), 4)
+
+
+@query("top_similar_series")
+def q_top_similar(spark, sf):
+    return rounded(SIM.similarity_topn(clustered(spark, sf), "level", 10), 6).select("cluster", "station_id", "other", "rank")
+
+
+from pyspark.sql import Window  # noqa: E402
+
+
+def similar_from_vectors(long, n_top):
+    """Top-n by Pearson correlation of amplitude bins 1..10 (vectors given as (cluster, station_id, bin, amp))."""
+    sig = long.select("cluster", "station_id", F.lit(11).alias("n"), "bin", F.col("amp").cast("double").alias("amp"))
+    v = SIM._z_prefix(sig, ["cluster", "station_id"], "n")
+    q = SIM._zvec_dyn(v.withColumn("_vv", F.slice("_v", 2, 10)), "_vv", F.lit(10))
+    qq = q.select("cluster", F.lit(11).alias("_L"), F.col("station_id").alias("q_id"), F.col("_z").alias("q_z"),
+                  F.col("_band").alias("q_band")).filter(F.col("q_z").isNotNull())
+    it = qq.select("cluster", "_L", F.col("q_id").alias("i_id"), F.col("q_z").alias("i_z"), F.col("q_band").alias("i_band"))
+
+    def dist():
+        d = F.aggregate(F.zip_with("q_z", "i_z", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+        return F.round(F.sqrt(d), 9)
+    from lacuna.operators.neighbours import banded_topk
+    top = banded_topk(qq, it, ["cluster", "_L"], "q_id", "i_id", "band", dist, n_top, [0.25, 1.0], 1.0,
+                      pair_filter=lambda: F.col("q_id") != F.col("i_id"), band_scale=F.sqrt(F.lit(10.0)))
+    return top.select("cluster", F.col("q_id").alias("station_id"), F.col("i_id").alias("other"),
+                      (F.lit(1.0) - F.col("dist") * F.col("dist") / 20.0).alias("sim"), "rank")
+
+
+# ---------------------------------------------------------------- holes, scoring, evaluation
+from lacuna.operators import holes as HO  # noqa: E402
+from lacuna.operators import scoring as SC  # noqa: E402
+from lacuna.operators.impute import registry as REG  # noqa: E402
+from lacuna.functions import stats as ST  # noqa: E402
+
+SQL_METHODS = ["lineaire", "bss"]
+ALL_METHODS = ["lineaire", "pchip", "akima", "cubique", "polynome", "spline", "knn", "bss"]
+
+
+@query("holes_points")
+def q_holes_points(spark, sf):
+    h = HO.holes_points(monthly_levels(spark, sf), "level", 0.2, seed=42)
+    return rounded(h.select("station_id", "month", "level", "truth", "hole"))
+
+
+@query("holes_blocks")
+def q_holes_blocks(spark, sf):
+    h = HO.holes_blocks(monthly_levels(spark, sf), "level", 0.2, seed=42, sizes=(1, 5))
+    return rounded(h.select("station_id", "month", "level", "truth", "hole"))
+
+
+@query("year_range_mask")
+def q_year_range_mask(spark, sf):
+    return rounded(HO.year_range_mask(monthly_levels(spark, sf), "level", 1997, 1998).select("station_id", "month", "level"))
+
+
+@query("score_on_holes")
+def q_score_on_holes(spark, sf):
+    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
+    return rounded(s.select("station_id", "lat", "lon", "cluster", "variable", "method", "nrmse"))
+
+
+@query("score_on_holes_all_methods")
+def q_score_all(spark, sf):
+    s = SC.score_on_holes(clustered(spark, sf), "level", ALL_METHODS, 0.2, (1, 5), 42)
+    return rounded(s.select("station_id", "lat", "lon", "cluster", "variable", "method", "nrmse"))
+
+
+def _errors(spark, sf):
+    return SC.evaluate_all(monthly_levels(spark, sf), "level", SQL_METHODS, [0.1, 0.2], seed=42, sizes=(1, 6))
+
+
+@query("evaluate_methods")
+def q_evaluate_methods(spark, sf):
+    g = monthly_levels(spark, sf)
+    h = HO.holes_blocks(g, "level", 0.1, 42, (1, 6))
+    preds = REG.predictions_long(h.drop("truth", "hole"), "level", SQL_METHODS)
+    truth = h.select("station_id", "month", F.col("truth").alias("level"))
+    return rounded(SC.evaluate_methods(preds, truth, "level", 0.1))
+
+
+@query("evaluate_all")
+def q_evaluate_all(spark, sf):
+    return rounded(_errors(spark, sf))
+
+
+@query("nse")
+def q_nse(spark, sf):
+    g = monthly_levels(spark, sf)
+    h = HO.holes_blocks(g, "level", 0.2, 42, (1, 5))
+    preds = REG.predictions_long(h.drop("truth", "hole"), "level", ["lineaire"])
+    truth = h.select("station_id", "month", F.col("truth").alias("level")).filter(F.col("level").isNotNull())
+    return rounded(SC.nse(preds, truth, "level"))
+
+
+@query("masked_mse")
+def q_masked_mse(spark, sf):
+    from lacuna.operators.impute.linear import impute_linear
+    g = impute_linear(monthly_levels(spark, sf), "level", out="pred")
+    g = g.withColumn("y", F.coalesce("level", F.lit(ST.MASK_VALUE)))
+    return rounded(g.groupBy("station_id").agg(ST.masked_mse("y", "pred").alias("masked_mse")))
+
+
+@query("mean_error_by_method")
+def q_mean_error(spark, sf):
+    return rounded(SC.mean_error_by_method(_errors(spark, sf)))
+
+
+@query("error_pivot")
+def q_error_pivot(spark, sf):
+    return rounded(SC.error_pivot(_errors(spark, sf), SQL_METHODS))
+
+
+@query("method_rank")
+def q_method_rank(spark, sf):
+    return rounded(SC.method_rank(_errors(spark, sf)).select("dataset", "pct_removed", "method", "NRMSE", "rank"))
+
+
+@query("method_league")
+def q_method_league(spark, sf):
+    return rounded(SC.method_league(_errors(spark, sf)))
+
+
+@query("summary_range")
+def q_summary_range(spark, sf):
+    return rounded(SC.summary_range(SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)))
+
+
+@query("complete_variables")
+def q_complete_variables(spark, sf):
+    g = monthly_levels(spark, sf).select("station_id", "month", "level", "lon", "lat")
+    out = REG.complete_variables(g, {"level": SQL_METHODS})
+    return rounded(out.select("station_id", "month", "level", *[f"{m}_level" for m in SQL_METHODS]))
+
+
+@query("apply_best_method")
+def q_apply_best(spark, sf):
+    c = clustered(spark, sf)
+    scores = SC.score_on_holes(c, "level", SQL_METHODS, 0.2, (1, 5), 42)
+    preds = REG.predictions_long(c.select("station_id", "month", "level", "lon", "lat"), "level", SQL_METHODS)
+    out = REG.apply_best_method(preds, scores, c.select("station_id", "month", "level"), "level")
+    return rounded(out.select("station_id", "month", "best_method", "completed"))

@@ -420,3 +420,160 @@ FROM z LEFT JOIN est ON est.station_id = z.station_id AND est.month = z.month"""
 
 SQL["impute_knn"] = _knn_sql(False)
 SQL["impute_knn_past"] = _knn_sql(True)
+
+SQL["spectrum_signature"] = with_(DENSE + """,
+x AS (SELECT station_id, month, coalesce(
+  last_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v,
+  row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS i, count(*) OVER (PARTITION BY station_id) AS n FROM f),
+xc AS (SELECT *, v - avg(v) OVER (PARTITION BY station_id) AS c FROM x),
+bins AS (SELECT unnest(range(1, 11)) AS bin),
+d AS (SELECT station_id, bin, any_value(n) AS n, sum(c * cos(2 * pi() * bin * i / n)) AS re, sum(c * sin(2 * pi() * bin * i / n)) AS im
+      FROM xc CROSS JOIN bins GROUP BY 1, 2)""", """
+SELECT station_id, n, CAST(bin AS INTEGER) AS bin, round(CASE WHEN bin < n THEN sqrt(re * re + im * im) END, 4) AS amp FROM d""")
+
+SQL["spectrum_similarity"] = """
+WITH e AS (SELECT vec_id AS station_id, CAST(label AS VARCHAR) AS cluster, embedding AS a FROM embeddings),
+v AS (SELECT station_id, cluster, unnest(range(2, 12)) AS k, a FROM e),
+vv AS (SELECT station_id, cluster, k, CAST(a[k] AS DOUBLE) AS x FROM v),
+p AS (SELECT a.cluster, a.station_id, b.station_id AS other,
+             covar_pop(a.x, b.x) / (stddev_pop(a.x) * stddev_pop(b.x)) AS sim
+      FROM vv a JOIN vv b ON a.cluster = b.cluster AND a.k = b.k AND a.station_id <> b.station_id
+      GROUP BY 1, 2, 3 HAVING stddev_pop(a.x) > 0 AND stddev_pop(b.x) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY cluster, station_id ORDER BY round(sim, 9) DESC, other) AS rank FROM p)
+SELECT cluster, station_id, other, round(sim, 6) AS sim, rank FROM r WHERE rank <= 3"""
+
+
+def holes_cte(pct: float, seed: int, a: int, b: int, src: str = "f", prefix: str = "h") -> str:
+    """I2 block holes on table ``src`` → ``{prefix}z`` (station_id, month, level, truth, hole, lon, lat)
+    restricted to stations keeping ≥ 4 known values."""
+    p = prefix
+    hh = lambda tag, blk: f"CAST(('0x' || substr(md5(concat_ws('|', CAST(station_id AS VARCHAR), CAST({blk} AS VARCHAR), '{seed}', '{tag}')), 1, 8)) AS BIGINT)"
+    return f""",
+{p}p AS (SELECT station_id, month, level, lon, lat, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS pos FROM {src}),
+{p}n AS (SELECT station_id, count(*) AS n, CAST(floor(count(*) * {pct}) AS BIGINT) AS target FROM {p}p GROUP BY 1),
+{p}b AS (SELECT station_id, n, target, 2 * target AS mm, unnest(range(0, 2 * target + n)) AS blk FROM {p}n),
+{p}b2 AS (SELECT *, CASE WHEN blk < mm THEN least({a} + {hh('len', 'blk')} % {b - a + 1}, n) ELSE 1 END AS len FROM {p}b),
+{p}b3 AS (SELECT *, CASE WHEN blk < mm THEN {hh('start', 'blk')} % (n - len + 1) ELSE blk - mm END AS st FROM {p}b2),
+{p}c AS (SELECT station_id, blk, target, unnest(range(st, st + len)) AS pos FROM {p}b3),
+{p}f AS (SELECT station_id, pos, min(blk) AS blk, any_value(target) AS target FROM {p}c GROUP BY 1, 2),
+{p}k AS (SELECT station_id, blk, count(*) AS nw, any_value(target) AS target FROM {p}f GROUP BY 1, 2),
+{p}k2 AS (SELECT *, coalesce(sum(nw) OVER (PARTITION BY station_id ORDER BY blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM {p}k),
+{p}hit AS (SELECT {p}f.station_id, {p}f.pos FROM {p}f JOIN {p}k2 ON {p}f.station_id = {p}k2.station_id AND {p}f.blk = {p}k2.blk
+          WHERE {p}k2.before < {p}k2.target),
+{p}l AS (SELECT {p}p.*, {p}hit.pos IS NOT NULL AS hole FROM {p}p LEFT JOIN {p}hit ON {p}hit.station_id = {p}p.station_id AND {p}hit.pos = {p}p.pos),
+{p}z0 AS (SELECT station_id, month, CASE WHEN hole THEN NULL ELSE level END AS level, level AS truth, hole, lon, lat FROM {p}l),
+{p}z AS (SELECT * FROM {p}z0 WHERE station_id IN (SELECT station_id FROM {p}z0 GROUP BY 1 HAVING count(level) >= 4))"""
+
+
+def holed_base(pct: float, seed: int, a: int, b: int) -> str:
+    """DENSE with ``f`` replaced by the holed series (truth kept in ``hz``)."""
+    base = DENSE.replace("\nf AS (SELECT g.station_id", "\nf_true AS (SELECT g.station_id")
+    return base + holes_cte(pct, seed, a, b, "f_true") + """,
+f AS (SELECT station_id, month, level, lon, lat FROM hz)"""
+
+
+SQL["holes_blocks"] = with_(DENSE + holes_cte(0.2, 42, 1, 5), """
+SELECT station_id, month, round(level, 6) AS level, round(truth, 6) AS truth, hole FROM hz""")
+
+SQL["holes_points"] = with_(DENSE + """,
+hp AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS pos, count(*) OVER (PARTITION BY station_id) AS n FROM f),
+hr AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY
+         CAST(('0x' || substr(md5(concat_ws('|', CAST(station_id AS VARCHAR), CAST(pos AS VARCHAR), '42')), 1, 8)) AS BIGINT), pos) AS r FROM hp),
+hz AS (SELECT station_id, month, CASE WHEN r <= floor(n * 0.2) THEN NULL ELSE level END AS level, level AS truth,
+              r <= floor(n * 0.2) AS hole FROM hr)""", """
+SELECT station_id, month, round(level, 6) AS level, round(truth, 6) AS truth, hole FROM hz
+WHERE station_id IN (SELECT station_id FROM hz GROUP BY 1 HAVING count(level) >= 4)""")
+
+SQL["year_range_mask"] = with_(DENSE, """
+SELECT station_id, month, round(CASE WHEN year(month) BETWEEN 1997 AND 1998 THEN NULL ELSE level END, 6) AS level FROM f""")
+
+
+def method_sql(method: str, base: str) -> str:
+    src = {"lineaire": SQL["impute_linear"], "bss": SQL["impute_seasonal"]}[method]
+    assert src.startswith("WITH " + DENSE)
+    return "WITH " + base + src[len("WITH " + DENSE):]
+
+
+def preds_sql(methods, base):
+    return " UNION ALL ".join(
+        f"SELECT station_id, month, '{m}' AS method, filled AS pred FROM ({method_sql(m, base)})" for m in methods)
+
+
+def _score_sql(methods) -> str:
+    base = holed_base(0.2, 42, 1, 5)
+    return with_(CLUSTERED + holes_cte(0.2, 42, 1, 5, "f", "h") + """,
+pr AS (""" + preds_sql(methods, base) + """),
+sc AS (SELECT pr.station_id, pr.method,
+         CASE WHEN max(hz.truth) = 0 THEN -10000000000.0
+              ELSE abs(sqrt(avg((hz.truth - pr.pred) * (hz.truth - pr.pred))) / max(hz.truth)) END AS nrmse
+       FROM pr JOIN hz ON pr.station_id = hz.station_id AND pr.month = hz.month
+       WHERE hz.hole AND hz.truth IS NOT NULL AND pr.pred IS NOT NULL GROUP BY 1, 2),
+keys AS (SELECT DISTINCT hz.station_id, m.method FROM hz CROSS JOIN (VALUES """ + ", ".join(f"('{m}')" for m in methods) + """) AS m(method)),
+info AS (SELECT station_id, arg_min(lat, month) AS lat, arg_min(lon, month) AS lon, arg_min(cluster, month) AS cluster FROM cl GROUP BY 1),
+scores AS (SELECT keys.station_id, info.lat, info.lon, info.cluster, 'level' AS variable, keys.method, sc.nrmse
+           FROM keys LEFT JOIN sc ON sc.station_id = keys.station_id AND sc.method = keys.method
+           LEFT JOIN info ON info.station_id = keys.station_id)""", "{body}")
+
+
+SQL["score_on_holes"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SELECT station_id, round(lat, 6) AS lat, round(lon, 6) AS lon, cluster, variable, method, round(nrmse, 6) AS nrmse FROM scores""")
+
+SQL["summary_range"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SELECT round(max(coalesce(nrmse, 0.0)), 6) AS max_score, round(avg(coalesce(nrmse, 0.0)), 6) AS mean_score,
+       round(avg(coalesce(nrmse, 0.0)) * 2, 6) AS scale_max FROM scores""")
+
+
+def _eval_sql(pct: float, seed: int, tag: str) -> str:
+    """errors (dataset, method, pct_removed, NMAE, NRMSE) for one removal rate, as a subquery."""
+    base = holed_base(pct, seed, 1, 6)
+    return "(" + with_(DENSE + holes_cte(pct, seed, 1, 6, "f", "h") + """,
+pr AS (""" + preds_sql(["lineaire", "bss"], base) + """),
+j AS (SELECT pr.*, hz.truth AS r, row_number() OVER (PARTITION BY pr.station_id, pr.method ORDER BY pr.month) AS rn
+      FROM pr JOIN hz ON pr.station_id = hz.station_id AND pr.month = hz.month)""", f"""
+SELECT station_id AS dataset, method, CAST({pct} AS DOUBLE) AS pct_removed,
+  CASE WHEN count(r) < count(*) OR count(pred) < count(*) THEN NULL WHEN max(r) = 0 THEN 0.0
+       ELSE avg(abs(r - pred)) / max(r) END AS NMAE,
+  CASE WHEN count(r) < count(*) OR count(pred) < count(*) THEN NULL WHEN max(r) = 0 THEN -10000000000.0
+       ELSE abs(sqrt(avg((r - pred) * (r - pred))) / max(r)) END AS NRMSE
+FROM j WHERE rn > 6 GROUP BY 1, 2""") + ")"
+
+
+SQL["evaluate_methods"] = "SELECT dataset, method, pct_removed, round(NMAE, 6) AS NMAE, round(NRMSE, 6) AS NRMSE FROM " + _eval_sql(0.1, 42, "a")
+
+ERRORS = "err AS (SELECT * FROM " + _eval_sql(0.1, 42, "a") + " UNION ALL SELECT * FROM " + _eval_sql(0.2, 43, "b") + ")"
+
+SQL["evaluate_all"] = with_(ERRORS, "SELECT dataset, method, pct_removed, round(NMAE, 6) AS NMAE, round(NRMSE, 6) AS NRMSE FROM err")
+SQL["mean_error_by_method"] = with_(ERRORS, "SELECT method, round(avg(NMAE), 6) AS mean_nmae, round(avg(NRMSE), 6) AS mean_nrmse FROM err GROUP BY 1")
+SQL["error_pivot"] = with_(ERRORS, """
+SELECT dataset, round(avg(NRMSE) FILTER (WHERE method = 'lineaire'), 6) AS lineaire,
+       round(avg(NRMSE) FILTER (WHERE method = 'bss'), 6) AS bss FROM err GROUP BY 1""")
+SQL["method_rank"] = with_(ERRORS, """
+SELECT dataset, pct_removed, method, round(NRMSE, 6) AS NRMSE,
+       rank() OVER (PARTITION BY dataset, pct_removed ORDER BY NRMSE ASC NULLS LAST) AS rank FROM err""")
+SQL["method_league"] = with_(ERRORS + """,
+rk AS (SELECT *, rank() OVER (PARTITION BY dataset, pct_removed ORDER BY NRMSE ASC NULLS LAST) AS r1,
+              rank() OVER (PARTITION BY dataset, pct_removed ORDER BY NRMSE DESC NULLS FIRST) AS r2 FROM err)""", """
+SELECT method, CAST(sum(CASE WHEN r1 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS first,
+       CAST(sum(CASE WHEN r2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS last, round(avg(r1), 6) AS mean_rank FROM rk GROUP BY 1""")
+
+SQL["nse"] = with_(DENSE + holes_cte(0.2, 42, 1, 5, "f", "h") + """,
+pr AS (""" + preds_sql(["lineaire"], holed_base(0.2, 42, 1, 5)) + """),
+j AS (SELECT pr.*, hz.truth AS r FROM pr JOIN hz ON pr.station_id = hz.station_id AND pr.month = hz.month WHERE hz.truth IS NOT NULL),
+j2 AS (SELECT *, avg(r) OVER (PARTITION BY station_id, method) AS mr FROM j)""", """
+SELECT station_id, method, round(1 - sum((r - pred) * (r - pred)) / nullif(sum((r - mr) * (r - mr)), 0), 6) AS nse FROM j2 GROUP BY 1, 2""")
+
+SQL["masked_mse"] = "SELECT station_id, round(avg(CASE WHEN y <> -999 THEN (y - filled) * (y - filled) END), 6) AS masked_mse FROM (SELECT station_id, coalesce(level, -999.0) AS y, filled FROM (" + SQL["impute_linear"] + ")) GROUP BY 1"
+
+SQL["complete_variables"] = ("SELECT a.station_id, a.month, a.level, a.filled AS lineaire_level, b.filled AS bss_level FROM ("
+                             + SQL["impute_linear"] + ") a JOIN (" + SQL["impute_seasonal"] + ") b ON a.station_id = b.station_id AND a.month = b.month")
+
+SQL["apply_best_method"] = with_("""
+sc AS (""" + SQL["score_on_holes"] + """),
+best AS (SELECT station_id, arg_min(method, (nrmse, method)) AS best_method FROM sc WHERE nrmse IS NOT NULL GROUP BY 1),
+pr AS (SELECT station_id, month, level, 'lineaire' AS method, filled FROM (""" + SQL["impute_linear"] + """)
+       UNION ALL SELECT station_id, month, level, 'bss', filled FROM (""" + SQL["impute_seasonal"] + """))""", """
+SELECT pr.station_id, pr.month, best.best_method, round(coalesce(pr.level, p2.filled), 6) AS completed
+FROM (SELECT DISTINCT station_id, month, level FROM pr) pr
+LEFT JOIN best ON best.station_id = pr.station_id
+LEFT JOIN (SELECT * FROM pr) p2 ON p2.station_id = pr.station_id AND p2.month = pr.month AND p2.method = best.best_method""")

@@ -483,3 +483,208 @@ def q_apply_best(spark, sf):
     preds = REG.predictions_long(c.select("station_id", "month", "level", "lon", "lat"), "level", SQL_METHODS)
     out = REG.apply_best_method(preds, scores, c.select("station_id", "month", "level"), "level")
     return rounded(out.select("station_id", "month", "best_method", "completed"))
+
+
+# ---------------------------------------------------------------- projections, filters, joins, reshape, functions
+from lacuna.operators import filters as FL  # noqa: E402
+from lacuna.operators import joins as JN  # noqa: E402
+from lacuna.operators import reshape as RS  # noqa: E402
+from lacuna.functions import text as TX  # noqa: E402
+from lacuna.functions import calendar as CA  # noqa: E402
+
+
+def weather_raw(spark, sf):
+    """Raw weather as delivered (AAAAMM, RR, TMM, ETP, LAT, LON), derived from the points."""
+    p = dt.points(spark, sf)
+    return p.select(F.date_format("month", "yyyyMM").cast("int").alias("AAAAMM"), F.col("rain").alias("RR"),
+                    F.col("temp").alias("TMM"), (F.col("rain") / 1000.0).alias("ETP"),
+                    F.col("lat").alias("LAT"), F.col("lon").alias("LON"), F.lit("x").alias("NOM"))
+
+
+def communes(spark, sf):
+    """Commune reference: customers with an INSEE-like code, a postal code and coordinates."""
+    c = dt.table(spark, sf, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("insee_code"),
+                    ((F.col("c_custkey") * 37) % 96000).cast("string").alias("postal_code"),
+                    dt.point_lat(F.col("c_nationkey")).alias("lat"), dt.point_lon(F.col("c_nationkey")).alias("lon"))
+
+
+@query("project_rename")
+def q_project_rename(spark, sf):
+    return rounded(W.project_rename(weather_raw(spark, sf)))
+
+
+@query("rain_daily_rate")
+def q_rain_daily_rate(spark, sf):
+    return rounded(W.rain_daily_rate(W.project_rename(weather_raw(spark, sf)), "mean"))
+
+
+@query("filter_department")
+def q_filter_department(spark, sf):
+    return rounded(FL.filter_department(communes(spark, sf), [1, 13, 13, 45]))
+
+
+@query("filter_bbox")
+def q_filter_bbox(spark, sf):
+    return rounded(FL.filter_bbox(dt.points(spark, sf), 43.0, 47.0, -2.0, 4.0))
+
+
+@query("drop_incomplete_rows")
+def q_drop_incomplete(spark, sf):
+    return rounded(FL.drop_incomplete_rows(dt.points(spark, sf)))
+
+
+@query("drop_all_null_rows")
+def q_drop_all_null(spark, sf):
+    return rounded(FL.drop_all_null_rows(dt.points(spark, sf), ["rain", "temp"]))
+
+
+@query("drop_null_target")
+def q_drop_null_target(spark, sf):
+    return rounded(FL.drop_null_target(monthly_levels(spark, sf), "level"))
+
+
+@query("fill_sentinel")
+def q_fill_sentinel(spark, sf):
+    return rounded(FL.fill_sentinel(monthly_levels(spark, sf), ["level"]))
+
+
+@query("search_stations")
+def q_search(spark, sf):
+    return rounded(FL.search_stations(dt.stations(spark, sf), "PLIER#00000001"))
+
+
+@query("coerce_types")
+def q_coerce(spark, sf):
+    e = dt.table(spark, sf, "events").select("event_id", F.col("event_type").alias("as_number"),
+                                               F.col("value").alias("value"),
+                                               F.col("props").alias("as_time"), "ts")
+    return rounded(FL.coerce_types(e, ["as_number", "value"], ["as_time"], "ts").drop("ts"))
+
+
+@query("compare_series")
+def q_compare(spark, sf):
+    li = dt.table(spark, sf, "lineitem")
+    m = CA.month_floor("l_shipdate").alias("month")
+    a = li.filter(F.col("l_returnflag") == "R").groupBy(m).agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q"))
+    b = li.filter(F.col("l_returnflag") == "A").groupBy(m).agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q"))
+    return rounded(FL.compare_series(a, b))
+
+
+@query("join_commune_coords")
+def q_join_communes(spark, sf):
+    o = dt.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("commune_code"))
+    return rounded(JN.join_commune_coords(o, communes(spark, sf)).select("o_orderkey", "postal_code", "lat", "lon"))
+
+
+def cells(spark, sf):
+    s = dt.table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
+    return (s.select(F.col("s_suppkey").alias("lambx"), F.explode(F.sequence(F.lit(1), F.lit(7))).alias("lamby"), "s_acctbal")
+            .withColumn("lat", dt.station_lat(F.col("lambx")) + F.col("lamby") / 100.0)
+            .withColumn("lon", dt.station_lon(F.col("lambx"))))
+
+
+@query("join_grid_cells")
+def q_join_grid_cells(spark, sf):
+    li = dt.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("lambx"),
+                                                 F.col("l_linenumber").alias("lamby"), "l_quantity")
+    return rounded(JN.join_grid_cells(li, cells(spark, sf).drop("s_acctbal")))
+
+
+@query("semi_join_cells")
+def q_semi_join(spark, sf):
+    li = dt.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("cell_id"))
+    c = dt.table(spark, sf, "supplier").filter(F.col("s_acctbal") > 0).select(F.col("s_suppkey").alias("cell_id"))
+    return JN.semi_join_cells(li, c)
+
+
+@query("union_all")
+def q_union_all(spark, sf):
+    li = dt.table(spark, sf, "lineitem")
+    a = li.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_quantity")
+    b = li.filter(F.col("l_returnflag") == "A").select("l_orderkey", "l_linenumber", "l_quantity")
+    return rounded(RS.union_all(a, b, a))
+
+
+@query("unpivot_vintages")
+def q_unpivot(spark, sf):
+    w = dt.soil_wide(spark, sf)
+    return rounded(RS.unpivot_vintages(w, [("vintage_1", "sealed_1"), ("vintage_2", "sealed_2")], ["lat", "lon", "total_area"]))
+
+
+@query("pivot_series")
+def q_pivot_series(spark, sf):
+    return rounded(RS.pivot_series(monthly_levels(spark, sf), "level"))
+
+
+def _wide_scores(spark, sf):
+    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
+    return s.groupBy("station_id").pivot("method", SQL_METHODS).agg(F.first("nrmse")) \
+            .select("station_id", *[F.col(m).alias(f"{m}_level") for m in SQL_METHODS])
+
+
+@query("unpivot_scores")
+def q_unpivot_scores(spark, sf):
+    return rounded(RS.unpivot_scores(_wide_scores(spark, sf), ["station_id"], ["level"]))
+
+
+@query("score_matrix_by_cluster")
+def q_score_matrix(spark, sf):
+    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
+    return rounded(RS.score_matrix_by_cluster(s))
+
+
+@query("distinct_sorted")
+def q_distinct_sorted(spark, sf):
+    return RS.distinct_sorted(dt.table(spark, sf, "events"), "event_type")
+
+
+@query("sort_series")
+def q_sort_series(spark, sf):
+    return rounded(RS.sort_series(dt.points(spark, sf), ["month", "lat", "lon"]))
+
+
+@query("sort_stations")
+def q_sort_stations(spark, sf):
+    g = monthly_levels(spark, sf)
+    cls = CL.cluster_two_way(CL.fluctuation_index(g, "level")).select("station_id", "cluster")
+    return rounded(RS.sort_stations(cls, CL.duration_years(g, "level"), S.longest_streak(g, "level")))
+
+
+@query("scalar_functions")
+def q_scalar_functions(spark, sf):
+    """Calendar functions over the orders table."""
+    o = dt.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    d = F.to_date("o_orderdate")
+    return rounded(o.select(
+        "o_orderkey",
+        CA.parse_yyyymm(F.date_format(d, "yyyyMM")).alias("k1_month"),
+        CA.parse_yyyymmdd(F.date_format(d, "yyyyMMdd")).alias("k1_day"),
+        CA.year_start(F.year(d)).alias("k1_year"),
+        CA.month_floor("o_orderdate").alias("k2_month"),
+        CA.days_in_month(d).alias("k3_days"),
+        CA.epoch_seconds_of_date(d).alias("k4_epoch"),
+        F.year(d).alias("k5_year"), F.month(d).alias("k5_month"), F.dayofyear(d).alias("k5_doy"),
+        CA.cyclic_month_sin(d).alias("k6_sin"), CA.cyclic_month_cos(d).alias("k6_cos"),
+        CA.month_step(F.lit("1995-01-01").cast("date"), d).alias("k11_step")))
+
+
+@query("string_functions")
+def q_string_functions(spark, sf):
+    """K7–K10, K12–K14 over pages (urls), customers (codes) and events (JSON props)."""
+    p = dt.table(spark, sf, "pages").select("page_id", "url")
+    out = p.select("page_id",
+                   TX.basename("url").alias("k12_basename"),
+                   TX.safe_name("url").alias("k8_safe"),
+                   TX.zero_pad(F.col("page_id") * 997).alias("k7_pad"),
+                   TX.clean_header(F.concat(F.lit(" #"), F.col("page_id").cast("string"), F.lit("# "))).alias("k9_header"),
+                   TX.case_contains("url", "EXAMPLE.COM").alias("k10_contains"),
+                   TX.station_from_file(F.concat(F.lit("data_"), F.col("page_id").cast("string"), F.lit(".csv"))).alias("k13_station"))
+    return out
+
+
+@query("json_fields")
+def q_json_fields(spark, sf):
+    e = dt.table(spark, sf, "events").select("event_id", "props")
+    return e.select("event_id", TX.json_field("props", "$.k").cast("int").alias("k"),
+                    TX.json_field("props", "$.format", "").alias("format"))

@@ -577,3 +577,94 @@ SELECT pr.station_id, pr.month, best.best_method, round(coalesce(pr.level, p2.fi
 FROM (SELECT DISTINCT station_id, month, level FROM pr) pr
 LEFT JOIN best ON best.station_id = pr.station_id
 LEFT JOIN (SELECT * FROM pr) p2 ON p2.station_id = pr.station_id AND p2.month = pr.month AND p2.method = best.best_method""")
+
+WEATHER_RAW = POINTS + """,
+wr AS (SELECT CAST(strftime(month, '%Y%m') AS INTEGER) AS AAAAMM, rain AS RR, temp AS TMM, rain / 1000.0 AS ETP, lat AS LAT, lon AS LON FROM pt)"""
+
+SQL["project_rename"] = with_(WEATHER_RAW, """
+SELECT CAST(strptime(CAST(AAAAMM AS VARCHAR), '%Y%m') AS DATE) AS month, round(RR, 6) AS rain, round(TMM, 6) AS temp,
+       round(ETP, 6) AS pet, round(LAT, 6) AS lat, round(LON, 6) AS lon FROM wr""")
+SQL["rain_daily_rate"] = with_(WEATHER_RAW, """
+SELECT CAST(strptime(CAST(AAAAMM AS VARCHAR), '%Y%m') AS DATE) AS month,
+       round(RR / day(last_day(CAST(strptime(CAST(AAAAMM AS VARCHAR), '%Y%m') AS DATE))), 6) AS rain, round(TMM, 6) AS temp,
+       round(ETP, 6) AS pet, round(LAT, 6) AS lat, round(LON, 6) AS lon FROM wr""")
+
+COMMUNES = """
+cm AS (SELECT CAST(c_custkey AS VARCHAR) AS insee_code, CAST((c_custkey * 37) % 96000 AS VARCHAR) AS postal_code,
+              CAST(41 + (c_nationkey * 53 % 1000) / 100.0 AS DOUBLE) AS lat, CAST(-5 + (c_nationkey * 71 % 1400) / 100.0 AS DOUBLE) AS lon
+       FROM customer)"""
+
+SQL["filter_department"] = with_(COMMUNES, """
+SELECT insee_code, postal_code, round(lat, 6) AS lat, round(lon, 6) AS lon FROM cm
+WHERE floor(TRY_CAST(postal_code AS INTEGER) / 1000) IN (1, 13, 45)""")
+SQL["filter_bbox"] = with_(POINTS, """
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt
+WHERE lat BETWEEN 43.0 AND 47.0 AND lon BETWEEN -2.0 AND 4.0""")
+SQL["drop_incomplete_rows"] = with_(POINTS, """
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt
+WHERE lat IS NOT NULL AND lon IS NOT NULL AND month IS NOT NULL AND rain IS NOT NULL AND temp IS NOT NULL""")
+SQL["drop_all_null_rows"] = with_(POINTS, """
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt
+WHERE rain IS NOT NULL OR temp IS NOT NULL""")
+SQL["drop_null_target"] = with_(DENSE, """
+SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat FROM f WHERE level IS NOT NULL""")
+SQL["fill_sentinel"] = with_(DENSE, """
+SELECT station_id, month, round(coalesce(level, -1.0), 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat FROM f""")
+SQL["search_stations"] = """
+SELECT s_suppkey AS station_id, s_name AS name, round(CAST(41 + (s_suppkey * 37 % 1000) / 100.0 AS DOUBLE), 6) AS lat,
+       round(CAST(-5 + (s_suppkey * 91 % 1400) / 100.0 AS DOUBLE), 6) AS lon
+FROM supplier WHERE contains(lower(s_name), 'plier#00000001')"""
+SQL["coerce_types"] = """
+SELECT event_id, TRY_CAST(event_type AS DOUBLE) AS as_number, round(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE), 6) AS value,
+       TRY_CAST(props AS TIMESTAMP) AS as_time FROM events WHERE ts IS NOT NULL"""
+SQL["compare_series"] = """
+WITH a AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
+c AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM (SELECT month FROM a UNION ALL SELECT month FROM b)),
+                                         (SELECT max(month) FROM (SELECT month FROM a UNION ALL SELECT month FROM b)), INTERVAL 1 MONTH)) AS DATE) AS month)
+SELECT c.month, a.n AS n_a, round(a.q, 6) AS q_a, b.n AS n_b, round(b.q, 6) AS q_b FROM c LEFT JOIN a ON a.month = c.month LEFT JOIN b ON b.month = c.month"""
+SQL["join_commune_coords"] = with_(COMMUNES, """
+SELECT o.o_orderkey, cm.postal_code, round(cm.lat, 6) AS lat, round(cm.lon, 6) AS lon
+FROM orders o JOIN cm ON (CASE WHEN length(CAST(o.o_custkey AS VARCHAR)) < 5 THEN lpad(CAST(o.o_custkey AS VARCHAR), 5, '0') ELSE CAST(o.o_custkey AS VARCHAR) END)
+                       = (CASE WHEN length(cm.insee_code) < 5 THEN lpad(cm.insee_code, 5, '0') ELSE cm.insee_code END)""")
+SQL["join_grid_cells"] = """
+WITH ce AS (SELECT s_suppkey AS lambx, unnest(range(1, 8)) AS lamby FROM supplier)
+SELECT l.l_suppkey AS lambx, l.l_linenumber AS lamby, l.l_orderkey, round(l.l_quantity, 6) AS l_quantity,
+       round(CAST(41 + (ce.lambx * 37 % 1000) / 100.0 AS DOUBLE) + ce.lamby / 100.0, 6) AS lat,
+       round(CAST(-5 + (ce.lambx * 91 % 1400) / 100.0 AS DOUBLE), 6) AS lon
+FROM lineitem l JOIN ce ON l.l_suppkey = ce.lambx AND l.l_linenumber = ce.lamby"""
+SQL["semi_join_cells"] = """
+SELECT l_orderkey, l_linenumber, l_suppkey AS cell_id FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)"""
+SQL["union_all"] = """
+SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL SELECT l_orderkey, l_linenumber, round(l_quantity, 6) FROM lineitem WHERE l_returnflag = 'A'
+UNION ALL SELECT l_orderkey, l_linenumber, round(l_quantity, 6) FROM lineitem WHERE l_returnflag = 'R'"""
+SQL["unpivot_vintages"] = with_(SOIL, """
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, round(total_area, 6) AS total_area, year, round(sealed_area, 6) AS sealed_area FROM soil""")
+SQL["distinct_sorted"] = "SELECT DISTINCT event_type FROM events"
+SQL["sort_series"] = with_(POINTS, "SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt")
+SQL["sort_stations"] = with_(CLUSTERED + """,
+du AS (SELECT station_id, datediff('day', min(month), max(month)) / 365.25 AS years FROM f WHERE level IS NOT NULL GROUP BY 1),
+k AS (SELECT DISTINCT station_id, year(month) * 12 + month(month) AS mi FROM f WHERE level IS NOT NULL),
+isl AS (SELECT station_id, mi - row_number() OVER (PARTITION BY station_id ORDER BY mi) AS g FROM k),
+st AS (SELECT station_id, max(n) AS longest_streak FROM (SELECT station_id, g, count(*) AS n FROM isl GROUP BY 1, 2) GROUP BY 1)""", """
+SELECT fi.station_id, CASE WHEN fi.fluctuation_index > 0.4 THEN 'reactive' ELSE 'inertial' END AS cluster,
+       round(du.years, 6) AS years, st.longest_streak FROM fi LEFT JOIN du USING (station_id) LEFT JOIN st USING (station_id)""")
+SQL["scalar_functions"] = """
+SELECT o_orderkey,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS k1_month, CAST(o_orderdate AS DATE) AS k1_day,
+  make_date(year(o_orderdate), 1, 1) AS k1_year, CAST(date_trunc('month', o_orderdate) AS DATE) AS k2_month,
+  day(last_day(o_orderdate)) AS k3_days, CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 86400 AS k4_epoch,
+  year(o_orderdate) AS k5_year, month(o_orderdate) AS k5_month, dayofyear(o_orderdate) AS k5_doy,
+  round(sin(2 * pi() * month(o_orderdate) / 12), 6) AS k6_sin, round(cos(2 * pi() * month(o_orderdate) / 12), 6) AS k6_cos,
+  (year(o_orderdate) * 12 + month(o_orderdate)) - (1995 * 12 + 1) AS k11_step
+FROM orders"""
+SQL["string_functions"] = """
+SELECT page_id, string_split(url, '/')[-1] AS k12_basename, replace(url, '/', '_') AS k8_safe,
+  CASE WHEN length(CAST(page_id * 997 AS VARCHAR)) < 5 THEN lpad(CAST(page_id * 997 AS VARCHAR), 5, '0') ELSE CAST(page_id * 997 AS VARCHAR) END AS k7_pad,
+  trim(replace(' #' || CAST(page_id AS VARCHAR) || '# ', '#', '')) AS k9_header,
+  contains(lower(url), 'example.com') AS k10_contains,
+  replace(replace('data_' || CAST(page_id AS VARCHAR) || '.csv', 'data_', ''), '.csv', '') AS k13_station
+FROM pages"""
+SQL["json_fields"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, coalesce(json_extract_string(props, '$.format'), '') AS format FROM events"""

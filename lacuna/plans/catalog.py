@@ -688,3 +688,90 @@ def q_json_fields(spark, sf):
     e = dt.table(spark, sf, "events").select("event_id", "props")
     return e.select("event_id", TX.json_field("props", "$.k").cast("int").alias("k"),
                     TX.json_field("props", "$.format", "").alias("format"))
+
+
+# ---------------------------------------------------------------- sources and sinks (write, then read back)
+import uuid  # noqa: E402
+
+from lacuna.session import shared_path  # noqa: E402
+from lacuna.sources import readers as RD  # noqa: E402
+from lacuna.sources import writers as WR  # noqa: E402
+
+
+def _stage(spark, name):
+    return shared_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
+
+
+def _series_text(df):
+    return df.select(F.col("station_id").cast("string").alias("station_id"), "month", "level", "lon", "lat")
+
+
+@query("scan_series_csv")
+def q_scan_series_csv(spark, sf):
+    p = _stage(spark, "series_csv")
+    WR.write_table(_series_text(monthly_levels(spark, sf)), p, "csv")
+    return rounded(RD.scan_series_csv(spark, p).withColumn("station_id", F.col("station_id").cast("long")))
+
+
+@query("scan_series_folder")
+def q_scan_series_folder(spark, sf):
+    p = _stage(spark, "per_station")
+    WR.write_per_station(_series_text(monthly_levels(spark, sf)), p)
+    return rounded(RD.scan_series_folder(spark, p).withColumn("station_id", F.col("station_id").cast("long")))
+
+
+@query("write_per_station")
+def q_write_per_station(spark, sf):
+    p = _stage(spark, "per_station_files")
+    WR.write_per_station(_series_text(monthly_levels(spark, sf)), p)
+    back = spark.read.option("sep", ";").option("header", True).schema(RD.SERIES_SCHEMA + ", station_file string").csv(p)
+    return back.groupBy(F.col("station_file").cast("long").alias("station_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("write_by_cluster")
+def q_write_by_cluster(spark, sf):
+    p = _stage(spark, "by_cluster")
+    WR.write_by_cluster(clustered(spark, sf).select("station_id", "month", "level", "cluster"), p)
+    return rounded(spark.read.parquet(p))
+
+
+@query("write_table")
+def q_write_table(spark, sf):
+    p = _stage(spark, "table")
+    WR.write_table(dt.points(spark, sf), p, "csv")
+    return rounded(spark.read.schema("lat double, lon double, month date, rain double, temp double")
+                   .option("sep", ";").option("header", True).csv(p))
+
+
+@query("append_run_log")
+def q_append_run_log(spark, sf):
+    p = _stage(spark, "run_log")
+    e = _errors(spark, sf)
+    WR.append_run_log(e.filter(F.col("pct_removed") == 0.1), p)
+    WR.append_run_log(e.filter(F.col("pct_removed") == 0.2), p)
+    return rounded(spark.read.schema("dataset long, method string, NMAE double, NRMSE double, pct_removed double")
+                   .option("header", True).csv(p))
+
+
+@query("read_summary")
+def q_read_summary(spark, sf):
+    p = _stage(spark, "summary")
+    WR.write_table(SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42), p)
+    return rounded(RD.read_summary(spark, p))
+
+
+@query("read_clusters_or_fused")
+def q_read_clusters_or_fused(spark, sf):
+    c, f = _stage(spark, "clusters"), _stage(spark, "fused")
+    WR.write_table(monthly_levels(spark, sf), f)
+    WR.write_table(monthly_levels(spark, sf).limit(0).withColumn("cluster", F.lit("x")), c)
+    return rounded(RD.read_clusters_or_fused(spark, c, f))
+
+
+@query("scan_suffix_filter")
+def q_scan_suffix(spark, sf):
+    p = _stage(spark, "suffix")
+    cm = communes(spark, sf)
+    WR.write_table(cm, p + "/a_commune.csv", "csv", ",")
+    WR.write_table(cm, p + "/other.csv", "csv", ",")
+    return rounded(RD.scan_suffix_filter(spark, p, "commune.csv", "insee_code string, postal_code string, lat double, lon double"))

@@ -668,3 +668,16 @@ SELECT page_id, string_split(url, '/')[-1] AS k12_basename, replace(url, '/', '_
 FROM pages"""
 SQL["json_fields"] = """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, coalesce(json_extract_string(props, '$.format'), '') AS format FROM events"""
+
+_SERIES_BACK = with_(DENSE, "SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat FROM f")
+SQL["scan_series_csv"] = _SERIES_BACK
+SQL["scan_series_folder"] = _SERIES_BACK
+SQL["write_per_station"] = with_(DENSE, "SELECT station_id, count(*) AS n_rows FROM f GROUP BY 1")
+SQL["write_by_cluster"] = with_(CLUSTERED, "SELECT station_id, month, round(level, 6) AS level, cluster FROM cl")
+SQL["write_table"] = with_(POINTS, "SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt")
+SQL["append_run_log"] = SQL["evaluate_all"]
+SQL["read_summary"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SELECT station_id, variable, method, round(nrmse, 6) AS nrmse FROM scores""")
+SQL["read_clusters_or_fused"] = with_(DENSE, """
+SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat, CAST(NULL AS VARCHAR) AS cluster FROM f""")
+SQL["scan_suffix_filter"] = with_(COMMUNES, "SELECT insee_code, postal_code, round(lat, 6) AS lat, round(lon, 6) AS lon FROM cm")

@@ -775,3 +775,77 @@ def q_scan_suffix(spark, sf):
     WR.write_table(cm, p + "/a_commune.csv", "csv", ",")
     WR.write_table(cm, p + "/other.csv", "csv", ",")
     return rounded(RD.scan_suffix_filter(spark, p, "commune.csv", "insee_code string, postal_code string, lat double, lon double"))
+
+
+# ---------------------------------------------------------------- scaling, windows, models
+from lacuna.operators import scale as SCL  # noqa: E402
+from lacuna.operators import windows as WIN  # noqa: E402
+from lacuna.operators.impute import models as MD  # noqa: E402
+
+SCALE_FEATURES = ["level", "lon", "lat"]
+
+
+@query("minmax_scale")
+def q_minmax(spark, sf):
+    out, _ = SCL.minmax_scale(monthly_levels(spark, sf), SCALE_FEATURES)
+    return rounded(out)
+
+
+@query("minmax_inverse")
+def q_minmax_inverse(spark, sf):
+    g = monthly_levels(spark, sf)
+    out, scaler = SCL.minmax_scale(g, SCALE_FEATURES)
+    return rounded(SCL.minmax_inverse(out, SCALE_FEATURES, scaler))
+
+
+@query("standard_scale")
+def q_standard(spark, sf):
+    g = monthly_levels(spark, sf)
+    return rounded(SCL.standard_scale(g, ["level"], ["station_id"], F.col("level").isNotNull()))
+
+
+@query("reuse_scaler")
+def q_reuse_scaler(spark, sf):
+    p = _stage(spark, "scaler")
+    g = monthly_levels(spark, sf)
+    SCL.reuse_scaler(spark, g, SCALE_FEATURES, p)           # fits and saves
+    out, _ = SCL.reuse_scaler(spark, g, SCALE_FEATURES, p)  # reads it back
+    return rounded(out)
+
+
+@query("sliding_windows")
+def q_sliding_windows(spark, sf):
+    g = monthly_levels(spark, sf)
+    h = HO.holes_blocks(g, "level", 0.1, 42, (1, 5)).drop("truth", "hole")
+    w = WIN.sliding_windows(h, SCALE_FEATURES, 12, "cnn", truth=g)
+    return w.select("station_id", "x_end", F.size("x").alias("n_x"),
+                    F.round(F.aggregate("y", F.lit(0.0), lambda a, r: a + F.coalesce(r[0], F.lit(0.0))), 6).alias("sum_y_level"))
+
+
+@query("overlap_average")
+def q_overlap(spark, sf):
+    g = monthly_levels(spark, sf)
+    win = WIN.inference_windows(g, ["level"], 12)
+    wp = win.select("station_id", "start", F.transform("x", lambda r: r[0]).alias("values"))
+    return rounded(WIN.overlap_average(wp, g.select("station_id", "month"), 12))
+
+
+@query("impute_forest_delta")
+def q_forest(spark, sf):
+    f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf))
+    return rounded(MD.impute_forest_delta(f, "level", ["pet", "temp"], out="filled", num_trees=20)
+                   .select("station_id", "month", "level", "filled"), 4)
+
+
+@query("impute_window_regression")
+def q_window_regression(spark, sf):
+    g = monthly_levels(spark, sf)
+    return rounded(MD.impute_window_regression(g, "level", SCALE_FEATURES, 12, out="filled")
+                   .select("station_id", "month", "level", "filled"), 4)
+
+
+@query("impute_variation_model")
+def q_variation_model(spark, sf):
+    g = monthly_levels(spark, sf)
+    return rounded(MD.impute_variation_model(g, "level", SCALE_FEATURES, 12, out="filled")
+                   .select("station_id", "month", "level", "filled"), 4)

@@ -681,3 +681,26 @@ SELECT station_id, variable, method, round(nrmse, 6) AS nrmse FROM scores""")
 SQL["read_clusters_or_fused"] = with_(DENSE, """
 SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat, CAST(NULL AS VARCHAR) AS cluster FROM f""")
 SQL["scan_suffix_filter"] = with_(COMMUNES, "SELECT insee_code, postal_code, round(lat, 6) AS lat, round(lon, 6) AS lon FROM cm")
+
+_MM = with_(DENSE + """,
+s AS (SELECT min(level) AS a1, max(level) AS b1, min(lon) AS a2, max(lon) AS b2, min(lat) AS a3, max(lat) AS b3 FROM f)""", """
+SELECT station_id, month,
+  round(2 * (level - a1) / CASE WHEN b1 = a1 THEN 1.0 ELSE b1 - a1 END - 1, 6) AS level,
+  round(2 * (lon - a2) / CASE WHEN b2 = a2 THEN 1.0 ELSE b2 - a2 END - 1, 6) AS lon,
+  round(2 * (lat - a3) / CASE WHEN b3 = a3 THEN 1.0 ELSE b3 - a3 END - 1, 6) AS lat FROM f, s""")
+SQL["minmax_scale"] = _MM
+SQL["reuse_scaler"] = _MM
+SQL["minmax_inverse"] = with_(DENSE, "SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat FROM f")
+SQL["standard_scale"] = with_(DENSE + """,
+s AS (SELECT station_id, avg(level) AS mu, stddev_pop(level) AS sd FROM f GROUP BY 1)""", """
+SELECT f.station_id, f.month, round((level - mu) / CASE WHEN sd = 0 THEN 1.0 ELSE sd END, 6) AS level,
+       round(lon, 6) AS lon, round(lat, 6) AS lat FROM f JOIN s ON f.station_id = s.station_id""")
+SQL["overlap_average"] = with_(DENSE_POS + """,
+nn AS (SELECT station_id, count(*) AS n FROM fp GROUP BY 1),
+cov AS (SELECT a.station_id, a.pos, avg(coalesce(b.level, -1.0)) AS pred
+        FROM fp a JOIN nn ON nn.station_id = a.station_id
+        JOIN fp b ON b.station_id = a.station_id AND b.pos = a.pos
+        JOIN (SELECT station_id, pos AS st FROM fp) w ON w.station_id = a.station_id AND w.st <= a.pos AND a.pos < w.st + 12
+             AND w.st <= nn.n - 12 - 1
+        GROUP BY 1, 2)""", """
+SELECT fp.station_id, fp.month, round(cov.pred, 6) AS pred FROM fp LEFT JOIN cov ON cov.station_id = fp.station_id AND cov.pos = fp.pos""")

@@ -48,6 +48,8 @@ def impute_knn(df: DataFrame, value: str, station: str = STATION, time: str = MO
         t = t.withColumn(f"_z{f}", (F.col(f) - F.col(f"_mu{f}")) / sd)
     t = t.withColumn("_inv_sy", F.lit(1.0) / F.when(F.col("_sd_f_year") == 0, F.lit(1.0)).otherwise(F.col("_sd_f_year")))
     zc = [f"_z{f}" for f in feats]
+    from lacuna.session import cut_lineage
+    t = cut_lineage(t)      # read by the queries, the items and the final fill
     q = (t.filter(F.col(value).isNull() & F.col("_feat_ok") & (F.col("_ncomp") >= k))
          .select(station, F.col(time).alias("q_t"), F.col("_f_year").alias("q_year"),
                  F.col("_inv_sy").alias("q_inv_sy"), *[F.col(z).alias(f"q{z}") for z in zc]))

@@ -153,19 +153,49 @@ def similarity_topn(df: DataFrame, value: str, n_top: int = 10, station: str = S
 
 def best_lag(pairs_series: DataFrame, pair_key: list[str], x: str = "x", y: str = "y", pos: str = "pos",
              max_lag: int = MAX_LAG) -> DataFrame:
-    """(pair_key…, lag) — equi-join of x at pos_y + lag with y at pos_y, per lag."""
-    xs = pairs_series.select(*pair_key, F.col(pos).alias("_px"), F.col(x).alias("_x")).filter(F.col("_x").isNotNull())
-    ys = pairs_series.select(*pair_key, F.col(pos).alias("_py"), F.col(y).alias("_y")).filter(F.col("_y").isNotNull())
-    xl = xs.withColumn("lag", F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag)))).withColumn("_py", F.col("_px") - F.col("lag"))
-    j = xl.join(ys, pair_key + ["_py"])
-    g = j.groupBy(*pair_key, "lag").agg(F.count(F.lit(1)).alias("_n"), F.stddev_pop("_x").alias("_sx"),
-                                       F.stddev_pop("_y").alias("_sy"), F.covar_pop("_x", "_y").alias("_cv"))
-    g = g.filter((F.col("_n") >= MIN_PAIRS) & (F.col("_sx") != 0) & (F.col("_sy") != 0))
-    g = g.withColumn("corr", F.round(F.col("_cv") / (F.col("_sx") * F.col("_sy")), 12))
-    g = g.filter(F.col("corr") > -1.0)
-    best = g.groupBy(*pair_key).agg(F.min_by("lag", F.struct(-F.col("corr"), F.col("lag"))).alias("lag"))
-    keys = pairs_series.select(*pair_key).distinct()
-    return keys.join(best, pair_key, "left").withColumn("lag", F.coalesce("lag", F.lit(0)))
+    """(pair_key…, lag). For each pair the two forward-filled series (one target grid,
+    bounded by the calendar) are gathered as arrays and the 2·max_lag+1 shifted correlations are
+    computed with higher-order functions on the JVM — no per-lag join, no shuffle of lag rows.
+
+    Pairs are x[i], y[i − lag] with both non-null; a lag needs ≥ 5 pairs and both population stds
+    ≠ 0; the correlation is two-pass (centred) like NumPy; the best is the largest correlation
+    above −1, ties to the smallest lag; no valid lag → 0."""
+    g = pairs_series.groupBy(*pair_key).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("_s"))
+    g = (g.withColumn("_x", F.transform("_s", lambda s: s["x"])).withColumn("_y", F.transform("_s", lambda s: s["y"]))
+          .withColumn("_N", F.size("_s")).drop("_s"))
+
+    def pairs_for(L):
+        lo = F.greatest(F.lit(0), L)
+        hi = F.col("_N") - 1 + F.least(F.lit(0), L)
+        idx = F.when(lo <= hi, F.sequence(lo, hi, F.lit(1))).otherwise(F.array().cast("array<int>"))
+        prs = F.filter(F.transform(idx, lambda i: F.struct(F.element_at("_x", i + 1).alias("a"),
+                                                           F.element_at("_y", i - L + 1).alias("b"))),
+                       lambda p: p["a"].isNotNull() & p["b"].isNotNull())
+        return F.struct(L.alias("L"), prs.alias("ps"))
+
+    # stage 1: the pairs of every lag (materialised once)
+    g = g.withColumn("_P", F.transform(F.sequence(F.lit(-max_lag), F.lit(max_lag)), pairs_for)).drop("_x", "_y")
+    # stage 2: means per lag
+    g = g.withColumn("_M", F.transform("_P", lambda e: F.struct(
+        e["L"].alias("L"), F.size(e["ps"]).alias("n"),
+        F.try_divide(F.aggregate(e["ps"], F.lit(0.0), lambda acc, p: acc + p["a"]), F.size(e["ps"])).alias("mx"),
+        F.try_divide(F.aggregate(e["ps"], F.lit(0.0), lambda acc, p: acc + p["b"]), F.size(e["ps"])).alias("my"))))
+    # stage 3: centred sums (the means are lambda arguments here, not recomputed per element)
+    g = g.withColumn("_C", F.zip_with("_P", "_M", lambda e, m: F.struct(
+        m["L"].alias("L"), m["n"].alias("n"),
+        F.aggregate(e["ps"], F.struct(F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy"), F.lit(0.0).alias("xy")),
+                    lambda acc, p: F.struct((acc["xx"] + (p["a"] - m["mx"]) * (p["a"] - m["mx"])).alias("xx"),
+                                            (acc["yy"] + (p["b"] - m["my"]) * (p["b"] - m["my"])).alias("yy"),
+                                            (acc["xy"] + (p["a"] - m["mx"]) * (p["b"] - m["my"])).alias("xy"))).alias("s"))))
+    g = g.drop("_P", "_M")
+    cand = F.transform("_C", lambda c: F.struct(
+        F.when((c["n"] >= MIN_PAIRS) & (c["s"]["xx"] > 0) & (c["s"]["yy"] > 0),
+               F.round(c["s"]["xy"] / F.sqrt(c["s"]["xx"] * c["s"]["yy"]), 12)).alias("c"),
+        (-c["L"]).alias("nl")))
+    valid = F.filter(cand, lambda s: s["c"].isNotNull() & (s["c"] > -1.0))
+    best = F.array_max(valid)
+    return g.select(*pair_key, F.coalesce(-best["nl"], F.lit(0)).alias("lag"))
 
 
 def impute_similar_series(df: DataFrame, value: str, station: str = STATION, time: str = MONTH,

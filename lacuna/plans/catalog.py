@@ -849,3 +849,18 @@ def q_variation_model(spark, sf):
     g = monthly_levels(spark, sf)
     return rounded(MD.impute_variation_model(g, "level", SCALE_FEATURES, 12, out="filled")
                    .select("station_id", "month", "level", "filled"), 4)
+
+
+@query("explode_api_pages")
+def q_explode_api_pages(spark, sf):
+    """Readings landed as API pages (one page per station and year, ≤ 366 items), read back."""
+    r = dt.readings(spark, sf).select(F.col("station_id").cast("string").alias("code_bss"),
+                                      F.col("time").cast("string").alias("date_mesure"),
+                                      F.col("level").alias("niveau_nappe_eau"))
+    pages = (r.groupBy("code_bss", F.substring("date_mesure", 1, 4).alias("y"))
+             .agg(F.collect_list(F.struct("code_bss", "date_mesure", "niveau_nappe_eau")).alias("data")))
+    p = _stage(spark, "api_pages")
+    pages.select("data").write.mode("overwrite").json(p)
+    items = RD.explode_api_pages(spark, p, "code_bss string, date_mesure string, niveau_nappe_eau double", multiline=False)
+    return rounded(items.select(F.col("code_bss").cast("long").alias("station_id"),
+                                F.to_date("date_mesure").alias("time"), F.col("niveau_nappe_eau").alias("level")))

@@ -704,3 +704,4 @@ cov AS (SELECT a.station_id, a.pos, avg(coalesce(b.level, -1.0)) AS pred
              AND w.st <= nn.n - 12 - 1
         GROUP BY 1, 2)""", """
 SELECT fp.station_id, fp.month, round(cov.pred, 6) AS pred FROM fp LEFT JOIN cov ON cov.station_id = fp.station_id AND cov.pos = fp.pos""")
+SQL["explode_api_pages"] = "SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time, round(l_quantity, 6) AS level FROM lineitem WHERE l_returnflag = 'R'"

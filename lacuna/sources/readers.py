@@ -114,10 +114,11 @@ def header_names(spark: SparkSession, folder: str, skip: int = 4, sep: str = ";"
     return head.select(F.posexplode(F.split("h", sep)).alias("i", "raw")).select("i", clean_header("raw").alias("name"))
 
 
-def explode_api_pages(spark: SparkSession, folder: str, item_schema: str) -> DataFrame:
-    """Landed pages ``{"data": [...]}`` → one row per item."""
+def explode_api_pages(spark: SparkSession, folder: str, item_schema: str, multiline: bool = True) -> DataFrame:
+    """Landed pages ``{"data": [...]}`` → one row per item (one page per file with
+    ``multiline``; one page per line otherwise)."""
     schema = f"data array<struct<{item_schema}>>"
-    pages = spark.read.schema(schema).option("multiLine", True).json(folder)
+    pages = spark.read.schema(schema).option("multiLine", multiline).json(folder)
     return pages.select(F.explode("data").alias("d")).select("d.*")
 
 

@@ -1,0 +1,7 @@
+"""Streaming operators: none.
+
+The reference has no stream processing (no watermark, event-time window, state store or late-data
+rule); its only repeated fetch is HTTP pagination and its only resumable state is the grid-search
+log, which is an append table here (``lacuna.sources.writers.append_run_log`` +
+``lacuna.operators.joins.skip_done``). Nothing is claimed in this package.
+"""

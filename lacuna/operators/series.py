@@ -154,17 +154,25 @@ def cumulative_reconstruct(df: DataFrame, level: str, delta: str, station: str =
 
 
 def time_split(df: DataFrame, frac: float = 0.8, station: str = STATION, time: str = MONTH,
-               out: str = "split") -> DataFrame:
+               out: str = "split", parts: int = 64) -> DataFrame:
     """The first int(frac·n) rows of the table ordered by (station, time) are 'train', the rest 'val'.
 
-    No global row_number: rows per station are counted (one row per station), prefix-summed on that
-    small table, and each row's global position is offset + local position.
+    No global row_number and no single-task window: rows per station are counted (one row per
+    station), range-partitioned by station, summed per range partition (``parts`` rows), those few
+    totals are prefix-summed, and each station's offset is its partition offset plus a prefix inside
+    its own partition; a row's global position is offset + local position.
     """
-    counts = df.groupBy(station).agg(F.count(F.lit(1)).alias("_n"))
-    wo = Window.orderBy(station).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(station, F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"),
-                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    counts = (df.groupBy(station).agg(F.count(F.lit(1)).alias("_n"))
+              .repartitionByRange(parts, station).withColumn("_pid", F.spark_partition_id()))
+    per_part = counts.groupBy("_pid").agg(F.sum("_n").alias("_pn"))
+    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)      # ≤ parts rows
+    part_off = per_part.select("_pid", F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_poff"))
+    total = per_part.select(F.sum("_pn")).scalar()
+    wl = Window.partitionBy("_pid").orderBy(station).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.withColumn("_loff", F.coalesce(F.sum("_n").over(wl), F.lit(0)))
+               .join(part_off, "_pid")
+               .select(station, (F.col("_poff") + F.col("_loff")).alias("_off")))
     w = series_window(station, time)
     t = df.join(offsets, station).withColumn("_g", F.col("_off") + F.row_number().over(w) - 1)
-    cut = F.floor(F.col("_total") * F.lit(frac))
-    return t.withColumn(out, F.when(F.col("_g") < cut, "train").otherwise("val")).drop("_off", "_total", "_g")
+    cut = F.floor(total * F.lit(frac))
+    return t.withColumn(out, F.when(F.col("_g") < cut, "train").otherwise("val")).drop("_off", "_g")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import simhash
+from lacuna.llm import secrets, simhash
 
 QUERIES = {}
 ORACLE = {}
@@ -24,3 +24,14 @@ def op3_simhash_neardup(spark, sf_dir):
     """SimHash groups of all documents: 3-word shingles, two differing bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op8_secret_scan(spark, sf_dir):
+    """Secrets of all documents, in every layer of encoding."""
+    found = secrets.secret_spans(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.depth == 0)
+    count = lambda kind: F.size(F.filter("spans", lambda s: (s.depth == 0) & (s.kind == kind))).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(secrets.digest(base), 256).alias("base_sha256"),
+                        secrets.digest(F.col("spans")).alias("spans"))

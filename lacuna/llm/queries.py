@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import secrets, simhash
+from lacuna.llm import secrets, simhash, toxicity
 
 QUERIES = {}
 ORACLE = {}
@@ -35,3 +35,9 @@ def op8_secret_scan(spark, sf_dir):
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
                         F.sha2(secrets.digest(base), 256).alias("base_sha256"),
                         secrets.digest(F.col("spans")).alias("spans"))
+
+
+@_query
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of all documents; fitted on the labelled rows that are not held out."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

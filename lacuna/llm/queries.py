@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import secrets, simhash, toxicity
+from lacuna.llm import bpe, secrets, simhash, toxicity
 
 QUERIES = {}
 ORACLE = {}
@@ -41,3 +42,11 @@ def op8_secret_scan(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     """Toxicity of all documents; fitted on the labelled rows that are not held out."""
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_byte_bpe(spark, sf_dir):
+    """Byte-level BPE round trip of all documents."""
+    coded = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN)
+    return bpe.digests(coded)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, secrets, simhash, toxicity
+from lacuna.llm import bpe, quality, secrets, simhash, toxicity
+from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
-ORACLE = {}
 
 
 def _query(f):
@@ -50,3 +50,9 @@ def op2_byte_bpe(spark, sf_dir):
     coded = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                            public_tokenizers.PATTERN)
     return bpe.digests(coded)
+
+
+@_query
+def op1_quality_rules(spark, sf_dir):
+    """Quality rules of all documents; cutoffs certified for each language on the labelled rows."""
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from lacuna.llm import quality
+from lacuna.llm import mixing, quality
 
 ORACLE = {}
 
@@ -52,3 +52,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 ORACLE["op1_quality_rules"] = _quality()
+
+
+def _mixing() -> str:
+    case = " ".join(f"WHEN {i} THEN {float(w)}::DOUBLE" for i, w in enumerate(mixing.WEIGHTS))
+    return f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, len({WORDS}) AS size FROM documents),
+b AS (SELECT doc_id, source, size,
+        (('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', coalesce(doc_id::VARCHAR, ''), size, md5(text))), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496 AS u
+      FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} {case} END AS w, {mixing.MOST} * sum(size)::DOUBLE AS cap
+      FROM b GROUP BY source),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER p, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER p, 0)) AS lev
+      FROM s WINDOW p AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, least(cap, coalesce((SELECT max(lev) FROM l WHERE lev * w <= cap) * w, cap)) AS target FROM l),
+i AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+r AS (SELECT *, target - whole * source_size AS rest FROM i),
+q AS (SELECT b.*, r.* EXCLUDE (source), CASE WHEN rest > 0 THEN
+        u / (1 - u) / (rest / source_size / (1 - rest / source_size) * sqrt(source_size / n / greatest(size, 1))) END AS q
+      FROM b JOIN r ON b.source IS NOT DISTINCT FROM r.source),
+z AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, coalesce(doc_id, -9223372036854775808), size ROWS UNBOUNDED PRECEDING) AS upto FROM q)
+SELECT doc_id, size, source_size, target,
+  (size * copies)::BIGINT AS taken, copies FROM (SELECT *, (whole + CASE WHEN q IS NOT NULL AND upto + upto - size <= 2 * rest THEN 1 ELSE 0 END)::INT AS copies FROM z)"""
+
+
+ORACLE["op9_source_mixing"] = _mixing()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, quality, secrets, simhash, toxicity
+from lacuna.llm import bpe, mixing, quality, secrets, simhash, toxicity
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -56,3 +56,9 @@ def op2_byte_bpe(spark, sf_dir):
 def op1_quality_rules(spark, sf_dir):
     """Quality rules of all documents; cutoffs certified for each language on the labelled rows."""
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op9_source_mixing(spark, sf_dir):
+    """Words that a mix of all documents takes, by source weights 5, 2, 1, at most three copies."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, mixing, quality, secrets, simhash, toxicity
+from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, toxicity
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -62,3 +62,11 @@ def op1_quality_rules(spark, sf_dir):
 def op9_source_mixing(spark, sf_dir):
     """Words that a mix of all documents takes, by source weights 5, 2, 1, at most three copies."""
     return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_sharding(spark, sf_dir):
+    """Uniform shuffle of all documents into 16 shards whose row counts are at most one apart."""
+    found = sharding.shards(_table(spark, sf_dir, "documents"), 16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from lacuna.llm import mixing, quality
+from lacuna.llm import mixing, quality, urlfilter
 
 ORACLE = {}
 
@@ -78,3 +78,21 @@ SELECT doc_id, size, source_size, target,
 
 
 ORACLE["op9_source_mixing"] = _mixing()
+
+
+def _urls() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quote(r.name)}, '{r.action}', {quote(r.regex)}, {r.site}, {r.rank})" for r in urlfilter.default_rules())
+    return f"""
+WITH r(name, action, regex, site, rank) AS (VALUES {rows}),
+p AS (SELECT page_id, coalesce(url, '') AS url, regexp_extract(coalesce(url, ''), {quote(urlfilter.URL)}, 1) AS h,
+        regexp_extract(coalesce(url, ''), {quote(urlfilter.URL)}, 2) AS path FROM pages),
+u AS (SELECT page_id, url, translate(h, '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS host, path FROM p),
+f AS (SELECT DISTINCT u.*, r.* FROM u JOIN r ON regexp_matches(CASE WHEN site THEN host || path ELSE url END, regex)),
+b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY site DESC, site OR action = 'allow' DESC, rank DESC, name DESC) = 1)
+SELECT u.page_id, u.host, u.path, CASE WHEN site THEN name END AS rule, CASE WHEN NOT site THEN name END AS pattern,
+  coalesce(action, 'allow') AS verdict
+FROM u LEFT JOIN b ON u.page_id IS NOT DISTINCT FROM b.page_id AND u.url = b.url"""
+
+
+ORACLE["op4_url_filter"] = _urls()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, toxicity
+from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, toxicity, urlfilter
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -70,3 +70,9 @@ def op5_sharding(spark, sf_dir):
     found = sharding.shards(_table(spark, sf_dir, "documents"), 16)
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op4_url_filter(spark, sf_dir):
+    """Verdicts on the URLs of all pages."""
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))

@@ -96,3 +96,11 @@ FROM u LEFT JOIN b ON u.page_id IS NOT DISTINCT FROM b.page_id AND u.url = b.url
 
 
 ORACLE["op4_url_filter"] = _urls()
+
+ORACLE["op7_topk_search"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 20"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, toxicity, urlfilter
+from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, topk, toxicity, urlfilter
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -76,3 +76,9 @@ def op5_sharding(spark, sf_dir):
 def op4_url_filter(spark, sf_dir):
     """Verdicts on the URLs of all pages."""
     return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op7_topk_search(spark, sf_dir):
+    """The 20 best inner products among all vectors, for those whose id is divisible by 20."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), k=20, every=20)

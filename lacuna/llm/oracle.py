@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from lacuna.llm import mixing, quality, urlfilter
+from lacuna.llm import chat, mixing, quality, urlfilter
 
 ORACLE = {}
 
@@ -104,3 +104,16 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v
       FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 20"""
+
+ORACLE["op6_chat_perspectives"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, count(*) AS n FROM conversations GROUP BY ALL),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t),
+m AS (SELECT t.*, speaker, floor(turn / {chat.BLOCK})::BIGINT AS block,
+        CASE WHEN role = speaker THEN '{chat.START}assistant' ELSE '{chat.START}user name=' || role END || chr(10) AS head
+      FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+p AS (SELECT *, head || text || '{chat.END}' || chr(10) AS piece FROM m),
+o AS (SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id, speaker, block ORDER BY turn, role, text) AS upto FROM p)
+SELECT conv_id, speaker, block, '' AS part, count(*)::INT AS n_turns, sum(n)::BIGINT AS n_rows,
+  string_agg(piece, '' ORDER BY turn, role, text) AS text,
+  coalesce(string_agg(CASE WHEN role = speaker THEN (upto - length(piece) + length(head))::BIGINT || ':' || (upto - 1)::BIGINT END, ',' ORDER BY turn, role, text), '') AS mask
+FROM o GROUP BY conv_id, speaker, block"""

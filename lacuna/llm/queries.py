@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, mixing, quality, secrets, sharding, simhash, topk, toxicity, urlfilter
+from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, topk, toxicity, urlfilter
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -82,3 +82,12 @@ def op4_url_filter(spark, sf_dir):
 def op7_topk_search(spark, sf_dir):
     """The 20 best inner products among all vectors, for those whose id is divisible by 20."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@_query
+def op6_chat_perspectives(spark, sf_dir):
+    """All conversations from the perspective of each participant."""
+    found = chat.perspectives(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m.start.cast("string"), m.end.cast("string"))), ",")
+    part = F.concat_ws(":", F.col("part.turn").cast("string"), F.col("part.deal").cast("string"))
+    return found.select("conv_id", "speaker", "block", F.coalesce(part, F.lit("")).alias("part"), "n_turns", "n_rows", "text", mask.alias("mask"))

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 KEPT, GROUP, LONG = 600_000, 1_000_000, 256
 
@@ -238,26 +238,30 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     return tokens.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ``ids`` and ``decoded`` of every row: encoded, and the ids decoded, in one task."""
+def round_trip(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``ids``, ``decoded`` and the columns ``keep`` of every row: encoded, and the ids decoded, in one task."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    names = ["doc_id", "ids", "decoded", *keep]
 
     def run(batches):
         codec = _codec(ranks.value, pattern)
         for b in batches:
             for lo, hi in _groups(pc.utf8_length(b.column(1)).to_pylist()):
-                ids = codec.encode(b.column(1).slice(lo, hi - lo).to_pylist())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), ids, codec.decode(ids)], ["doc_id", "ids", "decoded"])
+                doc_id, texts, *rest = (c.slice(lo, hi - lo) for c in b.columns)
+                ids = codec.encode(texts.to_pylist())
+                yield pa.RecordBatch.from_arrays([doc_id, ids, codec.decode(ids), *rest], names)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    rows = _texts(docs, keep)
+    return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                                              T.StructField("decoded", T.BinaryType()), *(rows.schema[c] for c in keep)]))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _texts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep)
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the SHA-256 of the ids (decimal, joined by spaces) and of the decoded bytes."""
+def digests(coded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, the SHA-256 of the ids (decimal, joined by spaces) and of the decoded bytes, and the columns ``more``."""
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+                        F.sha2("decoded", 256).alias("decoded_sha256"), *more)

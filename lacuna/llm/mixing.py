@@ -14,7 +14,7 @@ the bucket that holds the cut is sorted. Decisions are then a comparison with th
 Rows: a null text has size 0 and takes nothing. A null source is a source, ordered last. Repeated
 rows have one place in the order and share their decision. A null doc_id counts as the smallest.
 All randomness is an MD5 of seed, doc_id, size and text, so reruns agree. Extra columns are kept by
-``mix`` (it raises if they are named as the ones it adds).
+``mix``, else ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from lacuna.session import cut_lineage
 
 WEIGHTS, MOST, SEED = (5, 2, 1), 3, "mix-1"
 BUCKET_ROWS, SMALL = 20_000, 100_000
-ADDED = ("size", "u", "source_size", "target", "copies")
 
 
 def size_of(text: Column) -> Column:
@@ -41,8 +40,6 @@ def _uniform(size: Column, seed: str) -> Column:
 
 
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    if clash := set(ADDED) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are there already")
     return docs.withColumn("size", size_of(F.col("text"))).withColumn("u", _uniform(F.col("size"), seed))
 
 
@@ -122,5 +119,6 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """``docs``, each row as often as the mix takes it."""
     rows = cut_lineage(sized(docs.select("doc_id", "source", "text")).drop("text"))
-    found = attach(sized(docs), *plan(rows))
-    return found.filter("copies > 0").withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))  # whatever its columns are named
+    found = attach(sized(whole.select("doc", "doc.doc_id", "doc.source", "doc.text")), *plan(rows))
+    return found.filter("copies > 0").withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("doc.*")

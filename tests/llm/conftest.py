@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 
 CLASH = ["size", "u", "fp", "score", "words", "n", "rank", "shard", "spans", "ids", "copies", "stratum", "row"]
@@ -50,7 +51,7 @@ def same(spark_df, duck_df) -> None:
 
 
 def _plain(v):
-    if v is None or v != v:
+    if v is None or v is pd.NA or v != v:
         return None
     if isinstance(v, float):
         return round(v, 6)

@@ -51,7 +51,7 @@ def test_ladder_stops_at_the_first_failure(spark):
 
 def made(spark):
     rows, labels = [], []
-    for i in range(3000):
+    for i in range(6000):
         bad = i % 5 == 0
         words = [f"w{(i * 31 + j * 17) % 977}x{j}" for j in range(60)]
         rows.append((i, " ".join(w + ("###" if bad and i % 2 else "") for w in words) if not (bad and i % 2 == 0) else "\n".join([f"a{i} b c d e"] * 30), ["en", "en", "de", None][i % 4]))

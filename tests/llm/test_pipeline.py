@@ -40,10 +40,11 @@ def test_stages_equal_brute_force(spark, odd_docs, odd_labels, tmp_path):
     assert [r for r in rows(after) if r[0] is None] == [r for r in rows(before) if r[0] is None]
 
     before, after = seen["secrets"]
-    by = {r[0]: r for r in rows(before)}
+    by = {(r[0], *r[2:4]): r[1] for r in rows(before)}
+    assert len(by) == before.count() == after.count()
     for r in rows(after):
-        spans = secrets.scan(by[r[0]][1])
-        assert (r[1] == by[r[0]][1]) == (not spans) and r[2:4] == by[r[0]][2:4]
+        text = by[(r[0], *r[2:4])]
+        assert (r[1] == text) == (not secrets.scan(text))
         assert r[1] is None or (not secrets.find(r[1]) and r[4] == len(r[1]))
 
     before, after = seen["mixing"]

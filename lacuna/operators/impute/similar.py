@@ -3,12 +3,12 @@
   signature     series forward- then backward-filled, mean removed, |DFT| at bins 1..10
                 (a join-free DFT: rows × 10 bins, summed per station and bin).
                 As a *target* a station uses its own grid; as a *reference* it uses the union of
-                all stations' months (the reference pivots all other series on one time index).
+                all months of its class (the reference pivots all other series on one time index).
   similarity    Pearson correlation of bins 1..L−1, L = min(N_target, N_union, 11); 0 when L ≤ 2;
                 undefined (constant vector) sorts last. Because L depends on the target only, the
                 correlation is a Euclidean distance between z-normalised prefixes, and the top-n
-                search is exact and banded on the distance to a fixed pivot (triangle inequality),
-                so pairs are only formed inside neighbouring bands — never all pairs of a cluster.
+                search is exact over cells of pivots (triangle inequality) in vectorised blocks;
+                a pair of stations is never a row unless it is among the n best of a block.
   best lag      lag in −24..24 maximising the correlation of forward-filled target and reference
                 (pairs pos_x = pos_y + lag, ≥5 pairs, both std ≠ 0, ties → smallest lag, default 0).
   completion    reference shifted by its lag on the target grid; a gap row takes
@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.operators.neighbours import banded_topk
+from lacuna.operators.neighbours import cell_topk
 from lacuna.operators.series import STATION, MONTH
 
 N_FREQ = 10
@@ -55,15 +57,11 @@ def spectrum(series: DataFrame, value: str, key: list[str], time: str = MONTH) -
     return g.select(*key, "n", "bin", amp.alias("amp"))
 
 
-def union_grid(df: DataFrame, station: str = STATION, time: str = MONTH) -> DataFrame:
-    """Every station on the union of all months present in the table (reference signatures)."""
-    months = df.select(time).distinct()
-    sts = df.select(station).distinct()
-    lo = months.select(F.min(time)).scalar()
-    hi = months.select(F.max(time)).scalar()
-    g = sts.select(station, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias(time))
-    g = g.join(months, time, "left_semi")
-    return g.join(df, [station, time], "left")
+def union_grid(df: DataFrame, part: str, station: str = STATION, time: str = MONTH) -> DataFrame:
+    """Every station on the union of all months that its class has (reference signatures)."""
+    months = df.groupBy(part).agg(F.collect_set(time).alias("_months"))  # bounded by the calendar
+    grid = df.select(part, station).distinct().join(months, part).select(part, station, F.explode("_months").alias(time))
+    return grid.join(df, [part, station, time], "left")
 
 
 def _z_prefix(sig: DataFrame, key: list[str], length_col: str) -> DataFrame:
@@ -75,54 +73,39 @@ def _z_prefix(sig: DataFrame, key: list[str], length_col: str) -> DataFrame:
 
 
 def _zvec_dyn(df: DataFrame, vcol: str, m_col) -> DataFrame:
-    """z-normalised first m amplitudes (m a column; population std; null if constant or short) and
-    the band = distance to the z-normalised ramp 0..m−1 (a fixed pivot)."""
+    """z-normalised first m amplitudes (m a column; population std; null if constant or short)."""
     v = F.slice(F.col(vcol), F.lit(1), m_col)
     t = df.withColumn("_m", m_col).withColumn("_pv", v)
     t = t.withColumn("_mu", F.aggregate("_pv", F.lit(0.0), lambda a, x: a + x) / F.col("_m"))
     var = F.aggregate(F.transform("_pv", lambda x: (x - F.col("_mu")) * (x - F.col("_mu"))), F.lit(0.0),
                       lambda a, x: a + x) / F.col("_m")
     t = t.withColumn("_sd", F.sqrt(var))
-    ok = (F.size("_pv") == F.col("_m")) & ~F.exists("_pv", lambda x: x.isNull()) & (F.col("_sd") > 0)
+    ok = (F.size("_pv") == F.col("_m")) & ~F.exists("_pv", lambda x: x.isNull()) & (F.col("_sd") > 1e-9 * F.abs("_mu"))
     t = t.withColumn("_z", F.when(ok, F.transform("_pv", lambda x: (x - F.col("_mu")) / F.col("_sd"))))
-    rmu = (F.col("_m") - 1) / 2.0
-    rsd = F.sqrt((F.col("_m") * F.col("_m") - 1) / 12.0)
-    piv = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda i: (i - rmu) / rsd)
-    band = F.sqrt(F.aggregate(F.zip_with("_z", piv, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x))
-    return t.withColumn("_band", band).drop("_pv", "_mu", "_sd")
+    return t.drop("_pv", "_mu", "_sd")
 
 
 def similarity_topn(df: DataFrame, value: str, n_top: int = 10, station: str = STATION,
-                    time: str = MONTH, cluster: str | None = "cluster",
-                    widths: tuple[float, ...] = (0.25, 1.0)) -> DataFrame:
+                    time: str = MONTH, cluster: str | None = "cluster") -> DataFrame:
     """H9b + F2 (+C9 scope): (station, other, sim, rank) for the n most similar others in the cluster."""
     from lacuna.session import cut_lineage
     part_col = cluster if cluster and cluster in df.columns else None
     base = df if part_col else df.withColumn("_part", F.lit(""))
     part = part_col or "_part"
     tgt = spectrum(base, value, [part, station], time)
-    ref = spectrum(union_grid(base.select(part, station, time, value), station, time), value, [part, station], time)
+    ref = spectrum(union_grid(base.select(part, station, time, value), part, station, time), value, [part, station], time)
     tv = _z_prefix(tgt, [part, station], "n").withColumnRenamed("n", "_nt").withColumnRenamed("_v", "_tv")
     rv = _z_prefix(ref, [part, station], "n").withColumnRenamed("n", "_nr").withColumnRenamed("_v", "_rv")
-    n_union = rv.select(F.max("_nr")).scalar()          # scalar subquery, no driver round trip
-    tv = tv.withColumn("_L", F.least(F.col("_nt"), F.coalesce(n_union, F.lit(0)), F.lit(N_FREQ + 1)))
+    n_union = rv.groupBy(F.col(part).alias("_up")).agg(F.max("_nr").alias("_nu"))
+    tv = tv.join(n_union, F.col(part) == F.col("_up")).withColumn("_L", F.least(F.col("_nt"), F.col("_nu"), F.lit(N_FREQ + 1)).cast("int")).drop("_nu", "_up")
     # one query row per target at its own L; one item row per reference and L in 3..11
     q = cut_lineage(_zvec_dyn(tv, "_tv", F.greatest(F.col("_L") - 1, F.lit(1)))
-                    .select(part, "_L", F.col(station).alias("q_id"), F.col("_z").alias("q_z"),
-                            F.col("_band").alias("q_band")))
+                    .select(part, "_L", F.col(station).alias("q_id"), F.col("_z").alias("q_z")))
     items = rv.withColumn("_L", F.explode(F.sequence(F.lit(3), F.lit(N_FREQ + 1))))
     it = cut_lineage(_zvec_dyn(items, "_rv", F.col("_L") - 1)
-                     .select(part, "_L", F.col(station).alias("i_id"), F.col("_z").alias("i_z"),
-                             F.col("_band").alias("i_band")))
-
-    def dist():
-        d = F.aggregate(F.zip_with("q_z", "i_z", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-        return F.round(F.sqrt(d), 9)
-
-    scale = F.sqrt(F.col("_L") - 1.0)
+                     .select(part, "_L", F.col(station).alias("i_id"), F.col("_z").alias("i_z")))
     qd = q.filter((F.col("_L") >= 3) & F.col("q_z").isNotNull())
-    top = banded_topk(qd, it.filter(F.col("i_z").isNotNull()), [part, "_L"], "q_id", "i_id", "band", dist, n_top,
-                      list(widths), 1.0, pair_filter=lambda: F.col("q_id") != F.col("i_id"), band_scale=scale)
+    top = cell_topk(qd, it.filter(F.col("i_z").isNotNull()), [part, "_L"], n_top)
     top = (top.withColumn("sim", F.lit(1.0) - F.col("dist") * F.col("dist") / (2.0 * (F.col("_L") - 1)))
            .select(part, "_L", F.col("q_id").alias(station), F.col("i_id").alias("other"), "sim", "rank"))
     # partners with an undefined correlation (constant prefix) sort last, by id: at most n of them
@@ -151,58 +134,50 @@ def similarity_topn(df: DataFrame, value: str, n_top: int = 10, station: str = S
     return out
 
 
+def lag_of(x: np.ndarray, y: np.ndarray, max_lag: int = MAX_LAG) -> int:
+    """Best lag of two series on one grid (NaN = missing): pairs are x[i], y[i − lag] with both known; a
+    lag needs MIN_PAIRS pairs and both stds ≠ 0; the largest correlation (12 digits) above −1 wins, ties
+    go to the smallest lag; no valid lag → 0."""
+    n, best = len(x), (-1.0, 0)
+    for lag in range(max_lag, -max_lag - 1, -1):
+        lo, hi = max(0, lag), n + min(0, lag)
+        if hi - lo < MIN_PAIRS:
+            continue
+        a, b = x[lo:hi], y[lo - lag:hi - lag]
+        ok = ~(np.isnan(a) | np.isnan(b))
+        if ok.sum() < MIN_PAIRS:
+            continue
+        a, b = a[ok] - a[ok].mean(), b[ok] - b[ok].mean()
+        xx, yy = (a * a).sum(), (b * b).sum()
+        if xx > 0 and yy > 0:
+            c = round(float((a * b).sum() / np.sqrt(xx * yy)), 12)
+            if c > -1.0 and c >= best[0]:
+                best = (c, lag)
+    return best[1]
+
+
 def best_lag(pairs_series: DataFrame, pair_key: list[str], x: str = "x", y: str = "y", pos: str = "pos",
              max_lag: int = MAX_LAG) -> DataFrame:
-    """(pair_key…, lag). For each pair the two forward-filled series (one target grid,
-    bounded by the calendar) are gathered as arrays and the 2·max_lag+1 shifted correlations are
-    computed with higher-order functions on the JVM — no per-lag join, no shuffle of lag rows.
-
-    Pairs are x[i], y[i − lag] with both non-null; a lag needs ≥ 5 pairs and both population stds
-    ≠ 0; the correlation is two-pass (centred) like NumPy; the best is the largest correlation
-    above −1, ties to the smallest lag; no valid lag → 0."""
+    """(pair_key…, lag). The two forward-filled series of a pair (one target grid, bounded by
+    the calendar) are gathered as arrays; an Arrow batch of pairs is searched lag by lag in NumPy."""
     g = pairs_series.groupBy(*pair_key).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("_s"))
-    g = (g.withColumn("_x", F.transform("_s", lambda s: s["x"])).withColumn("_y", F.transform("_s", lambda s: s["y"]))
-          .withColumn("_N", F.size("_s")).drop("_s"))
-
-    def pairs_for(L):
-        lo = F.greatest(F.lit(0), L)
-        hi = F.col("_N") - 1 + F.least(F.lit(0), L)
-        idx = F.when(lo <= hi, F.sequence(lo, hi, F.lit(1))).otherwise(F.array().cast("array<int>"))
-        prs = F.filter(F.transform(idx, lambda i: F.struct(F.element_at("_x", i + 1).alias("a"),
-                                                           F.element_at("_y", i - L + 1).alias("b"))),
-                       lambda p: p["a"].isNotNull() & p["b"].isNotNull())
-        return F.struct(L.alias("L"), prs.alias("ps"))
-
-    # stage 1: the pairs of every lag (materialised once)
-    g = g.withColumn("_P", F.transform(F.sequence(F.lit(-max_lag), F.lit(max_lag)), pairs_for)).drop("_x", "_y")
-    # stage 2: means per lag
-    g = g.withColumn("_M", F.transform("_P", lambda e: F.struct(
-        e["L"].alias("L"), F.size(e["ps"]).alias("n"),
-        F.try_divide(F.aggregate(e["ps"], F.lit(0.0), lambda acc, p: acc + p["a"]), F.size(e["ps"])).alias("mx"),
-        F.try_divide(F.aggregate(e["ps"], F.lit(0.0), lambda acc, p: acc + p["b"]), F.size(e["ps"])).alias("my"))))
-    # stage 3: centred sums (the means are lambda arguments here, not recomputed per element)
-    g = g.withColumn("_C", F.zip_with("_P", "_M", lambda e, m: F.struct(
-        m["L"].alias("L"), m["n"].alias("n"),
-        F.aggregate(e["ps"], F.struct(F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy"), F.lit(0.0).alias("xy")),
-                    lambda acc, p: F.struct((acc["xx"] + (p["a"] - m["mx"]) * (p["a"] - m["mx"])).alias("xx"),
-                                            (acc["yy"] + (p["b"] - m["my"]) * (p["b"] - m["my"])).alias("yy"),
-                                            (acc["xy"] + (p["a"] - m["mx"]) * (p["b"] - m["my"])).alias("xy"))).alias("s"))))
-    g = g.drop("_P", "_M")
-    cand = F.transform("_C", lambda c: F.struct(
-        F.when((c["n"] >= MIN_PAIRS) & (c["s"]["xx"] > 0) & (c["s"]["yy"] > 0),
-               F.round(c["s"]["xy"] / F.sqrt(c["s"]["xx"] * c["s"]["yy"]), 12)).alias("c"),
-        (-c["L"]).alias("nl")))
-    valid = F.filter(cand, lambda s: s["c"].isNotNull() & (s["c"] > -1.0))
-    best = F.array_max(valid)
-    return g.select(*pair_key, F.coalesce(-best["nl"], F.lit(0)).alias("lag"))
+        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))).alias("_s"))
+    g = g.select(*pair_key, F.transform("_s", lambda s: s["x"]).alias("_x"), F.transform("_s", lambda s: s["y"]).alias("_y"))
+
+    @F.pandas_udf("int")
+    def search(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([lag_of(np.array(u, np.float64), np.array(v, np.float64), max_lag) for u, v in zip(a, b)], dtype="int32")
+
+    return g.select(*pair_key, search("_x", "_y").alias("lag"))
 
 
 def impute_similar_series(df: DataFrame, value: str, station: str = STATION, time: str = MONTH,
                           out: str | None = None, n_top: int = 10, cluster: str | None = "cluster") -> DataFrame:
     """H9d."""
     out = out or value
+    from lacuna.session import cut_lineage
     part_col = cluster if cluster and cluster in df.columns else None
+    df = cut_lineage(df)  # read by every step below
     top = similarity_topn(df, value, n_top, station, time, part_col)
     w = Window.partitionBy(station).orderBy(time)
     tgt = df.select(station, time, F.col(value).alias("x")).withColumn("pos", F.row_number().over(w) - 1)

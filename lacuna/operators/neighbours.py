@@ -12,11 +12,17 @@ work per query stays proportional to its neighbourhood, not to the partition siz
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+CELL = 256
+
+
 def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str, iid: str,
                 band: str, dist: Callable[[], Column], k: int, widths: list[float], scale: Column | float = 1.0,
                 tiebreak: list[Column] | None = None, pair_filter: Callable[[], Column] | None = None,
@@ -67,3 +73,80 @@ def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str,
     for r in results[1:]:
         out = out.unionByName(r.select(*cols))
     return out.withColumnRenamed("_dist", "dist").withColumnRenamed("_rank", "rank")
+
+
+def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, pivots: int = 256, block: int = 4096) -> DataFrame:
+    """Exact k nearest items by Euclidean distance: (part…, q_id, i_id, dist, rank).
+
+    ``queries``: part…, q_id, q_z; ``items``: part…, i_id, i_z (arrays of one length within a part);
+    an item is no neighbour of the query with its id; ties (distances rounded to 9 digits) go to the
+    smaller id. Items fall into the cell of their nearest pivot (one item in CELL of the part, at
+    most ``pivots``, drawn by hash). A query meets its own cell first, which bounds its k-th distance r; then only the cells whose
+    pivot is no farther than r plus the cell's radius can hold a nearer item (triangle inequality).
+    Cells are cut into blocks of about ``block`` items by hash; a block and its queries are one
+    vectorised task that returns k rows for a query, so no pair is ever a row.
+    """
+    from lacuna.session import cut_lineage
+    drawn = Window.partitionBy(*part).orderBy(F.xxhash64("i_id"), "i_id")
+    piv = (items.withColumn("_r", F.row_number().over(drawn)).filter(F.col("_r") <= pivots)
+           .groupBy(*part).agg(F.sort_array(F.collect_list(F.struct("_r", "i_z"))).alias("_p")))
+    sizes = items.groupBy(*part).agg(F.count(F.lit(1)).alias("_size"))
+    piv = piv.join(sizes, part).select(*part, F.transform(F.slice("_p", F.lit(1), F.ceil(F.col("_size") / CELL).cast("int")), lambda p: p["i_z"]).alias("_piv"))
+
+    def to_pivots(z):
+        return F.transform("_piv", lambda p: F.sqrt(F.aggregate(F.zip_with(F.col(z), p, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)))
+
+    it = items.join(piv, part).withColumn("_d", to_pivots("i_z")).withColumn("_near", F.array_min("_d"))
+    it = it.select(*part, "i_id", "i_z", "_near", (F.array_position("_d", F.col("_near")) - 1).cast("int").alias("cell"))
+    cells = it.groupBy(*part, "cell").agg(F.max("_near").alias("radius"), F.count(F.lit(1)).alias("_size"))
+    cells = cells.withColumn("blocks", F.ceil(F.col("_size") / block).cast("int"))
+    it = cut_lineage(it.join(cells.select(*part, "cell", "blocks"), [*part, "cell"])
+                     .withColumn("block", F.pmod(F.xxhash64("i_id"), F.col("blocks")).cast("int")).drop("blocks", "_near"))
+    listed = cells.groupBy(*part).agg(F.collect_list(F.struct("cell", "radius", "blocks")).alias("_cells"))
+    qs = queries.join(piv, part).join(listed, part).withColumn("_d", to_pivots("q_z"))
+    home = F.array_min(F.transform("_cells", lambda c: F.struct(F.get(F.col("_d"), c["cell"]).alias("d"), c["cell"].alias("cell"), c["blocks"].alias("blocks"))))
+    qs = cut_lineage(qs.withColumn("_home", home).drop("_piv"))
+    types = {f.name: f.dataType.simpleString() for f in queries.select(*part, "q_id").schema.fields}
+    types["i_id"] = items.schema["i_id"].dataType.simpleString()
+    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", dist double"
+    key = [*part, "cell", "block"]
+
+    def near(asked: DataFrame) -> DataFrame:
+        own = lambda cols: [F.col(c).alias(c) for c in cols]  # noqa: E731  both sides may stem from one table
+        return (asked.select(own([*key, "q_id", "q_z"])).groupBy(*key).cogroup(it.select(own([*key, "i_id", "i_z"])).groupBy(*key))
+                .applyInArrow(partial(_block_topk, part=part, k=k), schema))
+
+    first = near(qs.select("*", F.col("_home.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("_home.blocks") - 1)).alias("block")))
+    best = Window.partitionBy(*part, "q_id").orderBy("dist", "i_id")
+    first = cut_lineage(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank"))
+    reach = first.groupBy(*part, "q_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(float("inf")).alias("_r"))
+    open_ = qs.join(reach, [*part, "q_id"], "left").withColumn("_r", F.coalesce("_r", F.lit(float("inf"))))
+    far = F.filter("_cells", lambda c: (c["cell"] != F.col("_home.cell")) & (F.get(F.col("_d"), c["cell"]) - c["radius"] <= F.col("_r") + 1e-6))
+    open_ = open_.withColumn("_c", F.explode(far)).select("*", F.col("_c.cell").alias("cell"),
+                                                          F.explode(F.sequence(F.lit(0), F.col("_c.blocks") - 1)).alias("block"))
+    every = first.unionByName(near(open_))
+    return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int) -> pa.Table:
+    """The k nearest items of a block for each of its queries."""
+    names = [*part, "q_id", "i_id", "dist"]
+    types = [asked.schema.field(c).type for c in [*part, "q_id"]] + [found.schema.field("i_id").type, pa.float64()]
+    rows = [[], [], []]
+    if len(asked) and len(found):
+        q = np.array(asked["q_z"].to_pylist(), np.float64)
+        z = np.array(found["i_z"].to_pylist(), np.float64)
+        q_id, i_id = asked["q_id"].to_numpy(), found["i_id"].to_numpy()
+        step = max(1, (1 << 22) // max(1, z.size))
+        for at in range(0, len(q), step):
+            d = np.round(np.sqrt(((q[at:at + step, None, :] - z[None]) ** 2).sum(2)), 9)
+            d[q_id[at:at + step, None] == i_id[None]] = np.inf
+            for i, row in enumerate(d):
+                near = np.nonzero(row <= np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1])[0]
+                near = near[np.isfinite(row[near])]
+                near = near[np.lexsort((i_id[near], row[near]))[:k]]
+                rows[0] += [q_id[at + i]] * len(near)
+                rows[1] += i_id[near].tolist()
+                rows[2] += row[near].tolist()
+    same = [[asked[c][0].as_py()] * len(rows[0]) if len(asked) else [] for c in part]
+    return pa.table([pa.array(v, t) for v, t in zip([*same, *rows], types)], names=names)

@@ -330,8 +330,7 @@ def q_spectrum(spark, sf):
 
 @query("spectrum_similarity")
 def q_spectrum_similarity(spark, sf):
-    """H9b on the embedding spectra: correlation of bins 1..10 for every pair inside a label cluster
-    is S²; this query ranks the 3 most similar per vector (F2) with the exact banded search."""
+    """H9b on the embedding spectra: the 3 most similar others inside a label cluster (F2), by the exact cell search."""
     sp = dt.spectra(spark, sf)
     long = sp.select("cluster", "station_id", F.posexplode("amp").alias("bin", "amp"))
     return rounded(similar_from_vectors(long, 3), 6)
@@ -352,22 +351,15 @@ from pyspark.sql import Window  # noqa: E402
 
 
 def similar_from_vectors(long, n_top):
-    """Top-n by Pearson correlation of amplitude bins 1..10 (vectors given as (cluster, station_id, bin, amp))."""
-    sig = long.select("cluster", "station_id", F.lit(11).alias("n"), "bin", F.col("amp").cast("double").alias("amp"))
-    v = SIM._z_prefix(sig, ["cluster", "station_id"], "n")
-    q = SIM._zvec_dyn(v.withColumn("_vv", F.slice("_v", 2, 10)), "_vv", F.lit(10))
-    qq = q.select("cluster", F.lit(11).alias("_L"), F.col("station_id").alias("q_id"), F.col("_z").alias("q_z"),
-                  F.col("_band").alias("q_band")).filter(F.col("q_z").isNotNull())
-    it = qq.select("cluster", "_L", F.col("q_id").alias("i_id"), F.col("q_z").alias("i_z"), F.col("q_band").alias("i_band"))
-
-    def dist():
-        d = F.aggregate(F.zip_with("q_z", "i_z", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
-        return F.round(F.sqrt(d), 9)
-    from lacuna.operators.neighbours import banded_topk
-    top = banded_topk(qq, it, ["cluster", "_L"], "q_id", "i_id", "band", dist, n_top, [0.25, 1.0], 1.0,
-                      pair_filter=lambda: F.col("q_id") != F.col("i_id"), band_scale=F.sqrt(F.lit(10.0)))
+    """Top-n by Pearson correlation of all entries but the first (vectors given as (cluster, station_id, bin, amp))."""
+    sig = long.groupBy("cluster", "station_id").agg(F.sort_array(F.collect_list(F.struct("bin", F.col("amp").cast("double").alias("amp")))).alias("_a"))
+    sig = sig.withColumn("_vv", F.transform(F.slice("_a", F.lit(2), F.size("_a")), lambda s: s["amp"])).withColumn("_n", F.size("_vv"))
+    z = SIM._zvec_dyn(sig, "_vv", F.col("_n")).filter(F.col("_z").isNotNull())
+    from lacuna.operators.neighbours import cell_topk
+    top = cell_topk(z.select("cluster", "_n", F.col("station_id").alias("q_id"), F.col("_z").alias("q_z")),
+                    z.select("cluster", "_n", F.col("station_id").alias("i_id"), F.col("_z").alias("i_z")), ["cluster", "_n"], n_top)
     return top.select("cluster", F.col("q_id").alias("station_id"), F.col("i_id").alias("other"),
-                      (F.lit(1.0) - F.col("dist") * F.col("dist") / 20.0).alias("sim"), "rank")
+                      (F.lit(1.0) - F.col("dist") * F.col("dist") / (2.0 * F.col("_n"))).alias("sim"), "rank")
 
 
 # ---------------------------------------------------------------- holes, scoring, evaluation

@@ -10,10 +10,10 @@ SQL: dict[str, str] = {}
 
 READINGS = """
 r AS (
-  SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time, l_quantity AS level,
+  SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS level,
          CAST(41 + (l_suppkey * 37 % 1000) / 100.0 AS DOUBLE) AS lat,
          CAST(-5 + (l_suppkey * 91 % 1400) / 100.0 AS DOUBLE) AS lon
-  FROM lineitem WHERE l_returnflag = 'R')"""
+  FROM lineitem)"""
 
 MONTHLY = READINGS + """,
 m AS (
@@ -434,7 +434,7 @@ SELECT station_id, n, CAST(bin AS INTEGER) AS bin, round(CASE WHEN bin < n THEN
 
 SQL["spectrum_similarity"] = """
 WITH e AS (SELECT vec_id AS station_id, CAST(label AS VARCHAR) AS cluster, embedding AS a FROM embeddings),
-v AS (SELECT station_id, cluster, unnest(range(2, 12)) AS k, a FROM e),
+v AS (SELECT station_id, cluster, unnest(range(2, len(a) + 1)) AS k, a FROM e),
 vv AS (SELECT station_id, cluster, k, CAST(a[k] AS DOUBLE) AS x FROM v),
 p AS (SELECT a.cluster, a.station_id, b.station_id AS other,
              covar_pop(a.x, b.x) / (stddev_pop(a.x) * stddev_pop(b.x)) AS sim

@@ -5,8 +5,8 @@ driver tables with fixed, reproducible arithmetic (the same rules are written in
 oracle). All work is Spark-side and grows with the input tables.
 
 Fixed derivation rules (must stay identical to the oracle SQL):
-  readings      lineitem where l_returnflag = 'R'; station = l_suppkey; time = day of l_shipdate;
-                level = l_quantity; lat = 41 + (key*37 % 1000)/100; lon = -5 + (key*91 % 1400)/100
+  readings      lineitem; station = l_suppkey; time = day of l_shipdate;
+                level = l_quantity, null unless l_returnflag = 'R'; lat = 41 + (key*37 % 1000)/100; lon = -5 + (key*91 % 1400)/100
   points        orders x customer by c_nationkey and month of o_orderdate;
                 lat = 41 + (nation*53 % 1000)/100; lon = -5 + (nation*71 % 1400)/100;
                 rain = avg(o_totalprice), null when (nation + month-of-year) % 4 = 0;
@@ -49,10 +49,9 @@ def point_lon(key) -> F.Column:
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station readings: station_id, time (date), level, lat, lon."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.filter(F.col("l_returnflag") == "R")
-            .select(F.col("l_suppkey").alias("station_id"),
+    return (li.select(F.col("l_suppkey").alias("station_id"),
                     F.to_date("l_shipdate").alias("time"),
-                    F.col("l_quantity").alias("level"),
+                    F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).alias("level"),
                     station_lat(F.col("l_suppkey")).alias("lat"),
                     station_lon(F.col("l_suppkey")).alias("lon")))
 
@@ -129,7 +128,7 @@ def sparse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amplitude vectors: station_id, cluster, amp (first 11 entries of the embedding)."""
+    """Amplitude vectors: station_id, cluster, amp (all entries of the embedding)."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("station_id"), F.col("label").cast("string").alias("cluster"),
-                    F.transform(F.slice("embedding", 1, 11), lambda v: v.cast("double")).alias("amp"))
+                    F.transform("embedding", lambda v: v.cast("double")).alias("amp"))

@@ -3,9 +3,9 @@
 import numpy as np
 import pytest
 
-from conftest import column
-from lacuna.operators.impute.similar import impute_similar_series, best_lag
-from pyspark.sql import functions as F
+from conftest import column, month
+from lacuna.operators.impute.similar import best_lag, impute_similar_series, lag_of, similarity_topn
+from lacuna.operators.neighbours import cell_topk
 
 N = None
 
@@ -32,3 +32,86 @@ def test_best_lag(spark):
     rows = [(1, i, float(x[i]), None if np.isnan(y[i]) else float(y[i])) for i in range(40)]
     df = spark.createDataFrame(rows, "k long, pos long, x double, y double")
     assert best_lag(df, ["k"]).collect()[0]["lag"] == 3
+
+
+def test_lag_equals_plain_search():
+    rng = np.random.default_rng(5)
+    for n in (3, 6, 30, 70):
+        x, y = rng.normal(size=n).round(1), rng.normal(size=n).round(1)
+        x[: n // 5] = np.nan
+        found = []
+        for lag in range(-24, 25):
+            p = [(x[i], y[i - lag]) for i in range(n) if 0 <= i - lag < n and not np.isnan(x[i]) and not np.isnan(y[i - lag])]
+            a, b = np.array(p).T if p else (np.zeros(0), np.zeros(0))
+            if len(p) >= 5 and a.std() > 0 and b.std() > 0:
+                found.append((-round(float(np.corrcoef(a, b)[0, 1]), 9), lag))
+        assert lag_of(x, y) == (min(found)[1] if found else 0)
+
+
+def fixture(spark):
+    """Two classes of stations with unequal spans and gaps."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for s in range(16):
+        start, n = int(rng.integers(0, 10)), int(rng.choice([4, 14, 25, 40]))
+        for i in range(n):
+            v = None if rng.random() < 0.15 else float(np.sin(i / (2 + s % 5)) + rng.normal(0, 0.3))
+            rows.append((s, month(start + i), v, "reactive" if s % 3 else "inertial"))
+    return spark.createDataFrame(rows, "station_id long, month date, level double, cluster string"), rows
+
+
+def filled(values):
+    v = np.array([np.nan if x is None else x for x in values], float)
+    for i in range(1, len(v)):
+        v[i] = v[i - 1] if np.isnan(v[i]) else v[i]
+    for i in range(len(v) - 2, -1, -1):
+        v[i] = v[i + 1] if np.isnan(v[i]) else v[i]
+    return v
+
+
+def amplitudes(values):
+    v = filled(values)
+    return np.abs(np.fft.fft(v - v.mean()))[1:11]
+
+
+def test_top_similar_equals_numpy_with_two_classes(spark):
+    df, rows = fixture(spark)
+    got = {}
+    for r in similarity_topn(df, "level", 3).collect():
+        got.setdefault(r.station_id, {})[r["rank"]] = (r.other, r.sim)
+    for cluster in ("reactive", "inertial"):
+        own = [r for r in rows if r[3] == cluster]
+        ids, months = sorted({r[0] for r in own}), sorted({r[1] for r in own})
+        value = {(r[0], r[1]): r[2] for r in own}
+        union = {s: amplitudes([value.get((s, m)) for m in months]) for s in ids}
+        for s in ids:
+            grid = [r[2] for r in sorted(own, key=lambda r: r[1]) if r[0] == s]
+            size = min(len(grid), len(months), 11)
+            mine = amplitudes(grid)[:size - 1]
+
+            def score(o):
+                if size <= 2:
+                    return 0.0
+                other = union[o][:size - 1]
+                return round(-float(np.corrcoef(mine, other)[0, 1]), 9) if mine.std() > 1e-9 * abs(mine.mean()) and other.std() > 1e-9 * abs(other.mean()) else 2.0
+
+            order = sorted((score(o), o) for o in ids if o != s)[:3]
+            assert [got[s][i + 1][0] for i in range(len(order))] == [o for _, o in order], (s, size)
+            assert [got[s][i + 1][1] for i in range(len(order))] == [None if c == 2.0 else pytest.approx(-c, abs=1e-6) for c, _ in order]
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_cell_search_equals_brute_force(spark, block, monkeypatch):
+    import lacuna.operators.neighbours as NB
+    monkeypatch.setattr(NB, "CELL", 30)
+    rng = np.random.default_rng(2)
+    z = np.concatenate([rng.normal(size=(200, 4)), rng.normal(5, 0.2, size=(150, 4)), np.ones((10, 4))]).round(2)
+    rows = [("a" if i % 2 else "b", i, [float(x) for x in v]) for i, v in enumerate(z)]
+    q = spark.createDataFrame(rows, "p string, q_id long, q_z array<double>")
+    it = spark.createDataFrame(rows, "p string, i_id long, i_z array<double>")
+    got = {}
+    for r in cell_topk(q, it, ["p"], 6, block=block).collect():
+        got.setdefault(r.q_id, {})[r["rank"]] = (r.dist, r.i_id)
+    for p, i, v in rows:
+        want = sorted((round(float(np.sqrt(((z[i] - z[j]) ** 2).sum())), 9), j) for o, j, _ in rows if o == p and j != i)[:6]
+        assert [got[i][k + 1] for k in range(6)] == [(pytest.approx(d), j) for d, j in want]

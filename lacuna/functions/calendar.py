@@ -37,9 +37,8 @@ def days_in_month(c) -> Column:
 
 def epoch_seconds(c) -> Column:
     """Seconds since 1970-01-01 of a date or timestamp_ntz, independent of the session time zone."""
-    col = _c(c)
-    return F.unix_seconds(F.to_utc_timestamp(col.cast("timestamp_ntz").cast("timestamp"),
-                                             F.current_timezone()))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, _c(c).cast("timestamp_ntz"))
 
 
 def epoch_seconds_of_date(c) -> Column:

@@ -53,7 +53,7 @@ def hole_blocks(df: DataFrame, pct: float, seed: int = 42, sizes: tuple[int, int
     """I2 core: (station, pos) rows hit by the kept blocks.
 
     Candidate block b < M has length a + h(b,'len') mod (b−a+1) and a start drawn in [0, n−len];
-    blocks M… are single rows 0…n−1 so the target is always reachable. Blocks are applied in order
+    blocks M… are all single rows in hash order, so the target is always reachable. Blocks are applied in order
     and block b is kept iff the distinct rows removed before it are fewer than int(n·pct).
     """
     a, b = sizes
@@ -62,14 +62,14 @@ def hole_blocks(df: DataFrame, pct: float, seed: int = 42, sizes: tuple[int, int
     st = pos.groupBy(station).agg(F.count(F.lit(1)).alias("_n"))
     st = st.withColumn("_target", F.floor(F.col("_n") * F.lit(pct)).cast("long"))
     st = st.withColumn("_M", 2 * F.col("_target"))
-    blk = st.select(station, "_n", "_target", "_M",
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("_M") + F.col("_n") - 1)).alias("blk"))
-    rand = F.col("blk") < F.col("_M")
-    ln = F.when(rand, F.lit(a) + hash_int(F.col(station), F.col("blk"), seed, "len") % (b - a + 1)).otherwise(F.lit(1))
+    blk = st.filter("_M > 0").select(station, "_n", "_target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_M") - 1)).alias("blk"))
+    ln = F.lit(a) + hash_int(F.col(station), F.col("blk"), seed, "len") % (b - a + 1)
     blk = blk.withColumn("_len", F.least(ln, F.col("_n")))
-    start = F.when(rand, hash_int(F.col(station), F.col("blk"), seed, "start") % (F.col("_n") - F.col("_len") + 1)) \
-             .otherwise(F.col("blk") - F.col("_M"))
-    blk = blk.withColumn("_start", start)
+    blk = blk.withColumn("_start", hash_int(F.col(station), F.col("blk"), seed, "start") % (F.col("_n") - F.col("_len") + 1))
+    tail = Window.partitionBy(station).orderBy(hash_int(F.col(station), F.col("pos"), seed, "tail"), "pos")
+    ones = pos.join(st, station).select(station, "_n", "_target", (F.col("_M") + F.row_number().over(tail) - 1).alias("blk"),
+                                        F.lit(1).cast("long").alias("_len"), F.col("pos").cast("long").alias("_start"))
+    blk = blk.unionByName(ones)
     cov = blk.select(station, "blk", "_target",
                      F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_len") - 1)).alias("pos"))
     first = cov.groupBy(station, "pos").agg(F.min("blk").alias("blk"), F.first("_target").alias("_target"))

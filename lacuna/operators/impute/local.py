@@ -51,14 +51,6 @@ def _slope(a: str, b: str) -> Column:
     return (F.col(f"{b}.y") - F.col(f"{a}.y")) / (F.col(f"{b}.p") - F.col(f"{a}.p"))
 
 
-def _hermite(value: str, w, extrapolate_right: bool) -> Column:
-    """Evaluate the Hermite piece around each row from known-point structs carrying d."""
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    frm = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return upto, before, frm
-
-
 def _evaluate(df: DataFrame, value: str, w, out: str, extrapolate_right: bool) -> DataFrame:
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)

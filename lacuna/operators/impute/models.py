@@ -5,7 +5,7 @@ a Keras network; the feature, window, overlap-average and rebuild semantics are
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +13,13 @@ from lacuna.operators.series import STATION, MONTH, rate_per_day
 from lacuna.operators import scale as SCL
 from lacuna.operators.windows import inference_windows, overlap_average
 
+MIN_TRAIN = 3
+
 
 def impute_forest_delta(df: DataFrame, value: str, features: list[str] | None = None,
                         station: str = STATION, time: str = MONTH, out: str | None = None,
                         num_trees: int = 100, seed: int = 42) -> DataFrame:
-    """H7: regress Δ/day on the features (default pet, temp) from rows having target, Δ/day and the
+    """H7 (fewer than MIN_TRAIN training rows: all null): regress Δ/day on the features (default pet, temp) from rows having target, Δ/day and the
     features; missing features → training mean; a null first value ← first known value; then each
     null row = previous + predicted Δ/day × elapsed days (closed form: running sums inside a gap)."""
     out = out or value
@@ -27,10 +29,10 @@ def impute_forest_delta(df: DataFrame, value: str, features: list[str] | None =
     for f in features:
         ok = ok & F.col(f).isNotNull()
     train = t.filter(ok)
-    means = train.agg(*[F.avg(f).alias(f) for f in features])
-    filled = t
-    for f in features:
-        filled = filled.withColumn(f"_f_{f}", F.coalesce(F.col(f), means.select(f).scalar()))
+    known = train.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features]).first()
+    if known["n"] < MIN_TRAIN:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    filled = t.withColumns({f"_f_{f}": F.coalesce(F.col(f), F.lit(known[f])) for f in features})
     va = VectorAssembler(inputCols=[f"_f_{f}" for f in features], outputCol="_fv")
     rf = RandomForestRegressor(featuresCol="_fv", labelCol="delta_per_day", numTrees=num_trees, seed=seed,
                                predictionCol="_pred")
@@ -61,6 +63,43 @@ def _window_rows(df: DataFrame, features: list[str], size: int, station: str, ti
     return win.select(station, "start", "_means", F.posexplode("x").alias("k", "row"))
 
 
+def _training_rows(scaled: DataFrame, value: str, features: list[str], size: int, station: str, time: str) -> DataFrame:
+    """(station, start, k, _fv, _y, _known): a row for each window position. A missing value becomes the fill
+    value of the window, which is a true value's too; ``_known`` tells them apart."""
+    from pyspark.ml.functions import array_to_vector
+    flagged = scaled.withColumn("_known", F.col(value).isNotNull().cast("double"))
+    rows = _window_rows(flagged, [*features, "_known"], size, station, time)
+    ti = features.index(value)
+    others = [j for j in range(len(features)) if j != ti]
+    xv = F.array(*[F.col("row")[j] for j in others], *[F.col("_means")[j] for j in range(len(features))])
+    return rows.select(station, "start", "k", array_to_vector(xv).alias("_fv"), F.col("row")[ti].alias("_y"),
+                       (F.col("row")[len(features)] == 1.0).alias("_known"))
+
+
+def fit_global_and_per_cluster(df: DataFrame, value: str, features: list[str], path: str, size: int = 120,
+                               cluster: str = "cluster", station: str = STATION, time: str = MONTH) -> dict:
+    """The window model of H11 fitted on all stations and on each class (a handful), saved under
+    ``path``/<scope> and returned by scope; a scope with fewer than MIN_TRAIN training rows has none."""
+    from lacuna.session import cut_lineage
+    scaled, _ = SCL.minmax_scale(df, features)
+    rows = _training_rows(scaled, value, features, size, station, time).filter(F.col("_known") & F.col("_y").isNotNull())
+    classes = df.groupBy(station).agg(F.min(cluster).alias("_class"))
+    rows = cut_lineage(rows.join(classes, station).select("_class", "_fv", "_y"))
+    counts = {r["_class"]: r["count"] for r in rows.groupBy("_class").count().collect()}
+    scopes = {"all": (rows, sum(counts.values()))} | {str(c): (rows.filter(F.col("_class") == c), n) for c, n in counts.items() if c is not None}
+    out = {}
+    for scope, (part, n) in sorted(scopes.items()):
+        if n >= MIN_TRAIN:
+            out[scope] = LinearRegression(featuresCol="_fv", labelCol="_y", predictionCol="_p").fit(part)
+            out[scope].write().overwrite().save(f"{path}/{scope}")
+    return out
+
+
+def load_models(path: str, scopes: list[str]) -> dict:
+    """The models that ``fit_global_and_per_cluster`` saved for these scopes."""
+    return {s: LinearRegressionModel.load(f"{path}/{s}") for s in scopes}
+
+
 def impute_window_regression(df: DataFrame, value: str, features: list[str], size: int = 120,
                              station: str = STATION, time: str = MONTH, out: str | None = None,
                              model=None) -> DataFrame:
@@ -68,15 +107,12 @@ def impute_window_regression(df: DataFrame, value: str, features: list[str], siz
     overlap-average (E10), inverse scale (J2). The model is a plug-in estimator (default linear)."""
     out = out or value
     scaled, scaler = SCL.minmax_scale(df, features)
-    rows = _window_rows(scaled, features, size, station, time)
-    ti = features.index(value)
-    others = [j for j in range(len(features)) if j != ti]
-    rows = rows.withColumn("_xv", F.array(*[F.col("row")[j] for j in others], *[F.col("_means")[j] for j in range(len(features))]))
-    rows = rows.withColumn("_y", F.col("row")[ti])
-    from pyspark.ml.functions import array_to_vector
-    rows = rows.withColumn("_fv", array_to_vector("_xv"))
+    rows = _training_rows(scaled, value, features, size, station, time)
     est = model or LinearRegression(featuresCol="_fv", labelCol="_y", predictionCol="_p")
-    fit = est.fit(rows.filter(F.col("_y") != -1.0))
+    known = rows.filter(F.col("_known") & F.col("_y").isNotNull())
+    if known.isEmpty():
+        return df.withColumn(out, F.lit(None).cast("double"))
+    fit = est.fit(known)
     pred = fit.transform(rows)
     wp = pred.groupBy(station, "start").agg(F.sort_array(F.collect_list(F.struct("k", "_p"))).alias("_kp"))
     wp = wp.select(station, "start", F.transform("_kp", lambda s: s["_p"]).alias("values"))

@@ -54,16 +54,20 @@ def presence_matrix(df: DataFrame, value: str, station: str = STATION, time: str
 
     The calendar spans the whole table; stations are ranked by their first active month.
     """
-    months = month_calendar(df, time)
-    sts = df.select(station).distinct()
     pres = (df.groupBy(station, cal.month_floor(time).alias(MONTH))
             .agg(F.max(F.when(F.col(value).isNotNull(), 1).otherwise(0)).alias("present")))
-    # station × month grid: the month list is one row per calendar month (bounded by the calendar)
-    grid = sts.join(F.broadcast(months), how="cross")
+    # station × month grid: the calendar between the table's first and last month, exploded in place
+    ends = pres.select(F.struct(F.min(MONTH).alias("lo"), F.max(MONTH).alias("hi"))).scalar()
+    grid = (df.select(station).distinct().withColumn("_e", ends)
+            .select(station, F.explode(F.sequence("_e.lo", "_e.hi", F.expr("INTERVAL 1 MONTH"))).alias(MONTH)))
     out = grid.join(pres, [station, MONTH], "left").withColumn("present", F.coalesce("present", F.lit(0)))
     first = pres.filter("present = 1").groupBy(station).agg(F.min(MONTH).alias("_first"))
-    ranked = first.withColumn("station_rank", F.dense_rank().over(Window.orderBy("_first", station)))
-    return out.join(ranked.select(station, "station_rank"), station, "left")
+    # rank = stations of earlier first months (a row for each month) + rank among those of the same month
+    earlier = first.groupBy("_first").agg(F.count(F.lit(1)).alias("_k"))
+    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = earlier.select("_first", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
+    ranked = first.withColumn("_r", F.row_number().over(Window.partitionBy("_first").orderBy(station))).join(earlier, "_first")
+    return out.join(ranked.select(station, (F.col("_off") + F.col("_r")).cast("int").alias("station_rank")), station, "left")
 
 
 def distinct_stations(df: DataFrame, cols=(STATION, "lon", "lat")) -> DataFrame:

@@ -20,6 +20,13 @@ def unpivot_vintages(df: DataFrame, pairs: list[tuple[str, str]], keep: list[str
     return df.select(*keep, F.inline(arr))
 
 
+def month_year_pivot(df: DataFrame, value: str, years: list[int], time: str = "month") -> DataFrame:
+    """Calendar month (rows) × year (columns ``y<year>``) with the largest value; the years are given."""
+    t = df.select(F.month(time).alias("month_of_year"), F.year(time).alias("_y"), F.col(value).alias("_v"))
+    p = t.groupBy("month_of_year").pivot("_y", years).agg(F.max("_v"))
+    return p.select("month_of_year", *[F.col(f"`{y}`").alias(f"y{y}") for y in years])
+
+
 def config_grid(spark, axes: dict[str, list]) -> DataFrame:
     """Cartesian product of the hyper-parameter axes, built by exploding literal arrays
     (one row per configuration, no join)."""
@@ -67,11 +74,6 @@ def best_config(log: DataFrame) -> DataFrame:
     return log.orderBy(F.col("val_loss").asc_nulls_last(), acc.desc_nulls_last()).limit(1)
 
 
-def limit_series(pairs: DataFrame, max_files: int, order: list[str]) -> DataFrame:
-    """first ``max_files`` (rate, series) pairs — a top-n (Spark plans TakeOrderedAndProject)."""
-    return pairs.orderBy(*order).limit(max_files)
-
-
 def sort_stations(classes: DataFrame, spans: DataFrame, streaks: DataFrame, station: str = "station_id") -> DataFrame:
     """stations ordered by class, total available time (desc), longest continuous run (desc)."""
     j = classes.join(spans, station, "left").join(streaks, station, "left")

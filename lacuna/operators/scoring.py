@@ -42,12 +42,11 @@ def evaluate_methods(preds: DataFrame, truth: DataFrame, value: str, pct: float,
 
 
 def evaluate_all(df: DataFrame, value: str, methods: list[str], rates: list[float], seed: int = 42,
-                 sizes: tuple[int, int] = (1, 6), max_files: int | None = None,
+                 sizes: tuple[int, int] = (1, 6),
                  station: str = STATION, time: str = MONTH) -> DataFrame:
     """Every series × removal rate × method in one plan (no loop over files).
 
-    ``max_files`` (F5) keeps the first n (rate, station) pairs in rate order then station order;
-    None evaluates every series.
+    F5, the limit on the series evaluated, is a filter on ``df``'s stations by the caller.
     """
     outs = []
     for i, rate in enumerate(rates):
@@ -58,10 +57,6 @@ def evaluate_all(df: DataFrame, value: str, methods: list[str], rates: list[floa
     res = outs[0]
     for o in outs[1:]:
         res = res.unionByName(o)
-    if max_files is not None:
-        pairs = res.select("_ri", "dataset").distinct()
-        pairs = pairs.withColumn("_n", F.row_number().over(Window.orderBy("_ri", "dataset"))).filter(F.col("_n") <= max_files)
-        res = res.join(pairs.select("_ri", "dataset"), ["_ri", "dataset"], "left_semi")
     return res.drop("_ri")
 
 

@@ -162,8 +162,9 @@ def time_split(df: DataFrame, frac: float = 0.8, station: str = STATION, time: s
     totals are prefix-summed, and each station's offset is its partition offset plus a prefix inside
     its own partition; a row's global position is offset + local position.
     """
-    counts = (df.groupBy(station).agg(F.count(F.lit(1)).alias("_n"))
-              .repartitionByRange(parts, station).withColumn("_pid", F.spark_partition_id()))
+    from lacuna.session import cut_lineage
+    counts = cut_lineage(df.groupBy(station).agg(F.count(F.lit(1)).alias("_n"))  # sampled ranges are drawn once
+                         .repartitionByRange(parts, station).withColumn("_pid", F.spark_partition_id()))
     per_part = counts.groupBy("_pid").agg(F.sum("_n").alias("_pn"))
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)      # ≤ parts rows
     part_off = per_part.select("_pid", F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_poff"))

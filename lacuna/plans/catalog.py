@@ -559,7 +559,7 @@ def q_compare(spark, sf):
     li = dt.table(spark, sf, "lineitem")
     m = CA.month_floor("l_shipdate").alias("month")
     a = li.filter(F.col("l_returnflag") == "R").groupBy(m).agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q"))
-    b = li.filter(F.col("l_returnflag") == "A").groupBy(m).agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q"))
+    b = li.filter(F.col("l_returnflag") != "R").groupBy(m).agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q"))
     return rounded(FL.compare_series(a, b))
 
 
@@ -595,7 +595,8 @@ def q_union_all(spark, sf):
     li = dt.table(spark, sf, "lineitem")
     a = li.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_quantity")
     b = li.filter(F.col("l_returnflag") == "A").select("l_orderkey", "l_linenumber", "l_quantity")
-    return rounded(RS.union_all(a, b, a))
+    c = li.filter(F.col("l_returnflag") == "N").select("l_orderkey", "l_linenumber", "l_quantity")
+    return rounded(RS.union_all(a, b, c))
 
 
 @query("unpivot_vintages")
@@ -825,7 +826,7 @@ def q_overlap(spark, sf):
 @query("impute_forest_delta")
 def q_forest(spark, sf):
     f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf))
-    return rounded(MD.impute_forest_delta(f, "level", ["pet", "temp"], out="filled", num_trees=20)
+    return rounded(MD.impute_forest_delta(f, "level", ["pet", "temp"], out="filled")
                    .select("station_id", "month", "level", "filled"), 4)
 
 
@@ -856,3 +857,83 @@ def q_explode_api_pages(spark, sf):
     items = RD.explode_api_pages(spark, p, "code_bss string, date_mesure string, niveau_nappe_eau double", multiline=False)
     return rounded(items.select(F.col("code_bss").cast("long").alias("station_id"),
                                 F.to_date("date_mesure").alias("time"), F.col("niveau_nappe_eau").alias("level")))
+
+
+# ---------------------------------------------------------------- odd formats, landed from the driver tables and read back
+LANDED = "station_id long, time date, level double"
+
+
+def _landed(spark, sf):
+    return dt.readings(spark, sf).select("station_id", "time", "level")
+
+
+@query("scan_mixed_compressed")
+def q_scan_mixed_compressed(spark, sf):
+    """A3: even stations as gzip files, odd ones plain, in one folder."""
+    p, r = _stage(spark, "mixed"), _landed(spark, sf)
+    w = lambda df, codec: df.write.mode("append").option("sep", ";").option("header", True).option("compression", codec).csv(p)
+    w(r.filter("station_id % 2 = 0"), "gzip")
+    w(r.filter("station_id % 2 = 1").select("time", "level", "station_id"), "none")
+    return rounded(RD.scan_mixed_compressed(spark, p, LANDED))
+
+
+@query("scan_schema_drift")
+def q_scan_schema_drift(spark, sf):
+    """A4: three vintages of files, one in another column order with an extra column, one without the level."""
+    p, r = _stage(spark, "drift"), _landed(spark, sf)
+    for i, cols in enumerate((["station_id", "time", "level"], ["level", "note", "time", "station_id"], ["time", "station_id"])):
+        (r.filter(f"station_id % 3 = {i}").withColumn("note", F.lit("x")).select(*cols)
+         .write.mode("overwrite").option("sep", ";").option("header", True).csv(f"{p}/{i}"))
+    return rounded(RD.scan_schema_drift(spark, [f"{p}/{i}" for i in range(3)], LANDED))
+
+
+@query("scan_with_preamble")
+def q_scan_with_preamble(spark, sf):
+    """A5: files with four lines before a '#' header whose columns stand in another order."""
+    p = _stage(spark, "preamble")
+    lines = _landed(spark, sf).select(F.concat_ws(";", F.coalesce(F.col("level").cast("string"), F.lit("")), F.col("station_id").cast("string"),
+                                                  F.col("time").cast("string")).alias("value"))
+
+    def with_head(batches):
+        import pandas as pd
+        yield pd.DataFrame({"value": ["produced by", "", "a; b; c", "----", "#level; station_id ;time"]})
+        yield from batches
+
+    lines.mapInPandas(with_head, "value string").write.mode("overwrite").text(p)
+    return rounded(RD.scan_with_preamble(spark, p, LANDED))
+
+
+@query("filter_manifest")
+def q_filter_manifest(spark, sf):
+    """A catalogue of resources, one page for each nation's suppliers; csv ones of departments 1 and 7 stay."""
+    p = _stage(spark, "manifest")
+    s = dt.table(spark, sf, "supplier")
+    res = s.select("s_nationkey", F.struct(F.concat(F.lit("Set_"), F.col("s_nationkey").cast("string"), F.lit("_"), F.col("s_suppkey").cast("string")).alias("title"),
+                                           F.concat(F.lit("http://x/"), F.col("s_suppkey").cast("string")).alias("url"),
+                                           F.when(F.col("s_suppkey") % 3 == 0, F.lit("CSV")).when(F.col("s_suppkey") % 3 == 1, F.lit("json")).alias("format")).alias("r"))
+    res.groupBy("s_nationkey").agg(F.collect_list("r").alias("resources")).select("resources").write.mode("overwrite").json(p)
+    return RD.filter_manifest(spark, p, ["csv"], ["1_", "7_"], multiline=False)
+
+
+PIVOT_YEARS = list(range(1992, 1999))  # of the driver's calendar
+
+
+@query("month_year_pivot")
+def q_month_year_pivot(spark, sf):
+    return rounded(RS.month_year_pivot(monthly_levels(spark, sf), "level", PIVOT_YEARS))
+
+
+@query("fit_global_and_per_cluster")
+def q_fit_global_and_per_cluster(spark, sf):
+    """The saved models of all stations and of each class, applied to every window's mean (features and value 0)."""
+    p = _stage(spark, "models")
+    fitted = MD.fit_global_and_per_cluster(clustered(spark, sf), "level", SCALE_FEATURES, p, 12)
+    loaded = MD.load_models(p, list(fitted))
+    n = 2 * len(SCALE_FEATURES) - 1
+    from pyspark.ml.functions import array_to_vector
+    zero = dt.stations(spark, sf).select("station_id", array_to_vector(F.array(*[F.lit(0.0)] * n)).alias("_fv"))
+    out = None
+    for scope, m in loaded.items():
+        part = m.transform(zero).select("station_id", F.lit(scope).alias("scope"), F.col("_p").alias("prediction"))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 4)

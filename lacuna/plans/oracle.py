@@ -452,9 +452,10 @@ def holes_cte(pct: float, seed: int, a: int, b: int, src: str = "f", prefix: str
     return f""",
 {p}p AS (SELECT station_id, month, level, lon, lat, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS pos FROM {src}),
 {p}n AS (SELECT station_id, count(*) AS n, CAST(floor(count(*) * {pct}) AS BIGINT) AS target FROM {p}p GROUP BY 1),
-{p}b AS (SELECT station_id, n, target, 2 * target AS mm, unnest(range(0, 2 * target + n)) AS blk FROM {p}n),
-{p}b2 AS (SELECT *, CASE WHEN blk < mm THEN least({a} + {hh('len', 'blk')} % {b - a + 1}, n) ELSE 1 END AS len FROM {p}b),
-{p}b3 AS (SELECT *, CASE WHEN blk < mm THEN {hh('start', 'blk')} % (n - len + 1) ELSE blk - mm END AS st FROM {p}b2),
+{p}b AS (SELECT station_id, n, target, unnest(range(0, 2 * target)) AS blk FROM {p}n),
+{p}b2 AS (SELECT *, least({a} + {hh('len', 'blk')} % {b - a + 1}, n) AS len FROM {p}b),
+{p}b3 AS (SELECT station_id, blk, target, len, {hh('start', 'blk')} % (n - len + 1) AS st FROM {p}b2
+  UNION ALL SELECT station_id, 2 * target + row_number() OVER (PARTITION BY station_id ORDER BY {hh('tail', 'pos')}, pos) - 1, target, 1, pos FROM {p}p JOIN {p}n USING (station_id)),
 {p}c AS (SELECT station_id, blk, target, unnest(range(st, st + len)) AS pos FROM {p}b3),
 {p}f AS (SELECT station_id, pos, min(blk) AS blk, any_value(target) AS target FROM {p}c GROUP BY 1, 2),
 {p}k AS (SELECT station_id, blk, count(*) AS nw, any_value(target) AS target FROM {p}f GROUP BY 1, 2),
@@ -619,7 +620,7 @@ SELECT event_id, TRY_CAST(event_type AS DOUBLE) AS as_number, round(TRY_CAST(CAS
        TRY_CAST(props AS TIMESTAMP) AS as_time FROM events WHERE ts IS NOT NULL"""
 SQL["compare_series"] = """
 WITH a AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
-b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
+b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
 c AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM (SELECT month FROM a UNION ALL SELECT month FROM b)),
                                          (SELECT max(month) FROM (SELECT month FROM a UNION ALL SELECT month FROM b)), INTERVAL 1 MONTH)) AS DATE) AS month)
 SELECT c.month, a.n AS n_a, round(a.q, 6) AS q_a, b.n AS n_b, round(b.q, 6) AS q_b FROM c LEFT JOIN a ON a.month = c.month LEFT JOIN b ON b.month = c.month"""
@@ -638,7 +639,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey AS cell_id FROM lineitem WHERE l_supp
 SQL["union_all"] = """
 SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity FROM lineitem WHERE l_returnflag = 'R'
 UNION ALL SELECT l_orderkey, l_linenumber, round(l_quantity, 6) FROM lineitem WHERE l_returnflag = 'A'
-UNION ALL SELECT l_orderkey, l_linenumber, round(l_quantity, 6) FROM lineitem WHERE l_returnflag = 'R'"""
+UNION ALL SELECT l_orderkey, l_linenumber, round(l_quantity, 6) FROM lineitem WHERE l_returnflag = 'N'"""
 SQL["unpivot_vintages"] = with_(SOIL, """
 SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, round(total_area, 6) AS total_area, year, round(sealed_area, 6) AS sealed_area FROM soil""")
 SQL["distinct_sorted"] = "SELECT DISTINCT event_type FROM events"
@@ -704,4 +705,40 @@ cov AS (SELECT a.station_id, a.pos, avg(coalesce(b.level, -1.0)) AS pred
              AND w.st <= nn.n - 12 - 1
         GROUP BY 1, 2)""", """
 SELECT fp.station_id, fp.month, round(cov.pred, 6) AS pred FROM fp LEFT JOIN cov ON cov.station_id = fp.station_id AND cov.pos = fp.pos""")
-SQL["explode_api_pages"] = "SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time, round(l_quantity, 6) AS level FROM lineitem WHERE l_returnflag = 'R'"
+SQL["explode_api_pages"] = "SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time, CASE WHEN l_returnflag = 'R' THEN round(l_quantity, 6) END AS level FROM lineitem"
+
+SQL["scan_mixed_compressed"] = SQL["scan_with_preamble"] = SQL["explode_api_pages"]
+SQL["scan_schema_drift"] = """
+SELECT l_suppkey AS station_id, CAST(l_shipdate AS DATE) AS time,
+  CASE WHEN l_returnflag = 'R' AND l_suppkey % 3 <> 2 THEN round(l_quantity, 6) END AS level FROM lineitem"""
+SQL["filter_manifest"] = """
+SELECT 'Set_' || s_nationkey || '_' || s_suppkey AS title, 'http://x/' || s_suppkey AS url, 'CSV' AS format
+FROM supplier WHERE s_suppkey % 3 = 0 AND s_nationkey IN (1, 7)"""
+SQL["month_year_pivot"] = with_(DENSE, "SELECT CAST(month(month) AS INTEGER) AS month_of_year, " + ", ".join(
+    f"round(max(level) FILTER (WHERE year(month) = {y}), 6) AS y{y}" for y in range(1992, 1999)) + " FROM f GROUP BY 1")
+
+# every pair of a class, from the definition: own grid against the class's months, Pearson over bins 1 … L − 1
+SQL["top_similar_series"] = with_(CLUSTERED + """,
+um AS (SELECT DISTINCT cluster, month FROM cl),
+us AS (SELECT DISTINCT cluster, station_id FROM cl),
+both_grids AS (
+  SELECT 't' AS kind, cluster, station_id, month, level FROM cl
+  UNION ALL
+  SELECT 'r', us.cluster, us.station_id, um.month, cl.level
+  FROM us JOIN um ON us.cluster = um.cluster LEFT JOIN cl ON cl.station_id = us.station_id AND cl.month = um.month),
+fl AS (
+  SELECT kind, cluster, station_id, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY kind, station_id) AS n,
+    coalesce(last_value(level IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             first_value(level IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v
+  FROM both_grids WINDOW w AS (PARTITION BY kind, station_id ORDER BY month)),
+ce AS (SELECT *, v - avg(v) OVER (PARTITION BY kind, station_id) AS c FROM fl),
+am AS (SELECT kind, cluster, station_id, n, bin, sqrt(sum(c * cos(2 * pi() * bin * i / n)) ** 2 + sum(c * sin(2 * pi() * bin * i / n)) ** 2) AS amp
+       FROM ce CROSS JOIN (SELECT unnest(range(1, 11)) AS bin) GROUP BY ALL),
+nu AS (SELECT cluster, max(n) AS nu FROM am WHERE kind = 'r' GROUP BY 1),
+ln AS (SELECT DISTINCT am.cluster, station_id, least(n, nu, 11) AS L FROM am JOIN nu ON am.cluster = nu.cluster WHERE kind = 't'),
+pr AS (SELECT ln.cluster, ln.station_id, r.station_id AS other, ln.L, covar_pop(a.amp, r.amp) / (stddev_pop(a.amp) * stddev_pop(r.amp)) AS sim
+       FROM ln JOIN am a ON a.kind = 't' AND a.station_id = ln.station_id AND a.bin < ln.L
+       JOIN am r ON r.kind = 'r' AND r.cluster = ln.cluster AND r.bin = a.bin AND r.station_id <> ln.station_id
+       GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY round(sqrt(greatest(0, 2 * (L - 1) * (1 - sim))), 9), other) AS rank FROM pr)""", """
+SELECT cluster, station_id, other, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""")

@@ -4,38 +4,55 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.text import clean_header
 
+MAX_COLUMNS = 100  # of a file with a preamble
 SERIES_SCHEMA = "station_id string, month date, level double, lon double, lat double"
 
 
+def by_name(df: DataFrame, schema: str) -> DataFrame:
+    """The declared columns, cast, taken by name; a column that is not there is null."""
+    have = {c.strip(): c for c in df.columns}
+    fields = T.StructType.fromDDL(schema).fields
+    return df.select(*[(F.col(f"`{have[f.name]}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in fields])
+
+
 def scan_series_csv(spark: SparkSession, path: str, schema: str = SERIES_SCHEMA, sep: str = ";") -> DataFrame:
-    """A1: one ';' CSV with a header. Ordering is left to the consumer that needs it."""
-    return spark.read.schema(schema).option("sep", sep).option("header", True).csv(path)
+    """A1: one ';' CSV with a header, columns taken by name. Ordering is left to the consumer that needs it."""
+    return by_name(spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).csv(path), schema)
 
 
 def scan_series_folder(spark: SparkSession, folder: str, schema: str = SERIES_SCHEMA, sep: str = ";",
                        glob: str = "*.csv", with_file: bool = False) -> DataFrame:
-    """Every file of a folder (recursively) matching ``glob`` as one table; an empty folder
-    gives an empty table."""
+    """Every file of a folder (recursively) matching ``glob`` as one table, columns taken by
+    name; an empty folder gives an empty table. A file whose header differs from the others' raises an
+    error (see ``scan_schema_drift``)."""
     try:
-        df = (spark.read.schema(schema).option("sep", sep).option("header", True)
+        df = (spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
               .option("pathGlobFilter", glob).option("recursiveFileLookup", True).csv(folder))
-    except Exception as e:  # folder without any matching file
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    except AnalysisException as e:  # folder without any matching file
+        if not _absent(e):
+            raise
+        return spark.createDataFrame([], schema)
     if with_file:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+        return by_name(df.select("*", F.col("_metadata.file_path").alias("source_file")), schema + ", source_file string")
+    return by_name(df, schema)
+
+
+def _absent(e: AnalysisException) -> bool:
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def scan_suffix_filter(spark: SparkSession, folder: str, suffix: str, schema: str, sep: str = ",") -> DataFrame:
@@ -45,73 +62,95 @@ def scan_suffix_filter(spark: SparkSession, folder: str, suffix: str, schema: st
             .csv(f"{folder.rstrip('/')}/*{suffix}"))
 
 
-def _decode(content: bytes) -> str:
+def _streams(content: bytes) -> Iterator[IO[bytes]]:
+    """The CSV byte streams in a plain, gzip or zip file, by its magic bytes."""
     if content[:4] == b"PK\x03\x04":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             for name in z.namelist():
                 if name.endswith(".csv"):
-                    return z.read(name).decode("utf-8")
-            return ""
-    if content[:2] == b"\x1f\x8b":
-        return gzip.decompress(content).decode("utf-8")
-    return content.decode("utf-8")
+                    with z.open(name) as f:
+                        yield f
+    elif content[:2] == b"\x1f\x8b":
+        with gzip.open(io.BytesIO(content)) as f:
+            yield f
+    else:
+        yield io.BytesIO(content)
 
 
 def scan_mixed_compressed(spark: SparkSession, folder: str, schema: str, sep: str = ";",
                           glob: str = "*.csv*") -> DataFrame:
-    """A3: plain, gzip and zip files (decided by magic bytes, not by extension), header skipped.
+    """A3: plain, gzip and zip files (decided by magic bytes, not by extension), columns taken by name.
 
-    One file is one task (``binaryFile``); its lines are decoded with ``mapInPandas`` and parsed
-    by ``from_csv`` on the JVM side."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", "content")
+    An archive can't be split, so a file is one task (``binaryFile``); its members are decompressed and
+    parsed as streams, rows with quoted line breaks included, and leave in batches."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("content")
+    fields = T.StructType.fromDDL(schema).fields
+    names = [f.name for f in fields]
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out_path, out_line = [], []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                text = _decode(bytes(c))
-                rows = [r for r in text.splitlines() if r.strip()]
-                for r in rows[1:]:            # header
-                    out_path.append(p)
-                    out_line.append(r)
-            yield pd.DataFrame({"path": out_path, "line": out_line})
+            for content in pdf["content"]:
+                for f in _streams(bytes(content)):
+                    for part in pd.read_csv(f, sep=sep, dtype=str, keep_default_na=False, na_values=[""], chunksize=10_000):
+                        yield part.rename(columns=str.strip).reindex(columns=names).astype(object).where(lambda d: d.notna(), None)
+
+    t = raw.mapInPandas(rows, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return t.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines with their file, whether they lie in its first block, and a number that grows by one from
+    line to line of a block."""
+    return (spark.read.text(paths)
+            .select("value", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("first"),
+                    F.monotonically_increasing_id().alias("at")))
+
 
-    t = raw.mapInPandas(lines, "path string, line string")
-    parsed = t.select(F.from_csv("line", schema, {"sep": sep}).alias("r"))
-    return parsed.select("r.*")
+def _headers(lines: DataFrame, skip: int) -> DataFrame:
+    """(file, header, header_at): line ``skip`` + 1 of each file."""
+    start = lines.filter("first").groupBy("file").agg((F.min("at") + skip).alias("header_at"))
+    return (lines.filter("first").withColumnRenamed("file", "f").join(start, (F.col("f") == F.col("file")) & (F.col("at") == F.col("header_at")))
+            .select("file", F.col("value").alias("header"), "header_at"))
 
 
-def scan_schema_drift(spark: SparkSession, paths: list[str], keep: list[str], sep: str = ";",
+def scan_schema_drift(spark: SparkSession, paths: list[str], schema: str, sep: str = ";",
                       order_by: str | None = None) -> DataFrame:
-    """A4: files with different column sets; missing columns become null; then a projection.
-
-    The header of each file is read by Spark (one small job per file path, bounded by the file
-    count, not by the data)."""
-    dfs = [spark.read.option("sep", sep).option("header", True).option("inferSchema", True).csv(p) for p in paths]
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=True)
-    for c in keep:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None))
-    out = out.select(*keep)
+    """A4: files with different column sets; the declared columns by name, absent ones null.
+
+    One job reads the first lines of all files; the files of each distinct header are then one scan."""
+    found: dict[str, list[str]] = {}
+    for r in _headers(_lines(spark, paths), 0).select("header", "file").collect():  # one row for each file
+        found.setdefault(r.header, []).append(r.file)
+    out = None
+    for header in sorted(found):
+        part = by_name(spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).csv(sorted(found[header])), schema)
+        out = part if out is None else out.unionByName(part)
+    out = spark.createDataFrame([], schema) if out is None else out
     return out.orderBy(order_by) if order_by else out
 
 
 def scan_with_preamble(spark: SparkSession, folder: str, schema: str, skip: int = 4, sep: str = ";") -> DataFrame:
-    """A5: drop ``skip`` preamble lines and the header line of each file; header names are cleaned
-    (``#`` removed, trimmed) and matched to the declared schema by position."""
-    t = spark.read.option("wholetext", True).text(folder)
-    rows = t.select(F.explode(F.slice(F.split(F.col("value"), "\r?\n"), skip + 2, 1 << 30)).alias("line"))
-    rows = rows.filter(F.trim("line") != "")
-    return rows.select(F.from_csv("line", schema, {"sep": sep}).alias("r")).select("r.*")
+    """A5: files whose header stands after ``skip`` lines. Header names are cleaned (``#`` removed, trimmed)
+    and matched to the declared columns by name. Files are read line by line in splits, so a quoted line
+    break is not a part of a value here."""
+    lines = _lines(spark, folder)
+    heads = _headers(lines, skip).withColumnRenamed("file", "f")
+    rows = lines.join(heads, F.col("file") == F.col("f")).filter((~F.col("first") | (F.col("at") > F.col("header_at"))) & (F.trim("value") != ""))
+    names = F.transform(F.split("header", re.escape(sep)), lambda c: clean_header(c))
+    rows = rows.select("value", names.alias("names"))
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(MAX_COLUMNS)), {"sep": sep})
+    rows = rows.select("names", cells.alias("c")).select("names", F.array(*[F.col(f"c.c{i}") for i in range(MAX_COLUMNS)]).alias("cells"))
+    out = []
+    for f in T.StructType.fromDDL(schema).fields:
+        at = F.array_position("names", f.name).cast("int")
+        out.append(F.when(at > 0, F.get("cells", at - 1)).cast(f.dataType).alias(f.name))
+    return rows.select(*out)
 
 
 def header_names(spark: SparkSession, folder: str, skip: int = 4, sep: str = ";") -> DataFrame:
     """K9 on the header line that follows the preamble."""
-    t = spark.read.option("wholetext", True).text(folder)
-    head = t.select(F.element_at(F.split(F.col("value"), "\r?\n"), skip + 1).alias("h"))
-    return head.select(F.posexplode(F.split("h", sep)).alias("i", "raw")).select("i", clean_header("raw").alias("name"))
+    heads = _headers(_lines(spark, folder), skip)
+    return heads.select(F.posexplode(F.split("header", re.escape(sep))).alias("i", "raw")).select("i", clean_header("raw").alias("name"))
 
 
 def explode_api_pages(spark: SparkSession, folder: str, item_schema: str, multiline: bool = True) -> DataFrame:
@@ -123,11 +162,11 @@ def explode_api_pages(spark: SparkSession, folder: str, item_schema: str, multil
 
 
 def filter_manifest(spark: SparkSession, folder: str, formats: list[str] | None = None,
-                    departments: list[str] | None = None) -> DataFrame:
+                    departments: list[str] | None = None, multiline: bool = True) -> DataFrame:
     """Catalogue ``{"resources": [...]}`` → resources whose lower(format) is wanted, or whose
     lower(title‖url) contains ``_<dept>`` for a department."""
     schema = "resources array<struct<title string, url string, format string>>"
-    r = (spark.read.schema(schema).option("multiLine", True).json(folder)
+    r = (spark.read.schema(schema).option("multiLine", multiline).json(folder)
          .select(F.explode("resources").alias("r")).select("r.*")
          .withColumn("format", F.coalesce("format", F.lit(""))))
     if formats is not None:
@@ -147,11 +186,13 @@ def read_summary(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def read_clusters_or_fused(spark: SparkSession, clustered_path: str, fused_path: str) -> DataFrame:
-    """The clustered table when it holds data, otherwise the fused table with a null class."""
+    """The clustered table when it is there and holds data, otherwise the fused table with a null class."""
     try:
         c = spark.read.parquet(clustered_path)
-        if not c.isEmpty():
-            return c
-    except Exception:
-        pass
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
+        c = None
+    if c is not None and not c.isEmpty():
+        return c
     return spark.read.parquet(fused_path).withColumn("cluster", F.lit(None).cast("string"))

@@ -58,7 +58,7 @@ def test_nearest_valid_two_points_tie_and_none(spark):
         (-0.5, 0.0, dt.date(2020, 2, 1), 1.0, None),     # tie at 0.5 …
         (0.5, 0.0, dt.date(2020, 2, 1), 2.0, None)],     # … smallest lat wins
         "lat double, lon double, month date, rain double, temp double")
-    out = nearest_valid_join(t, to_long(pts, ["rain", "temp"]), ["rain", "temp"], cell=0.25).orderBy("month").collect()
+    out = nearest_valid_join(t, to_long(pts, ["rain", "temp"]), ["rain", "temp"]).orderBy("month").collect()
     assert out[0]["rain"] == 7.0 and out[0]["temp"] == 5.0
     assert out[1]["rain"] == 1.0 and out[1]["temp"] is None
 
@@ -86,3 +86,23 @@ def test_cumulative_reconstruct_inverts_variation(series):
     d = S.variation_transform(df.withColumn("delta", F.col("level")), ["delta"])
     r = S.cumulative_reconstruct(d, "level", "delta", sign=-1)
     assert column(r, "rebuilt") == pytest.approx([1.0, 4.0, 2.0, 8.0, 5.0])
+
+
+@pytest.mark.parametrize("batches", [(16, 128), (2,)])
+def test_nearest_valid_join_equals_brute_force(spark, batches):
+    import random
+    r = random.Random(4)
+    near = [(r.uniform(0, 3), r.uniform(0, 3)) for _ in range(300)]
+    grid = [(float(x), float(y)) for x in range(6) for y in range(6)]  # ties
+    points = [(la, lo, m, r.random() if r.random() < 0.1 else None, r.random() if m != 2 else None) for la, lo in near + grid for m in (1, 2)]
+    targets = [(i, r.choice([0.5, 1.5, 2.0, r.uniform(0, 4)]), r.choice([0.5, 2.5, r.uniform(0, 4)]), r.choice([1, 2, 3])) for i in range(150)] + [(999, None, 1.0, 1)]
+    pts = spark.createDataFrame(points, "lat double, lon double, month int, rain double, temp double")
+    t = spark.createDataFrame(targets, "id long, lat double, lon double, month int")
+    got = {x.id: (x.rain, x.temp) for x in nearest_valid_join(t, to_long(pts, ["rain", "temp"]), ["rain", "temp"], batches=batches).collect()}
+
+    def best(la, lo, m, col):
+        c = [((la - p[0]) ** 2 + (lo - p[1]) ** 2, p[0], p[1], p[col]) for p in points if p[2] == m and p[col] is not None]
+        return min(c)[3] if c else None
+
+    for i, la, lo, m in targets:
+        assert got[i] == ((None, None) if la is None else (best(la, lo, m, 3), best(la, lo, m, 4)))

@@ -19,6 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lacuna.llm.laws import ln_choose
 from lacuna.session import cut_lineage
 
 BLANK = " \t\n\x0b\f\r"
@@ -83,21 +84,9 @@ def values() -> dict[str, Column]:
             "repeat_word_share": _share(F.col("n_repeat_words"), n), "long_words": mean, "short_words": -mean}
 
 
-def _ln_factorial(x: Column) -> Column:
-    """Stirling's series for x + 11, brought back by ten factors."""
-    z = x + 11.0
-    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * F.pow(z, F.lit(5.0))) - 1 / (1680 * F.pow(z, F.lit(7.0)))
-    top = (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + series
-    low = F.lit(0.0)
-    for i in range(1, 11):
-        low = low + F.ln(x + float(i))
-    return top - low
-
-
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     """P(Binomial(n, p) <= k), summed downward from k; 1 where k is at the mean or above."""
-    log_term = (_ln_factorial(n.cast("double")) - _ln_factorial(k.cast("double")) - _ln_factorial((n - k).cast("double"))
-                + k * math.log(p) + (n - k) * math.log1p(-p))
+    log_term = ln_choose(n, k) + k * math.log(p) + (n - k) * math.log1p(-p)
     least = F.greatest(F.lit(0), k - F.floor(100 + 40 * F.sqrt(n * p))).cast("long")
     total = F.aggregate(
         F.sequence(k.cast("long"), least, F.lit(-1).cast("long")),

@@ -23,9 +23,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lacuna.llm.laws import ln_choose
 from lacuna.session import cut_lineage
 
-CHUNK, SEED, DEVIATIONS = 8192, 20, 12
+CHUNK, SEED, DEVIATIONS, COUNT_FILES = 8192, 20, 12, 8
 
 
 def _uniform(*key) -> Column:
@@ -33,21 +34,6 @@ def _uniform(*key) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*key), 12) + 0.5) / float(1 << 52)
 
 
-def _ln_factorial(x: Column) -> Column:
-    """Stirling's series for x + 11, brought back by ten factors."""
-    z = x + 11.0
-    out = (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * F.pow(z, F.lit(5.0)))
-    product = x + 1.0
-    for i in range(2, 11):
-        product = product * (x + float(i))
-    return out - F.ln(product)
-
-
-def _ln_choose(n: Column, k: Column) -> Column:
-    n, k = n.cast("double"), k.cast("double")
-    return _ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k)
-
-
 def hypergeometric(good: Column, bad: Column, drawn: Column, u: Column) -> Column:
     """Number of good items among ``drawn`` of good + bad, by inversion of u.
 
@@ -62,7 +48,7 @@ def hypergeometric(good: Column, bad: Column, drawn: Column, u: Column) -> Colum
 
 def _drawn(p: Column) -> Column:
     mode = F.least(p.high, F.greatest(p.low, p.mode))
-    at_mode = F.exp(_ln_choose(p.good, mode) + _ln_choose(p.bad, p.drawn - mode) - _ln_choose(p.good + p.bad, p.drawn))
+    at_mode = F.exp(ln_choose(p.good, mode) + ln_choose(p.bad, p.drawn - mode) - ln_choose(p.good + p.bad, p.drawn))
     share = p.good / (p.good + p.bad)
     steps = F.least(p.high - p.low, F.ceil(F.sqrt(p.drawn * share * (1 - share)) * DEVIATIONS + 20))
     start = F.transform(F.array(mode), lambda m: F.struct(p.u.alias("u"), at_mode.alias("up"), at_mode.alias("down"), m.cast("long").alias("x"), m.cast("long").alias("mode")))
@@ -83,7 +69,7 @@ def _drawn(p: Column) -> Column:
 
 def matrix(counts: DataFrame, rows: int, shards: int, seed: int = SEED) -> DataFrame:
     """chunk and ``sends``, the rows that it sends to each shard. ``counts``: chunk (0 …), n."""
-    counts = cut_lineage(counts)
+    counts = cut_lineage(counts.coalesce(COUNT_FILES))  # a row for each chunk, read at every level
     levels = max(0, math.ceil(math.log2(max(1, -(-rows // CHUNK)))))
     sizes = [rows // shards + (1 if s < rows % shards else 0) for s in range(shards)]
     spans = counts.sparkSession.range(1).select(F.lit(0).cast("long").alias("span"), F.array(*[F.lit(s).cast("long") for s in sizes]).alias("sends"))
@@ -99,9 +85,9 @@ def matrix(counts: DataFrame, rows: int, shards: int, seed: int = SEED) -> DataF
             lambda acc, x: _with_draw(acc, x.n, hypergeometric(x.n, acc.all - x.n, acc.left, _uniform(*key(x.s)))),
             lambda acc: acc.out)
         spans = spans.select("span", "sends", first.alias("first"))
-        spans = cut_lineage(spans.select(F.inline(F.array(
+        spans = spans.select(F.inline(F.array(
             F.struct((F.col("span") * 2).alias("span"), F.col("first").alias("sends")),
-            F.struct((F.col("span") * 2 + 1).alias("span"), F.zip_with("sends", "first", lambda a, b: a - b).alias("sends"))))))
+            F.struct((F.col("span") * 2 + 1).alias("span"), F.zip_with("sends", "first", lambda a, b: a - b).alias("sends")))))
     return spans.withColumnRenamed("span", "chunk")
 
 

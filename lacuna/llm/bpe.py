@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KEPT, GROUP, LONG = 600_000, 1_000_000, 256
+KEPT, GROUP, LONG = 500_000, 1_000_000, 256
 
 # one row per token: k is 512 times the word's number plus the position of the token's first byte
 CONTRACT = """
@@ -79,7 +79,7 @@ SELECT doc, flatten(list(ids ORDER BY seq)) AS ids FROM places JOIN known USING
 """
 
 DECODE = """
-SELECT doc, unhex(string_agg(hex, '' ORDER BY seq)) AS bytes FROM places JOIN tokens USING (id) GROUP BY doc ORDER BY doc
+SELECT doc, unhex(array_to_string(list(hex ORDER BY seq), '')) AS bytes FROM places JOIN tokens USING (id) GROUP BY doc ORDER BY doc
 """
 
 
@@ -158,7 +158,7 @@ class Codec:
         if len(self.codes) > KEPT:
             self.forget()
         known = self.codes
-        self._learn(sorted(set(chain.from_iterable(cut)).difference(known)))
+        self._learn(list(set(chain.from_iterable(cut)).difference(known)))
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         codes = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int32, int(sizes.sum()))
         out = self._ask(JOIN_WORDS, places=_places(sizes, code=codes))
@@ -172,9 +172,9 @@ class Codec:
 
 
 def _places(sizes: np.ndarray, **column) -> pa.Table:
-    """Document, place in it and value of every item of documents of these sizes."""
+    """Document, place in order and value of every item of documents of these sizes."""
     return pa.table({"doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                     "seq": np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes), **column})
+                     "seq": np.arange(sizes.sum(), dtype=np.int32), **column})
 
 
 def _full(docs, values, n: int, empty, kind) -> pa.Array:

@@ -25,17 +25,17 @@ def _quality() -> str:
     rejected = ", ".join(f"CASE WHEN {_value(r)} > (SELECT cutoff FROM cut WHERE rule = '{r}' AND cut.lang IS NOT DISTINCT FROM f.lang) THEN '{r}' END"
                          for r in quality.LADDERS)
     return f"""
-WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS words,
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text, {WORDS} AS words,
              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
            FROM documents),
-t AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM w),
-g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS triple FROM t),
-d AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, triple) > 1),
-c AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM d, range(0, 3) r(j) GROUP BY doc_id),
+t AS (SELECT rid, unnest(range(1, len(words) - 1)) AS i, words FROM w),
+g AS (SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS triple FROM t),
+d AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, triple) > 1),
+c AS (SELECT rid, count(DISTINCT i + j) AS n FROM d, range(0, 3) r(j) GROUP BY rid),
 f AS (SELECT w.doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
-      FROM w LEFT JOIN c USING (doc_id)),
+      FROM w LEFT JOIN c USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 s(rule, step, cutoff) AS (VALUES {steps}),
 known AS (SELECT b.* FROM b JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)

@@ -14,7 +14,7 @@ import zlib
 
 import numpy as np
 
-WINDOW, STRIDE, PIECE = 32, 24, 20
+WINDOW, STRIDE, PIECE, FILL = 32, 24, 20, 4
 CHARS, BUCKETS = 256, 8192
 D_CHAR, H_CHAR, D_WORD, H_WORD = 12, 10, 6, 8
 ROWS = 2048
@@ -39,13 +39,14 @@ def windows(ids: np.ndarray) -> np.ndarray:
 
 
 def by_length(words: list[str]):
-    """Positions and character classes (length, rows) of the words of each length."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    """Positions and character classes (length, rows) of the words of about each length; class 0 fills a
+    word up to a multiple of FILL."""
+    sizes = -(-np.fromiter(map(len, words), np.int64, len(words)) // FILL) * FILL
     order = np.argsort(sizes, kind="stable")
     for same in np.split(order, np.nonzero(np.diff(sizes[order]))[0] + 1):
         for at in range(0, len(same), ROWS):
             some = same[at:at + ROWS]
-            points = np.frombuffer("".join([words[i] for i in some]).encode("utf-32-le", "replace"), "<u4")
+            points = np.frombuffer("".join([words[i].ljust(sizes[i], "\0") for i in some]).encode("utf-32-le", "replace"), "<u4")
             points = points.reshape(len(some), -1).T.astype(np.int64)
             yield some, np.where(points < 128, points, 128 + points % 127)
 
@@ -168,7 +169,7 @@ def word_vectors(words: list[str], p) -> np.ndarray:
 class Scorer:
     """Scores texts; keeps the word network's input parts of up to ``cache`` words."""
 
-    def __init__(self, p, cache: int = 400_000, group: int = 150_000):
+    def __init__(self, p, cache: int = 250_000, group: int = 120_000):
         self.p, self.cache, self.group, self.ids = p, cache, group, {}
         self.table = np.zeros((cache + group, 6 * H_WORD), np.float32)
 
@@ -205,11 +206,13 @@ class Scorer:
 
     def scores(self, texts):
         """(position, highest window logit) of the parts of each whole text that has words."""
-        parts, held = [], 0  # of the texts, none over the size of a group; parts of a text overlap by a window
+        parts, held = [], 0  # of the texts, none over the size of a group
         for i, t in enumerate(texts):
             words = pieces(t)
-            step = self.group - WINDOW
-            parts += [(i, words[at:at + self.group]) for at in range(0, max(1, len(words) - WINDOW), step) if words]
+            step = max(1, (self.group - WINDOW) // STRIDE) * STRIDE  # of a text's parts, whose windows are the text's
+            for at in range(0, max(1, len(words) - WINDOW), step):
+                last = at + step >= len(words) - WINDOW
+                parts += [(i, words[at:] if last else words[at:at + step - STRIDE + WINDOW])] if words else []
             held += len(words)
             if held >= self.group:
                 yield from self._some(parts)
@@ -273,7 +276,7 @@ def _gradient(bags: list[list[list[str]]], y: np.ndarray, p):
     return loss, grad
 
 
-def train(texts: list[str], labels: list[int], prior: float, epochs: int = 5, batch: int = 12, rate: float = 0.02,
+def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, batch: int = 12, rate: float = 0.02,
           most: int = 40, least_steps: int = 600, seed: int = 7) -> dict:
     """Parameters fitted with Adam, on at most ``most`` windows of a text in each epoch, drawn anew,
     in at least ``least_steps`` steps.

@@ -1,7 +1,7 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling (see ``birnn``).
 
 The network is fitted in one Spark task on a bounded sample of labelled texts: at most ``SAMPLE``
-rows, up to half of them toxic, drawn in the order of a hash of doc_id, none longer than
+rows, up to two fifths of them toxic, drawn in the order of a hash of doc_id, none longer than
 ``LONGEST`` code points. Only rows whose crc32(doc_id as text) mod 3 is not 1 are drawn. The fitted
 parameters have a fixed size (about 250 KB). Every whole text is then scored over all its overlapping
 windows in Arrow batches; nothing is shuffled.
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lacuna.llm import birnn
 
-SAMPLE, LONGEST = 3000, 12_000
+SAMPLE, LONGEST = 2500, 6_000
 THRESHOLD = 0.7
 
 
@@ -46,8 +46,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | Non
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
     share = known.agg(F.avg("toxic").cast("double").alias("prior")).scalar()
     drawn = F.xxhash64(F.lit("toxicity"), "doc_id")
-    toxic = known.filter("toxic = 1").orderBy(drawn, "doc_id").limit(sample // 2)
-    clean = known.filter("toxic = 0").orderBy(drawn, "doc_id").limit(sample - sample // 2)
+    toxic = known.filter("toxic = 1").orderBy(drawn, "doc_id").limit(2 * sample // 5)
+    clean = known.filter("toxic = 0").orderBy(drawn, "doc_id").limit(sample - 2 * sample // 5)
     chosen = toxic.unionByName(clean)  # at most ``sample`` rows of two numbers
     texts = (docs.filter("doc_id is not null").filter(F.char_length("text") <= LONGEST)
              .select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
@@ -99,4 +99,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
-    return with_scores(docs, fit(docs, labels)).filter(F.col("score") < threshold).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))  # whatever its columns are named
+    return with_scores(whole.select("doc", "doc.text"), fit(docs, labels)).filter(F.col("score") < threshold).select("doc.*")

@@ -1,10 +1,15 @@
 """Secret scans over nested encodings.
 
 Every text is a worklist's first layer. A layer is scanned, then unwrapped: runs of URL escapes and
-Unicode escapes give a layer in which they are decoded, each base64 run that holds text (or bytes in
-gzip, zlib, bz2, xz or zstd form that hold text) gives a layer of its own. New layers join the
-worklist until none is left. A layer equal to one that it came from ends its branch, so cycles stop;
-so do branches beyond ``MAX_BYTES`` decoded bytes of one text, which only growing archives reach.
+Unicode escapes give layers in which they are decoded, with the stretch around them up to characters
+that no secret and no run can cross (``CUT``); each base64 run that holds text (or bytes in gzip, zlib,
+bz2, xz or zstd form that hold text) gives a layer of its own. Archives are read as streams: content
+over ``HELD`` bytes comes as several layers, which meet at such characters, so none of it is left out and
+memory is bounded by that size and the longest stretch without them. New layers join the worklist until
+none is left. A layer that was seen at the same place, or that equals or contains one that it came from,
+ends its branch; so does one that has grown ``GROWN`` times on the way, and an archive within ``GROWN``
+others that are each over ``HELD``: only archives that reproduce or grow themselves do that. There is no
+limit on decoded bytes, unless a caller sets ``MAX_BYTES``: archives with more content are no layers then.
 Each piece of a layer knows where it came from, so every find maps to a span of the whole text.
 
 Rows: a null text counts as empty and has no spans. Repeated rows get equal results, ties (spans
@@ -16,10 +21,14 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import hashlib
+import io
 import lzma
 import re
 import zlib
 from bisect import bisect_right
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -33,10 +42,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs of 24 or more are whole runs, as a ru
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX, LEAST_BASE64 = 6, 20, 24, 16
 
-MAX_BYTES = 64 << 20
+MAX_BYTES = None
+HELD, PIECE, GROWN = 64 << 20, 1 << 20, 64  # bytes held and read at a time, growing layers in a row
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# no match of a pattern holds such a character, or a space between two letters or digits (line breaks may stand in base64)
+CUT = re.compile(r"""[^A-Za-z0-9+/_.=\-"':\x20%\\\r\n]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9])""")
 SPANS = "array<struct<kind:string,start:int,end:int,depth:int>>"
 MARK = "[SECRET]"
 
@@ -64,58 +76,143 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-class _Budget:
-    def __init__(self, left: int):
-        self.left = left
+class _Pieces(io.RawIOBase):
+    """Pieces of bytes as a file."""
 
+    def __init__(self, pieces):
+        self.pieces, self.rest = iter(pieces), b""
+
+    def read(self, size=-1):
+        self.rest = self.rest or next(self.pieces, b"")
+        out, self.rest = self.rest[:size], self.rest[size:]
+        return out
 
-def _inflate(data: bytes, budget: _Budget) -> bytes | None:
-    """The content of an archive, None if it is none or does not fit into the budget."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-        elif len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
-            d = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\0":
-            d = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as r:
-                out = r.read(budget.left + 1)
-            return out if len(out) <= budget.left else None
-        else:
-            return None
-        out = d.decompress(data, budget.left + 1)
-        return out if d.eof and len(out) <= budget.left else None
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
 
+def _decoder(head: bytes):
+    """What makes a reader of the archive that starts so, None if it is none."""
+    if head[:2] == b"\x1f\x8b":
+        return lambda: zlib.decompressobj(31)
+    if len(head) > 2 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor
+    return zstandard.ZstdDecompressor if head[:4] == b"\x28\xb5\x2f\xfd" else None
 
-def as_text(data: bytes, budget: _Budget) -> str | None:
-    """The printable text that the bytes hold, inside any number of archives."""
-    seen = set()
-    while (inner := _inflate(data, budget)) is not None:
-        budget.left -= len(inner)
-        if data in seen or budget.left <= 0:
-            return None
-        seen.add(data)
-        data = inner
+
+def _inflate(make, pieces):
+    """The content of an archive, piece by piece, as far as it can be read."""
     try:
-        text = data.decode("utf-8")
+        if make is zstandard.ZstdDecompressor:
+            with make().stream_reader(_Pieces(pieces), read_across_frames=True) as r:
+                while out := r.read(PIECE):
+                    yield out
+            return
+        d = make()
+        for data in pieces:
+            while not d.eof:
+                out = d.decompress(data, PIECE)
+                if out:
+                    yield out
+                data = getattr(d, "unconsumed_tail", b"")
+                if not data and len(out) < PIECE and getattr(d, "needs_input", True):
+                    break
+            if d.eof:
+                return
+    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+        return
+
+
+def _content(data: bytes):
+    """The bytes inside any number of archives, in pieces; HELD bytes of each archive are held at most."""
+    seen, source, large = set(), [data], 0
+    while make := _decoder(data[:6]):
+        digest = hashlib.blake2b(data).digest()
+        if digest in seen or large > GROWN:
+            return
+        seen.add(digest)
+        inner, parts, n = _inflate(make, source), [], 0
+        while n <= HELD and (part := next(inner, None)):
+            parts.append(part)
+            n += len(part)
+        data = b"".join(parts)
+        large += n > HELD
+        source = chain([data], inner)
+    yield from source
+
+
+def _within(pieces, limit: int):
+    """The pieces, none if they are more than ``limit`` bytes."""
+    held, n = [], 0
+    for piece in pieces:
+        held.append(piece)
+        n += len(piece)
+        if n > limit:
+            return []
+    return held
+
+
+def texts(data: bytes, limit: int | None = None):
+    """The printable text that the bytes hold, inside any number of archives; in parts of about HELD, which end at a CUT."""
+    decode, text, least = codecs.getincrementaldecoder("utf-8")().decode, "", HELD
+    pieces = _content(data)
+    try:
+        for piece in pieces if limit is None else _within(pieces, limit):
+            new = decode(piece)
+            if not _is_text(new):
+                return
+            text += new
+            if len(text) > least:
+                if at := _last_cut(text):
+                    yield text[:at]
+                    text = text[at:]
+                least = max(HELD, 2 * len(text))  # where no cut is near
+        decode(b"", True)
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c.isspace() for c in text) else None
+        return
+    if text:
+        yield text
+
+
+def _last_cut(text: str, end: int | None = None) -> int:
+    """The end of the last cut before ``end``, 0 if there is none."""
+    end, size = len(text) if end is None else end, 4096
+    while True:
+        lo = max(0, end - size)
+        ends = [m.end() for m in CUT.finditer(text[lo:end])]
+        if ends or not lo:
+            return lo + ends[-1] if ends else 0
+        size *= 16
+
+
+def _next_cut(text: str, start: int) -> int:
+    """The start of the first cut from ``start``, the text's end if there is none."""
+    size = 4096
+    while True:
+        if cut := CUT.search(text[start:start + size]):
+            return start + cut.start()
+        if start + size >= len(text):
+            return len(text)
+        size *= 16
 
 
-def _base64(run: str, budget: _Budget) -> str | None:
+def _is_text(text: str) -> bool:
+    return text.isprintable() or "".join(text.split()).isprintable()
+
+
+def as_text(data: bytes, limit: int | None = None) -> str | None:
+    return "".join(texts(data, limit)) or None
+
+
+def _base64(run: str) -> bytes:
     raw = run.rstrip("=").encode("ascii").translate(_SAFE)
     if len(raw) % 4 == 1:
         raw = raw[:-1]
     try:
-        return as_text(base64.b64decode(raw + b"=" * (-len(raw) % 4), validate=True), budget)
+        return base64.b64decode(raw + b"=" * (-len(raw) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return None
+        return b""
 
 
 def _unicode(run: str) -> str | None:
@@ -127,12 +224,29 @@ def _unicode(run: str) -> str | None:
 
 
 class _Layer:
-    """A layer's text; ``pieces`` are (start here, start there, end there, literal) in the layer above."""
+    """A layer's text; ``pieces`` are (start here, start there, end there, literal) in the layer above, kept as in the root."""
 
     def __init__(self, text, above=None, pieces=()):
-        self.text, self.above, self.pieces = text, above, pieces
-        self.starts = [p[0] for p in pieces]
+        self.text, self.above = text, above
+        self.pieces = [p for piece in pieces for p in above.in_root(*piece)] if above else []
+        self.starts = [p[0] for p in self.pieces]
         self.depth = above.depth + 1 if above else 0
+        self.grown = above.grown + (len(text) > len(above.text)) if above else 0
+
+    def in_root(self, here: int, start: int, end: int, literal: bool):
+        """The pieces of the root that a piece of this layer comes from."""
+        if not self.above:
+            return [(here, start, end, literal)]
+        if not literal:
+            return [(here, *self.root_span(start, end), False)]
+        out = []
+        for i in range(bisect_right(self.starts, start) - 1, len(self.pieces)):
+            at, there, there_end, plain = self.pieces[i]
+            if at >= end:
+                break
+            lo, hi = max(at, start), min(self.starts[i + 1] if i + 1 < len(self.starts) else len(self.text), end)
+            out.append((here + lo - start, there + lo - at, there + hi - at, True) if plain else (here + lo - start, there, there_end, False))
+        return out
 
     def known(self, text: str) -> bool:
         layer = self
@@ -142,24 +256,41 @@ class _Layer:
             layer = layer.above
         return False
 
-    def root_span(self, start: int, end: int) -> tuple[int, int]:
+    def grows(self, inner: _Layer) -> bool:
+        """Whether the inner layer holds the whole of a layer that it came from, or has grown too often."""
         layer = self
-        while layer.above:
-            here, there, _, literal = layer.pieces[bisect_right(layer.starts, start) - 1]
-            first = there + (start - here if literal else 0)
-            here, there, there_end, literal = layer.pieces[bisect_right(layer.starts, end - 1) - 1]
-            start, end = first, there + end - here if literal else there_end
+        while layer:
+            if len(inner.text) > len(layer.text) and layer.text in inner.text:
+                return True
             layer = layer.above
-        return start, end
+        return inner.grown > GROWN
+
+    def key(self) -> bytes:
+        """Stands for the text and where each part of it comes from."""
+        return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass") + repr(self.pieces).encode()).digest()
+
+    def root_span(self, start: int, end: int) -> tuple[int, int]:
+        if not self.above:
+            return start, end
+        here, there, _, literal = self.pieces[bisect_right(self.starts, start) - 1]
+        first = there + (start - here if literal else 0)
+        here, there, there_end, literal = self.pieces[bisect_right(self.starts, end - 1) - 1]
+        return first, there + end - here if literal else there_end
 
 
-def _rewritten(layer: _Layer, pattern, decode) -> _Layer | None:
-    """The layer with every run that decodes put in its place."""
-    text, out, pieces, at, here = layer.text, [], [], 0, 0
+def _rewritten(layer: _Layer, pattern, decode):
+    """Layers with every run that decodes put in its place, each with the text around it up to a cut."""
+    text, out, pieces, at, here = layer.text, [], [], None, 0
     for m in pattern.finditer(text):
         new = decode(m[0])
         if not new:
             continue
+        if at is None:
+            at = _last_cut(text, m.start())
+        elif cut := CUT.search(gap := text[at:m.start()]):
+            pieces.append((here, at, at + cut.start(), True))
+            yield _Layer("".join([*out, gap[:cut.start()]]), layer, [p for p in pieces if p[1] < p[2]])
+            out, pieces, here, at = [], [], 0, at + _last_cut(gap)
         if m.start() > at:
             pieces.append((here, at, m.start(), True))
             out.append(text[at:m.start()])
@@ -167,43 +298,54 @@ def _rewritten(layer: _Layer, pattern, decode) -> _Layer | None:
         pieces.append((here, m.start(), m.end(), False))
         out.append(new)
         here, at = here + len(new), m.end()
-    if not pieces:
-        return None
-    if at < len(text):
-        pieces.append((here, at, len(text), True))
-        out.append(text[at:])
-    return _Layer("".join(out), layer, pieces)
+    if pieces:
+        end = _next_cut(text, at)
+        if end > at:
+            pieces.append((here, at, end, True))
+            out.append(text[at:end])
+        yield _Layer("".join(out), layer, pieces)
 
 
-def unwrap(layer: _Layer, budget: _Budget):
+def unwrap(layer: _Layer, limit: int | None = None):
     """The layers inside this one."""
     text = layer.text
     if "%" in text:
-        yield _rewritten(layer, URL, lambda run: as_text(bytes.fromhex(run.replace("%", "")), budget))
+        yield from _rewritten(layer, URL, lambda run: as_text(bytes.fromhex(run.replace("%", "")), limit))
     if "\\u" in text or "\\x" in text:
-        yield _rewritten(layer, UNICODE, _unicode)
+        yield from _rewritten(layer, UNICODE, _unicode)
     if b"\1" * LEAST_BASE64 in text.encode("utf-8", "replace").translate(_BASE64_BYTES):
         for m in BASE64.finditer(text):
             for skip in range(4):  # a prefix of the same characters may shift the blocks
-                if new := _base64(m[0][skip:], budget):
+                some = False
+                for new in texts(_base64(m[0][skip:]), limit):
+                    some = True
                     yield _Layer(new, layer, [(0, m.start() + skip, m.end(), False)])
+                if some:
                     break
 
 
 def scan(text: str | None) -> list[tuple[int, int, int, int]]:
     """(start, kind's number, end, depth) of every secret of the whole text, each span once, ordered."""
-    found, budget = {}, _Budget(MAX_BYTES)
-    work = [_Layer(text or "")]
+    found, seen = {}, {}
+    work = [iter([_Layer(text or "")])]
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if layer.above:
+            if layer.above.known(layer.text):
+                continue
+            key = layer.key()
+            if seen.get(key, layer.depth + 1) <= layer.depth:
+                continue
+            seen[key] = layer.depth
         for start, kind, end in find(layer.text):
             a, b = layer.root_span(start, end)
             found.setdefault((a, kind, b), layer.depth)
             found[a, kind, b] = min(found[a, kind, b], layer.depth)
-        for inner in unwrap(layer, budget):
-            if inner and budget.left > 0 and not layer.known(inner.text):
-                budget.left -= len(inner.text)
-                work.append(inner)
+        if not layer.above or not layer.above.grows(layer):
+            work.append(iter(unwrap(layer, MAX_BYTES)))
     return [(*k, depth) for k, depth in sorted(found.items())]
 
 

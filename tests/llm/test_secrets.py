@@ -96,3 +96,48 @@ def test_redact(spark, odd_docs, no_docs):
     assert rows[1].text == f"a {S.MARK} b" and rows[1].n_chars == len(rows[1].text)
     assert rows[3].text == S.MARK and rows[2].text is None and rows[4].text == "clean é" and rows[4].spans == 9
     assert S.redact(no_docs).count() == 0 and S.redact(odd_docs).columns == odd_docs.columns
+
+
+def test_rewritten_layers_and_archives_have_no_cap(monkeypatch):
+    inner = base64.b64encode(f"deep {KEY}".encode()).decode()
+    words = "lorem ipsum, " * 6_000_000  # 78 MB
+    run = base64.b64encode(gzip.compress((words + KEY + " " + inner).encode(), 1)).decode()
+    spans = S.scan(f"a%20b {run} and {inner}")
+    assert {(a, b) for a, k, b, _ in spans if k == 1} == {(6, 6 + len(run)), (11 + len(run), 11 + len(run) + len(inner))}
+    monkeypatch.setattr(S, "HELD", 1000)
+    monkeypatch.setattr(S, "PIECE", 100)
+    for i in range(40):  # secrets at every place of a part's end
+        text = "some words, " * 80 + "y" * i + f" password = {KEY}{'z' * 1500} and, " * 3 + inner
+        for data in (gzip.compress(text.encode()), bz2.compress(text.encode()), lzma.compress(zlib.compress(text.encode())), zstandard.ZstdCompressor().compress(text.encode())):
+            parts = list(S.texts(data))
+            assert "".join(parts) == text and len(parts) > 1
+            assert sum((S.find(p) for p in parts), []) and sum(len(S.find(p)) for p in parts) == len(S.find(text))
+
+
+def test_rewritten_stretches_equal_the_whole_rewritten_text():
+    r = random.Random(7)
+    bits = ["password", "%3D", "%3A", "=", " ", "  ", ",", "abc", "hunter22", "%41KIA", "\\u0041KIA", KEY[1:], "%20", "\n", "é", "token", "'", "\\x3d", "0" * 12, "%30", "%2541", "%5Cu0041"]
+    for _ in range(3000):
+        text = "".join(r.choice(bits) for _ in range(r.randint(1, 16)))
+        layers = list(S._rewritten(S._Layer(text), S.URL, lambda run: S.as_text(bytes.fromhex(run.replace("%", "")))))
+        found = sorted({(*l.root_span(a, b), k) for l in layers for a, k, b in S.find(l.text)})
+        full = _whole_rewritten(S._Layer(text))
+        if full:
+            outside = {(a, b, k) for a, k, b in S.find(text)}
+            assert {(*full.root_span(a, b), k) for a, k, b in S.find(full.text)} <= set(found) | outside, text
+            assert set(found) <= {(*full.root_span(a, b), k) for a, k, b in S.find(full.text)}, text
+
+
+def _whole_rewritten(layer):
+    pieces, out, at, here = [], "", 0, 0
+    for m in S.URL.finditer(layer.text):
+        new = urllib.parse.unquote(m[0])
+        for lo, hi, piece, literal in ((at, m.start(), layer.text[at:m.start()], True), (m.start(), m.end(), new, False)):
+            if piece:
+                pieces.append((here, lo, hi, literal))
+                out, here = out + piece, here + len(piece)
+        at = m.end()
+    if pieces and at < len(layer.text):
+        pieces.append((here, at, len(layer.text), True))
+        out += layer.text[at:]
+    return S._Layer(out, layer, pieces) if pieces else None

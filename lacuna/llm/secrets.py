@@ -2,8 +2,10 @@
 
 Every text is a worklist's first layer. A layer is scanned, then unwrapped: runs of URL escapes and
 Unicode escapes give layers in which they are decoded, with the stretch around them up to characters
-that no secret and no run can cross (``CUT``); each base64 run that holds text (or bytes in gzip, zlib,
-bz2, xz or zstd form that hold text) gives a layer of its own. Archives are read as streams: content
+that no secret and no run can cross (``CUT``); each base64 run, or block of base64 lines, that holds text
+(or bytes in gzip, zlib, bz2, xz or zstd form that hold text) gives a layer of its own, whatever else its
+bytes are: bytes that are no UTF-8 become U+FFFD, and of a run that is mostly no text (as one that joins a
+path) the stretches that are long enough for a secret, and the archives in it, are layers. Archives are read as streams: content
 over ``HELD`` bytes comes as several layers, which meet at such characters, so none of it is left out and
 memory is bounded by that size and the longest stretch without them. New layers join the worklist until
 none is left. A layer that was seen at the same place, or that equals or contains one that it came from,
@@ -23,7 +25,6 @@ import binascii
 import bz2
 import codecs
 import hashlib
-import io
 import lzma
 import re
 import zlib
@@ -49,6 +50,12 @@ UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # no match of a pattern holds such a character, or a space between two letters or digits (line breaks may stand in base64)
 CUT = re.compile(r"""[^A-Za-z0-9+/_.=\-"':\x20%\\\r\n]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9])""")
+# base64 lines with one line break between them
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[A-Za-z0-9+/_-]++)++={0,2}")
+# in decoded bytes: what may hold a secret (the shortest has 12 characters), and the starts of archives
+STRETCH = re.compile(rb"""[A-Za-z0-9+/_.=\-"':\x20%\\\r\n]{12,}""")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+CONTROL = bytes(c for c in range(128) if not chr(c).isprintable() and not chr(c).isspace())
 SPANS = "array<struct<kind:string,start:int,end:int,depth:int>>"
 MARK = "[SECRET]"
 
@@ -76,70 +83,88 @@ def find(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-class _Pieces(io.RawIOBase):
-    """Pieces of bytes as a file."""
+class _Zstd:
+    """One zstd frame, by the methods of the other decompressors."""
 
-    def __init__(self, pieces):
-        self.pieces, self.rest = iter(pieces), b""
+    def __init__(self):
+        self.d, self.rest = zstandard.ZstdDecompressor().decompressobj(), b""
 
-    def read(self, size=-1):
-        self.rest = self.rest or next(self.pieces, b"")
-        out, self.rest = self.rest[:size], self.rest[size:]
-        return out
+    eof = property(lambda self: self.d.eof)
+    unused_data = property(lambda self: self.d.unused_data + self.rest)
+    needs_input = property(lambda self: not self.rest)
+
+    def decompress(self, data: bytes, size: int) -> bytes:
+        data, self.rest = self.rest + data, b""
+        data, self.rest = data[:256], data[256:]  # a block of four bytes may stand for 128 KB
+        return self.d.decompress(data)
 
 
 def _decoder(head: bytes):
     """What makes a reader of the archive that starts so, None if it is none."""
     if head[:2] == b"\x1f\x8b":
         return lambda: zlib.decompressobj(31)
-    if len(head) > 2 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
+    if len(head) > 1 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
         return zlib.decompressobj
     if head[:3] == b"BZh":
         return bz2.BZ2Decompressor
     if head[:6] == b"\xfd7zXZ\0":
         return lzma.LZMADecompressor
-    return zstandard.ZstdDecompressor if head[:4] == b"\x28\xb5\x2f\xfd" else None
+    return _Zstd if head[:4] == b"\x28\xb5\x2f\xfd" else None
 
 
-def _inflate(make, pieces):
-    """The content of an archive, piece by piece, as far as it can be read."""
+def _inflate(make, pieces, ends: list):
+    """The content of an archive and its further members, piece by piece, as far as it can be read, then the
+    bytes that follow; ``ends`` gets an item if it could be read to the end."""
     try:
-        if make is zstandard.ZstdDecompressor:
-            with make().stream_reader(_Pieces(pieces), read_across_frames=True) as r:
-                while out := r.read(PIECE):
-                    yield out
-            return
-        d = make()
+        pieces, d = iter(pieces), make()
         for data in pieces:
-            while not d.eof:
+            while True:
                 out = d.decompress(data, PIECE)
                 if out:
                     yield out
+                if d.eof:
+                    rest = d.unused_data.lstrip(b"\0")
+                    while len(rest) < 6 and (more := next(pieces, b"")):
+                        rest = (rest + more).lstrip(b"\0")
+                    if not (make := _decoder(rest[:6])):
+                        ends.append(True)
+                        if rest:
+                            yield b"\xff" + rest
+                        yield from pieces
+                        return
+                    data, d = rest, make()
+                    continue
                 data = getattr(d, "unconsumed_tail", b"")
                 if not data and len(out) < PIECE and getattr(d, "needs_input", True):
                     break
-            if d.eof:
-                return
     except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
         return
 
 
 def _content(data: bytes):
-    """The bytes inside any number of archives, in pieces; HELD bytes of each archive are held at most."""
-    seen, source, large = set(), [data], 0
+    """The bytes inside any number of archives, in pieces; HELD bytes of each archive are held at most. What is
+    no whole archive comes as it stands too, after the part that could be read."""
+    seen, source, large, broken = set(), [data], 0, ()
     while make := _decoder(data[:6]):
         digest = hashlib.blake2b(data).digest()
         if digest in seen or large > GROWN:
             return
         seen.add(digest)
-        inner, parts, n = _inflate(make, source), [], 0
-        while n <= HELD and (part := next(inner, None)):
-            parts.append(part)
-            n += len(part)
-        data = b"".join(parts)
-        large += n > HELD
-        source = chain([data], inner)
-    yield from source
+        ends, parts, n, last = [], [], 0, None
+        inner = _inflate(make, source, ends)
+        while n <= HELD and (last := next(inner, None)):
+            parts.append(last)
+            n += len(last)
+        whole = [data] if isinstance(source, list) else chain([data], source)  # of an iterator only data was taken when it fails
+        if not n:
+            yield from chain(whole, broken)
+            return
+        if last is None and not ends:
+            broken = chain([b"\xff"], whole, broken)
+        data, held = b"".join(parts), last is None
+        large += not held
+        source = [data] if held else chain([data], inner)
+    yield from chain(source, broken)
 
 
 def _within(pieces, limit: int):
@@ -154,23 +179,17 @@ def _within(pieces, limit: int):
 
 
 def texts(data: bytes, limit: int | None = None):
-    """The printable text that the bytes hold, inside any number of archives; in parts of about HELD, which end at a CUT."""
-    decode, text, least = codecs.getincrementaldecoder("utf-8")().decode, "", HELD
+    """The text that the bytes hold, inside any number of archives; in parts of about HELD, which end at a CUT."""
+    decode, text, least = codecs.getincrementaldecoder("utf-8")("replace").decode, "", HELD
     pieces = _content(data)
-    try:
-        for piece in pieces if limit is None else _within(pieces, limit):
-            new = decode(piece)
-            if not _is_text(new):
-                return
-            text += new
-            if len(text) > least:
-                if at := _last_cut(text):
-                    yield text[:at]
-                    text = text[at:]
-                least = max(HELD, 2 * len(text))  # where no cut is near
-        decode(b"", True)
-    except UnicodeDecodeError:
-        return
+    for piece in pieces if limit is None else _within(pieces, limit):
+        text += decode(piece)
+        if len(text) > least:
+            if at := _last_cut(text):
+                yield text[:at]
+                text = text[at:]
+            least = max(HELD, 2 * len(text))  # where no cut is near
+    text += decode(b"", True)
     if text:
         yield text
 
@@ -197,10 +216,6 @@ def _next_cut(text: str, start: int) -> int:
         size *= 16
 
 
-def _is_text(text: str) -> bool:
-    return text.isprintable() or "".join(text.split()).isprintable()
-
-
 def as_text(data: bytes, limit: int | None = None) -> str | None:
     return "".join(texts(data, limit)) or None
 
@@ -215,12 +230,9 @@ def _base64(run: str) -> bytes:
         return b""
 
 
-def _unicode(run: str) -> str | None:
+def _unicode(run: str) -> str:
     points = [int(x, 16) for x in re.findall(r"\\[ux]([0-9A-Fa-f]+)", run)]
-    try:
-        return b"".join(p.to_bytes(2, "little") for p in points).decode("utf-16-le")
-    except UnicodeDecodeError:
-        return None
+    return b"".join(p.to_bytes(2, "little") for p in points).decode("utf-16-le", "replace")
 
 
 class _Layer:
@@ -315,13 +327,58 @@ def unwrap(layer: _Layer, limit: int | None = None):
         yield from _rewritten(layer, UNICODE, _unicode)
     if b"\1" * LEAST_BASE64 in text.encode("utf-8", "replace").translate(_BASE64_BYTES):
         for m in BASE64.finditer(text):
-            for skip in range(4):  # a prefix of the same characters may shift the blocks
-                some = False
-                for new in texts(_base64(m[0][skip:]), limit):
-                    some = True
-                    yield _Layer(new, layer, [(0, m.start() + skip, m.end(), False)])
-                if some:
-                    break
+            yield from _decoded(layer, [(m.start(), m[0])], limit)
+        for m in WRAPPED.finditer(text):
+            yield from _decoded(layer, [(m.start() + x.start(), x[0]) for x in re.finditer(r"[^\r\n]+", m[0])], limit)
+
+
+def _decoded(layer: _Layer, lines: list[tuple[int, str]], limit: int | None):
+    """The layers in a base64 run that stands in one or more lines (start, characters)."""
+    run, first = "".join(x for _, x in lines), [0]
+    for _, x in lines:
+        first.append(first[-1] + len(x))
+    end = lines[-1][0] + len(lines[-1][1])
+
+    def place(i: int) -> int:
+        line = bisect_right(first, i, 0, len(lines)) - 1
+        return lines[line][0] + i - first[line]
+
+    rough = []
+    for skip in range(4):  # a prefix of the same characters may shift the blocks
+        data = _base64(run[skip:])
+        if _decoder(data[:6]):
+            for new in texts(data, limit):
+                yield _Layer(new, layer, [(0, place(skip), end, False)])
+            continue
+        text = data.decode("utf-8", "replace")
+        bad = text.count("\ufffd") + len(data) - len(data.translate(None, CONTROL))
+        if text and bad <= len(text) // 10:
+            yield _Layer(text, layer, _by_line(data, lines, first) if skip == 0 else [(0, place(skip), end, False)])
+            if not bad:
+                return
+        else:
+            rough.append((skip, data))
+    for skip, data in rough:
+        for m in STRETCH.finditer(data):
+            last = skip + (m.end() - 1) // 3 * 4 + (m.end() - 1) % 3 + 1
+            yield _Layer(m[0].decode("ascii"), layer, [(0, place(skip + m.start() // 3 * 4 + m.start() % 3), end if m.end() == len(data) else place(last) + 1, False)])
+        for m in MAGIC.finditer(data):
+            if next(_inflate(_decoder(m[0][:6]), [data[m.start():m.start() + (1 << 20)]], []), None):
+                for new in texts(data[m.start():], limit):
+                    yield _Layer(new, layer, [(0, place(skip + m.start() // 3 * 4 + m.start() % 3), end, False)])
+
+
+def _by_line(data: bytes, lines: list[tuple[int, str]], first: list[int]):
+    """The pieces of a decoded block, one for each line if no byte stands in two lines."""
+    if len(lines) == 1 or any(x % 4 for x in first[:-1]):
+        return [(0, lines[0][0], lines[-1][0] + len(lines[-1][1]), False)]
+    decode, here, out = codecs.getincrementaldecoder("utf-8")("replace").decode, 0, []
+    for k, (start, x) in enumerate(lines):
+        new = len(decode(data[first[k] // 4 * 3:first[k + 1] // 4 * 3 if k + 1 < len(lines) else None], k + 1 == len(lines)))
+        if new:
+            out.append((here, start, start + len(x), False))
+            here += new
+    return out
 
 
 def scan(text: str | None) -> list[tuple[int, int, int, int]]:

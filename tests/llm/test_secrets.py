@@ -141,3 +141,43 @@ def _whole_rewritten(layer):
         pieces.append((here, at, len(layer.text), True))
         out += layer.text[at:]
     return S._Layer(out, layer, pieces) if pieces else None
+
+
+def test_layers_that_are_not_all_printable_text():
+    code = lambda x: base64.b64encode(x).decode()
+    for odd in (b"\xef\xbb\xbf", "\u200d".encode(), "\u200b".encode(), "\xad".encode(), b"\0", b"\xff"):
+        payload = b"some words " + odd + f" and password={KEY} end".encode()
+        for run in (code(payload), code(odd + payload), code(gzip.compress(payload)), code(zlib.compress(payload))):
+            assert ("access", run, 1) in found(f"a {run} b"), (odd, run)
+        assert any(k == "access" for k, _, _ in found("".join(f"%{c:02x}" for c in payload)))
+    assert any(k == "access" for k, _, _ in found("\\ud800" + "".join(f"\\u{ord(c):04x}" for c in f" {KEY} ")))
+    for text in ("x = password=hunter22 and more", "BZhello password=hunter22", "x} token=abcdefgh, all of it"):  # starts like an archive
+        assert ("assign", code(text.encode()), 1) in found(code(text.encode()))
+
+
+def test_runs_joined_to_other_characters():
+    for n in range(8):
+        for payload in (f"password={KEY}{'z' * n}", f"{{\"id\": {n}, \"password\": \"hunter22\"}}"):
+            run = base64.b64encode(payload.encode()).decode()
+            for prefix in ("https://h.example/config/prod/", "some-longer_name-", "abcde"):
+                spans = [x for k, x, _ in found(f"see {prefix}{run} now") if k == "assign"]
+                assert spans, (prefix, payload)
+                assert all(x.rstrip("=") in f"{prefix}{run}" for x in spans)
+        for make in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+            run = base64.urlsafe_b64encode(make(f"the token: {KEY}{'z' * n}".encode())).decode()
+            assert ("access", run, 1) in found(f"https://h.example/config/prod/{run} now"), make
+    assert ("assign", base64.b64encode(b"password=hunter22").decode(), 1) in found("https://h.example/config/prod/" + base64.b64encode(b"password=hunter22").decode())
+
+
+def test_wrapped_lines_and_members():
+    payload = ("many words of a letter, " * 5 + f"password = {KEY}, " + "and more words " * 9).encode()
+    for data in (payload, gzip.compress(payload), lzma.compress(payload)):
+        run = base64.b64encode(data).decode()
+        for width in (64, 76):
+            for newline in ("\n", "\r\n"):
+                block = newline.join(run[i:i + width] for i in range(0, len(run), width))
+                assert any(k == "access" for k, _, _ in found(f"-----\n{block}\n-----")), (width, newline)
+    for make in (gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress):
+        run = base64.b64encode(make(b"nothing here") + make(b"nor here") + make(f"but {KEY} is".encode())).decode()
+        assert found(run) == [("access", run, 1)], make
+    assert found("q" * 100 + " plain prose without secrets\n" + "bcdefghijklmnopqrstuv\nword after it") == []

@@ -38,6 +38,15 @@ def windows(ids: np.ndarray) -> np.ndarray:
     return ids[starts(len(ids))[:, None] + np.arange(min(WINDOW, len(ids)))]
 
 
+def drawn_windows(text: str, most: int, seed: int) -> list[str]:
+    """At most ``most`` windows, drawn without replacement from those of the whole text, words joined by spaces."""
+    words = pieces(text)
+    at = starts(len(words)) if words else np.array([], int)
+    if len(at) > most:
+        at = np.sort(np.random.default_rng(seed).choice(at, most, replace=False))
+    return [" ".join(words[s:s + WINDOW]) for s in at]
+
+
 def by_length(words: list[str]):
     """Positions and character classes (length, rows) of the words of about each length; class 0 fills a
     word up to a multiple of FILL."""
@@ -228,11 +237,16 @@ class Scorer:
             yield from zip((i for i, _ in parts[at:end]), self._flush([w for _, w in parts[at:end]]))
             at = end
 
-    def __call__(self, texts: list) -> np.ndarray:
-        """Calibrated score of each whole text; a text without words scores 0."""
+    def highest(self, texts: list) -> np.ndarray:
+        """Highest window logit of each whole text, -inf for a text without words."""
         best = np.full(len(texts), -np.inf)
         for i, x in self.scores(texts):
             best[i] = max(best[i], x)
+        return best
+
+    def __call__(self, texts: list) -> np.ndarray:
+        """Calibrated score of each whole text; a text without words scores 0."""
+        best = self.highest(texts)
         a, b = self.p["scale"].astype(np.float64)
         return np.where(np.isinf(best), 0.0, _sigmoid(a * np.where(np.isinf(best), 0, best) + b))
 
@@ -276,17 +290,13 @@ def _gradient(bags: list[list[list[str]]], y: np.ndarray, p):
     return loss, grad
 
 
-def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, batch: int = 12, rate: float = 0.02,
+def train(bags: list[list[str]], labels: list[int], epochs: int = 4, batch: int = 12, rate: float = 0.02,
           most: int = 40, least_steps: int = 600, seed: int = 7) -> dict:
-    """Parameters fitted with Adam, on at most ``most`` windows of a text in each epoch, drawn anew,
-    in at least ``least_steps`` steps.
-
-    A fifth of the texts sets the calibration; ``prior`` is the share of label 1 among all labels.
+    """Parameters fitted with Adam to texts, each a list of windows (see ``drawn_windows``), on at most
+    ``most`` windows of a text in each epoch, drawn anew, in at least ``least_steps`` steps; not calibrated.
     """
-    r, y = np.random.default_rng(seed), np.array(labels, np.int64)
-    p, docs = new_parameters(seed), [pieces(t) for t in texts]
-    held = np.arange(len(docs)) % 5 == 4 if min(np.bincount(y, minlength=2)) >= 40 else np.zeros(len(docs), bool)
-    fit = np.nonzero(~held & np.array([len(d) > 0 for d in docs]))[0]
+    r, y, p = np.random.default_rng(seed), np.array(labels, np.int64), new_parameters(seed)
+    fit = np.nonzero([len(b) > 0 for b in bags])[0]
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     rounds = -(-len(fit) // batch)
     epochs = max(epochs, -(-least_steps // max(rounds, 1)))
@@ -294,12 +304,9 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, ba
     for _ in range(epochs):
         order = r.permutation(fit)
         for at in range(0, len(order), batch):
-            some, bags = order[at:at + batch], []
-            for i in some:
-                at_ = starts(len(docs[i]))
-                at_ = at_ if len(at_) <= most else r.choice(at_, most, replace=False)
-                bags.append([docs[i][s:s + WINDOW] for s in at_])
-            _, grad = _gradient(bags, y[some], p)
+            some = order[at:at + batch]
+            drawn = [bags[i] if len(bags[i]) <= most else [bags[i][k] for k in r.choice(len(bags[i]), most, replace=False)] for i in some]
+            _, grad = _gradient([[window.split(" ") for window in bag] for bag in drawn], y[some], p)
             step += 1
             norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
             now = rate * (1 - 0.9 * step / total) * min(1, step / 20)
@@ -308,15 +315,13 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 4, ba
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.99 * v[k] + 0.01 * g * g
                 p[k] -= (now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
-    use = np.nonzero(held)[0] if held.any() else fit
-    p["scale"] = _calibration(p, [texts[i] for i in use], y[use], prior)
     return p
 
 
-def _calibration(p, texts, y, prior) -> np.ndarray:
-    """Slope and offset of a logistic curve over the highest window logit, weighted to ``prior``."""
-    x = Scorer({**p, "scale": np.array([1.0, 0.0], np.float32)})(texts).clip(1e-9, 1 - 1e-9)
-    x = np.log(x / (1 - x))
+def calibration(x, y, prior: float) -> np.ndarray:
+    """Slope and offset of a logistic curve over the highest window logits of whole texts, weighted to
+    ``prior``, the share of label 1 among all labels."""
+    x, y = np.clip(np.asarray(x, np.float64), -20, 20), np.asarray(y, np.int64)
     share = y.mean()
     if 0 < share < 1 and 0 < prior < 1:
         weight = np.where(y > 0, prior / share, (1 - prior) / (1 - share))

@@ -1,14 +1,16 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling (see ``birnn``).
 
 The network is fitted in one Spark task on a bounded sample of labelled texts: at most ``SAMPLE``
-rows, up to two fifths of them toxic, drawn in the order of a hash of doc_id, none longer than
-``LONGEST`` code points. Only rows whose crc32(doc_id as text) mod 3 is not 1 are drawn. The fitted
-parameters have a fixed size (about 250 KB). Every whole text is then scored over all its overlapping
-windows in Arrow batches; nothing is shuffled.
+of those that ``docs`` holds, up to two fifths of them toxic, drawn in the order of a hash of doc_id.
+Texts of any length take part: the task gets at most ``WINDOWS`` windows of each, drawn from the whole
+text. Only rows whose crc32(doc_id as text) mod 3 is not 1 are drawn. A fifth of the sample is not fitted
+but sets the calibration, by the highest logit over all windows of each whole text, as in scoring. The
+fitted parameters have a fixed size (about 250 KB). Every whole text is then scored over all its
+overlapping windows in Arrow batches; only doc_ids and the sample's texts are shuffled.
 
 Rows: null and word-free texts score 0. If the sample lacks one of the two labels, all score 0.
 Repeated label rows of a doc_id count once, a row marked toxic first; labels that are null don't
-count. Repeated documents get equal scores. A null doc_id is never held out and never drawn.
+count. Repeated documents get equal scores; of different texts of a doc_id the smallest is drawn. A null doc_id is never held out and never drawn.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lacuna.llm import birnn
+from lacuna.session import cut_lineage
 
-SAMPLE, LONGEST = 2500, 6_000
+SAMPLE, WINDOWS = 2500, 80
 THRESHOLD = 0.7
 
 
@@ -44,26 +47,48 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | Non
     """The fitted parameters, None if the sample lacks a label."""
     known = (labels.filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
-    share = known.agg(F.avg("toxic").cast("double").alias("prior")).scalar()
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null").filter(F.col("text").rlike(r"\S"))
+    have = cut_lineage(known.join(named.select("doc_id").distinct(), "doc_id", "left_semi"))
     drawn = F.xxhash64(F.lit("toxicity"), "doc_id")
-    toxic = known.filter("toxic = 1").orderBy(drawn, "doc_id").limit(2 * sample // 5)
-    clean = known.filter("toxic = 0").orderBy(drawn, "doc_id").limit(sample - 2 * sample // 5)
-    chosen = toxic.unionByName(clean)  # at most ``sample`` rows of two numbers
-    texts = (docs.filter("doc_id is not null").filter(F.char_length("text") <= LONGEST)
-             .select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-             .withColumn("prior", share))
+    toxic = have.filter("toxic = 1").orderBy(drawn, "doc_id").limit(2 * sample // 5)
+    clean = have.filter("toxic = 0").orderBy(drawn, "doc_id").limit(sample - 2 * sample // 5)
+    chosen = sorted((r.doc_id, int(r.toxic)) for r in toxic.unionByName(clean).collect())  # at most ``sample`` rows of two numbers
+    found = np.bincount([y for _, y in chosen], minlength=2)
+    if not found.all():
+        return None
+    prior = known.agg(F.avg("toxic").cast("double")).first()[0]
+    order = np.random.default_rng(1).permutation(len(chosen))
+    some = found.min() >= 40  # otherwise all are fitted and calibrated on
+    rows = [(*chosen[i], place, not some or place % 5 != 4, not some or place % 5 == 4) for place, i in enumerate(order)]
+    part = docs.sparkSession.createDataFrame(rows, "doc_id long, toxic int, place int, fitted boolean, calibrated boolean")
+    texts = (named.join(F.broadcast(part), "doc_id").groupBy("doc_id", "toxic", "place", "fitted", "calibrated")
+             .agg(F.min("text").alias("text")))
+
+    def windows(batches):
+        for b in batches:
+            drawn = [birnn.drawn_windows(t, WINDOWS, doc_id % 2**63) for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("place"), b.column("toxic"), pa.array(drawn, pa.list_(pa.string()))], ["place", "toxic", "windows"])
 
     def run(batches):
-        rows = pa.Table.from_batches(list(batches)).to_pylist()
-        rows = sorted({r["doc_id"]: r for r in sorted(rows, key=lambda r: r["text"], reverse=True)}.values(), key=lambda r: r["doc_id"])
-        found = np.bincount([r["toxic"] for r in rows], minlength=2) if rows else np.zeros(2)
-        if found.all():
-            order = np.random.default_rng(1).permutation(len(rows))
-            p = birnn.train([rows[i]["text"] for i in order], [rows[i]["toxic"] for i in order], rows[0]["prior"])
-            yield pa.RecordBatch.from_arrays([pa.array([_pack(p)], pa.binary())], ["model"])
-
-    fitted = texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), "prior").repartition(1).mapInArrow(_guarded(run), "model binary").collect()
-    return bytes(fitted[0]["model"]) if fitted else None
+        rows = sorted(pa.Table.from_batches(list(batches)).to_pylist(), key=lambda r: r["place"])
+        p = birnn.train([r["windows"] for r in rows], [r["toxic"] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([_pack(p)], pa.binary())], ["model"])
+
+    bags = texts.filter("fitted").select("doc_id", "place", "toxic", "text").mapInArrow(windows, "place int, toxic int, windows array<string>")
+    p = _unpack(bytes(bags.repartition(1).mapInArrow(_guarded(run), "model binary").collect()[0]["model"]))
+    shared = docs.sparkSession.sparkContext.broadcast(_pack(p))
+
+    def logits(batches):
+        scorer = birnn.Scorer(_unpack(shared.value))
+        for b in batches:
+            x = scorer.highest(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("place"), b.column("toxic"), pa.array(x, pa.float64())], ["place", "toxic", "x"])
+
+    held = texts.filter("calibrated").select("place", "toxic", "text").mapInArrow(logits, "place int, toxic int, x double")
+    held = sorted((r.place, r.toxic, r.x) for r in held.collect() if np.isfinite(r.x))  # at most ``sample`` rows of three numbers
+    if held:
+        p["scale"] = birnn.calibration([x for *_, x in held], [y for _, y, _ in held], prior)
+    return _pack(p)
 
 
 def _guarded(run):

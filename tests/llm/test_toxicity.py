@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lacuna.llm import birnn as B, queries, toxicity as T
 
@@ -79,3 +80,18 @@ def test_odd_rows(spark, odd_docs, odd_labels, no_docs):
     assert T.toxicity(no_docs, odd_labels).count() == 0
     assert T.toxicity(odd_docs, odd_labels.limit(0)).filter("score != 0 or predicted != 0").count() == 0
     assert T.clean(odd_docs, odd_labels).columns == odd_docs.columns
+
+
+def test_long_and_missing_labelled_texts(spark):
+    """All toxic texts are long, and many labels have no document."""
+    pool = texts(1500, 8)
+    clean, toxic = [t for t, y in pool if not y], [t for t, y in pool if y]
+    rows = [(i, clean[i], 0) for i in range(300)]
+    rows += [(1000 + i, " ".join(clean[(7 * i + k) % 900 + 50] for k in range(30)) + " " + toxic[i], 1) for i in range(60)]
+    rows += [(2000 + i, " ".join(clean[(11 * i + k) % 900 + 50] for k in range(30)), 0) for i in range(60)]
+    assert min(len(t) for i, t, _ in rows if i >= 1000) > 6000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int").repartition(4)
+    labels = docs.select("doc_id", F.col("y").alias("toxic")).union(spark.range(10_000, 20_000).select("id", (F.col("id") % 2).cast("int")))
+    found = T.toxicity(docs.drop("y"), labels).join(docs.select("doc_id", "y"), "doc_id").filter("held_out").collect()
+    assert len(found) > 100 and sum(r.predicted == r.y for r in found) >= 0.9 * len(found)
+    assert sum(r.predicted for r in found if r.y) >= 0.7 * sum(r.y for r in found)

@@ -5,6 +5,8 @@ runs DuckDB over bounded groups of them. A word's bytes are token-position rows.
 joins each row and its successor with the merge table and contracts, in every word at once, the
 leftmost pair of the lowest rank, until no word has a pair left. Ordered aggregation puts the words'
 ids into document order, and a second query decodes the ids by an ordered aggregation of their bytes.
+Both see a text in segments of at most ``SEGMENT`` words or ids, a few at a time, which Arrow joins again,
+so DuckDB's memory does not grow with a text.
 
 Words over ``LONG`` bytes contract, per step, all occurrences of their lowest pair from left to right,
 where no pair that this creates has a lower rank still, which gives the same ids in fewer steps;
@@ -13,7 +15,8 @@ otherwise only the leftmost.
 Rows: a null text counts as empty; an empty text has no ids and decodes to no bytes. Repeated rows
 get equal results. The tokenizer file is a parameter; its rows (1 MB) are read by the driver and
 broadcast. A worker process keeps the ids of
-up to ``KEPT`` words and then forgets them all, so memory is bounded.
+up to ``KEPT`` words and then forgets them all. The rows of a group, at least one whole text, its words and
+its ids are held in memory by the task.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KEPT, GROUP, LONG = 500_000, 1_000_000, 256
+KEPT, GROUP, LONG, SEGMENT = 500_000, 1_000_000, 256, 250_000
 
 # one row per token: k is 512 times the word's number plus the position of the token's first byte
 CONTRACT = """
@@ -155,20 +158,49 @@ class Codec:
     def encode(self, texts: list[str]) -> pa.Array:
         """Ids of each whole text."""
         cut = [self.pattern.findall(t) for t in texts]
+        words = list(chain.from_iterable(cut))
+        return self._joined(JOIN_WORDS, "ids", np.fromiter(map(len, cut), np.int64, len(cut)), lambda lo, hi: self._numbers(words[lo:hi]), "code")
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' codes in ``known``."""
         if len(self.codes) > KEPT:
             self.forget()
-        known = self.codes
-        self._learn(list(set(chain.from_iterable(cut)).difference(known)))
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int32, int(sizes.sum()))
-        out = self._ask(JOIN_WORDS, places=_places(sizes, code=codes))
-        return _full(out.column("doc"), out.column("ids"), len(texts), [], pa.list_(pa.int32()))
+        new, held = [], 0
+        for w in set(words).difference(self.codes):
+            new.append(w)
+            held += len(w)
+            if held >= GROUP:
+                self._learn(new)
+                new, held = [], 0
+        self._learn(new)
+        return np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The bytes that the ids stand for."""
         sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-        out = self._ask(DECODE, places=_places(sizes, id=ids.flatten()))
-        return _full(out.column("doc"), out.column("bytes"), len(ids), b"", pa.binary())
+        return self._joined(DECODE, "bytes", sizes, lambda lo, hi: ids.flatten().slice(lo, hi - lo), "id")
+
+    def _joined(self, sql: str, name: str, sizes: np.ndarray, items, column: str) -> pa.Array:
+        """The query's value of each document of these sizes, asked for segment by segment; ``items`` gives the items from a place to a place."""
+        kind, empty = (pa.list_(pa.int32()), []) if name == "ids" else (pa.binary(), b"")
+        parts, at, n = [], 0, -(-sizes // SEGMENT)  # of each document
+        segments = np.full(int(n.sum()), SEGMENT, np.int64)
+        last = np.cumsum(n)[n > 0] - 1
+        segments[last] = sizes[n > 0] - (n[n > 0] - 1) * SEGMENT
+        lo = 0
+        while lo < len(segments):
+            hi, held = lo, 0
+            while hi < len(segments) and (hi == lo or held + segments[hi] <= 4 * SEGMENT):
+                held, hi = held + int(segments[hi]), hi + 1
+            out = self._ask(sql, places=_places(segments[lo:hi], **{column: items(at, at + held)}))
+            parts.append(_full(out.column("doc"), out.column(name), hi - lo, empty, kind))
+            at, lo = at + held, hi
+        whole = pa.concat_arrays(parts) if parts else pa.array([], kind)
+        offsets = whole.offsets.to_numpy() if name == "ids" else np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1] if len(whole) else np.zeros(1, np.int32)
+        ends = np.ascontiguousarray(offsets[np.concatenate([[0], np.cumsum(n)])], np.int32)
+        if name == "ids":
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), whole.values)
+        return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(ends), whole.buffers()[2] if len(whole) else pa.py_buffer(b"")])
 
 
 def _places(sizes: np.ndarray, **column) -> pa.Table:

@@ -88,3 +88,32 @@ def test_groups_never_cut_a_row():
     runs = list(bpe._groups(sizes))
     assert [x for lo, hi in runs for x in range(lo, hi)] == list(range(6))
     assert pa.array(sizes)[1].as_py() > bpe.GROUP
+
+
+def test_segments_of_a_text(monkeypatch, codec, reference):
+    monkeypatch.setattr(bpe, "SEGMENT", 3)
+    texts = ["", "one two three four five six seven", "", "one", "a b c", "a b c d", "日本語🙂 é " * 9, ""]
+    ids = codec.encode(texts)
+    assert ids.to_pylist() == [reference.encode_ordinary(t) for t in texts]
+    assert [b.decode() for b in codec.decode(ids).to_pylist()] == texts
+    assert codec.decode(ids.slice(1, 4)).to_pylist() == [t.encode() for t in texts[1:5]]
+    assert codec.encode([]).to_pylist() == codec.encode(["", ""])[:0].to_pylist() == []
+    assert codec.encode(["", ""]).to_pylist() == [[], []] and codec.decode(codec.encode(["", ""])).to_pylist() == [b"", b""]
+
+
+def test_text_of_ten_million_words(codec):
+    n = 10_000_000
+    one = codec.encode([" the quick brown fox"])[0].as_py()
+    ids = codec.encode([" the quick brown fox" * (n // 4), "end"])
+    assert len(ids[0]) == n // 4 * len(one) and ids.flatten()[:8].to_pylist() == one * 2
+    back = codec.decode(ids)
+    assert back[0].as_py() == b" the quick brown fox" * (n // 4) and back[1].as_py() == b"end"
+
+
+def test_words_learnt_in_slices(monkeypatch, reference):
+    for name, n in (("SEGMENT", 5), ("GROUP", 20), ("KEPT", 10)):
+        monkeypatch.setattr(bpe, name, n)
+    codec = bpe.Codec(bpe.read_ranks(PATH), P.PATTERN)
+    text = " ".join(f"zq{i}xv{i % 7}" for i in range(300))
+    assert codec.encode([text, "x", text]).to_pylist() == [reference.encode_ordinary(t) for t in (text, "x", text)]
+    assert len(codec.codes) < 100

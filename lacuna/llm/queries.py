@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, topk, toxicity, urlfilter
+from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, spelling, topk, toxicity, urlfilter
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -91,3 +91,9 @@ def op6_chat_perspectives(spark, sf_dir):
     mask = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m.start.cast("string"), m.end.cast("string"))), ",")
     part = F.concat_ws(":", F.col("part.turn").cast("string"), F.col("part.deal").cast("string"))
     return found.select("conv_id", "speaker", "block", F.coalesce(part, F.lit("")).alias("part"), "n_turns", "n_rows", "text", mask.alias("mask"))
+
+
+@_query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents, their near words and the form that each is a variant of."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), least=7, every=31, twice=2, ratio=10)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, spelling, topk, toxicity, urlfilter
+from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, spelling, topk, toxicity, urlfilter, whitening
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -97,3 +97,9 @@ def op6_chat_perspectives(spark, sf_dir):
 def op13_spelling_variants(spark, sf_dir):
     """Words of all documents, their near words and the form that each is a variant of."""
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), least=7, every=31, twice=2, ratio=10)
+
+
+@_query
+def op12_embedding_whitening(spark, sf_dir):
+    """All vectors on the four leading components of the distinct ones, scaled to unit variance."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)

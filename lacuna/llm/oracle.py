@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from lacuna.llm import chat, mixing, quality, urlfilter
+from lacuna.llm import chat, licenses, mixing, quality, urlfilter
 
 ORACLE = {}
 
@@ -117,3 +117,34 @@ SELECT conv_id, speaker, block, '' AS part, count(*)::INT AS n_turns, sum(n)::BI
   string_agg(piece, '' ORDER BY turn, role, text) AS text,
   coalesce(string_agg(CASE WHEN role = speaker THEN (upto - length(piece) + length(head))::BIGINT || ':' || (upto - 1)::BIGINT END, ',' ORDER BY turn, role, text), '') AS mask
 FROM o GROUP BY conv_id, speaker, block"""
+
+
+
+def _licenses() -> str:
+    listed = lambda text: "[" + ", ".join(f"'{w.decode()}'" for w in licenses.words_of(text)) + "]"
+    phrases = ", ".join(f"('{label}', {listed(text)})" for label, text in licenses.PHRASES)
+    templates = ", ".join(f"({i}, '{label}', {listed(text)}, {m}, {licenses.need(m, licenses.THRESHOLD)}, {licenses.spacing(m)})"
+                          for i, (label, text) in enumerate(licenses.TEMPLATES) for m in [len(licenses.words_of(text))])
+    return f"""
+WITH p(label, phrase) AS (VALUES {phrases}),
+t(id, label, words, m, need, s) AS (VALUES {templates}),
+tw AS (SELECT id, s, word, count(*) AS k FROM (SELECT id, s, unnest(words) AS word FROM t) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+w AS (SELECT rid, unnest(words) AS word, unnest(range(0, len(words))) AS i, len(words) AS n FROM d),
+base AS (SELECT d.rid, p.label, w.i AS start FROM w JOIN p ON w.word = p.phrase[1] JOIN d USING (rid) WHERE d.words[w.i + 1:w.i + len(p.phrase)] = p.phrase),
+hit AS (SELECT DISTINCT rid, n, i, c.s, w.word FROM w JOIN (SELECT DISTINCT s, word FROM tw) c ON w.word = c.word),
+inblock AS (SELECT rid, s, word, i, unnest(list_distinct([least(i // s, greatest(ceil(n / s)::BIGINT - 2, 0)), greatest(i // s - 1, 0)])) AS b, n FROM hit),
+c AS (SELECT rid, s, b, word, count(*) AS k FROM inblock WHERE b <= greatest(ceil(n / s)::BIGINT - 2, 0) AND i >= b * s AND i < (b + 2) * s GROUP BY ALL),
+m AS (SELECT c.rid, t.label, sum(least(c.k, tw.k)) / t.m AS score FROM c JOIN tw ON tw.s = c.s AND tw.word = c.word JOIN t ON t.id = tw.id
+      GROUP BY c.rid, c.b, t.id, t.label, t.m, t.need HAVING sum(least(c.k, tw.k)) >= t.need),
+a AS (SELECT rid, label, start, 1.0::DOUBLE AS score FROM base UNION ALL SELECT rid, label, NULL, score FROM m),
+g AS (SELECT rid, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word, max(score) AS score,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE start IS NOT NULL)), ',') AS base_labels,
+        array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM a GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN g USING (rid)"""
+
+
+ORACLE["op11_license_scan"] = _licenses()

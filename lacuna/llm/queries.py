@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lacuna.llm import bpe, chat, mixing, quality, secrets, sharding, simhash, spelling, topk, toxicity, urlfilter, whitening
+from lacuna.llm import bpe, chat, licenses, mixing, quality, secrets, sharding, simhash, spelling, topk, toxicity, urlfilter, whitening
 from lacuna.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES = {}
@@ -103,3 +103,9 @@ def op13_spelling_variants(spark, sf_dir):
 def op12_embedding_whitening(spark, sf_dir):
     """All vectors on the four leading components of the distinct ones, scaled to unit variance."""
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+@_query
+def op11_license_scan(spark, sf_dir):
+    """License phrases of all documents, and the templates that blocks of them contain."""
+    return licenses.digests(licenses.scan(_table(spark, sf_dir, "documents")))

@@ -4,9 +4,9 @@ Spark deals the documents out; each task cuts its texts into words by the tokeni
 runs DuckDB over bounded groups of them. A word's bytes are token-position rows. A recursive query
 joins each row and its successor with the merge table and contracts, in every word at once, the
 leftmost pair of the lowest rank, until no word has a pair left. Ordered aggregation puts the words'
-ids into document order, and a second query decodes the ids by an ordered aggregation of their bytes.
-Both see a text in segments of at most ``SEGMENT`` words or ids, a few at a time, which Arrow joins again,
-so DuckDB's memory does not grow with a text.
+ids together, and a second query decodes the ids of a text by an ordered aggregation of their bytes.
+Texts are looked up and decoded in segments, which are joined again, so DuckDB's memory does not grow
+with a text.
 
 Words over ``LONG`` bytes contract, per step, all occurrences of their lowest pair from left to right,
 where no pair that this creates has a lower rank still, which gives the same ids in fewer steps;
@@ -15,14 +15,14 @@ otherwise only the leftmost.
 Rows: a null text counts as empty; an empty text has no ids and decodes to no bytes. Repeated rows
 get equal results. The tokenizer file is a parameter; its rows (1 MB) are read by the driver and
 broadcast. A worker process keeps the ids of
-up to ``KEPT`` words and then forgets them all. The rows of a group, at least one whole text, its words and
+up to ``KEPT`` words and those of the ``KEPT`` before, of which it takes over what it meets again. The rows of a group, at least one whole text, its words and
 its ids are held in memory by the task.
 """
 
 from __future__ import annotations
 
 import base64
-from itertools import chain
+from itertools import chain, repeat
 
 import duckdb
 import numpy as np
@@ -31,23 +31,25 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KEPT, GROUP, LONG, SEGMENT = 500_000, 1_000_000, 256, 250_000
+KEPT, GROUP, LONG, SEGMENT = 400_000, 1_000_000, 256, 250_000
 
-# one row per token: k is 512 times the word's number plus the position of the token's first byte
+# one row per token at the place of its last byte but for the start, where tokens are bytes. Each row knows its
+# successor; key, the rank of the two and both places in one number, is null where they are no token
 CONTRACT = """
-WITH RECURSIVE step(k, id, done) AS (
-  SELECT w::BIGINT * 512 + pos, id::INT, false FROM start
+WITH RECURSIVE step(w, pos, id, next_pos, next_id, key, done) AS (
+  SELECT w, pos, s.id, next_pos, next_id, (m.id << 18) | (pos << 9) | next_pos, false
+  FROM start s LEFT JOIN merges m ON m.pair = (s.id << 20) | s.next_id
   UNION ALL
-  (WITH pairs AS (
-     SELECT s.k, s.id, s.before, s.k // 512 AS w, m.id::BIGINT * 512 + s.k % 512 AS pair
-     FROM (SELECT k, id, lead(id) OVER o AS next, lag(k) OVER o AS before, lead(k) OVER o // 512 = k // 512 AS same
-           FROM step WHERE NOT done WINDOW o AS (ORDER BY k)) s
-     LEFT JOIN merges m ON m.pair = CASE WHEN same THEN s.id::BIGINT * 1048576 + s.next END),
-   lowest AS (SELECT w, min(pair) AS best FROM pairs WHERE pair IS NOT NULL GROUP BY w)
-   SELECT k, CASE WHEN k % 512 = best % 512 THEN best // 512 ELSE id END, best IS NULL
-   FROM pairs p LEFT JOIN lowest b ON p.w = b.w
-   WHERE before IS NULL OR best IS NULL OR before <> p.w * 512 + best % 512))
-SELECT k // 512 AS w, list(id::INT ORDER BY k) AS ids FROM step WHERE done GROUP BY 1 ORDER BY 1
+  (WITH lowest AS (SELECT w, min(key) AS best FROM step WHERE NOT done GROUP BY w),
+   pairs AS (SELECT w, best, best >> 18 AS token, (best >> 9) & 511 AS lhs, best & 511 AS rhs FROM lowest),
+   merged AS (SELECT s.w, pos, CASE WHEN pos = rhs THEN token ELSE id END AS id,
+                CASE WHEN next_pos = lhs THEN rhs ELSE next_pos END AS next_pos,
+                CASE WHEN next_pos = lhs THEN token ELSE next_id END AS next_id,
+                key, pos = rhs OR next_pos = lhs AS changed, best IS NULL AS done
+              FROM step s JOIN pairs p ON s.w = p.w WHERE NOT s.done AND (best IS NULL OR pos <> lhs))
+   SELECT w, pos, t.id, next_pos, next_id, CASE WHEN changed THEN (m.id << 18) | (pos << 9) | next_pos ELSE key END, done
+   FROM merged t LEFT JOIN merges m ON m.pair = CASE WHEN changed THEN (t.id << 20) | t.next_id END))
+SELECT w, list(id::INT ORDER BY pos) AS ids FROM step WHERE done GROUP BY w ORDER BY w
 """
 
 # the same fixpoint for long words: a step emits the changed rows only; id -1 marks a row that was merged away
@@ -77,12 +79,9 @@ WITH RECURSIVE step(w, pos, id) USING KEY (w, pos) AS (
 SELECT w, list(id::INT ORDER BY pos) AS ids FROM step WHERE id >= 0 GROUP BY w ORDER BY w
 """
 
-JOIN_WORDS = """
-SELECT doc, flatten(list(ids ORDER BY seq)) AS ids FROM places JOIN known USING (code) GROUP BY doc ORDER BY doc
-"""
-
+# a token's bytes are numbers of up to seven each, with their count on top, as ordered lists of numbers are cheap
 DECODE = """
-SELECT doc, unhex(array_to_string(list(hex ORDER BY seq), '')) AS bytes FROM places JOIN tokens USING (id) GROUP BY doc ORDER BY doc
+SELECT doc, list(bytes ORDER BY seq * {parts} + part) AS bytes FROM places JOIN tokens USING (id) GROUP BY doc ORDER BY doc
 """
 
 
@@ -100,6 +99,32 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"pair": cols[0] * 1048576 + cols[1], "id": cols[2]})
 
 
+class Words:
+    """Ids of numbered words: a dictionary of numbers, and the ids of all words in one growing array."""
+
+    def __init__(self):
+        self.codes: dict[str, int] = {}
+        self.ends, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
+
+    def add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        n = len(self.codes)
+        self.codes.update(zip(words, range(n, n + len(words))))
+        self.ends, self.flat = _room(self.ends, n + len(words) + 1), _room(self.flat, self.used + len(ids))
+        self.ends[n + 1:n + len(words) + 1] = self.used + np.cumsum(sizes)
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def ids(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of the words has, and all their ids in order."""
+        first = self.ends[codes]
+        sizes = self.ends[codes + 1] - first
+        return sizes, self.flat[np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+
 class Codec:
     """DuckDB with one tokenizer's tables, one thread and bounded memory; spills nowhere."""
 
@@ -108,9 +133,12 @@ class Codec:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         merges = merge_table(self.ranks)  # noqa: F841
         self._load("merges", merges)
-        self._load("tokens", pa.table({"id": pa.array([r for _, r in ranks], pa.int32()), "hex": [b.hex() for b, _ in ranks]}))
+        rows = [(r, part, _packed(b[at:at + 7])) for b, r in ranks for part, at in enumerate(range(0, len(b), 7))]
+        self._load("tokens", pa.table({"id": pa.array([r for r, _, _ in rows], pa.int32()), "part": pa.array([p for _, p, _ in rows], pa.int32()),
+                                       "bytes": pa.array([x for _, _, x in rows], pa.int64())}))
+        self.decode_sql = DECODE.format(parts=max((p for _, p, _ in rows), default=0) + 1)
         self.byte_ids = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
-        self.forget()
+        self.words, self.before = Words(), Words()
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.con.register("incoming", table)
@@ -125,95 +153,104 @@ class Codec:
             self.con.unregister(name)
         return out
 
-    def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.con.execute("CREATE OR REPLACE TABLE known (code INT, ids INT[])")
-
     def _contract(self, sql: str, words: list[bytes]) -> pa.ChunkedArray:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        start = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": np.arange(sizes.sum()) - first,
-                          "id": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]})
+        ends = np.cumsum(sizes)
+        ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        pos = np.arange(len(ids)) - np.repeat(ends - sizes, sizes)
+        last = np.zeros(len(ids), bool)
+        last[ends - 1] = True
+        start = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": pos, "id": ids,
+                          "next_pos": pa.array(pos + 1, mask=last), "next_id": pa.array(np.append(ids[1:], -1), mask=last)})
         return self._ask(sql, start=start).column("ids")
 
     def _learn(self, words: list[str]) -> None:
-        """Adds words, all new and distinct, to ``known``."""
-        short, long, codes, ids = [], [], [], []
-        for code, w in enumerate(words, len(self.codes)):
-            self.codes[w], b = code, w.encode("utf-8")
+        """Adds words, all new and distinct, to those known."""
+        whole, short, long = [], [], []
+        for w in words:
+            b = w.encode("utf-8")
             if b in self.ranks:  # a token as it stands
-                codes.append(code)
-                ids.append([self.ranks[b]])
+                whole.append((w, self.ranks[b]))
             else:
-                (short if len(b) <= LONG else long).append((code, b))
-        parts = [(codes, pa.array(ids, pa.list_(pa.int32())))]
+                (short if len(b) <= LONG else long).append((w, b))
+        self.words.add([w for w, _ in whole], np.ones(len(whole), np.int64), np.array([r for _, r in whole], np.int32))
+        short.sort(key=lambda x: len(x[1]))  # words of one length take about as many steps
         for sql, some in ((CONTRACT, short), (CONTRACT_LONG, long)):
             if some:
-                parts.append(([c for c, _ in some], self._contract(sql, [b for _, b in some]).combine_chunks()))
-        for codes, ids in parts:
-            self.con.register("incoming", pa.table({"code": pa.array(codes, pa.int32()), "ids": ids}))
-            self.con.execute("INSERT INTO known SELECT code, ids FROM incoming")
-            self.con.unregister("incoming")
+                ids = self._contract(sql, [b for _, b in some]).combine_chunks()
+                self.words.add([w for w, _ in some], np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy())
 
-    def encode(self, texts: list[str]) -> pa.Array:
+    def encode(self, texts: list[str]) -> pa.ListArray:
         """Ids of each whole text."""
         cut = [self.pattern.findall(t) for t in texts]
-        words = list(chain.from_iterable(cut))
-        return self._joined(JOIN_WORDS, "ids", np.fromiter(map(len, cut), np.int64, len(cut)), lambda lo, hi: self._numbers(words[lo:hi]), "code")
+        words, counts = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
+        del cut
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for lo in range(0, len(words), 4 * SEGMENT):
+            codes = self._numbers(words[lo:lo + 4 * SEGMENT])  # may begin a new span of words
+            n, found = self.words.ids(codes)
+            sizes.append(n)
+            ids.append(found)
+        upto = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])[np.concatenate([[0], np.cumsum(counts)])]
+        return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(np.concatenate(ids)))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        """The words' codes in ``known``."""
-        if len(self.codes) > KEPT:
-            self.forget()
-        new, held = [], 0
-        for w in set(words).difference(self.codes):
-            new.append(w)
-            held += len(w)
-            if held >= GROUP:
-                self._learn(new)
-                new, held = [], 0
-        self._learn(new)
-        return np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
+        """The words' numbers among those known."""
+        if len(self.words.codes) > KEPT:  # the words of the last span stay, those not seen since go
+            self.words, self.before = Words(), self.words
+        found = np.fromiter(map(self.words.codes.get, words, repeat(-1)), np.int32, len(words))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            missing = list(dict.fromkeys(words[i] for i in unknown))
+            seen = self.before.codes
+            old = [w for w in missing if w in seen]
+            if old:
+                self.words.add(old, *self.before.ids(np.array([seen[w] for w in old], np.int64)))
+            new, held = [], 0
+            for w in missing:
+                if w not in seen:
+                    new.append(w)
+                    held += len(w)
+                    if held >= GROUP:
+                        self._learn(new)
+                        new, held = [], 0
+            self._learn(new)
+            codes = self.words.codes
+            found[unknown] = [codes[words[i]] for i in unknown]
+        return found
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The bytes that the ids stand for."""
-        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-        return self._joined(DECODE, "bytes", sizes, lambda lo, hi: ids.flatten().slice(lo, hi - lo), "id")
-
-    def _joined(self, sql: str, name: str, sizes: np.ndarray, items, column: str) -> pa.Array:
-        """The query's value of each document of these sizes, asked for segment by segment; ``items`` gives the items from a place to a place."""
-        kind, empty = (pa.list_(pa.int32()), []) if name == "ids" else (pa.binary(), b"")
-        parts, at, n = [], 0, -(-sizes // SEGMENT)  # of each document
-        segments = np.full(int(n.sum()), SEGMENT, np.int64)
-        last = np.cumsum(n)[n > 0] - 1
-        segments[last] = sizes[n > 0] - (n[n > 0] - 1) * SEGMENT
-        lo = 0
-        while lo < len(segments):
-            hi, held = lo, 0
-            while hi < len(segments) and (hi == lo or held + segments[hi] <= 4 * SEGMENT):
-                held, hi = held + int(segments[hi]), hi + 1
-            out = self._ask(sql, places=_places(segments[lo:hi], **{column: items(at, at + held)}))
-            parts.append(_full(out.column("doc"), out.column(name), hi - lo, empty, kind))
-            at, lo = at + held, hi
-        whole = pa.concat_arrays(parts) if parts else pa.array([], kind)
-        offsets = whole.offsets.to_numpy() if name == "ids" else np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1] if len(whole) else np.zeros(1, np.int32)
-        ends = np.ascontiguousarray(offsets[np.concatenate([[0], np.cumsum(n)])], np.int32)
-        if name == "ids":
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), whole.values)
-        return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(ends), whole.buffers()[2] if len(whole) else pa.py_buffer(b"")])
-
-
-def _places(sizes: np.ndarray, **column) -> pa.Table:
-    """Document, place in order and value of every item of documents of these sizes."""
-    return pa.table({"doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                     "seq": np.arange(sizes.sum(), dtype=np.int32), **column})
-
-
-def _full(docs, values, n: int, empty, kind) -> pa.Array:
-    """``values`` at their documents, ``empty`` at the documents that have none."""
-    at = np.full(n, len(values), np.int64)
-    at[docs.to_numpy()] = np.arange(len(values))
-    return pa.chunked_array([*(c.cast(kind) for c in values.chunks), pa.array([empty], kind)]).take(pa.array(at)).combine_chunks()
+        sizes, flat = np.diff(ids.offsets.to_numpy()).astype(np.int64), ids.flatten()
+        upto, at, parts, lengths = np.cumsum(sizes), 0, [b""], np.zeros(len(sizes) + 1, np.int64)
+        while at < len(flat):  # about 4 * SEGMENT ids of any texts at a time
+            end = min(len(flat), at + 4 * SEGMENT)
+            docs = np.repeat(np.arange(len(sizes), dtype=np.int32), np.diff(np.clip(upto, at, end), prepend=at))
+            out = self._ask(self.decode_sql, places=pa.table({"doc": docs, "seq": np.arange(end - at, dtype=np.int32), "id": flat.slice(at, end - at)}))
+            for doc, lists in zip(_chunks(out.column("doc")), _chunks(out.column("bytes"))):
+                data, sums = _unpacked(lists)
+                parts.append(data)
+                lengths[doc.to_numpy() + 1] += sums
+            at = end
+        return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.cumsum(lengths).astype(np.int32)), pa.py_buffer(b"".join(parts))])
+
+
+def _packed(b: bytes) -> int:
+    return len(b) << 56 | int.from_bytes(b, "little")
+
+
+def _unpacked(lists: pa.ListArray) -> tuple[bytes, np.ndarray]:
+    """The bytes of all lists of packed numbers in order, and how many each list has."""
+    numbers = lists.flatten().to_numpy()
+    rows = numbers.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8)
+    counts = rows[:, 7]
+    ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return rows.ravel()[(np.arange(8, dtype=np.uint8) < counts[:, None]).ravel()].tobytes(), np.diff(ends[at])
+
+
+def _chunks(column) -> list:
+    return column.chunks if isinstance(column, pa.ChunkedArray) else [column]
 
 
 def _groups(sizes: list[int]):

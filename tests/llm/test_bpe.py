@@ -63,7 +63,26 @@ def test_forgets_words_beyond_its_bound(monkeypatch, reference):
     codec = bpe.Codec(bpe.read_ranks(PATH), P.PATTERN)
     for t in ("one two three four five", "six seven eight nine", "one two ten"):
         assert codec.encode([t]).to_pylist() == [reference.encode_ordinary(t)]
-    assert len(codec.codes) <= 9
+    assert len(codec.words.codes) <= 9
+
+
+def test_words_of_the_span_before_are_taken_over(monkeypatch, reference):
+    monkeypatch.setattr(bpe, "KEPT", 3)
+    codec = bpe.Codec(bpe.read_ranks(PATH), P.PATTERN)
+    codec.encode(["zqone zqtwo zqthree zqfour"])
+    learnt = []
+    monkeypatch.setattr(codec, "_learn", lambda words, f=codec._learn: (learnt.extend(words), f(words)))
+    text = "zqone zqfive zqfour zqfour"
+    assert codec.encode([text]).to_pylist() == [reference.encode_ordinary(text)] and learnt == [" zqfive"]
+
+
+def test_tokens_of_any_length(reference):
+    """Bytes come back from pieces of seven: tokens of 1 to 60 bytes, with zero bytes in them."""
+    ranks = [(bytes([i]), i) for i in range(256)] + [(b"\0" * n, 254 + n) for n in range(2, 61)] + [(b"ab" * n, 400 + n) for n in range(1, 20)]
+    codec = bpe.Codec(ranks, r"\S+")
+    ids = [[r for _, r in ranks], [], [255, 0, 314, 314, 419, 97], [0]]
+    table = dict((r, b) for b, r in ranks)
+    assert codec.decode(pa.array(ids, pa.list_(pa.int32()))).to_pylist() == [b"".join(table[i] for i in x) for x in ids]
 
 
 def test_query_on_odd_rows(odd_docs, no_docs, reference):
@@ -116,4 +135,4 @@ def test_words_learnt_in_slices(monkeypatch, reference):
     codec = bpe.Codec(bpe.read_ranks(PATH), P.PATTERN)
     text = " ".join(f"zq{i}xv{i % 7}" for i in range(300))
     assert codec.encode([text, "x", text]).to_pylist() == [reference.encode_ordinary(t) for t in (text, "x", text)]
-    assert len(codec.codes) < 100
+    assert len(codec.words.codes) < 100

@@ -4,12 +4,13 @@ A stage is (name, function); the function takes (spark, docs, sf_dir) and return
 the columns of ``documents``, the last one the encoded texts.
 
 1. toxicity: documents that score 0.7 or more go.
-2. near_duplicates: one document of each SimHash group stays, the one with the smallest doc_id.
+2. near_duplicates: one document of each SimHash group stays, the one with the smallest doc_id (null last),
+   of several texts under it the one with the smallest hash.
 3. secrets: every span that the scan finds is replaced by a mark; no document goes.
 4. mixing: every document stays as often as the mix by source weights takes it.
 5. encoding: ids of every text, and digests of the ids and of the bytes that they decode to.
 
-Repeated rows: stage 2 leaves one row for a doc_id. Empty tables give empty results.
+Repeated rows: stage 2 leaves one of them. Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -23,12 +23,14 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lacuna.session import cut_lineage
 
 SEGMENTS = 5
 BUCKET = 32
+CROWDED, MANY = 1000, 100_000
+_ORDER = "order of representatives"
 _SLICE = 1 << 16
 
 
@@ -47,15 +49,17 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *keep: str) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a signed long) and the columns ``keep`` of every row."""
+    names = ["doc_id", "fp", *keep]
+
     def run(batches):
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *b.columns[2:]], names)
 
-    return (docs.select(F.col("doc_id").cast("long"), F.encode("text", "utf-8").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "utf-8").alias("text"), *[F.col(f"`{c}`") for c in keep])
+    return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *(rows.schema[c] for c in keep)]))
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:
@@ -143,22 +147,37 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, fp, component_id of every row of ``docs`` (doc_id, text, …)."""
-    marked = cut_lineage(fingerprints(docs, shingle))
-    nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+def _components(marked: DataFrame, name: str, max_bits: int) -> DataFrame:
+    """fp, ``rows``, and the least ``name`` among all rows of its component, of every fingerprint of ``marked``."""
+    nodes = cut_lineage(marked.groupBy("fp").agg(F.min(name).alias("first"), F.count(F.lit(1)).alias("rows")))
     roots = components(links(nodes.select("fp"), max_bits))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first")
-    named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = nodes.join(linked.join(named, "root").select("fp", "component_id"), "fp", "left") \
-        .select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    named = linked.groupBy("root").agg(F.min("first").alias("least"))
+    return nodes.join(linked.join(named, "root").select("fp", "least"), "fp", "left") \
+        .select("fp", "rows", F.coalesce("least", "first").alias("least"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """doc_id, fp, component_id of every row of ``docs`` (doc_id, text, …).
+
+    Rows of a fingerprint that very many share get theirs by broadcast: those of over CROWDED rows and one row in
+    MANY, so at most MANY fingerprints."""
+    marked = cut_lineage(fingerprints(docs, shingle))
+    of = cut_lineage(_components(marked, "doc_id", max_bits).select("fp", "rows", F.col("least").alias("component_id")))
+    most = max(CROWDED, marked.count() // MANY)
+    crowded = F.broadcast(of.filter(F.col("rows") > most).select("fp", "component_id"))
+    few = marked.join(crowded.select("fp"), "fp", "left_anti").join(of.filter(F.col("rows") <= most), "fp")
+    out = ["doc_id", "fp", "component_id"]
+    return few.select(*out).unionByName(marked.join(crowded, "fp").select(*out))
 
 
 def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The row of ``docs`` with the smallest doc_id of each component. Rows that repeat that doc_id
-    collapse to one; rows without doc_id can't be named and stay."""
-    found = near_duplicates(docs.filter("doc_id is not null"), shingle, max_bits)
-    keep = found.filter("doc_id = component_id").select("doc_id")
-    return (docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .unionByName(docs.filter("doc_id is null")).select(*docs.columns))
+    """One row of ``docs`` for each component: of the smallest doc_id (null last), and of several texts
+    or rows under it the one with the smallest hash. Which it is depends on the rows alone."""
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("id"),
+                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"), F.xxhash64(*docs.columns).alias("row"))
+    marked = cut_lineage(fingerprints(docs.withColumn(_ORDER, order), shingle, _ORDER))
+    kept = _components(marked, _ORDER, max_bits).select("least.*").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), order.alias("o"))  # whatever its columns are named
+    same = F.col("o.unnamed").eqNullSafe(kept["unnamed"]) & F.col("o.id").eqNullSafe(kept["id"]) & (F.col("o.text") == kept["text"]) & (F.col("o.row") == kept["row"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["o"]).select("doc.*")

@@ -30,14 +30,12 @@ def test_stages_equal_brute_force(spark, odd_docs, odd_labels, tmp_path):
     assert rows(after) == [r for r in rows(before) if score([r[1]])[0] < toxicity.THRESHOLD]
 
     before, after = seen["near_duplicates"]
-    named = [r for r in rows(before) if r[0] is not None]
-    roots = brute_roots(sorted({brute_fingerprint(r[1]) for r in named}))
+    roots = brute_roots(sorted({brute_fingerprint(r[1]) for r in rows(before)}))
     first = {}
-    for r in named:
-        root = roots[brute_fingerprint(r[1])]
-        first[root] = min(first.get(root, r[0]), r[0])
-    assert sorted(r[0] for r in rows(after) if r[0] is not None) == sorted(first.values())
-    assert [r for r in rows(after) if r[0] is None] == [r for r in rows(before) if r[0] is None]
+    for r in rows(before):
+        root, place = roots[brute_fingerprint(r[1])], (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest())
+        first[root] = min(first.get(root, (place, r[0], r[1])), (place, r[0], r[1]), key=lambda t: t[0])
+    assert sorted((r[:2] for r in rows(after)), key=repr) == sorted((t[1:] for t in first.values()), key=repr)
 
     before, after = seen["secrets"]
     by = {(r[0], *r[2:4]): r[1] for r in rows(before)}

@@ -100,9 +100,28 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert S.near_duplicates(no_docs).count() == 0
 
 
+def test_crowded_fingerprints(spark, monkeypatch):
+    rows = [(i, "one two three four" if i % 3 else f"w{i} x{i} y{i} z{i}") for i in range(300)] + [(None, "one two three four")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, S.near_duplicates(df).collect()), key=str)
+    monkeypatch.setattr(S, "CROWDED", 4)
+    assert sorted(map(tuple, S.near_duplicates(df).collect()), key=str) == want and len(want) == 305
+    assert {w[2] for w in want if w[0] is None} == {1}
+
+
 def test_representatives(odd_docs, no_docs):
     kept = S.representatives(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(5) == 1 and 6 not in ids and 2 not in ids and 1 in ids and ids.count(None) == 2
+    assert ids.count(5) == 1 and 6 not in ids and 2 not in ids and 1 in ids and ids.count(None) == 1
     assert S.representatives(no_docs).count() == 0
+
+
+def test_representatives_lose_no_text(spark):
+    rows = [(1, "alpha beta gamma delta", "a"), (1, "other words stand here", "a"), (2, "other words stand here", "b"), (None, "third text has these words", "c"),
+            (None, "third text has these words", "d"), (3, "alpha beta gamma delta", "e"), (4, "same row here now", "f"), (4, "same row here now", "f"), (None, None, None), (9, "", "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(tuple, S.representatives(df).collect()), key=str)
+    assert [g[:2] for g in got] == sorted([(1, "alpha beta gamma delta"), (1, "other words stand here"), (4, "same row here now"), (9, ""), (None, "third text has these words")], key=str)
+    again = S.representatives(df.repartition(7, "source"))
+    assert sorted(map(tuple, again.collect()), key=str) == got

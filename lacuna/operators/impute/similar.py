@@ -105,9 +105,8 @@ def similarity_topn(df: DataFrame, value: str, n_top: int = 10, station: str = S
     it = cut_lineage(_zvec_dyn(items, "_rv", F.col("_L") - 1)
                      .select(part, "_L", F.col(station).alias("i_id"), F.col("_z").alias("i_z")))
     qd = q.filter((F.col("_L") >= 3) & F.col("q_z").isNotNull())
-    top = cell_topk(qd, it.filter(F.col("i_z").isNotNull()), [part, "_L"], n_top)
-    top = (top.withColumn("sim", F.lit(1.0) - F.col("dist") * F.col("dist") / (2.0 * (F.col("_L") - 1)))
-           .select(part, "_L", F.col("q_id").alias(station), F.col("i_id").alias("other"), "sim", "rank"))
+    top = cell_topk(qd, it.filter(F.col("i_z").isNotNull()), [part, "_L"], n_top, correlate=True)
+    top = top.select(part, "_L", F.col("q_id").alias(station), F.col("i_id").alias("other"), "sim", "rank")
     # partners with an undefined correlation (constant prefix) sort last, by id: at most n of them
     # are needed, taken from the n+1 smallest undefined ids of the partition
     undefined = it.filter(F.col("i_z").isNull()).select(part, "_L", F.col("i_id").alias("other"))

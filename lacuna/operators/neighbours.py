@@ -75,9 +75,14 @@ def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str,
     return out.withColumnRenamed("_dist", "dist").withColumnRenamed("_rank", "rank")
 
 
-def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, pivots: int = 256, block: int = 4096) -> DataFrame:
+def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, pivots: int = 256, block: int = 4096,
+              correlate: bool = False) -> DataFrame:
     """Exact k nearest items by Euclidean distance: (part…, q_id, i_id, dist, rank).
 
+    With ``correlate`` the arrays are z-normalised, and items are ranked by the correlation (rounded to 9
+    digits, the smaller id first); ``dist`` is then the distance that the rounded correlation stands for,
+    and a column ``sim`` has the correlation itself, from the two arrays.
+
     ``queries``: part…, q_id, q_z; ``items``: part…, i_id, i_z (arrays of one length within a part);
     an item is no neighbour of the query with its id; ties (distances rounded to 9 digits) go to the
     smaller id. Items fall into the cell of their nearest pivot (one item in CELL of the part, at
@@ -108,38 +113,45 @@ def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, piv
     qs = cut_lineage(qs.withColumn("_home", home).drop("_piv"))
     types = {f.name: f.dataType.simpleString() for f in queries.select(*part, "q_id").schema.fields}
     types["i_id"] = items.schema["i_id"].dataType.simpleString()
-    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", dist double"
+    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", dist double, sim double"
     key = [*part, "cell", "block"]
 
     def near(asked: DataFrame) -> DataFrame:
         own = lambda cols: [F.col(c).alias(c) for c in cols]  # noqa: E731  both sides may stem from one table
         return (asked.select(own([*key, "q_id", "q_z"])).groupBy(*key).cogroup(it.select(own([*key, "i_id", "i_z"])).groupBy(*key))
-                .applyInArrow(partial(_block_topk, part=part, k=k), schema))
+                .applyInArrow(partial(_block_topk, part=part, k=k, correlate=correlate), schema))
 
     first = near(qs.select("*", F.col("_home.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("_home.blocks") - 1)).alias("block")))
     best = Window.partitionBy(*part, "q_id").orderBy("dist", "i_id")
     first = cut_lineage(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank"))
     reach = first.groupBy(*part, "q_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(float("inf")).alias("_r"))
     open_ = qs.join(reach, [*part, "q_id"], "left").withColumn("_r", F.coalesce("_r", F.lit(float("inf"))))
+    if correlate:  # half a unit of the ninth digit, on both sides, as distance
+        open_ = open_.withColumn("_r", F.sqrt(F.col("_r") * F.col("_r") + 2e-9 * F.size("q_z")))
     far = F.filter("_cells", lambda c: (c["cell"] != F.col("_home.cell")) & (F.get(F.col("_d"), c["cell"]) - c["radius"] <= F.col("_r") + 1e-6))
     open_ = open_.withColumn("_c", F.explode(far)).select("*", F.col("_c.cell").alias("cell"),
                                                           F.explode(F.sequence(F.lit(0), F.col("_c.blocks") - 1)).alias("block"))
     every = first.unionByName(near(open_))
-    return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    every = every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return every if correlate else every.drop("sim")
 
 
-def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int) -> pa.Table:
+def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int, correlate: bool = False) -> pa.Table:
     """The k nearest items of a block for each of its queries."""
-    names = [*part, "q_id", "i_id", "dist"]
-    types = [asked.schema.field(c).type for c in [*part, "q_id"]] + [found.schema.field("i_id").type, pa.float64()]
-    rows = [[], [], []]
+    names = [*part, "q_id", "i_id", "dist", "sim"]
+    types = [asked.schema.field(c).type for c in [*part, "q_id"]] + [found.schema.field("i_id").type, pa.float64(), pa.float64()]
+    rows = [[], [], [], []]
     if len(asked) and len(found):
         q = np.array(asked["q_z"].to_pylist(), np.float64)
         z = np.array(found["i_z"].to_pylist(), np.float64)
         q_id, i_id = asked["q_id"].to_numpy(), found["i_id"].to_numpy()
         step = max(1, (1 << 22) // max(1, z.size))
         for at in range(0, len(q), step):
-            d = np.round(np.sqrt(((q[at:at + step, None, :] - z[None]) ** 2).sum(2)), 9)
+            if correlate:
+                sim = (q[at:at + step, None, :] * z[None]).sum(2) / z.shape[1]
+                d = np.sqrt(2 * z.shape[1] * np.maximum(1 - np.round(sim, 9), 0))
+            else:
+                d = np.round(np.sqrt(((q[at:at + step, None, :] - z[None]) ** 2).sum(2)), 9)
             d[q_id[at:at + step, None] == i_id[None]] = np.inf
             for i, row in enumerate(d):
                 near = np.nonzero(row <= np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1])[0]
@@ -148,5 +160,6 @@ def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int) -> pa
                 rows[0] += [q_id[at + i]] * len(near)
                 rows[1] += i_id[near].tolist()
                 rows[2] += row[near].tolist()
+                rows[3] += sim[i, near].tolist() if correlate else [None] * len(near)
     same = [[asked[c][0].as_py()] * len(rows[0]) if len(asked) else [] for c in part]
     return pa.table([pa.array(v, t) for v, t in zip([*same, *rows], types)], names=names)

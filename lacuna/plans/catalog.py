@@ -357,9 +357,8 @@ def similar_from_vectors(long, n_top):
     z = SIM._zvec_dyn(sig, "_vv", F.col("_n")).filter(F.col("_z").isNotNull())
     from lacuna.operators.neighbours import cell_topk
     top = cell_topk(z.select("cluster", "_n", F.col("station_id").alias("q_id"), F.col("_z").alias("q_z")),
-                    z.select("cluster", "_n", F.col("station_id").alias("i_id"), F.col("_z").alias("i_z")), ["cluster", "_n"], n_top)
-    return top.select("cluster", F.col("q_id").alias("station_id"), F.col("i_id").alias("other"),
-                      (F.lit(1.0) - F.col("dist") * F.col("dist") / (2.0 * F.col("_n"))).alias("sim"), "rank")
+                    z.select("cluster", "_n", F.col("station_id").alias("i_id"), F.col("_z").alias("i_z")), ["cluster", "_n"], n_top, correlate=True)
+    return top.select("cluster", F.col("q_id").alias("station_id"), F.col("i_id").alias("other"), "sim", "rank")
 
 
 # ---------------------------------------------------------------- holes, scoring, evaluation

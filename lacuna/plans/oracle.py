@@ -740,5 +740,5 @@ pr AS (SELECT ln.cluster, ln.station_id, r.station_id AS other, ln.L, covar_pop(
        FROM ln JOIN am a ON a.kind = 't' AND a.station_id = ln.station_id AND a.bin < ln.L
        JOIN am r ON r.kind = 'r' AND r.cluster = ln.cluster AND r.bin = a.bin AND r.station_id <> ln.station_id
        GROUP BY ALL),
-rk AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY round(sqrt(greatest(0, 2 * (L - 1) * (1 - sim))), 9), other) AS rank FROM pr)""", """
+rk AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY round(sim, 9) DESC, other) AS rank FROM pr)""", """
 SELECT cluster, station_id, other, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""")

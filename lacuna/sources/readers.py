@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from lacuna.functions.text import clean_header
 
-MAX_COLUMNS = 100  # of a file with a preamble
 SERIES_SCHEMA = "station_id string, month date, level double, lon double, lat double"
 
 
@@ -63,27 +62,44 @@ def scan_suffix_filter(spark: SparkSession, folder: str, suffix: str, schema: st
 
 
 def _streams(content: bytes) -> Iterator[IO[bytes]]:
-    """The CSV byte streams in a plain, gzip or zip file, by its magic bytes."""
-    if content[:4] == b"PK\x03\x04":
+    """The CSV byte streams in a gzip or zip file, by its magic bytes."""
+    if content[:2] == b"PK":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             for name in z.namelist():
                 if name.endswith(".csv"):
                     with z.open(name) as f:
                         yield f
-    elif content[:2] == b"\x1f\x8b":
+    else:
         with gzip.open(io.BytesIO(content)) as f:
             yield f
-    else:
-        yield io.BytesIO(content)
 
 
-def scan_mixed_compressed(spark: SparkSession, folder: str, schema: str, sep: str = ";",
-                          glob: str = "*.csv*") -> DataFrame:
-    """A3: plain, gzip and zip files (decided by magic bytes, not by extension), columns taken by name.
+def _kinds(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files by what their first two bytes say: "zip", "gzip" or "plain". Two bytes of each are read, by Spark's file system layer."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out: dict[str, list[str]] = {"zip": [], "gzip": [], "plain": []}
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            head = (stream.read(), stream.read())
+        finally:
+            stream.close()
+        out["zip" if head == (0x50, 0x4B) else "gzip" if head == (0x1F, 0x8B) else "plain"].append(p)
+    return out
 
-    An archive can't be split, so a file is one task (``binaryFile``); its members are decompressed and
-    parsed as streams, rows with quoted line breaks included, and leave in batches."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("content")
+
+def scan_mixed_compressed(spark: SparkSession, folder: str, schema: str, sep: str = ";",
+                          glob: str = "*.csv*", multiline: bool = True) -> DataFrame:
+    """A3: plain, gzip and zip files (decided by their first bytes, not by extension), columns taken by name.
+
+    Plain files and gzip files with that extension go to the CSV reader, at any size: as streams, or plain ones in
+    splits if ``multiline`` is off, when no value holds a quoted line break. A zip file,
+    or a gzip file under another name, is one task (``binaryFile``, which takes files up to 2 GB): its members are
+    decompressed and parsed as streams, rows with quoted line breaks included, and leave in batches."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    kinds = _kinds(spark, [r.path for r in listed.filter("length > 0").select("path").collect()])  # one row for each file
+    by_extension = [p for p in kinds["gzip"] if p.endswith(".gz")]
     fields = T.StructType.fromDDL(schema).fields
     names = [f.name for f in fields]
 
@@ -94,8 +110,15 @@ def scan_mixed_compressed(spark: SparkSession, folder: str, schema: str, sep: st
                     for part in pd.read_csv(f, sep=sep, dtype=str, keep_default_na=False, na_values=[""], chunksize=10_000):
                         yield part.rename(columns=str.strip).reindex(columns=names).astype(object).where(lambda d: d.notna(), None)
 
-    t = raw.mapInPandas(rows, T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    return t.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    out = spark.createDataFrame([], schema)
+    if kinds["plain"] or by_extension:
+        out = out.unionByName(scan_schema_drift(spark, [*kinds["plain"], *by_extension], schema, sep, multiline=multiline))
+    packed = [*kinds["zip"], *(p for p in kinds["gzip"] if not p.endswith(".gz"))]
+    if packed:
+        raw = spark.read.format("binaryFile").load(packed).select("content")
+        t = raw.mapInPandas(rows, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        out = out.unionByName(t.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]))
+    return out
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -114,8 +137,9 @@ def _headers(lines: DataFrame, skip: int) -> DataFrame:
 
 
 def scan_schema_drift(spark: SparkSession, paths: list[str], schema: str, sep: str = ";",
-                      order_by: str | None = None) -> DataFrame:
-    """A4: files with different column sets; the declared columns by name, absent ones null.
+                      order_by: str | None = None, multiline: bool = False) -> DataFrame:
+    """A4: files with different column sets; the declared columns by name, absent ones null. ``multiline``: values
+    may hold quoted line breaks, and a file is then one stream.
 
     One job reads the first lines of all files; the files of each distinct header are then one scan."""
     found: dict[str, list[str]] = {}
@@ -123,7 +147,8 @@ def scan_schema_drift(spark: SparkSession, paths: list[str], schema: str, sep: s
         found.setdefault(r.header, []).append(r.file)
     out = None
     for header in sorted(found):
-        part = by_name(spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).csv(sorted(found[header])), schema)
+        part = by_name(spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).option("multiLine", multiline)
+                       .option("escape", '"').csv(sorted(found[header])), schema)
         out = part if out is None else out.unionByName(part)
     out = spark.createDataFrame([], schema) if out is None else out
     return out.orderBy(order_by) if order_by else out
@@ -136,10 +161,11 @@ def scan_with_preamble(spark: SparkSession, folder: str, schema: str, skip: int
     lines = _lines(spark, folder)
     heads = _headers(lines, skip).withColumnRenamed("file", "f")
     rows = lines.join(heads, F.col("file") == F.col("f")).filter((~F.col("first") | (F.col("at") > F.col("header_at"))) & (F.trim("value") != ""))
-    names = F.transform(F.split("header", re.escape(sep)), lambda c: clean_header(c))
-    rows = rows.select("value", names.alias("names"))
-    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(MAX_COLUMNS)), {"sep": sep})
-    rows = rows.select("names", cells.alias("c")).select("names", F.array(*[F.col(f"c.c{i}") for i in range(MAX_COLUMNS)]).alias("cells"))
+    names = F.split("header", re.escape(sep))
+    width = heads.agg(F.max(F.size(names))).first()[0] or 1  # of the longest header
+    rows = rows.select("value", F.transform(names, lambda c: clean_header(c)).alias("names"))
+    cells = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"sep": sep, "maxColumns": str(max(width, 20480))})
+    rows = rows.select("names", cells.alias("c")).select("names", F.array(*[F.col(f"c.c{i}") for i in range(width)]).alias("cells"))
     out = []
     for f in T.StructType.fromDDL(schema).fields:
         at = F.array_position("names", f.name).cast("int")

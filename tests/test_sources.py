@@ -31,6 +31,16 @@ def test_mixed_files_by_magic_with_quoted_line_breaks(spark, tmp_path):
         (1, "plain", 1.5), (2, "two\nlines", None), (3, "x;y", 2.0), (4, None, 4.5), (5, "é", 5.0)]
 
 
+def test_mixed_files_in_splits_and_empty_ones(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a;b\n1;1.5\n")
+    (tmp_path / "two.csv.gz").write_bytes(gzip.compress(b"b;a\n2.5;2\n"))
+    (tmp_path / "none.csv").write_text("")
+    for multiline in (False, True):
+        assert rows(RD.scan_mixed_compressed(spark, str(tmp_path), "a long, b double", multiline=multiline)) == [(1, 1.5), (2, 2.5)]
+    (tmp_path / "sub").mkdir()
+    assert RD.scan_mixed_compressed(spark, str(tmp_path / "sub"), "a long").count() == 0
+
+
 def test_columns_are_taken_by_name(spark, tmp_path):
     (tmp_path / "s.csv").write_text("b;a\n1.5;1\n")
     assert rows(RD.scan_series_csv(spark, str(tmp_path / "s.csv"), "a long, b double")) == [(1, 1.5)]
@@ -57,6 +67,13 @@ def test_preamble(spark, tmp_path):
     assert {(r.i, r["name"]) for r in RD.header_names(spark, str(tmp_path)).collect()} == {(0, "a"), (1, "b"), (0, "b"), (1, "a")}
 
 
+def test_preamble_with_many_columns(spark, tmp_path):
+    names = [f"c{i}" for i in range(250)]
+    (tmp_path / "one.csv").write_text("x\n" * 4 + "#" + ";".join(names) + "\n" + ";".join(map(str, range(250))) + "\n")
+    (tmp_path / "two.csv").write_text("x\n" * 4 + "c249;c3\n7;8\n")
+    assert rows(RD.scan_with_preamble(spark, str(tmp_path), "c3 long, c120 long, c249 long")) == [(3, 120, 249), (8, None, 7)]
+
+
 def test_clusters_or_fused(spark, tmp_path):
     spark.createDataFrame([(1, 2.0)], "station_id long, level double").write.parquet(str(tmp_path / "fused"))
     read = lambda: rows(RD.read_clusters_or_fused(spark, str(tmp_path / "clustered"), str(tmp_path / "fused")))

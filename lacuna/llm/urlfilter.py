@@ -9,7 +9,8 @@ default holds.
 A rule's literal tokens are its runs of letters and digits that a fitting URL must hold as whole
 tokens. Each rule stands in the index under the one of them that is rarest among all URLs; a URL's
 tokens fetch the rules under them, and only these and the rules without a token run their regular
-expression. The index is one value of at most ``MAX_RULES`` rules, hashed by token; rows never move.
+expression. The index is one value for each ``GROUP`` rules, hashed by token; rows never move. More
+rules than that make further groups, and the best of all groups' finds holds.
 
 Rows: a null URL or one without ``://`` has an empty host and path and gets the default verdict
 (no rule can fit an empty host; patterns see the URL as it is). Repeated rows are judged alike.
@@ -18,12 +19,13 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_RULES = 50_000
+GROUP = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 SEPARATOR = r"(?:[^A-Za-z0-9_.%-]|$)"
@@ -90,17 +92,16 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.split(lower(url), "[^a-z0-9]+"))
 
 
+RULE = "name:string,action:string,regex:string,site:boolean,rank:int"
+
+
 def index(pages: DataFrame, rules: list[Rule]) -> tuple[Column, int]:
     """The rules by bucket of their rarest token's hash, as one value, and the number of buckets."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the index is made for {MAX_RULES}")
-    known = sorted({t for r in rules for t in r.tokens})
-    counts = (pages.select(F.explode(F.array_intersect(tokens(F.coalesce("url", F.lit(""))), F.array(*[F.lit(t) for t in known]).cast("array<string>"))).alias("token"))
+    given = F.from_json(F.lit(json.dumps([asdict(r) for r in rules])), f"array<struct<{RULE},tokens:array<string>>>")
+    listed = pages.sparkSession.range(1).select(F.posexplode(given).alias("id", "r")).select("id", "r.*")
+    known = listed.select(F.explode("tokens").alias("token")).distinct()  # of at most GROUP rules
+    counts = (pages.select(F.explode(tokens(F.coalesce("url", F.lit("")))).alias("token")).join(F.broadcast(known), "token", "left_semi")
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    items = F.array(*[F.struct(F.lit(r.name).alias("name"), F.lit(r.action).alias("action"), F.lit(r.regex).alias("regex"),
-                               F.lit(r.site).alias("site"), F.lit(r.rank).alias("rank"),
-                               F.array(*[F.lit(t) for t in r.tokens]).cast("array<string>").alias("tokens")) for r in rules])
-    listed = pages.sparkSession.range(1).select(F.posexplode(items).alias("id", "r")).select("id", "r.*")
     rare = (listed.select("id", F.explode("tokens").alias("token")).join(counts, "token", "left")
             .groupBy("id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token")))
     n = 1
@@ -110,23 +111,33 @@ def index(pages: DataFrame, rules: list[Rule]) -> tuple[Column, int]:
             .groupBy(F.pmod(F.xxhash64("token"), F.lit(n)).alias("bucket"))
             .agg(F.collect_list(F.struct("token", "name", "action", "regex", "site", "rank")).alias("rules")))
     by = held.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "rules"))).alias("by"))
-    none = F.array().cast("array<struct<token:string,name:string,action:string,regex:string,site:boolean,rank:int>>")
+    none = F.array().cast(f"array<struct<token:string,{RULE}>>")
     value = by.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), lambda b: F.coalesce(F.try_element_at("by", b), none)).alias("index"))
     return value.scalar(), n
 
 
+def _best(held: Column, n: int) -> Column:
+    """The rule of one index that counts first, null if none fits; of rows with tokens, place and url."""
+    fetched = F.flatten(F.transform("tokens", lambda t: F.filter(F.get(held, F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), lambda r: r.token == t)))
+    fit = F.filter(fetched, lambda r: F.regexp_like(F.when(r.site, F.col("place")).otherwise(F.col("url")), r.regex))
+    return F.array_max(F.transform(fit, lambda r: F.struct(r.site.alias("site"), (r.site | (r.action == "allow")).alias("first"), r["rank"].alias("rank"),
+                                                           r["name"].alias("name"), r.action.alias("action"))))
+
+
 def judge(pages: DataFrame, rules: list[Rule] | None = None, default: str = "allow") -> DataFrame:
     """page_id, host, path, the site rule, the pattern and the verdict of every row."""
     rules = default_rules() if rules is None else rules
+    groups = [rules[at:at + GROUP] for at in range(0, len(rules), GROUP)]
     url = F.coalesce("url", F.lit(""))
-    held, n = index(pages, rules)
     rows = pages.select("page_id", url.alias("url"), lower(F.regexp_extract(url, URL, 1)).alias("host"), F.regexp_extract(url, URL, 2).alias("path"),
-                        F.array_union(tokens(url), F.array(F.lit(""))).alias("tokens"), held.alias("held"))  # "": rules without a token
-    fetched = F.flatten(F.transform("tokens", lambda t: F.filter(F.get(F.col("held"), F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), lambda r: r.token == t)))
-    rows = rows.select("page_id", "url", "host", "path", fetched.alias("candidates"), F.concat("host", "path").alias("place"))
-    fit = F.filter("candidates", lambda r: F.regexp_like(F.when(r.site, F.col("place")).otherwise(F.col("url")), r.regex))
-    best = F.array_max(F.transform(fit, lambda r: F.struct(r.site.alias("site"), (r.site | (r.action == "allow")).alias("first"), r.rank.alias("rank"),
-                                                           r["name"].alias("name"), r.action.alias("action"))))
+                        F.array_union(tokens(url), F.array(F.lit(""))).alias("tokens"))  # "": rules without a token
+    rows = rows.withColumn("place", F.concat("host", "path"))
+    best = F.lit(None).cast("struct<site:boolean,first:boolean,rank:int,name:string,action:string>")
+    for i, group in enumerate(groups):
+        held, n = index(pages, group)
+        rows = rows.withColumn(f"held{i}", held)
+        found = _best(F.col(f"held{i}"), n)
+        best = F.array_max(F.array(best, found)) if i else found
     rows = rows.select("page_id", "host", "path", best.alias("best"))
     site = F.coalesce(F.col("best.site"), F.lit(False))
     return rows.select("page_id", "host", "path", F.when(site, F.col("best.name")).alias("rule"),

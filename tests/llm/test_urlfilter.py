@@ -1,3 +1,4 @@
+import random
 import re
 
 from lacuna.llm import urlfilter as U
@@ -52,5 +53,68 @@ def test_rules_without_tokens_and_own_rules(spark):
     assert got[16] == ("x.org/log", None, "allow") and got[0] == (None, None, "block") and got[19] == ("x.org/log", None, "allow") or got[19][2] == "block"
 
 
+def fits(pattern: str, url: str) -> bool:
+    """The pattern language by itself, place by place, without regular expressions."""
+    url, anchored, at_end = url.lower(), False, False
+    p = pattern.lower()
+    starts = range(len(url) + 1)
+    if p.startswith("||"):
+        p, anchored = p[2:], True
+        scheme, sep, rest = url.partition("://")
+        if not sep or not scheme or not scheme[0].isascii() or not scheme[0].isalpha() or any(not (c.isascii() and (c.isalnum() or c in "+.-")) for c in scheme):
+            return False
+        at = len(scheme) + 3
+        host = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        starts = [at] + [at + i + 1 for i, c in enumerate(rest[:host]) if c == "."]
+    elif p.startswith("|"):
+        p, starts = p[1:], [0]
+    if p.endswith("|"):
+        p, at_end = p[:-1], True
+
+    def match(i: int, j: int) -> bool:
+        if i == len(p):
+            return not at_end or j == len(url)
+        if p[i] == "*":
+            return any(match(i + 1, k) for k in range(j, len(url) + 1))
+        if p[i] == "^":
+            separator = j < len(url) and not (url[j].isascii() and (url[j].isalnum() or url[j] in "_.%-"))
+            return separator and match(i + 1, j + 1) or j == len(url) and match(i + 1, j)
+        return j < len(url) and url[j] == p[i] and match(i + 1, j + 1)
+
+    return any(match(0, j) for j in starts)
+
+
+def test_patterns_equal_an_independent_matcher():
+    r = random.Random(4)
+    urls = [u for u in URLS if u and len(u) < 300] + ["".join(r.choice(["a", "ads", ".", "/", "?", "=", "-", "_", "%", "é", "x.org", "click", "://"]) for _ in range(12)) for _ in range(200)]
+    urls += [r.choice(["http", "ftp", "1x", ""]) + "://" + u for u in urls[-150:]]
+    patterns = [p for _, p in U.PATTERN_RULES] + ["".join(r.choice(["a", "ads", ".", "/", "^", "*", "=", "x.org", "click", "?"]) for _ in range(4)) for _ in range(120)]
+    patterns += [r.choice(["|", "||"]) + p for p in patterns[-60:]] + [p + "|" for p in patterns[-60:]]
+    hits = 0
+    for p in patterns:
+        rule = U.pattern_rule("block", p)
+        for u in urls:
+            assert bool(re.search(rule.regex, u)) == fits(p, u), (p, u)
+            hits += fits(p, u)
+    assert hits > 500
+
+
+def test_rules_in_groups(spark, monkeypatch):
+    want = sorted(map(tuple, U.judge(pages(spark)).collect()), key=str)
+    monkeypatch.setattr(U, "GROUP", 7)
+    assert sorted(map(tuple, U.judge(pages(spark)).collect()), key=str) == want
+
+
+def test_many_rules(spark):
+    rules = [U.pattern_rule("block", f"/p{i}/*") for i in range(30_000)] + [U.site_rule("allow", "x.org", "/p7/")]
+    rows = spark.createDataFrame([(i, f"http://h.org/a/p{i * 6000}/b") for i in range(6)] + [(9, "http://x.org/p7/p29999/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.pattern, r.verdict) for r in U.judge(rows, rules).collect()}
+    assert got == {**{i: (None, f"/p{i * 6000}/*", "block") for i in range(5)}, 5: (None, None, "allow"), 9: ("x.org/p7/", None, "allow")}
+
+
+def test_no_rules(spark):
+    assert {r.verdict for r in U.judge(pages(spark), [], "block").collect()} == {"block"}
+
+
 def test_empty_table(spark):
     assert U.judge(pages(spark).limit(0)).count() == 0

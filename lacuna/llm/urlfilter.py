@@ -110,9 +110,9 @@ def index(pages: DataFrame, rules: list[Rule]) -> tuple[Column, int]:
     held = (listed.join(rare, "id", "left").withColumn("token", F.coalesce("token", F.lit("")))
             .groupBy(F.pmod(F.xxhash64("token"), F.lit(n)).alias("bucket"))
             .agg(F.collect_list(F.struct("token", "name", "action", "regex", "site", "rank")).alias("rules")))
-    by = held.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "rules"))).alias("by"))
     none = F.array().cast(f"array<struct<token:string,{RULE}>>")
-    value = by.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), lambda b: F.coalesce(F.try_element_at("by", b), none)).alias("index"))
+    filled = pages.sparkSession.range(n).withColumnRenamed("id", "bucket").join(held, "bucket", "left").select(F.struct("bucket", F.coalesce("rules", none).alias("rules")).alias("b"))
+    value = filled.agg(F.transform(F.array_sort(F.collect_list("b")), lambda b: b.rules).alias("index"))
     return value.scalar(), n
 
 

@@ -1,17 +1,13 @@
-"""Model-based completion with ``pyspark.ml`` (declared re-aim of the reference's
-scikit-learn forest and neural networks: one pooled Spark model instead of one model per file /
-a Keras network; the feature, window, overlap-average and rebuild semantics are kept)."""
+"""H7: completion by a forest on the change per day, with ``pyspark.ml``."""
 
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.operators.series import STATION, MONTH, rate_per_day
-from lacuna.operators import scale as SCL
-from lacuna.operators.windows import inference_windows, overlap_average
 
 MIN_TRAIN = 3
 
@@ -52,87 +48,3 @@ def impute_forest_delta(df: DataFrame, value: str, features: list[str] | None =
     res = F.when(F.col("_y").isNotNull(), F.col("_y")).otherwise(F.col("_a.y") + F.col("_S") - F.col("_a.s"))
     keep = [c for c in df.columns if c != out]
     return pred.withColumn(out, res).select(*keep, out)
-
-
-def _window_rows(df: DataFrame, features: list[str], size: int, station: str, time: str) -> DataFrame:
-    """(station, start, k, target, feature vector) — one row per window position; the model sees
-    the row's own non-target features plus the window mean of every feature."""
-    win = inference_windows(df, features, size, station, time)
-    win = win.withColumn("_means", F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)),
-                                               lambda j: F.aggregate("x", F.lit(0.0), lambda a, r: a + r[j]) / size))
-    return win.select(station, "start", "_means", F.posexplode("x").alias("k", "row"))
-
-
-def _training_rows(scaled: DataFrame, value: str, features: list[str], size: int, station: str, time: str) -> DataFrame:
-    """(station, start, k, _fv, _y, _known): a row for each window position. A missing value becomes the fill
-    value of the window, which is a true value's too; ``_known`` tells them apart."""
-    from pyspark.ml.functions import array_to_vector
-    flagged = scaled.withColumn("_known", F.col(value).isNotNull().cast("double"))
-    rows = _window_rows(flagged, [*features, "_known"], size, station, time)
-    ti = features.index(value)
-    others = [j for j in range(len(features)) if j != ti]
-    xv = F.array(*[F.col("row")[j] for j in others], *[F.col("_means")[j] for j in range(len(features))])
-    return rows.select(station, "start", "k", array_to_vector(xv).alias("_fv"), F.col("row")[ti].alias("_y"),
-                       (F.col("row")[len(features)] == 1.0).alias("_known"))
-
-
-def fit_global_and_per_cluster(df: DataFrame, value: str, features: list[str], path: str, size: int = 120,
-                               cluster: str = "cluster", station: str = STATION, time: str = MONTH) -> dict:
-    """The window model of H11 fitted on all stations and on each class (a handful), saved under
-    ``path``/<scope> and returned by scope; a scope with fewer than MIN_TRAIN training rows has none."""
-    from lacuna.session import cut_lineage
-    scaled, _ = SCL.minmax_scale(df, features)
-    rows = _training_rows(scaled, value, features, size, station, time).filter(F.col("_known") & F.col("_y").isNotNull())
-    classes = df.groupBy(station).agg(F.min(cluster).alias("_class"))
-    rows = cut_lineage(rows.join(classes, station).select("_class", "_fv", "_y"))
-    counts = {r["_class"]: r["count"] for r in rows.groupBy("_class").count().collect()}
-    scopes = {"all": (rows, sum(counts.values()))} | {str(c): (rows.filter(F.col("_class") == c), n) for c, n in counts.items() if c is not None}
-    out = {}
-    for scope, (part, n) in sorted(scopes.items()):
-        if n >= MIN_TRAIN:
-            out[scope] = LinearRegression(featuresCol="_fv", labelCol="_y", predictionCol="_p").fit(part)
-            out[scope].write().overwrite().save(f"{path}/{scope}")
-    return out
-
-
-def load_models(path: str, scopes: list[str]) -> dict:
-    """The models that ``fit_global_and_per_cluster`` saved for these scopes."""
-    return {s: LinearRegressionModel.load(f"{path}/{s}") for s in scopes}
-
-
-def impute_window_regression(df: DataFrame, value: str, features: list[str], size: int = 120,
-                             station: str = STATION, time: str = MONTH, out: str | None = None,
-                             model=None) -> DataFrame:
-    """Scale (J1), windows of ``size`` rows, model maps each window position to the target,
-    overlap-average (E10), inverse scale (J2). The model is a plug-in estimator (default linear)."""
-    out = out or value
-    scaled, scaler = SCL.minmax_scale(df, features)
-    rows = _training_rows(scaled, value, features, size, station, time)
-    est = model or LinearRegression(featuresCol="_fv", labelCol="_y", predictionCol="_p")
-    known = rows.filter(F.col("_known") & F.col("_y").isNotNull())
-    if known.isEmpty():
-        return df.withColumn(out, F.lit(None).cast("double"))
-    fit = est.fit(known)
-    pred = fit.transform(rows)
-    wp = pred.groupBy(station, "start").agg(F.sort_array(F.collect_list(F.struct("k", "_p"))).alias("_kp"))
-    wp = wp.select(station, "start", F.transform("_kp", lambda s: s["_p"]).alias("values"))
-    avg = overlap_average(wp, scaled.select(station, time), size, "_pn", station, time)
-    inv = SCL.minmax_inverse(avg.withColumnRenamed("_pn", value), [value], scaler.select(f"mn_{value}", f"mx_{value}"))
-    res = inv.select(station, time, F.col(value).alias("_model"))
-    keep = [c for c in df.columns if c != out]
-    return df.join(res, [station, time], "left").withColumn(out, F.col("_model")).select(*keep, out)
-
-
-def impute_variation_model(df: DataFrame, value: str, features: list[str], size: int = 120,
-                           station: str = STATION, time: str = MONTH, out: str | None = None) -> DataFrame:
-    """The same on deltas (E3: previous − current, first/null → 0); level rebuilt (E8) from
-    the first row with level_i = level_{i−1} + predicted delta (null delta → 0), as the reference."""
-    from lacuna.operators.series import variation_transform, cumulative_reconstruct
-    out = out or value
-    d = variation_transform(df, [value], station, time)
-    p = impute_window_regression(d, value, features, size, station, time, out="_delta")
-    first = df.select(station, time, F.col(value).alias("_lvl"))
-    j = p.join(first, [station, time])
-    r = cumulative_reconstruct(j, "_lvl", "_delta", station, time, sign=1, out=out)
-    keep = [c for c in df.columns if c != out]
-    return r.drop(value).join(df.select(station, time, value), [station, time]).select(*keep, out)

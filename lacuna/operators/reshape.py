@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.operators.holes import hash_int
+
 
 def union_all(*dfs: DataFrame) -> DataFrame:
     """G1: duplicates kept, columns matched by name."""
@@ -36,10 +38,24 @@ def config_grid(spark, axes: dict[str, list]) -> DataFrame:
     return df
 
 
-def pivot_series(df: DataFrame, value: str, station: str = "station_id", time: str = "month",
-                 ids: list | None = None) -> DataFrame:
-    """Long → one column per station (report output only; computations stay long)."""
-    return df.groupBy(time).pivot(station, ids).agg(F.first(value))
+def tiles(df: DataFrame, station: str, width: int) -> DataFrame:
+    """(station, tile): stations dealt by hash to as many tiles as ``width`` stations each need on average."""
+    ids = df.select(station).distinct()
+    n = ids.select(F.greatest(F.ceil(F.count(F.lit(1)) / width), F.lit(1)).cast("long")).scalar()
+    return ids.select(station, (hash_int(F.col(station), "tile") % n).alias("tile"))
+
+
+def tiled(df: DataFrame, keys: list[str], value: str, station: str = "station_id", width: int = 1000) -> DataFrame:
+    """keys…, tile, and the tile's ``stations`` that have a row there and their ``values``, as arrays in station
+    order, one row for each key and tile: a wide table cut into tiles of columns, for any number of stations."""
+    cells = F.sort_array(F.collect_list(F.struct(F.col(station).alias("id"), F.col(value).alias("v"))))
+    rows = df.join(tiles(df, station, width), station).groupBy(*keys, "tile").agg(cells.alias("_c"))
+    return rows.select(*keys, "tile", F.col("_c.id").alias("stations"), F.col("_c.v").alias("values"))
+
+
+def pivot_series(df: DataFrame, value: str, station: str = "station_id", time: str = "month", width: int = 1000) -> DataFrame:
+    """Long → month × station, in tiles of about ``width`` station columns (report output only; computations stay long)."""
+    return tiled(df, [time], value, station, width)
 
 
 def unpivot_scores(wide: DataFrame, keys: list[str], variables: list[str], value: str = "nrmse") -> DataFrame:
@@ -53,9 +69,9 @@ def unpivot_scores(wide: DataFrame, keys: list[str], variables: list[str], value
             .filter(F.col("variable") != "").drop("column"))
 
 
-def score_matrix_by_cluster(scores: DataFrame, station: str = "station_id", value: str = "nrmse") -> DataFrame:
-    """Method × station matrix per (cluster, variable)."""
-    return scores.groupBy("cluster", "variable", "method").pivot(station).agg(F.first(value))
+def score_matrix_by_cluster(scores: DataFrame, station: str = "station_id", value: str = "nrmse", width: int = 1000) -> DataFrame:
+    """Method × station matrix per (cluster, variable), in tiles of about ``width`` station columns."""
+    return tiled(scores, ["cluster", "variable", "method"], value, station, width)
 
 
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:

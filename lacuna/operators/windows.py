@@ -1,45 +1,51 @@
-"""Sliding windows and the window-model completion.
+"""Sliding windows over series (E9) and the average of overlapping window predictions.
 
-Windows are built last and never cached: a window of ``size`` rows of k features is a ×size
-blow-up of the series. Frames are ``rowsBetween(-size+1, 0)`` on the station window, so each
-window is produced by the same sort that orders the series (no explode, no self-join).
+A series is gathered once as an array in time order (bounded by the calendar); windows are slices of
+it, so there is one shuffle by station and no self-join. Windows multiply a series by their size, so they are
+the last step before a model that wants them; ``impute.window_model`` fits without them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.operators.series import STATION, MONTH
 
 
+def _vector(features: list[str], sentinel: float | None):
+    cells = [F.col(f).cast("double") if sentinel is None else F.coalesce(F.col(f).cast("double"), F.lit(sentinel)) for f in features]
+    return F.array(*cells)
+
+
+def _gathered(df: DataFrame, station: str, time: str, **vectors) -> DataFrame:
+    """station, ``n`` and the given columns as arrays in time order."""
+    row = F.struct(F.col(time).alias("t"), *[v.alias(name) for name, v in vectors.items()])
+    g = df.groupBy(station).agg(F.sort_array(F.collect_list(row)).alias("_s"))
+    return g.select(station, F.size("_s").alias("n"), *[F.col(f"_s.{name}").alias(name) for name in vectors])
+
+
 def sliding_windows(df: DataFrame, features: list[str], size: int, pairing: str = "cnn",
                     truth: DataFrame | None = None, station: str = STATION, time: str = MONTH,
                     sentinel: float = -1.0) -> DataFrame:
-    """(station, target_end, x, y). x rows hold the (holed, sentinel-filled) features, y the truth.
+    """(station, x_end, x, y). x rows hold the (holed, sentinel-filled) features, y the truth.
 
     cnn : x = rows [i−w, i), y = same rows, i = w … n−1, needs n > w+1
     lstm: x = rows [i−w−1, i−1), y = rows [i−w, i), i = w+1 … n−1, needs n > w+2
+    ``truth`` has the same rows as ``df`` for every station that ``df`` holds.
     """
-    w = Window.partitionBy(station).orderBy(time)
-    frame = w.rowsBetween(-size + 1, 0)
-    vec = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(sentinel)) for f in features])
-    t = df.withColumn("_pos", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(station)))
-    t = t.withColumn("_win", F.collect_list(vec).over(frame))
-    src = truth if truth is not None else df
-    tv = F.array(*[F.col(f).cast("double") for f in features])
-    tt = src.withColumn("_pos", F.row_number().over(w) - 1).withColumn("_ywin", F.collect_list(tv).over(frame)) \
-            .select(station, "_pos", "_ywin")
-    if pairing == "cnn":
-        # window ending at row i−1 for i = w … n−1  → end e = w−1 … n−2
-        xs = t.filter((F.col("_n") > size + 1) & (F.col("_pos") >= size - 1) & (F.col("_pos") <= F.col("_n") - 2))
-        xs = xs.select(station, F.col("_pos").alias("x_end"), F.col("_win").alias("x"))
-        return xs.join(tt.withColumnRenamed("_pos", "x_end"), [station, "x_end"]).withColumnRenamed("_ywin", "y")
-    # lstm: x ends at i−2, y ends at i−1 for i = w+1 … n−1 → x_end = w−1 … n−3
-    xs = t.filter((F.col("_n") > size + 2) & (F.col("_pos") >= size - 1) & (F.col("_pos") <= F.col("_n") - 3))
-    xs = xs.select(station, F.col("_pos").alias("x_end"), F.col("_win").alias("x"))
-    ys = tt.select(station, (F.col("_pos") - 1).alias("x_end"), F.col("_ywin").alias("y"))
-    return xs.join(ys, [station, "x_end"])
+    ahead = 0 if pairing == "cnn" else 1
+    g = _gathered(df, station, time, x_all=_vector(features, sentinel))
+    if truth is None:
+        g = g.join(_gathered(df, station, time, y_all=_vector(features, None)).drop("n"), station)
+    else:
+        g = g.join(_gathered(truth, station, time, y_all=_vector(features, None)).drop("n"), station)
+    last = F.col("n") - 2 - ahead
+    ends = g.filter(F.col("n") > size + 1 + ahead).withColumn("x_end", F.explode(F.sequence(F.lit(size - 1), last)))
+    return ends.select(station, "x_end", F.slice("x_all", F.col("x_end") - size + 2, F.lit(size)).alias("x"),
+                       F.slice("y_all", F.col("x_end") - size + 2 + ahead, F.lit(size)).alias("y"))
 
 
 def overlap_average(window_preds: DataFrame, series: DataFrame, size: int, out: str = "pred",
@@ -47,21 +53,37 @@ def overlap_average(window_preds: DataFrame, series: DataFrame, size: int, out:
     """Window i (start row i) covers rows i … i+size−1; each row takes the mean of every
     window covering it; rows covered by none stay null (always the last row, and all rows when n ≤ size).
 
-    ``window_preds``: (station, start, values array<double> of length size)."""
-    per_row = (window_preds.select(station, "start", F.posexplode("values").alias("k", "v"))
-               .select(station, (F.col("start") + F.col("k")).alias("_pos"), "v")
-               .groupBy(station, "_pos").agg(F.avg("v").alias(out)))
-    w = Window.partitionBy(station).orderBy(time)
-    s = series.withColumn("_pos", F.row_number().over(w) - 1)
-    return s.join(per_row, [station, "_pos"], "left").drop("_pos")
+    ``window_preds``: (station, start, values array<double> of length size). The windows of a station are added up
+    in memory, place by place, so that no window becomes rows; null values don't count."""
+    kind = window_preds.schema[station].dataType.simpleString()
+
+    def averaged(batches):
+        for b in batches:
+            found = []
+            for starts, values in zip(b.column(1), b.column(2)):
+                at = starts.values.to_numpy()
+                rows = values.values.flatten().to_numpy(zero_copy_only=False).reshape(len(at), size)
+                total, hits = np.zeros(int(at.max()) + size), np.zeros(int(at.max()) + size)
+                for t in range(size):
+                    known = ~np.isnan(rows[:, t])
+                    np.add.at(total, at[known] + t, rows[known, t])
+                    np.add.at(hits, at[known] + t, 1)
+                found.append(pa.scalar(np.where(hits > 0, total / np.where(hits > 0, hits, 1), np.nan).tolist(), pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f.as_py() for f in found], pa.list_(pa.float64()))], [station, "_avg"])
+
+    g = window_preds.groupBy(station).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), "values")).alias("_w"))
+    g = g.select(station, F.transform("_w", lambda w: w["start"]).alias("start"), F.transform("_w", lambda w: w["values"]).alias("values"))
+    avg = g.mapInArrow(averaged, f"`{station}` {kind}, _avg array<double>")
+    rest = [c for c in series.columns if c != station]
+    whole = series.groupBy(station).agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("_t"), F.struct(*rest).alias("_r")))).alias("_s"))
+    j = whole.join(avg, station, "left").select(station, "_avg", F.posexplode("_s").alias("_pos", "_s"))
+    value = F.get("_avg", F.col("_pos"))
+    return j.select(station, "_s._r.*", F.when(~F.isnan(value), value).alias(out)).select(*series.columns, out)
 
 
 def inference_windows(df: DataFrame, features: list[str], size: int, station: str = STATION,
                       time: str = MONTH, sentinel: float = -1.0) -> DataFrame:
     """Inference windows i = 0 … n−size−1 over rows [i, i+size) (the reference stops one short)."""
-    w = Window.partitionBy(station).orderBy(time)
-    vec = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(sentinel)) for f in features])
-    t = df.withColumn("_pos", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(station)))
-    t = t.withColumn("_win", F.collect_list(vec).over(w.rowsBetween(0, size - 1)))
-    return (t.filter(F.col("_pos") <= F.col("_n") - size - 1)
-            .select(station, F.col("_pos").alias("start"), F.col("_win").alias("x")))
+    g = _gathered(df, station, time, x_all=_vector(features, sentinel)).filter(F.col("n") > size)
+    return (g.withColumn("start", F.explode(F.sequence(F.lit(0), F.col("n") - size - 1)))
+            .select(station, "start", F.slice("x_all", F.col("start") + 1, F.lit(size)).alias("x")))

@@ -606,7 +606,14 @@ def q_unpivot(spark, sf):
 
 @query("pivot_series")
 def q_pivot_series(spark, sf):
-    return rounded(RS.pivot_series(monthly_levels(spark, sf), "level"))
+    return _written_out(RS.pivot_series(monthly_levels(spark, sf), "level", width=16))
+
+
+def _written_out(tiled):
+    """The arrays of tiles as text, values in thousandths."""
+    number = lambda v: F.coalesce(F.round(v * 1000).cast("long").cast("string"), F.lit("-"))
+    return (tiled.withColumn("stations", F.array_join(F.col("stations").cast("array<string>"), ","))
+            .withColumn("values", F.array_join(F.transform("values", number), ",")))
 
 
 def _wide_scores(spark, sf):
@@ -623,7 +630,14 @@ def q_unpivot_scores(spark, sf):
 @query("score_matrix_by_cluster")
 def q_score_matrix(spark, sf):
     s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
-    return rounded(RS.score_matrix_by_cluster(s))
+    return _written_out(RS.score_matrix_by_cluster(s, width=16))
+
+
+@query("dataset_focus")
+def q_dataset_focus(spark, sf):
+    """The errors of one dataset, with the removal rates that it has."""
+    rows, rates = FL.dataset_focus(_errors(spark, sf), 7)
+    return rounded(rows.join(rates.withColumnRenamed("pct_removed", "rate"), F.col("pct_removed") == F.col("rate")).drop("rate"))
 
 
 @query("distinct_sorted")
@@ -685,7 +699,7 @@ def q_json_fields(spark, sf):
 # ---------------------------------------------------------------- sources and sinks (write, then read back)
 import uuid  # noqa: E402
 
-from lacuna.session import shared_path  # noqa: E402
+from lacuna.session import cut_lineage, shared_path  # noqa: E402
 from lacuna.sources import readers as RD  # noqa: E402
 from lacuna.sources import writers as WR  # noqa: E402
 
@@ -773,8 +787,19 @@ def q_scan_suffix(spark, sf):
 from lacuna.operators import scale as SCL  # noqa: E402
 from lacuna.operators import windows as WIN  # noqa: E402
 from lacuna.operators.impute import models as MD  # noqa: E402
+from lacuna.operators.impute import window_model as WM  # noqa: E402
 
 SCALE_FEATURES = ["level", "lon", "lat"]
+WINDOW_FEATURES = ["level", "lon", "lat", "time_num", "pet", "rain", "temp", "sealed_area", "total_area"]
+HOLED_FEATURES = ["level", "pet", "rain", "temp"]
+WINDOW = 12  # months; the driver's calendar has 84, fewer than the reference's default of 120
+
+
+def windowed(spark, sf):
+    """The fused table with all nine features of the window models, and the class of each station."""
+    f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf), dt.soil(spark, sf))
+    f = f.withColumn("time_num", F.unix_seconds(F.col("month").cast("timestamp")).cast("double"))
+    return cut_lineage(CL.assign_clusters(f, "level"))
 
 
 @query("minmax_scale")
@@ -805,13 +830,23 @@ def q_reuse_scaler(spark, sf):
     return rounded(out)
 
 
-@query("sliding_windows")
-def q_sliding_windows(spark, sf):
+def _windows(spark, sf, pairing):
     g = monthly_levels(spark, sf)
     h = HO.holes_blocks(g, "level", 0.1, 42, (1, 5)).drop("truth", "hole")
-    w = WIN.sliding_windows(h, SCALE_FEATURES, 12, "cnn", truth=g)
-    return w.select("station_id", "x_end", F.size("x").alias("n_x"),
-                    F.round(F.aggregate("y", F.lit(0.0), lambda a, r: a + F.coalesce(r[0], F.lit(0.0))), 6).alias("sum_y_level"))
+    w = WIN.sliding_windows(h, SCALE_FEATURES, WINDOW, pairing, truth=g)
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, r: a + F.coalesce(r[0], F.lit(0.0))), 6)
+    return w.select("station_id", "x_end", F.size("x").alias("n_x"), total("x").alias("sum_x_level"), total("y").alias("sum_y_level"))
+
+
+@query("sliding_windows")
+def q_sliding_windows(spark, sf):
+    return _windows(spark, sf, "cnn")
+
+
+@query("sliding_windows_lstm")
+def q_sliding_windows_lstm(spark, sf):
+    """E9 with the target one row ahead."""
+    return _windows(spark, sf, "lstm")
 
 
 @query("overlap_average")
@@ -831,15 +866,21 @@ def q_forest(spark, sf):
 
 @query("impute_window_regression")
 def q_window_regression(spark, sf):
-    g = monthly_levels(spark, sf)
-    return rounded(MD.impute_window_regression(g, "level", SCALE_FEATURES, 12, out="filled")
+    """H11 over all nine features of the fused table."""
+    return rounded(WM.impute_window_regression(windowed(spark, sf), "level", WINDOW_FEATURES, WINDOW, out="filled", holed=HOLED_FEATURES)
                    .select("station_id", "month", "level", "filled"), 4)
 
 
+@query("impute_window_regression_pair")
+def q_window_regression_pair(spark, sf):
+    """H11 on windows of two rows of the level alone: normal equations that SQL can write down."""
+    return rounded(WM.impute_window_regression(monthly_levels(spark, sf), "level", ["level"], 2, out="filled")
+                   .select("station_id", "month", "level", "filled"))
+
+
 @query("impute_variation_model")
 def q_variation_model(spark, sf):
-    g = monthly_levels(spark, sf)
-    return rounded(MD.impute_variation_model(g, "level", SCALE_FEATURES, 12, out="filled")
+    return rounded(WM.impute_variation_model(windowed(spark, sf), "level", WINDOW_FEATURES, WINDOW, out="filled", holed=HOLED_FEATURES)
                    .select("station_id", "month", "level", "filled"), 4)
 
 
@@ -924,15 +965,8 @@ def q_month_year_pivot(spark, sf):
 
 @query("fit_global_and_per_cluster")
 def q_fit_global_and_per_cluster(spark, sf):
-    """The saved models of all stations and of each class, applied to every window's mean (features and value 0)."""
-    p = _stage(spark, "models")
-    fitted = MD.fit_global_and_per_cluster(clustered(spark, sf), "level", SCALE_FEATURES, p, 12)
-    loaded = MD.load_models(p, list(fitted))
-    n = 2 * len(SCALE_FEATURES) - 1
-    from pyspark.ml.functions import array_to_vector
-    zero = dt.stations(spark, sf).select("station_id", array_to_vector(F.array(*[F.lit(0.0)] * n)).alias("_fv"))
-    out = None
-    for scope, m in loaded.items():
-        part = m.transform(zero).select("station_id", F.lit(scope).alias("scope"), F.col("_p").alias("prediction"))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, 4)
+    """The model of all stations on every station, and each class's on its own stations, saved and read back."""
+    p, df = _stage(spark, "models"), windowed(spark, sf)
+    fitted, scaler = WM.fit_global_and_per_cluster(df, "level", WINDOW_FEATURES, p, WINDOW, holed=HOLED_FEATURES)
+    loaded = WM.WindowModel.load(spark, p, fitted.features, fitted.value)
+    return rounded(WM.apply_windows(df, loaded, scaler, "cluster").select("station_id", "scope", "month", F.col("pred").alias("prediction")), 4)

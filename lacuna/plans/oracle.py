@@ -742,3 +742,66 @@ pr AS (SELECT ln.cluster, ln.station_id, r.station_id AS other, ln.L, covar_pop(
        GROUP BY ALL),
 rk AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY round(sim, 9) DESC, other) AS rank FROM pr)""", """
 SELECT cluster, station_id, other, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""")
+
+SQL["unpivot_scores"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SELECT station_id, method, variable, round(nrmse, 6) AS nrmse FROM scores""")
+
+
+def _tiled(rows: str, keys: str, value: str, width: int) -> str:
+    """Rows of a table with station_id, in tiles by the station's hash."""
+    return f""",
+ids AS (SELECT DISTINCT station_id FROM {rows}),
+tile AS (SELECT station_id, ('0x' || substr(md5(concat_ws('|', CAST(station_id AS VARCHAR), 'tile')), 1, 8))::BIGINT
+           % greatest(ceil((SELECT count(*) FROM ids) / {width}), 1)::BIGINT AS tile FROM ids)""", f"""
+SELECT {keys}, tile, string_agg(station_id::VARCHAR, ',' ORDER BY station_id) AS stations,
+  string_agg(coalesce(round({value} * 1000)::BIGINT::VARCHAR, '-'), ',' ORDER BY station_id) AS values
+FROM {rows} JOIN tile USING (station_id) GROUP BY {keys}, tile"""
+
+
+SQL["pivot_series"] = with_(DENSE + _tiled("f", "month", "level", 16)[0], _tiled("f", "month", "level", 16)[1])
+_matrix = _tiled("scores", "cluster, variable, method", "nrmse", 16)
+SQL["score_matrix_by_cluster"] = _score_sql(["lineaire", "bss"]).replace("{body}", _matrix[0] + _matrix[1])
+SQL["dataset_focus"] = with_(ERRORS, "SELECT dataset, method, pct_removed, round(NMAE, 6) AS NMAE, round(NRMSE, 6) AS NRMSE FROM err WHERE dataset = 7")
+
+
+def _windows_sql(ahead: int) -> str:
+    """Windows of 12 rows that end at e, x holed with -1 for gaps, y the truth of the rows ``ahead``."""
+    return with_(DENSE_POS + holes_cte(0.1, 42, 1, 5), f"""
+SELECT w.station_id, e AS x_end, 12 AS n_x, round(sum(coalesce(h.level, -1.0)), 6) AS sum_x_level, round(sum(coalesce(t.level, 0.0)), 6) AS sum_y_level
+FROM (SELECT station_id, unnest(range(11, n - 1 - {ahead}))::INTEGER AS e FROM (SELECT station_id, count(*) AS n FROM hz GROUP BY 1) WHERE n > 13 + {ahead}) w
+JOIN (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS pos FROM hz) h ON h.station_id = w.station_id AND h.pos BETWEEN e - 11 AND e
+JOIN fp t ON t.station_id = w.station_id AND t.pos = h.pos + {ahead}
+GROUP BY ALL""")
+
+
+SQL["sliding_windows"] = _windows_sql(0)
+SQL["sliding_windows_lstm"] = _windows_sql(1)
+
+
+def _det(a: list[list[str]]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = a
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+def _pair_sql(ridge: float) -> str:
+    """Two outputs of three unknowns each, the normal equations solved by Cramer's rule."""
+    a = [["n", "s1", "s2"], ["s1", "s11", "s12"], ["s2", "s12", "s22"]]
+    b = ["sy", "s1y", "s2y"]
+    weights = ", ".join(_det([[b[i] if j == w else a[i][j] for j in range(3)] for i in range(3)]) + f" / {_det(a)} AS w{w}" for w in range(3))
+    return with_(DENSE + holes_cte(0.1, 42, 1, 5) + f""",
+mm AS (SELECT min(level) AS lo, CASE WHEN max(level) = min(level) THEN 1.0 ELSE max(level) - min(level) END AS span FROM f),
+sc AS (SELECT station_id, month, pos, hole, 2 * (truth_ - lo) / span - 1 AS y FROM (SELECT station_id, month, pos, hole, level AS truth_ FROM hl) CROSS JOIN mm),
+x AS (SELECT *, CASE WHEN hole THEN -1.0 ELSE coalesce(y, -1.0) END AS h, coalesce(y, -1.0) AS p, count(*) OVER (PARTITION BY station_id) AS rows_ FROM sc),
+v AS (SELECT *, lag(h, 1, -1.0) OVER w AS h0, lead(h, 1, -1.0) OVER w AS h2, lag(p) OVER w AS p0, lead(p) OVER w AS p2 FROM x WINDOW w AS (PARTITION BY station_id ORDER BY pos)),
+o AS (SELECT 0 AS t, h AS a, h2 AS b, y FROM v WHERE y IS NOT NULL UNION ALL SELECT 1, h0, h, y FROM v WHERE y IS NOT NULL),
+q AS (SELECT t, count(*)::DOUBLE AS n, sum(a) AS s1, sum(b) AS s2, sum(a * a) + {ridge} * count(*) AS s11, sum(a * b) AS s12, sum(b * b) + {ridge} * count(*) AS s22,
+        sum(y) AS sy, sum(a * y) AS s1y, sum(b * y) AS s2y FROM o GROUP BY t),
+wt AS (SELECT t, {weights} FROM q),
+pr AS (SELECT station_id, month, CASE WHEN pos <= rows_ - 3 THEN (SELECT w0 FROM wt WHERE t = 0) + (SELECT w1 FROM wt WHERE t = 0) * p + (SELECT w2 FROM wt WHERE t = 0) * p2 END AS first,
+         CASE WHEN pos BETWEEN 1 AND rows_ - 2 THEN (SELECT w0 FROM wt WHERE t = 1) + (SELECT w1 FROM wt WHERE t = 1) * p0 + (SELECT w2 FROM wt WHERE t = 1) * p END AS second FROM v)""", """
+SELECT f.station_id, f.month, round(level, 6) AS level,
+  round((CASE WHEN first IS NULL THEN second WHEN second IS NULL THEN first ELSE (first + second) / 2 END + 1) / 2 * span + lo, 6) AS filled
+FROM f JOIN pr USING (station_id, month) CROSS JOIN mm""")
+
+
+SQL["impute_window_regression_pair"] = _pair_sql(1e-3)

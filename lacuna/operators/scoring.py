@@ -9,22 +9,24 @@ from lacuna.functions import stats as ST
 from lacuna.operators.holes import holes_blocks
 from lacuna.operators.impute.registry import predictions_long
 from lacuna.operators.series import STATION, MONTH
+from lacuna.session import cut_lineage
 
 
 def score_on_holes(df: DataFrame, value: str, methods: list[str], pct: float = 0.2,
                    sizes: tuple[int, int] = (1, 5), seed: int = 42, station: str = STATION,
                    time: str = MONTH, carry: tuple[str, ...] = ("lat", "lon", "cluster")) -> DataFrame:
     """NRMSE per (station, method) on the rows nulled by the holes where truth and prediction
-    exist; null when there is no such row. Carries the first lat/lon/cluster in time order."""
-    holed = holes_blocks(df, value, pct, seed, sizes, station, time)
-    preds = predictions_long(holed.drop("truth", "hole"), value, methods, station, time)
-    j = preds.join(holed.select(station, time, "truth", "hole"), [station, time])
-    scored = (j.filter(F.col("hole") & F.col("truth").isNotNull() & F.col("pred").isNotNull())
-              .groupBy(station, "method").agg(ST.nrmse("truth", "pred").alias("nrmse")))
-    keys = holed.select(station).distinct().withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
+    exist; null when there is no such row. Carries the first lat/lon/cluster in time order.
+
+    The holed series are materialised once; truth, hole flag and carried columns go with the rows through the
+    methods, so scores, keys and carried values are one aggregation of the predictions."""
+    holed = cut_lineage(holes_blocks(df, value, pct, seed, sizes, station, time))
     present = [c for c in carry if c in df.columns]
-    info = df.groupBy(station).agg(*[F.min_by(c, F.col(time)).alias(c) for c in present])
-    return (keys.join(scored, [station, "method"], "left").join(info, station, "left")
+    preds = predictions_long(holed, value, methods, station, time, ("truth", "hole", *[c for c in present if c not in (station, time)]))
+    hit = F.col("hole") & F.col("truth").isNotNull() & F.col("pred").isNotNull()
+    scored = preds.withColumn("_t", F.when(hit, F.col("truth"))).withColumn("_p", F.when(hit, F.col("pred")))
+    return (scored.groupBy(station, "method")
+            .agg(F.when(F.count("_t") > 0, ST.nrmse("_t", "_p")).alias("nrmse"), *[F.min_by(c, F.col(time)).alias(c) for c in present])
             .withColumn("variable", F.lit(value)))
 
 
@@ -32,32 +34,41 @@ def evaluate_methods(preds: DataFrame, truth: DataFrame, value: str, pct: float,
                      station: str = STATION, time: str = MONTH) -> DataFrame:
     """I4: NMAE and NRMSE per (station, method) over the whole series minus its first ``skip``
     rows; one null truth or prediction in that range makes the metric null (NaN in the reference)."""
-    w = Window.partitionBy(station, "method").orderBy(time)
-    t = (preds.join(truth.select(station, time, F.col(value).alias("_real")), [station, time])
-         .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > skip))
-    g = t.groupBy(station, "method").agg(
+    t = preds.join(truth.select(station, time, F.col(value).alias("_real")), [station, time])
+    return _errors(t, [station], skip, time).withColumnRenamed(station, "dataset").withColumn("pct_removed", F.lit(float(pct)))
+
+
+def _errors(t: DataFrame, series: list[str], skip: int, time: str) -> DataFrame:
+    """NMAE and NRMSE of ``pred`` against ``_real`` by series and method."""
+    w = Window.partitionBy(*series, "method").orderBy(time)
+    t = t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > skip)
+    return t.groupBy(*series, "method").agg(
         ST.strict(ST.nmae("_real", "pred"), "_real", "pred").alias("NMAE"),
         ST.strict(ST.nrmse("_real", "pred"), "_real", "pred").alias("NRMSE"))
-    return g.withColumnRenamed(station, "dataset").withColumn("pct_removed", F.lit(float(pct)))
 
 
 def evaluate_all(df: DataFrame, value: str, methods: list[str], rates: list[float], seed: int = 42,
                  sizes: tuple[int, int] = (1, 6),
-                 station: str = STATION, time: str = MONTH) -> DataFrame:
+                 station: str = STATION, time: str = MONTH, cluster: str = "cluster") -> DataFrame:
     """Every series × removal rate × method in one plan (no loop over files).
 
-    F5, the limit on the series evaluated, is a filter on ``df``'s stations by the caller.
+    A series under one rate is a series of its own (``_sid``: station and the rate's number, and so is its class), so
+    all rates go through each method together: one shuffle for all window methods and rates, one search for
+    each other method. F5, the limit on the series evaluated, is a filter on ``df``'s stations by the caller.
     """
-    outs = []
+    base = cut_lineage(df)
+    whole = dict(base.dtypes)[station] in ("tinyint", "smallint", "int", "bigint")
+    parts = None
     for i, rate in enumerate(rates):
-        holed = holes_blocks(df, value, rate, seed + i, sizes, station, time)
-        preds = predictions_long(holed.drop("truth", "hole"), value, methods, station, time)
-        truth = holed.select(station, time, F.col("truth").alias(value))
-        outs.append(evaluate_methods(preds, truth, value, rate, 6, station, time).withColumn("_ri", F.lit(i)))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res.drop("_ri")
+        sid = F.col(station).cast("long") * len(rates) + i if whole else F.concat_ws("|", F.lit(str(i)), F.col(station).cast("string"))
+        holed = holes_blocks(base, value, rate, seed + i, sizes, station, time).withColumn("_sid", sid).withColumn("_rate", F.lit(i))
+        if cluster in base.columns:
+            holed = holed.withColumn(cluster, F.concat_ws("|", F.col(cluster), F.lit(str(i))))
+        parts = holed if parts is None else parts.unionByName(holed)
+    holed = cut_lineage(parts.withColumnRenamed(station, "dataset"))
+    preds = predictions_long(holed, value, methods, "_sid", time, ("truth", "dataset", "_rate"))
+    e = _errors(preds.withColumnRenamed("truth", "_real"), ["_sid", "dataset", "_rate"], 6, time)
+    return e.select("dataset", "method", "NMAE", "NRMSE", F.get(F.array(*[F.lit(float(r)) for r in rates]), F.col("_rate")).alias("pct_removed"))
 
 
 def nse(preds: DataFrame, truth: DataFrame, value: str, station: str = STATION, time: str = MONTH) -> DataFrame:

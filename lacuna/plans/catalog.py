@@ -367,8 +367,9 @@ from lacuna.operators import scoring as SC  # noqa: E402
 from lacuna.operators.impute import registry as REG  # noqa: E402
 from lacuna.functions import stats as ST  # noqa: E402
 
-SQL_METHODS = ["lineaire", "bss"]
-ALL_METHODS = ["lineaire", "pchip", "akima", "cubique", "polynome", "spline", "knn", "bss"]
+SCORE_METHODS = ["lineaire", "pchip", "akima", "bss"]  # SQL gives their predictions too,
+SQL_METHODS = [*SCORE_METHODS, "knn"]  # and these
+ALL_METHODS = ["lineaire", "pchip", "akima", "cubique", "polynome", "spline", "knn", "bss", "knn_nappe", "rf", "cnn", "variation"]  # of the reference
 
 
 @query("holes_points")
@@ -390,16 +391,32 @@ def q_year_range_mask(spark, sf):
 
 @query("score_on_holes")
 def q_score_on_holes(spark, sf):
-    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
+    s = SC.score_on_holes(clustered(spark, sf), "level", SCORE_METHODS, 0.2, (1, 5), 42)
     return rounded(s.select("station_id", "lat", "lon", "cluster", "variable", "method", "nrmse"))
 
 
+def _with_window_models():
+    """The window models as plug-ins: the reference's trained networks."""
+    model = lambda fn: lambda df, value, station, time, out: fn(df, value, WINDOW_FEATURES, WINDOW, station, time, out, holed=HOLED_FEATURES)
+    REG.register("cnn", model(WM.impute_window_regression))
+    REG.register("variation", model(WM.impute_variation_model))
+
+
 @query("score_on_holes_all_methods")
 def q_score_all(spark, sf):
-    s = SC.score_on_holes(clustered(spark, sf), "level", ALL_METHODS, 0.2, (1, 5), 42)
+    """I3 over all twelve methods, on the fused table."""
+    _with_window_models()
+    s = SC.score_on_holes(windowed(spark, sf), "level", ALL_METHODS, 0.2, (1, 5), 42)
     return rounded(s.select("station_id", "lat", "lon", "cluster", "variable", "method", "nrmse"))
 
 
+@query("evaluate_all_methods")
+def q_evaluate_all_methods(spark, sf):
+    """I5 over all twelve methods and two rates, on the fused table."""
+    _with_window_models()
+    return rounded(SC.evaluate_all(windowed(spark, sf), "level", ALL_METHODS, [0.1, 0.2], seed=42, sizes=(1, 6)))
+
+
 def _errors(spark, sf):
     return SC.evaluate_all(monthly_levels(spark, sf), "level", SQL_METHODS, [0.1, 0.2], seed=42, sizes=(1, 6))
 
@@ -407,7 +424,7 @@ def _errors(spark, sf):
 @query("evaluate_methods")
 def q_evaluate_methods(spark, sf):
     g = monthly_levels(spark, sf)
-    h = HO.holes_blocks(g, "level", 0.1, 42, (1, 6))
+    h = cut_lineage(HO.holes_blocks(g, "level", 0.1, 42, (1, 6)))
     preds = REG.predictions_long(h.drop("truth", "hole"), "level", SQL_METHODS)
     truth = h.select("station_id", "month", F.col("truth").alias("level"))
     return rounded(SC.evaluate_methods(preds, truth, "level", 0.1))
@@ -457,7 +474,7 @@ def q_method_league(spark, sf):
 
 @query("summary_range")
 def q_summary_range(spark, sf):
-    return rounded(SC.summary_range(SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)))
+    return rounded(SC.summary_range(SC.score_on_holes(clustered(spark, sf), "level", SCORE_METHODS, 0.2, (1, 5), 42)))
 
 
 @query("complete_variables")
@@ -469,9 +486,9 @@ def q_complete_variables(spark, sf):
 
 @query("apply_best_method")
 def q_apply_best(spark, sf):
-    c = clustered(spark, sf)
-    scores = SC.score_on_holes(c, "level", SQL_METHODS, 0.2, (1, 5), 42)
-    preds = REG.predictions_long(c.select("station_id", "month", "level", "lon", "lat"), "level", SQL_METHODS)
+    c = cut_lineage(clustered(spark, sf))
+    scores = SC.score_on_holes(c, "level", SCORE_METHODS, 0.2, (1, 5), 42)
+    preds = REG.predictions_long(c.select("station_id", "month", "level", "lon", "lat"), "level", SCORE_METHODS)
     out = REG.apply_best_method(preds, scores, c.select("station_id", "month", "level"), "level")
     return rounded(out.select("station_id", "month", "best_method", "completed"))
 
@@ -617,9 +634,9 @@ def _written_out(tiled):
 
 
 def _wide_scores(spark, sf):
-    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
-    return s.groupBy("station_id").pivot("method", SQL_METHODS).agg(F.first("nrmse")) \
-            .select("station_id", *[F.col(m).alias(f"{m}_level") for m in SQL_METHODS])
+    s = SC.score_on_holes(clustered(spark, sf), "level", SCORE_METHODS, 0.2, (1, 5), 42)
+    return s.groupBy("station_id").pivot("method", SCORE_METHODS).agg(F.first("nrmse")) \
+            .select("station_id", *[F.col(m).alias(f"{m}_level") for m in SCORE_METHODS])
 
 
 @query("unpivot_scores")
@@ -629,7 +646,7 @@ def q_unpivot_scores(spark, sf):
 
 @query("score_matrix_by_cluster")
 def q_score_matrix(spark, sf):
-    s = SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42)
+    s = SC.score_on_holes(clustered(spark, sf), "level", SCORE_METHODS, 0.2, (1, 5), 42)
     return _written_out(RS.score_matrix_by_cluster(s, width=16))
 
 
@@ -762,7 +779,7 @@ def q_append_run_log(spark, sf):
 @query("read_summary")
 def q_read_summary(spark, sf):
     p = _stage(spark, "summary")
-    WR.write_table(SC.score_on_holes(clustered(spark, sf), "level", SQL_METHODS, 0.2, (1, 5), 42), p)
+    WR.write_table(SC.score_on_holes(clustered(spark, sf), "level", SCORE_METHODS, 0.2, (1, 5), 42), p)
     return rounded(RD.read_summary(spark, p))
 
 

@@ -491,9 +491,13 @@ SELECT station_id, month, round(CASE WHEN year(month) BETWEEN 1997 AND 1998 THEN
 
 
 def method_sql(method: str, base: str) -> str:
-    src = {"lineaire": SQL["impute_linear"], "bss": SQL["impute_seasonal"]}[method]
-    assert src.startswith("WITH " + DENSE)
-    return "WITH " + base + src[len("WITH " + DENSE):]
+    src = {"lineaire": SQL["impute_linear"], "bss": SQL["impute_seasonal"], "pchip": SQL["impute_pchip"], "akima": SQL["impute_akima"], "knn": SQL["impute_knn"]}[method]
+    assert src.startswith("WITH " + DENSE) and ", 6) AS filled" in src
+    return "WITH " + base + src[len("WITH " + DENSE):].replace(", 6) AS filled", ", 13) AS filled")
+
+
+SCORE_METHODS = ["lineaire", "pchip", "akima", "bss"]
+SQL_METHODS = [*SCORE_METHODS, "knn"]
 
 
 def preds_sql(methods, base):
@@ -517,10 +521,10 @@ scores AS (SELECT keys.station_id, info.lat, info.lon, info.cluster, 'level' AS
            LEFT JOIN info ON info.station_id = keys.station_id)""", "{body}")
 
 
-SQL["score_on_holes"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SQL["score_on_holes"] = _score_sql(SCORE_METHODS).replace("{body}", """
 SELECT station_id, round(lat, 6) AS lat, round(lon, 6) AS lon, cluster, variable, method, round(nrmse, 6) AS nrmse FROM scores""")
 
-SQL["summary_range"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SQL["summary_range"] = _score_sql(SCORE_METHODS).replace("{body}", """
 SELECT round(max(coalesce(nrmse, 0.0)), 6) AS max_score, round(avg(coalesce(nrmse, 0.0)), 6) AS mean_score,
        round(avg(coalesce(nrmse, 0.0)) * 2, 6) AS scale_max FROM scores""")
 
@@ -529,7 +533,7 @@ def _eval_sql(pct: float, seed: int, tag: str) -> str:
     """errors (dataset, method, pct_removed, NMAE, NRMSE) for one removal rate, as a subquery."""
     base = holed_base(pct, seed, 1, 6)
     return "(" + with_(DENSE + holes_cte(pct, seed, 1, 6, "f", "h") + """,
-pr AS (""" + preds_sql(["lineaire", "bss"], base) + """),
+pr AS (""" + preds_sql(SQL_METHODS, base) + """),
 j AS (SELECT pr.*, hz.truth AS r, row_number() OVER (PARTITION BY pr.station_id, pr.method ORDER BY pr.month) AS rn
       FROM pr JOIN hz ON pr.station_id = hz.station_id AND pr.month = hz.month)""", f"""
 SELECT station_id AS dataset, method, CAST({pct} AS DOUBLE) AS pct_removed,
@@ -546,9 +550,8 @@ ERRORS = "err AS (SELECT * FROM " + _eval_sql(0.1, 42, "a") + " UNION ALL SELECT
 
 SQL["evaluate_all"] = with_(ERRORS, "SELECT dataset, method, pct_removed, round(NMAE, 6) AS NMAE, round(NRMSE, 6) AS NRMSE FROM err")
 SQL["mean_error_by_method"] = with_(ERRORS, "SELECT method, round(avg(NMAE), 6) AS mean_nmae, round(avg(NRMSE), 6) AS mean_nrmse FROM err GROUP BY 1")
-SQL["error_pivot"] = with_(ERRORS, """
-SELECT dataset, round(avg(NRMSE) FILTER (WHERE method = 'lineaire'), 6) AS lineaire,
-       round(avg(NRMSE) FILTER (WHERE method = 'bss'), 6) AS bss FROM err GROUP BY 1""")
+SQL["error_pivot"] = with_(ERRORS, "SELECT dataset, " + ", ".join(
+    f"round(avg(NRMSE) FILTER (WHERE method = '{m}'), 6) AS {m}" for m in SQL_METHODS) + " FROM err GROUP BY 1")
 SQL["method_rank"] = with_(ERRORS, """
 SELECT dataset, pct_removed, method, round(NRMSE, 6) AS NRMSE,
        rank() OVER (PARTITION BY dataset, pct_removed ORDER BY NRMSE ASC NULLS LAST) AS rank FROM err""")
@@ -566,14 +569,14 @@ SELECT station_id, method, round(1 - sum((r - pred) * (r - pred)) / nullif(sum((
 
 SQL["masked_mse"] = "SELECT station_id, round(avg(CASE WHEN y <> -999 THEN (y - filled) * (y - filled) END), 6) AS masked_mse FROM (SELECT station_id, coalesce(level, -999.0) AS y, filled FROM (" + SQL["impute_linear"] + ")) GROUP BY 1"
 
-SQL["complete_variables"] = ("SELECT a.station_id, a.month, a.level, a.filled AS lineaire_level, b.filled AS bss_level FROM ("
-                             + SQL["impute_linear"] + ") a JOIN (" + SQL["impute_seasonal"] + ") b ON a.station_id = b.station_id AND a.month = b.month")
+_filled = lambda m: f"({method_sql(m, DENSE)})"
+SQL["complete_variables"] = ("SELECT station_id, month, a.level, " + ", ".join(f"round({m}.filled, 6) AS {m}_level" for m in SQL_METHODS)
+                             + " FROM (" + SQL["densify_series"] + ") a " + " ".join(f"JOIN {_filled(m)} {m} USING (station_id, month)" for m in SQL_METHODS))
 
 SQL["apply_best_method"] = with_("""
-sc AS (""" + SQL["score_on_holes"] + """),
+sc AS (""" + SQL["score_on_holes"].replace("round(nrmse, 6)", "nrmse") + """),
 best AS (SELECT station_id, arg_min(method, (nrmse, method)) AS best_method FROM sc WHERE nrmse IS NOT NULL GROUP BY 1),
-pr AS (SELECT station_id, month, level, 'lineaire' AS method, filled FROM (""" + SQL["impute_linear"] + """)
-       UNION ALL SELECT station_id, month, level, 'bss', filled FROM (""" + SQL["impute_seasonal"] + """))""", """
+pr AS (""" + " UNION ALL ".join(f"SELECT station_id, month, level, '{m}' AS method, filled FROM {_filled(m)}" for m in SCORE_METHODS) + ")", """
 SELECT pr.station_id, pr.month, best.best_method, round(coalesce(pr.level, p2.filled), 6) AS completed
 FROM (SELECT DISTINCT station_id, month, level FROM pr) pr
 LEFT JOIN best ON best.station_id = pr.station_id
@@ -677,7 +680,7 @@ SQL["write_per_station"] = with_(DENSE, "SELECT station_id, count(*) AS n_rows F
 SQL["write_by_cluster"] = with_(CLUSTERED, "SELECT station_id, month, round(level, 6) AS level, cluster FROM cl")
 SQL["write_table"] = with_(POINTS, "SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, month, round(rain, 6) AS rain, round(temp, 6) AS temp FROM pt")
 SQL["append_run_log"] = SQL["evaluate_all"]
-SQL["read_summary"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SQL["read_summary"] = _score_sql(SCORE_METHODS).replace("{body}", """
 SELECT station_id, variable, method, round(nrmse, 6) AS nrmse FROM scores""")
 SQL["read_clusters_or_fused"] = with_(DENSE, """
 SELECT station_id, month, round(level, 6) AS level, round(lon, 6) AS lon, round(lat, 6) AS lat, CAST(NULL AS VARCHAR) AS cluster FROM f""")
@@ -743,7 +746,7 @@ pr AS (SELECT ln.cluster, ln.station_id, r.station_id AS other, ln.L, covar_pop(
 rk AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY round(sim, 9) DESC, other) AS rank FROM pr)""", """
 SELECT cluster, station_id, other, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""")
 
-SQL["unpivot_scores"] = _score_sql(["lineaire", "bss"]).replace("{body}", """
+SQL["unpivot_scores"] = _score_sql(SCORE_METHODS).replace("{body}", """
 SELECT station_id, method, variable, round(nrmse, 6) AS nrmse FROM scores""")
 
 
@@ -760,7 +763,7 @@ FROM {rows} JOIN tile USING (station_id) GROUP BY {keys}, tile"""
 
 SQL["pivot_series"] = with_(DENSE + _tiled("f", "month", "level", 16)[0], _tiled("f", "month", "level", 16)[1])
 _matrix = _tiled("scores", "cluster, variable, method", "nrmse", 16)
-SQL["score_matrix_by_cluster"] = _score_sql(["lineaire", "bss"]).replace("{body}", _matrix[0] + _matrix[1])
+SQL["score_matrix_by_cluster"] = _score_sql(SCORE_METHODS).replace("{body}", _matrix[0] + _matrix[1])
 SQL["dataset_focus"] = with_(ERRORS, "SELECT dataset, method, pct_removed, round(NMAE, 6) AS NMAE, round(NRMSE, 6) AS NRMSE FROM err WHERE dataset = 7")
 
 

@@ -805,6 +805,7 @@ from lacuna.operators import scale as SCL  # noqa: E402
 from lacuna.operators import windows as WIN  # noqa: E402
 from lacuna.operators.impute import models as MD  # noqa: E402
 from lacuna.operators.impute import window_model as WM  # noqa: E402
+from lacuna.operators.impute import grid_search as GS  # noqa: E402
 
 SCALE_FEATURES = ["level", "lon", "lat"]
 WINDOW_FEATURES = ["level", "lon", "lat", "time_num", "pet", "rain", "temp", "sealed_area", "total_area"]
@@ -901,6 +902,29 @@ def q_variation_model(spark, sf):
                    .select("station_id", "month", "level", "filled"), 4)
 
 
+GRID = {"sizes": [2], "ridges": [0.001, 0.1, 1.0], "pcts": [0.1, 0.2]}
+
+
+@query("grid_search_resume")
+def q_grid_search(spark, sf):
+    """Two hole rates by three ridge terms on pairs of rows; the first call stops after one rate, the second takes up the rest."""
+    p, g = _stage(spark, "grid_log"), cut_lineage(monthly_levels(spark, sf))
+    GS.grid_search(g, "level", ["level"], p, GRID["sizes"], GRID["ridges"], GRID["pcts"][:1])
+    GS.grid_search(g, "level", ["level"], p, **GRID)
+    return rounded(GS.read_log(spark, p).withColumn("rank", F.row_number().over(Window.orderBy("val_loss", "pct", "ridge"))))
+
+
+@query("grid_search_best")
+def q_grid_search_best(spark, sf):
+    """I6 over all nine features and three sizes: the chosen configuration of each class of stations."""
+    p, df, out = _stage(spark, "grid_logs"), windowed(spark, sf), None
+    for c in ("inertial", "reactive"):
+        best = GS.grid_search(df.filter(F.col("cluster") == c), "level", WINDOW_FEATURES, f"{p}/{c}", [3, 6, 12], [0.001, 0.1], [0.1], holed=HOLED_FEATURES)
+        best = best.withColumn("cluster", F.lit(c))
+        out = best if out is None else out.unionByName(best)
+    return rounded(out, 4)
+
+
 @query("explode_api_pages")
 def q_explode_api_pages(spark, sf):
     """Readings landed as API pages (one page per station and year, ≤ 366 items), read back."""

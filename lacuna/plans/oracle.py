@@ -786,20 +786,27 @@ def _det(a: list[list[str]]) -> str:
     return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
 
 
-def _pair_sql(ridge: float) -> str:
-    """Two outputs of three unknowns each, the normal equations solved by Cramer's rule."""
+def _pair_model(pct: float, ridges: list[float], share: str = "1.0") -> str:
+    """Rows of the level, scaled and holed (sc … v), their two outputs (o) with the part that they belong to, and by output
+    and ridge term the three weights (wt): the normal equations solved by Cramer's rule. The first ``share`` of a series trains."""
     a = [["n", "s1", "s2"], ["s1", "s11", "s12"], ["s2", "s12", "s22"]]
     b = ["sy", "s1y", "s2y"]
     weights = ", ".join(_det([[b[i] if j == w else a[i][j] for j in range(3)] for i in range(3)]) + f" / {_det(a)} AS w{w}" for w in range(3))
-    return with_(DENSE + holes_cte(0.1, 42, 1, 5) + f""",
+    return holes_cte(pct, 42, 1, 5) + f""",
 mm AS (SELECT min(level) AS lo, CASE WHEN max(level) = min(level) THEN 1.0 ELSE max(level) - min(level) END AS span FROM f),
 sc AS (SELECT station_id, month, pos, hole, 2 * (truth_ - lo) / span - 1 AS y FROM (SELECT station_id, month, pos, hole, level AS truth_ FROM hl) CROSS JOIN mm),
-x AS (SELECT *, CASE WHEN hole THEN -1.0 ELSE coalesce(y, -1.0) END AS h, coalesce(y, -1.0) AS p, count(*) OVER (PARTITION BY station_id) AS rows_ FROM sc),
-v AS (SELECT *, lag(h, 1, -1.0) OVER w AS h0, lead(h, 1, -1.0) OVER w AS h2, lag(p) OVER w AS p0, lead(p) OVER w AS p2 FROM x WINDOW w AS (PARTITION BY station_id ORDER BY pos)),
-o AS (SELECT 0 AS t, h AS a, h2 AS b, y FROM v WHERE y IS NOT NULL UNION ALL SELECT 1, h0, h, y FROM v WHERE y IS NOT NULL),
-q AS (SELECT t, count(*)::DOUBLE AS n, sum(a) AS s1, sum(b) AS s2, sum(a * a) + {ridge} * count(*) AS s11, sum(a * b) AS s12, sum(b * b) + {ridge} * count(*) AS s22,
-        sum(y) AS sy, sum(a * y) AS s1y, sum(b * y) AS s2y FROM o GROUP BY t),
-wt AS (SELECT t, {weights} FROM q),
+x AS (SELECT *, CASE WHEN hole THEN -1.0 ELSE coalesce(y, -1.0) END AS h, coalesce(y, -1.0) AS p, count(*) OVER (PARTITION BY station_id) AS rows_,
+        pos < floor(count(*) OVER (PARTITION BY station_id) * {share}::DOUBLE) AS train FROM sc),
+v AS (SELECT *, lag(h, 1, -1.0) OVER w AS h0, lead(h, 1, -1.0) OVER w AS h2, lag(p) OVER w AS p0, lead(p) OVER w AS p2
+      FROM x WINDOW w AS (PARTITION BY station_id, train ORDER BY pos)),
+o AS (SELECT 0 AS t, train, h AS a, h2 AS b, y FROM v WHERE y IS NOT NULL UNION ALL SELECT 1, train, h0, h, y FROM v WHERE y IS NOT NULL),
+rd(ridge) AS (VALUES {", ".join(f"({r}::DOUBLE)" for r in ridges)}),
+q AS (SELECT t, ridge, count(*)::DOUBLE AS n, sum(a) AS s1, sum(b) AS s2, sum(a * a) + ridge * count(*) AS s11, sum(a * b) AS s12, sum(b * b) + ridge * count(*) AS s22,
+        sum(y) AS sy, sum(a * y) AS s1y, sum(b * y) AS s2y FROM o, rd WHERE train GROUP BY t, ridge),
+wt AS (SELECT t, ridge, {weights} FROM q)"""
+
+
+SQL["impute_window_regression_pair"] = with_(DENSE + _pair_model(0.1, [1e-3]) + """,
 pr AS (SELECT station_id, month, CASE WHEN pos <= rows_ - 3 THEN (SELECT w0 FROM wt WHERE t = 0) + (SELECT w1 FROM wt WHERE t = 0) * p + (SELECT w2 FROM wt WHERE t = 0) * p2 END AS first,
          CASE WHEN pos BETWEEN 1 AND rows_ - 2 THEN (SELECT w0 FROM wt WHERE t = 1) + (SELECT w1 FROM wt WHERE t = 1) * p0 + (SELECT w2 FROM wt WHERE t = 1) * p END AS second FROM v)""", """
 SELECT f.station_id, f.month, round(level, 6) AS level,
@@ -807,4 +814,13 @@ SELECT f.station_id, f.month, round(level, 6) AS level,
 FROM f JOIN pr USING (station_id, month) CROSS JOIN mm""")
 
 
-SQL["impute_window_regression_pair"] = _pair_sql(1e-3)
+def _grid_sql(pct: float) -> str:
+    return "(" + with_(DENSE + _pair_model(pct, [0.001, 0.1, 1.0], "0.8"), f"""
+SELECT {pct}::DOUBLE AS pct, 2 AS size, ridge, avg((y - w0 - w1 * a - w2 * b) ** 2) AS val_loss,
+  1 - avg((y - w0 - w1 * a - w2 * b) ** 2) / var_pop(y) AS val_accuracy
+FROM o JOIN wt USING (t) WHERE NOT train GROUP BY ridge""") + ")"
+
+
+SQL["grid_search_resume"] = f"""
+SELECT pct, size, ridge, round(val_loss, 6) AS val_loss, round(val_accuracy, 6) AS val_accuracy, row_number() OVER (ORDER BY val_loss, pct, ridge)::INTEGER AS rank
+FROM (SELECT * FROM {_grid_sql(0.1)} UNION ALL SELECT * FROM {_grid_sql(0.2)})"""

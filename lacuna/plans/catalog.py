@@ -848,6 +848,13 @@ def q_reuse_scaler(spark, sf):
     return rounded(out)
 
 
+@query("impute_forest_delta_tree")
+def q_forest_tree(spark, sf):
+    """H7 with a single tree of two levels: what SQL can write down."""
+    f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf))
+    return rounded(MD.impute_forest_delta(f, "level", out="filled", num_trees=1, depth=2).select("station_id", "month", "level", "filled"), 4)
+
+
 def _windows(spark, sf, pairing):
     g = monthly_levels(spark, sf)
     h = HO.holes_blocks(g, "level", 0.1, 42, (1, 5)).drop("truth", "hole")
@@ -878,7 +885,7 @@ def q_overlap(spark, sf):
 @query("impute_forest_delta")
 def q_forest(spark, sf):
     f = fuse(dt.readings(spark, sf), dt.points(spark, sf), pet_monthly(spark, sf))
-    return rounded(MD.impute_forest_delta(f, "level", ["pet", "temp"], out="filled")
+    return rounded(MD.impute_forest_delta(f, "level", out="filled", features=["pet", "temp"])
                    .select("station_id", "month", "level", "filled"), 4)
 
 

@@ -824,3 +824,39 @@ FROM o JOIN wt USING (t) WHERE NOT train GROUP BY ridge""") + ")"
 SQL["grid_search_resume"] = f"""
 SELECT pct, size, ridge, round(val_loss, 6) AS val_loss, round(val_accuracy, 6) AS val_accuracy, row_number() OVER (ORDER BY val_loss, pct, ridge)::INTEGER AS rank
 FROM (SELECT * FROM {_grid_sql(0.1)} UNION ALL SELECT * FROM {_grid_sql(0.2)})"""
+
+
+def _split_sql(rows: str, name: str) -> str:
+    """The best split of each node of ``rows`` (station_id, node, x1, x2, y, w), and its rows a level further down (node 2k+1 or 2k+2)."""
+    return f""",
+{name}l AS (SELECT station_id, node, f, x, sum(w) AS w, sum(w * y) AS s FROM (
+         SELECT station_id, node, 1 AS f, x1 AS x, y, w FROM {rows} UNION ALL SELECT station_id, node, 2, x2, y, w FROM {rows}) GROUP BY ALL),
+{name}c AS (SELECT *, sum(w) OVER o AS lw, sum(s) OVER o AS ls, sum(w) OVER (PARTITION BY station_id, node, f) AS tw, sum(s) OVER (PARTITION BY station_id, node, f) AS ts,
+         lead(x) OVER o AS nx FROM {name}l WINDOW o AS (PARTITION BY station_id, node, f ORDER BY x)),
+{name}b AS (SELECT station_id, node, f, (x + nx) / 2 AS thr FROM {name}c WHERE nx IS NOT NULL
+         AND (station_id, node) IN (SELECT (station_id, node) FROM {rows} GROUP BY station_id, node HAVING count(DISTINCT y) > 1)
+         QUALIFY row_number() OVER (PARTITION BY station_id, node ORDER BY round(ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw), 9) DESC, f, x) = 1),
+{name} AS (SELECT r.* EXCLUDE (node), 2 * r.node + 1 + (CASE WHEN f = 1 THEN x1 ELSE x2 END > thr)::INT AS node FROM {rows} r JOIN {name}b USING (station_id, node))"""
+
+
+SQL["impute_forest_delta_tree"] = with_(FUSED + """,
+ft AS (SELECT station_id, month, level, pet, temp, row_number() OVER o AS rn, date_diff('day', lag(month) OVER o, month)::DOUBLE AS days,
+         (level - lag(level) OVER o) / date_diff('day', lag(month) OVER o, month) AS dpd, first_value(level IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_known
+       FROM fz WINDOW o AS (PARTITION BY station_id ORDER BY month)),
+tr AS (SELECT station_id, dpd AS y, pet AS x1, temp AS x2, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS i, count(*) OVER (PARTITION BY station_id) AS n
+       FROM ft WHERE level IS NOT NULL AND dpd IS NOT NULL AND pet IS NOT NULL AND temp IS NOT NULL),
+dr AS (SELECT station_id, n, ('0x' || substr(md5(concat_ws('|', station_id::VARCHAR, '0', i::VARCHAR, '42')), 1, 8))::BIGINT % n AS i FROM tr WHERE n >= 3),
+wt AS (SELECT station_id, i, count(*) AS w FROM dr GROUP BY 1, 2),
+n0 AS (SELECT station_id, 0 AS node, x1, x2, y, w FROM tr JOIN wt USING (station_id, i))""" + _split_sql("n0", "n1") + _split_sql("n1", "n2") + """,
+mean AS (SELECT station_id, node, sum(w * y) / sum(w) AS p FROM (SELECT * FROM n0 UNION ALL SELECT station_id, node, x1, x2, y, w FROM n1
+         UNION ALL SELECT station_id, node, x1, x2, y, w FROM n2) GROUP BY 1, 2),
+av AS (SELECT station_id, avg(x1) AS a1, avg(x2) AS a2 FROM tr WHERE n >= 3 GROUP BY 1),
+q0 AS (SELECT ft.*, coalesce(pet, a1) AS x1, coalesce(temp, a2) AS x2 FROM ft JOIN av USING (station_id)),
+q1 AS (SELECT q0.*, CASE WHEN n1b.f IS NULL THEN 0 ELSE 1 + (CASE WHEN n1b.f = 1 THEN x1 ELSE x2 END > n1b.thr)::INT END AS node FROM q0 LEFT JOIN n1b ON n1b.station_id = q0.station_id AND n1b.node = 0),
+q2 AS (SELECT q1.* EXCLUDE (node), CASE WHEN n2b.f IS NULL THEN q1.node ELSE 2 * q1.node + 1 + (CASE WHEN n2b.f = 1 THEN x1 ELSE x2 END > n2b.thr)::INT END AS node
+       FROM q1 LEFT JOIN n2b ON n2b.station_id = q1.station_id AND n2b.node = q1.node AND q1.node > 0),
+pd AS (SELECT q2.*, p, CASE WHEN rn = 1 AND level IS NULL THEN first_known ELSE level END AS y,
+         sum(CASE WHEN rn = 1 THEN 0.0 ELSE p * coalesce(days, 0.0) END) OVER (PARTITION BY q2.station_id ORDER BY month) AS s FROM q2 JOIN mean USING (station_id, node)),
+an AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN {'y': y, 's': s} END IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a FROM pd)""", """
+SELECT ft.station_id, ft.month, round(ft.level, 4) AS level, round(CASE WHEN an.y IS NOT NULL THEN an.y ELSE an.a.y + an.s - an.a.s END, 4) AS filled
+FROM ft LEFT JOIN an USING (station_id, month)""")

@@ -16,6 +16,54 @@ def test_forest_needs_three_rows(spark, series):
     assert column(MD.impute_forest_delta(df, "level", out="filled", num_trees=3)) == [None] * 5
 
 
+def cart(x, y, w, depth=None):
+    """A plain recursive regression tree: (feature, threshold, left, right) or the mean."""
+    mean = float((w * y).sum() / w.sum())
+    if depth == 0 or len(set(y)) == 1:
+        return mean
+    best = None
+    for f in range(x.shape[1]):
+        values = sorted(set(x[:, f]))
+        for a, b in zip(values, values[1:]):
+            left = x[:, f] <= (a + b) / 2
+            score = round(sum(float((w[m] * y[m]).sum()) ** 2 / float(w[m].sum()) for m in (left, ~left)), 9)
+            if best is None or score > best[0]:
+                best = (score, f, (a + b) / 2)
+    if best is None:
+        return mean
+    left = x[:, best[1]] <= best[2]
+    down = None if depth is None else depth - 1
+    return best[1], best[2], cart(x[left], y[left], w[left], down), cart(x[~left], y[~left], w[~left], down)
+
+
+def walk(tree, q):
+    while isinstance(tree, tuple):
+        tree = tree[2] if q[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+@pytest.mark.parametrize("depth", [None, 0, 1, 2, 5])
+def test_forest_equals_recursive_trees(depth):
+    r = np.random.default_rng(6)
+    for n, k in ((3, 1), (20, 2), (60, 3)):
+        x, y = np.round(r.normal(size=(n, k)), 1), np.round(r.normal(size=n), 2)
+        asked = np.round(r.normal(size=(25, k)), 2)
+        weights = MD.bootstrap("s", n, 7, 42)
+        assert (weights.sum(axis=1) == n).all()
+        trees = [cart(x[w > 0], y[w > 0], w[w > 0].astype(float), depth) for w in weights]
+        want = np.mean([[walk(t, q) for q in asked] for t in trees], axis=0)
+        assert np.allclose(MD.forest(x, y, asked, weights, depth), want)
+
+
+def test_each_series_has_its_own_forest(spark, series):
+    up = series([0.0, 31.0, 60.0, 91.0, 121.0, N, N]).selectExpr("*", "cast(month(month) as double) pet", "cast(1 as double) temp")
+    down = series([100.0, 69.0, 40.0, 9.0, -21.0, N], station=2).selectExpr("*", "cast(month(month) as double) pet", "cast(null as double) temp")
+    got = MD.impute_forest_delta(up.unionByName(down), "level", out="filled", num_trees=5)
+    one = column(got.filter("station_id = 1"))
+    assert one[:2] == [0.0, 31.0] and one[5] > one[4] and one[6] > one[5]
+    assert column(got.filter("station_id = 2")) == [None] * 6  # no row has all features
+
+
 def test_window_model_keeps_rows_at_the_minimum(spark, series):
     """The smallest true value scales to the fill value; the fit must keep it, and a constant series must not fail."""
     flat = WM.impute_window_regression(series([2.0] * 6 + [N]), "level", ["level", "lon"], 3, out="filled", pct=0.0)

@@ -179,5 +179,7 @@ def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     marked = cut_lineage(fingerprints(docs.withColumn(_ORDER, order), shingle, _ORDER))
     kept = _components(marked, _ORDER, max_bits).select("least.*").distinct()
     rows = docs.select(F.struct(*docs.columns).alias("doc"), order.alias("o"))  # whatever its columns are named
-    same = F.col("o.unnamed").eqNullSafe(kept["unnamed"]) & F.col("o.id").eqNullSafe(kept["id"]) & (F.col("o.text") == kept["text"]) & (F.col("o.row") == kept["row"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["o"]).select("doc.*")
+    key = ["unnamed", "id", "text", "row"]
+    flat = lambda df, of: df.withColumns({c: F.coalesce(F.col(f"{of}{c}"), F.lit(0)) if c == "id" else F.col(f"{of}{c}") for c in key})
+    # one exchange of the texts serves the join and the collapse of rows that are equal throughout
+    return flat(rows, "o.").drop("o").join(flat(kept, ""), key, "left_semi").dropDuplicates(key).select("doc.*")

@@ -1,26 +1,26 @@
-"""H2, H3, H4: spline imputation per station with ``applyInPandas`` (Arrow batches, NumPy inside).
+"""H2, H3, H4: spline imputation per station, fitted on the known rows against the row position and
+evaluated at the null rows. A series (bounded by the calendar) is gathered once as an array.
 
-Each station's series is one group (bounded by the calendar after the monthly aggregation); only
-the station's rows travel to the Python worker. Splines are fitted on the known rows against the
-row position and evaluated at the null rows.
-
-  H2 cubic       C² interpolating cubic B-spline, not-a-knot knots; needs ≥ 4 known values;
+  H2 cubic       C² interpolating cubic spline, not-a-knot ends; needs ≥ 4 known values;
                  rows outside [first known, last known] stay null.
-  H3 quadratic   interpolating B-spline of order ``deg`` (default 2); even degree uses knots at the
-                 midpoints (first and last midpoints dropped); needs ≥ deg+1 known; ends null.
-  H4 smoothing   least-squares cubic spline with knots added where the residual is largest until
-                 the residual sum of squares is ≤ s = number of known points; leading rows null,
-                 trailing rows extrapolated with the last piece. Declared deviation: the knot
-                 sequence is not FITPACK's, so values differ from the reference in general.
-Too few known values → the series is returned unchanged.
+  H3 quadratic   C¹ interpolating quadratic spline with breakpoints midway between known points but for the first
+                 and the last pair; needs ≥ 3 known; ends null. Other orders (``deg``): interpolating B-spline.
+  H4 smoothing   the published scheme for smoothing splines with s = number of known points: knots are added where the
+                 residual per interval is largest until the least-squares spline has a residual sum ≤ s, then the
+                 weight of the jumps of the highest derivative is searched by rational interpolation
+                 until the residual is s within a thousandth; leading rows null, trailing rows extrapolated.
+
+H2 and H3 are JVM expressions: their equations are tridiagonal, and a forward and a backward sweep are two
+``aggregate`` calls over the series' array. H4 is NumPy in Arrow batches of such arrays. Too few known values →
+the series is returned unchanged.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from lacuna.operators.series import STATION, MONTH
 
@@ -142,42 +142,139 @@ def smoothing_spline(x: np.ndarray, y: np.ndarray, xs: np.ndarray, k: int = 3, s
     return out
 
 
-def _apply(df: DataFrame, value: str, out: str, station: str, time: str, fit) -> DataFrame:
-    schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
-    names = [f.name for f in schema.fields]
+# ---------------------------------------------------------------- series as arrays and back
+def _gathered(df: DataFrame, value: str, station: str, time: str) -> DataFrame:
+    """station, ``_s`` (all rows in time order, as time, value and the other columns), ``_p`` and ``_y``: positions and values of the known rows."""
+    rest = [c for c in df.columns if c != station]
+    g = df.groupBy(station).agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("_t"), F.col(value).cast("double").alias("_v"), F.struct(*rest).alias("_r")))).alias("_s"))
+    g = g.withColumn("_k", F.filter(F.transform("_s", lambda r, i: F.struct(i.cast("double").alias("p"), r["_v"].alias("y"))), lambda r: r["y"].isNotNull()))
+    return g.select(station, "_s", F.col("_k.p").alias("_p"), F.col("_k.y").alias("_y"))
+
+
+def _spread(g: DataFrame, df: DataFrame, out: str, station: str, value) -> DataFrame:
+    """The rows of ``df`` with ``out`` = ``value`` (a function of row position and known value) where there is none."""
+    rows = g.select("*", F.posexplode("_s").alias("_i", "_row")).drop("_s")
+    res = F.coalesce(F.col("_row._v"), value(F.col("_i").cast("double")))
+    rows = rows.select(F.col(station).alias("_station"), F.col("_row._r").alias("_r"), res.alias("_out"))
+    cols = [F.col("_station").alias(c) if c == station else F.col(f"_r.`{c}`").alias(c) for c in df.columns if c != out]
+    return rows.select(*cols, F.col("_out").alias(out))
+
+
+def _at(a: str | Column, i) -> Column:
+    return F.get(F.col(a) if isinstance(a, str) else a, i)
 
-    def per_station(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time).reset_index(drop=True)
-        y = pdf[value].to_numpy(dtype=float)
-        pos = np.arange(len(pdf), dtype=float)
-        known = ~np.isnan(y)
-        res = y.copy()
-        gaps = ~known
-        if gaps.any():
-            vals = fit(pos[known], y[known], pos[gaps])
-            if vals is not None:
-                res[gaps] = vals
-        pdf[out] = res
-        return pdf[names]
 
-    return df.groupBy(station).applyInPandas(per_station, schema=schema)
+def sweep(rows: Column) -> Column:
+    """The solution of a tridiagonal system, rows given as array<struct<a, b, c, r>> (below, on and above the
+    diagonal, right side): elimination from the first row on, substitution from the last one back."""
+    pair = "struct<c:double,r:double>"
+    start = F.struct(F.array().cast(f"array<{pair}>").alias("rows"), F.lit(0.0).alias("c"), F.lit(0.0).alias("r"))
+
+    def forward(acc, x):
+        d = x["b"] - x["a"] * acc["c"]
+        c, r = x["c"] / d, (x["r"] - x["a"] * acc["r"]) / d
+        return F.struct(F.concat(acc["rows"], F.array(F.struct(c.alias("c"), r.alias("r")))).alias("rows"), c.alias("c"), r.alias("r"))
+
+    def backward(acc, x):
+        v = x["r"] - x["c"] * acc["last"]
+        return F.struct(F.concat(F.array(v), acc["x"]).alias("x"), v.alias("last"))
+
+    reduced = F.reverse(F.aggregate(rows, start, forward, lambda acc: acc["rows"]))
+    return F.aggregate(reduced, F.struct(F.array().cast("array<double>").alias("x"), F.lit(0.0).alias("last")), backward, lambda acc: acc["x"])
+
+
+def _row(a, b, c, r) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"), c.alias("c"), r.alias("r"))
 
 
 def impute_cubic(df: DataFrame, value: str, station: str = STATION, time: str = MONTH, out: str | None = None) -> DataFrame:
-    def fit(x, y, xs):
-        return interpolating_spline(x, y, 3, xs) if len(x) >= 4 else None
-    return _apply(df, value, out or value, station, time, fit)
+    """H2. Unknowns are the second derivatives at the inner known points; those at the ends follow from them."""
+    out = out or value
+    g = _gathered(df, value, station, time).withColumn("_m", F.size("_p"))
+    h = lambda i: _at("_p", i + 1) - _at("_p", i)
+    d = lambda i: (_at("_y", i + 1) - _at("_y", i)) / h(i)
+    last = F.col("_m") - 2
+
+    def equation(i):
+        h0, h1 = h(i - 1), h(i)
+        a = F.when(i == 1, F.lit(0.0)).when(i == last, h0 - h1 * h1 / h0).otherwise(h0)
+        c = F.when(i == last, F.lit(0.0)).when(i == 1, h1 - h0 * h0 / h1).otherwise(h1)
+        b = 2 * (h0 + h1) + F.when(i == 1, h0 + h0 * h0 / h1).otherwise(F.lit(0.0)) + F.when(i == last, h1 + h1 * h1 / h0).otherwise(F.lit(0.0))
+        return _row(a, b, c, 6 * (d(i) - d(i - 1)))
+
+    inner = F.when(F.col("_m") >= 4, sweep(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), equation)))
+    g = g.withColumn("_in", inner)
+    n = F.size("_in")
+    first = _at("_in", F.lit(0)) + h(F.lit(0)) / h(F.lit(1)) * (_at("_in", F.lit(0)) - _at("_in", F.lit(1)))
+    end = _at("_in", n - 1) + h(last) / h(last - 1) * (_at("_in", n - 1) - _at("_in", n - 2))
+    g = g.withColumn("_c", F.when(F.col("_in").isNotNull(), F.concat(F.array(first), "_in", F.array(end))))
+
+    def at(x):
+        k = F.size(F.filter("_p", lambda p: p <= x)) - 1
+        step, left = _at("_p", k + 1) - _at("_p", k), x - _at("_p", k)
+        right = step - left
+        v = ((_at("_c", k) * right * right * right + _at("_c", k + 1) * left * left * left) / (6 * step)
+             + (_at("_y", k) / step - _at("_c", k) * step / 6) * right + (_at("_y", k + 1) / step - _at("_c", k + 1) * step / 6) * left)
+        return F.when((k >= 0) & (k + 1 < F.col("_m")), v)
+
+    return _spread(g, df, out, station, at)
 
 
 def impute_quadratic(df: DataFrame, value: str, station: str = STATION, time: str = MONTH, out: str | None = None,
                      deg: int = 2) -> DataFrame:
-    def fit(x, y, xs):
-        return interpolating_spline(x, y, deg, xs) if len(x) >= deg + 1 else None
-    return _apply(df, value, out or value, station, time, fit)
+    """H3. Unknowns are the slopes midway between the known points; the first and the last one are the secants."""
+    out = out or value
+    if deg != 2:
+        return _fitted(df, value, out, station, time, lambda x, y, xs: interpolating_spline(x, y, deg, xs) if len(x) >= deg + 1 else None)
+    g = _gathered(df, value, station, time).withColumn("_m", F.size("_p"))
+    h = lambda i: _at("_p", i + 1) - _at("_p", i)
+    d = lambda i: (_at("_y", i + 1) - _at("_y", i)) / h(i)
+    last = F.col("_m") - 2  # the last pair
+
+    def equation(j):
+        before, own, after = h(j - 1), h(j), h(j + 1)
+        a, c = own / (before + own), own / (own + after)
+        b = before / (before + own) + 2 + after / (own + after)
+        r = 4 * d(j) - F.when(j == 1, a * d(F.lit(0))).otherwise(F.lit(0.0)) - F.when(j == last - 1, c * d(last)).otherwise(F.lit(0.0))
+        return _row(F.when(j == 1, F.lit(0.0)).otherwise(a), b, F.when(j == last - 1, F.lit(0.0)).otherwise(c), r)
+
+    inner = F.when(F.col("_m") >= 4, sweep(F.transform(F.sequence(F.lit(1), F.greatest(last - 1, F.lit(1))), equation))).otherwise(F.array().cast("array<double>"))
+    g = g.withColumn("_sl", F.when(F.col("_m") >= 3, F.concat(F.array(d(F.lit(0))), inner, F.array(d(last)))))
+
+    def at(x):
+        k = F.size(F.filter("_p", lambda p: p <= x)) - 1
+        near = F.when(x > (_at("_p", k) + _at("_p", k + 1)) / 2, k + 1).otherwise(k)
+        j = F.least(F.greatest(near, F.lit(1)), last)
+        before, own, u = h(j - 1), h(j), x - _at("_p", j)
+        s0, s1 = _at("_sl", j - 1), _at("_sl", j)
+        v = _at("_y", j) + (s0 * own + s1 * before) / (before + own) * u + (s1 - s0) / (before + own) * u * u
+        return F.when((k >= 0) & (k + 1 < F.col("_m")), v)
+
+    return _spread(g, df, out, station, at)
+
+
+def _fitted(df: DataFrame, value: str, out: str, station: str, time: str, fit) -> DataFrame:
+    """``out`` at the null rows from ``fit(known positions, known values, positions asked)``, a series at a time in Arrow batches."""
+    g = _gathered(df, value, station, time)
+    kind = g.schema[station].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            found = []
+            for p, y, n in zip(b.column(1), b.column(2), b.column(3).to_pylist()):
+                p, y, res = p.values.to_numpy(), y.values.to_numpy(), np.full(n, np.nan)
+                gaps = np.setdiff1d(np.arange(n), p.astype(int))
+                values = fit(p, y, gaps.astype(float)) if len(gaps) else None
+                if values is not None:
+                    res[gaps] = values
+                found.append(res)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.float64()))], [station, "_f"])
+
+    fits = g.select(station, "_p", "_y", F.size("_s").alias("n")).mapInArrow(run, f"`{station}` {kind}, _f array<double>")
+    return _spread(g.join(fits, station), df, out, station, lambda i: F.nanvl(F.get("_f", i.cast("int")), F.lit(None).cast("double")))
 
 
 def impute_smoothing_spline(df: DataFrame, value: str, station: str = STATION, time: str = MONTH,
                             out: str | None = None, deg: int = 3) -> DataFrame:
-    def fit(x, y, xs):
-        return smoothing_spline(x, y, xs, deg) if len(x) > deg else None
-    return _apply(df, value, out or value, station, time, fit)
+    """H4."""
+    return _fitted(df, value, out or value, station, time, lambda x, y, xs: smoothing_spline(x, y, xs, deg) if len(x) > deg else None)

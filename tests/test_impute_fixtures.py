@@ -102,3 +102,36 @@ def test_pchip_matches_reference_algorithm(series):
     for i, v in enumerate(vals):
         if v is None:
             assert got[i] == pytest.approx(_pchip_ref(x, y, [float(i)])[0], abs=1e-9)
+
+
+def test_native_splines_equal_b_splines(spark, series):
+    """The sweeps against collocation in a B-spline basis, an independent way to the same splines."""
+    import numpy as np
+    r = np.random.default_rng(11)
+    many = []
+    for n in (3, 4, 5, 6, 9, 30, 84, 200):
+        y = [None if r.random() < .35 else float(np.round(r.normal(), 3)) for _ in range(n)]
+        many.append(y)
+    df = None
+    for i, y in enumerate(many):
+        one = series(y, station=i)
+        df = one if df is None else df.unionByName(one)
+    for fn, k in ((splines.impute_cubic, 3), (splines.impute_quadratic, 2)):
+        got = {}
+        for x in fn(df, "level", out="filled").collect():
+            got.setdefault(x.station_id, []).append((x.month, x.filled))
+        for i, y in enumerate(many):
+            known = np.array([j for j, v in enumerate(y) if v is not None], float)
+            gaps = np.array([j for j, v in enumerate(y) if v is None], float)
+            want = list(y)
+            if len(known) >= k + 1 and len(gaps):
+                for j, v in zip(gaps.astype(int), splines.interpolating_spline(known, np.array([y[int(j)] for j in known]), k, gaps)):
+                    want[j] = None if np.isnan(v) else v
+            approx([v for _, v in sorted(got[i])], want)
+
+
+def test_splines_keep_columns_and_overwrite(series):
+    df = series([1.0, N, 4.0, 9.0, N, 25.0])
+    for fn in (splines.impute_cubic, splines.impute_quadratic, splines.impute_smoothing_spline):
+        got = fn(df, "level")
+        assert sorted(got.columns) == sorted(df.columns) and got.count() == 6 and got.filter("lon = 1.0").count() == 6

@@ -109,39 +109,127 @@ def interpolating_spline(x: np.ndarray, y: np.ndarray, k: int, xs: np.ndarray) -
     return out
 
 
+TOLERANCE, ROUNDS = 1e-3, 20
+
+
 def smoothing_spline(x: np.ndarray, y: np.ndarray, xs: np.ndarray, k: int = 3, s: float | None = None) -> np.ndarray:
-    s = float(len(x)) if s is None else s
-    interior: list[float] = []
-    while True:
-        t = np.r_[(x[0],) * (k + 1), sorted(interior), (x[-1],) * (k + 1)]
-        a = _design(t, k, x)
-        c, *_ = np.linalg.lstsq(a, y, rcond=None)
-        res = y - a @ c
-        fp = float(res @ res)
-        if fp <= s or len(interior) >= len(x) - k - 1:
-            break
-        # add a knot at the known point nearest the middle of the span with the largest residual
-        knots = np.r_[x[0], sorted(interior), x[-1]]
-        best, where = -1.0, None
-        for lo, hi in zip(knots[:-1], knots[1:]):
-            sel = (x > lo) & (x < hi)
-            if sel.sum() == 0:
-                continue
-            score = float((res[sel] ** 2).sum())
-            if score > best:
-                cand = x[sel]
-                best, where = score, cand[len(cand) // 2]
-        if where is None:
-            break
-        interior.append(float(where))
+    """The smoothing spline of degree k with residual sum s (default: the number of points), at ``xs``: NaN before the first point,
+    the last piece continued behind the last."""
+    t, c = smoothing_fit(x, y, k, float(len(x)) if s is None else s)
     out = np.full(len(xs), np.nan)
     ok = xs >= x[0]
     if ok.any():
-        # beyond the last knot the last polynomial piece continues (extrapolation)
         out[ok] = _evaluate(t, k, c, np.asarray(xs[ok], dtype=float))
     return out
 
 
+def smoothing_fit(x: np.ndarray, y: np.ndarray, k: int, s: float) -> tuple[np.ndarray, np.ndarray]:
+    """Knots and coefficients by the published scheme (Dierckx): first the knots, then the smoothing parameter."""
+    edge = lambda inner: np.r_[(x[0],) * (k + 1), inner, (x[-1],) * (k + 1)]
+    inner, added, last_sum, within = np.zeros(0), 0, 0.0, TOLERANCE * s
+    while True:
+        t = edge(inner)
+        a = _design(t, k, x)
+        c = np.linalg.lstsq(a, y, rcond=None)[0]
+        terms = (y - a @ c) ** 2
+        total = float(terms.sum())
+        if len(inner) == 0:
+            polynomial = total
+        if abs(total - s) < within or (total < s and len(inner) == 0):
+            return t, c
+        if total < s:
+            return t, _smoothed(x, y, t, a, k, s, polynomial, total)
+        if len(inner) >= len(x) - k - 1:  # as many knots as an interpolating spline has
+            return t, c
+        # how many knots more: as the last ones lowered the sum, at most twice as many as then
+        if len(inner) == 0:
+            added = 1
+        else:
+            wanted = int(added * (total - s) / (last_sum - total)) if last_sum - total > within else 2 * added
+            added = min(2 * added, max(wanted, added // 2, 1))
+        last_sum = total
+        inner = _more_knots(x, inner, terms, added, len(x) - k - 1)
+        if len(inner) == len(x) - k - 1:
+            inner = interp_knots(x, k)[k + 1:-k - 1]
+
+
+def _more_knots(x: np.ndarray, inner: np.ndarray, terms: np.ndarray, added: int, most: int) -> np.ndarray:
+    """``added`` knots more, each at the middle point of the interval with the largest residual sum of those that hold a
+    point; an interval's sum counts points on its ends by half, and is split in proportion to the points."""
+    at = np.searchsorted(x, inner)  # knots are data points
+    ends = np.r_[0, at, len(x) - 1]
+    sums = [float(terms[lo + 1:hi].sum() + (terms[lo] / 2 if lo else terms[0]) + (terms[hi] / 2 if hi < len(x) - 1 else terms[hi])) for lo, hi in zip(ends[:-1], ends[1:])]
+    spans = [(int(lo), int(hi - lo - 1)) for lo, hi in zip(ends[:-1], ends[1:])]  # first point, points inside
+    for _ in range(added):
+        if len(spans) - 1 >= most:
+            break
+        open_ = [(sums[i], -i) for i in range(len(spans)) if spans[i][1] and sums[i] > 0]
+        if not open_:
+            break
+        i = -max(open_)[1]
+        (lo, points), total = spans[i], sums[i]
+        half = points // 2 + 1
+        spans[i:i + 1] = [(lo, half - 1), (lo + half, points - half)]
+        sums[i:i + 1] = [total * (half - 1) / points, total * (points - half) / points]
+    return x[[lo for lo, _ in spans[1:]]]
+
+
+def _jumps(t: np.ndarray, k: int) -> np.ndarray:
+    """Jumps of the k-th derivative of every B-spline at every inner knot, scaled by the mean distance of knots."""
+    n, inner = len(t) - k - 1, len(t) - 2 * k - 2
+    scale = (inner + 1) / (t[-1] - t[0])
+    out = np.zeros((inner, n))
+    for r in range(inner):
+        at = k + 1 + r
+        for j in range(at - k - 1, at + 1):
+            others = [t[at] - t[i] for i in range(j, j + k + 2) if i != at]
+            out[r, j] = (t[j + k + 1] - t[j]) / (np.prod(others) * scale ** k)
+    return out
+
+
+def _smoothed(x: np.ndarray, y: np.ndarray, t: np.ndarray, a: np.ndarray, k: int, s: float, polynomial: float, least: float) -> np.ndarray:
+    """Coefficients for these knots whose residual sum is s within TOLERANCE: the weight p of the fit against the jumps is found
+    by interpolating the sum as a rational function of p, from p = 0 (the polynomial) and p = infinity (least squares)."""
+    b = _jumps(t, k)
+    p = len(a[0]) / float(np.abs(np.diag(np.linalg.qr(a, mode="r"))).sum())
+    p1, f1, p3, f3 = 0.0, polynomial - s, -1.0, least - s
+    seen_below = seen_above = False
+    target = np.r_[y, np.zeros(len(b))]
+    for _ in range(ROUNDS):
+        c = np.linalg.lstsq(np.vstack([a, b / p]), target, rcond=None)[0]
+        f2 = float(((y - a @ c) ** 2).sum()) - s
+        if abs(f2) < TOLERANCE * s:
+            break
+        if not seen_below:
+            if f2 - f3 <= TOLERANCE * s:  # p is too large to tell from infinity
+                p3, f3, p = p, f2, p * 0.04
+                if p <= p1:
+                    p = 0.9 * p1 + 0.1 * p3
+                continue
+            seen_below = f2 < 0
+        if not seen_above:
+            if f1 - f2 <= TOLERANCE * s:  # p is too small to tell from nothing
+                p1, f1, p = p, f2, p / 0.04
+                if p3 >= 0 and p >= p3:
+                    p = 0.1 * p1 + 0.9 * p3
+                continue
+            seen_above = f2 > 0
+        if f2 >= f1 or f2 <= f3:
+            break
+        p, p1, f1, p3, f3 = _rational(p1, f1, p, f2, p3, f3)
+    return c
+
+
+def _rational(p1: float, f1: float, p2: float, f2: float, p3: float, f3: float) -> tuple[float, float, float, float, float]:
+    """The zero of (u p + v) / (p + w) through three points (p3 < 0 stands for infinity), and the points that enclose it."""
+    if p3 > 0:
+        h1, h2, h3 = f1 * (f2 - f3), f2 * (f3 - f1), f3 * (f1 - f2)
+        p = -(p1 * p2 * h3 + p2 * p3 * h1 + p3 * p1 * h2) / (p1 * h1 + p2 * h2 + p3 * h3)
+    else:
+        p = (p1 * (f1 - f3) * f2 - p2 * (f2 - f3) * f1) / ((f1 - f2) * f3)
+    return (p, p1, f1, p2, f2) if f2 < 0 else (p, p2, f2, p3, f3)
+
+
 # ---------------------------------------------------------------- series as arrays and back
 def _gathered(df: DataFrame, value: str, station: str, time: str) -> DataFrame:
     """station, ``_s`` (all rows in time order, as time, value and the other columns), ``_p`` and ``_y``: positions and values of the known rows."""

@@ -860,3 +860,48 @@ pd AS (SELECT q2.*, p, CASE WHEN rn = 1 AND level IS NULL THEN first_known ELSE
 an AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN {'y': y, 's': s} END IGNORE NULLS) OVER (PARTITION BY station_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a FROM pd)""", """
 SELECT ft.station_id, ft.month, round(ft.level, 4) AS level, round(CASE WHEN an.y IS NOT NULL THEN an.y ELSE an.a.y + an.s - an.a.s END, 4) AS filled
 FROM ft LEFT JOIN an USING (station_id, month)""")
+
+
+def _sweep_sql(equations: str) -> str:
+    """Tridiagonal systems by station: eq(station_id, i, n, a, b, c, r), i from 1 to n, solved row by row into sol(station_id, i, v)."""
+    return f""",
+eq AS ({equations}),
+fw AS (SELECT station_id, i, n, c / b AS c, r / b AS r FROM eq WHERE i = 1
+       UNION ALL SELECT e.station_id, e.i, e.n, e.c / (e.b - e.a * f.c), (e.r - e.a * f.r) / (e.b - e.a * f.c) FROM fw f JOIN eq e ON e.station_id = f.station_id AND e.i = f.i + 1),
+sol AS (SELECT station_id, i, r AS v FROM fw WHERE i = n
+        UNION ALL SELECT f.station_id, f.i, f.r - f.c * s.v FROM sol s JOIN fw f ON f.station_id = s.station_id AND f.i = s.i - 1)"""
+
+
+# known points k = 0 … m-1 with their neighbours, h the distance and d the slope to the next
+_POINTS = DENSE_POS + """,
+kn AS (SELECT *, h0 + h1 AS hh FROM (SELECT station_id, pos::DOUBLE AS p, level AS y, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY station_id) AS m,
+         (lead(pos) OVER w - pos)::DOUBLE AS h1, (pos - lag(pos) OVER w)::DOUBLE AS h0, (lead(level) OVER w - level) / (lead(pos) OVER w - pos) AS d1,
+         (level - lag(level) OVER w) / (pos - lag(pos) OVER w) AS d0, (lead(pos, 2) OVER w - lead(pos) OVER w)::DOUBLE AS h2
+       FROM fp WHERE level IS NOT NULL WINDOW w AS (PARTITION BY station_id ORDER BY pos)))"""
+
+SQL["impute_cubic"] = "WITH RECURSIVE " + _POINTS + _sweep_sql("""
+  SELECT station_id, k AS i, m - 2 AS n,
+    CASE WHEN k = 1 THEN 0.0 WHEN k = m - 2 THEN h0 - h1 * h1 / h0 ELSE h0 END AS a,
+    2 * hh + CASE WHEN k = 1 THEN h0 + h0 * h0 / h1 ELSE 0 END + CASE WHEN k = m - 2 THEN h1 + h1 * h1 / h0 ELSE 0 END AS b,
+    CASE WHEN k = m - 2 THEN 0.0 WHEN k = 1 THEN h1 - h0 * h0 / h1 ELSE h1 END AS c, 6 * (d1 - d0) AS r
+  FROM kn WHERE m >= 4 AND k BETWEEN 1 AND m - 2""") + """,
+cu AS (SELECT station_id, i AS k, v FROM sol
+       UNION ALL SELECT a.station_id, 0, a.v + kn.h0 / kn.h1 * (a.v - b.v) FROM kn JOIN sol a ON a.station_id = kn.station_id AND a.i = 1 JOIN sol b ON b.station_id = kn.station_id AND b.i = 2 WHERE kn.k = 1
+       UNION ALL SELECT a.station_id, m - 1, a.v + kn.h1 / kn.h0 * (a.v - b.v) FROM kn JOIN sol a ON a.station_id = kn.station_id AND a.i = m - 2 JOIN sol b ON b.station_id = kn.station_id AND b.i = m - 3 WHERE kn.k = m - 2),
+pc AS (SELECT kn.station_id, kn.p, kn.h1, kn.y AS y0, kn.y + kn.d1 * kn.h1 AS y1, a.v AS c0, b.v AS c1 FROM kn JOIN cu a ON a.station_id = kn.station_id AND a.k = kn.k JOIN cu b ON b.station_id = kn.station_id AND b.k = kn.k + 1)
+SELECT fp.station_id, fp.month, round(level, 6) AS level, round(coalesce(level,
+    (c0 * (p + h1 - pos) ** 3 + c1 * (pos - p) ** 3) / (6 * h1) + (y0 / h1 - c0 * h1 / 6) * (p + h1 - pos) + (y1 / h1 - c1 * h1 / 6) * (pos - p)), 6) AS filled
+FROM fp LEFT JOIN pc ON pc.station_id = fp.station_id AND fp.pos > p AND fp.pos < p + h1"""
+
+SQL["impute_quadratic"] = "WITH RECURSIVE " + _POINTS + _sweep_sql("""
+  SELECT station_id, k AS i, m - 3 AS n, CASE WHEN k = 1 THEN 0.0 ELSE h1 / (h0 + h1) END AS a, h0 / (h0 + h1) + 2 + h2 / (h1 + h2) AS b,
+    CASE WHEN k = m - 3 THEN 0.0 ELSE h1 / (h1 + h2) END AS c,
+    4 * d1 - CASE WHEN k = 1 THEN h1 / (h0 + h1) * d0 ELSE 0 END - CASE WHEN k = m - 3 THEN h1 / (h1 + h2) * lead_d ELSE 0 END AS r
+  FROM (SELECT *, lead(d1) OVER (PARTITION BY station_id ORDER BY k) AS lead_d FROM kn) WHERE m >= 4 AND k BETWEEN 1 AND m - 3""") + """,
+sl AS (SELECT station_id, i AS k, v FROM sol UNION ALL SELECT station_id, k, d1 FROM kn WHERE m >= 3 AND k IN (0, m - 2)),
+pc AS (SELECT kn.*, a.v AS s0, b.v AS s1, CASE WHEN kn.k = 1 THEN -1e9 ELSE p - h0 / 2 END AS lo, CASE WHEN kn.k = m - 2 THEN 1e9 ELSE p + h1 / 2 END AS hi
+       FROM kn JOIN sl a ON a.station_id = kn.station_id AND a.k = kn.k - 1 JOIN sl b ON b.station_id = kn.station_id AND b.k = kn.k WHERE kn.k BETWEEN 1 AND m - 2),
+ends AS (SELECT station_id, min(p) AS p0, max(p) AS p1 FROM kn GROUP BY 1)
+SELECT fp.station_id, fp.month, round(fp.level, 6) AS level, round(coalesce(fp.level,
+    CASE WHEN fp.pos BETWEEN p0 AND p1 THEN y + (s0 * h1 + s1 * h0) / hh * (fp.pos - p) + (s1 - s0) / hh * (fp.pos - p) ** 2 END), 6) AS filled
+FROM fp LEFT JOIN ends ON ends.station_id = fp.station_id LEFT JOIN pc ON pc.station_id = fp.station_id AND fp.pos > lo AND fp.pos <= hi"""

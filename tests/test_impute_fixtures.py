@@ -135,3 +135,40 @@ def test_splines_keep_columns_and_overwrite(series):
     for fn in (splines.impute_cubic, splines.impute_quadratic, splines.impute_smoothing_spline):
         got = fn(df, "level")
         assert sorted(got.columns) == sorted(df.columns) and got.count() == 6 and got.filter("lon = 1.0").count() == 6
+
+
+def test_smoothing_spline_meets_its_condition():
+    """The residual sum is s within a thousandth, unless a polynomial does better; knots are points, as few as the scheme needs."""
+    import numpy as np
+    r = np.random.default_rng(12)
+    for n, noise, s in ((30, 3.0, 30.0), (84, 2.0, 84.0), (84, 10.0, 84.0), (200, 1.5, 150.0), (60, .5, 60.0)):
+        x = np.sort(r.choice(3 * n, n, replace=False)).astype(float)
+        y = 10 * np.sin(x / 9) + r.normal(0, noise, n)
+        t, c = splines.smoothing_fit(x, y, 3, s)
+        total = float(((splines._evaluate(t, 3, c, x) - y) ** 2).sum())
+        assert abs(total - s) <= 1.0001e-3 * s or len(t) == 8 and total < s or len(t) == n + 4
+        assert set(t[4:-4]) <= set(x)
+        if len(t) > 8:
+            # no spline of these knots with that residual has smaller jumps: the gradient condition of the smoothing problem
+            a, b = splines._design(t, 3, x), splines._jumps(t, 3)
+            g1, g2 = a.T @ (a @ c - y), b.T @ (b @ c)
+            weight = -(g1 @ g2) / (g2 @ g2)
+            assert weight > 0 and np.allclose(g1 + weight * g2, 0, atol=1e-6 * np.abs(g1).max() + 1e-8)
+
+
+def test_smoothing_spline_limits():
+    import numpy as np
+    x = np.arange(12.0)
+    cubic = x ** 3 / 50 - x
+    t, c = splines.smoothing_fit(x, cubic, 3, 1.0)
+    assert len(t) == 8 and np.allclose(splines._evaluate(t, 3, c, x), cubic)
+    y = np.where(x % 2 == 0, 30.0, -30.0)
+    t, c = splines.smoothing_fit(x, y, 3, 1e-9)
+    assert len(t) == 16 and np.allclose(splines._evaluate(t, 3, c, x), y, atol=1e-4)
+
+
+def test_rational_search_finds_the_zero_of_a_rational_function():
+    f = lambda p: (3 - 2 * p) / (p + 4)
+    p, *_ = splines._rational(0.5, f(0.5), 1.0, f(1.0), 5.0, f(5.0))
+    assert p == pytest.approx(1.5)
+    assert splines._rational(0.5, f(0.5), 1.0, f(1.0), -1.0, -2.0)[0] == pytest.approx(1.5)

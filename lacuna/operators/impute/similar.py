@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,41 +133,65 @@ def similarity_topn(df: DataFrame, value: str, n_top: int = 10, station: str = S
     return out
 
 
+def lags_of(x: np.ndarray, y: np.ndarray, max_lag: int = MAX_LAG) -> np.ndarray:
+    """Correlation of two series on one grid (NaN = missing) at the lags −max_lag … max_lag: pairs are x[i], y[i − lag]
+    with both known. NaN where a lag has fewer than MIN_PAIRS pairs or a std of 0.
+
+    The counts, sums, squares and products of all lags are six cross-correlations of the two arrays."""
+    kx, ky = ~np.isnan(x), ~np.isnan(y)
+    a = np.where(kx, x - (x[kx].mean() if kx.any() else 0.0), 0.0)
+    b = np.where(ky, y - (y[ky].mean() if ky.any() else 0.0), 0.0)
+    mx, my = kx.astype(np.float64), ky.astype(np.float64)
+    n, sx, sy, sxx, syy, sxy = (np.correlate(u, v, "full") for u, v in ((mx, my), (a, my), (mx, b), (a * a, my), (mx, b * b), (a, b)))
+    n = np.rint(n)
+    with np.errstate(all="ignore"):
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        found = (sxy - sx * sy / n) / np.sqrt(vx * vy)
+    # sums of squares about the mean below this are rounding: the series is constant there
+    small = lambda m: 1e-12 * max(float(np.max(np.abs(m), initial=0.0)) ** 2, 1e-300) * np.maximum(n, 1)
+    found[(n < MIN_PAIRS) | (vx <= small(a)) | (vy <= small(b))] = np.nan
+    out, zero = np.full(2 * max_lag + 1, np.nan), len(y) - 1  # where lag 0 stands
+    for lag in range(-min(max_lag, zero), min(max_lag, len(x) - 1) + 1):
+        out[lag + max_lag] = found[zero + lag]
+    return out
+
+
 def lag_of(x: np.ndarray, y: np.ndarray, max_lag: int = MAX_LAG) -> int:
-    """Best lag of two series on one grid (NaN = missing): pairs are x[i], y[i − lag] with both known; a
-    lag needs MIN_PAIRS pairs and both stds ≠ 0; the largest correlation (12 digits) above −1 wins, ties
-    go to the smallest lag; no valid lag → 0."""
-    n, best = len(x), (-1.0, 0)
-    for lag in range(max_lag, -max_lag - 1, -1):
-        lo, hi = max(0, lag), n + min(0, lag)
-        if hi - lo < MIN_PAIRS:
-            continue
-        a, b = x[lo:hi], y[lo - lag:hi - lag]
-        ok = ~(np.isnan(a) | np.isnan(b))
-        if ok.sum() < MIN_PAIRS:
-            continue
-        a, b = a[ok] - a[ok].mean(), b[ok] - b[ok].mean()
-        xx, yy = (a * a).sum(), (b * b).sum()
-        if xx > 0 and yy > 0:
-            c = round(float((a * b).sum() / np.sqrt(xx * yy)), 12)
-            if c > -1.0 and c >= best[0]:
-                best = (c, lag)
-    return best[1]
+    """The lag of the largest correlation (9 digits) above −1, ties to the smallest; no such lag → 0."""
+    c = np.round(lags_of(x, y, max_lag), 9)
+    ok = c > -1.0
+    return int(np.flatnonzero(c == c[ok].max())[0]) - max_lag if ok.any() else 0
 
 
 def best_lag(pairs_series: DataFrame, pair_key: list[str], x: str = "x", y: str = "y", pos: str = "pos",
              max_lag: int = MAX_LAG) -> DataFrame:
     """(pair_key…, lag). The two forward-filled series of a pair (one target grid, bounded by
-    the calendar) are gathered as arrays; an Arrow batch of pairs is searched lag by lag in NumPy."""
+    the calendar) are gathered as arrays; Arrow batches of pairs are searched for all lags of a pair at once."""
     g = pairs_series.groupBy(*pair_key).agg(
         F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))).alias("_s"))
-    g = g.select(*pair_key, F.transform("_s", lambda s: s["x"]).alias("_x"), F.transform("_s", lambda s: s["y"]).alias("_y"))
+    g = g.select(*pair_key, F.col("_s.x").alias("_x"), F.col("_s.y").alias("_y"))
+    kinds = ", ".join(f"`{c}` {g.schema[c].dataType.simpleString()}" for c in pair_key)
+
+    def search(batches):
+        for b in batches:
+            lags = [lag_of(u.values.to_numpy(zero_copy_only=False), v.values.to_numpy(zero_copy_only=False), max_lag) for u, v in zip(b.column("_x"), b.column("_y"))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in pair_key), pa.array(lags, pa.int32())], [*pair_key, "lag"])
 
-    @F.pandas_udf("int")
-    def search(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lag_of(np.array(u, np.float64), np.array(v, np.float64), max_lag) for u, v in zip(a, b)], dtype="int32")
+    return g.mapInArrow(search, f"{kinds}, lag int")
 
-    return g.select(*pair_key, search("_x", "_y").alias("lag"))
+
+def similar_lags(df: DataFrame, value: str, station: str = STATION, time: str = MONTH, n_top: int = 10,
+                 cluster: str | None = "cluster") -> tuple[DataFrame, DataFrame]:
+    """The series of each station and its ``n_top`` similar ones on the station's grid (station, other, pos, x, y_raw),
+    and (station, other, lag)."""
+    top = similarity_topn(df, value, n_top, station, time, cluster)
+    w = Window.partitionBy(station).orderBy(time)
+    tgt = df.select(station, time, F.col(value).alias("x")).withColumn("pos", F.row_number().over(w) - 1)
+    oth = df.select(F.col(station).alias("other"), time, F.col(value).alias("y_raw"))
+    pairs = top.select(station, "other").join(tgt, station).join(oth, ["other", time], "left")
+    wp = Window.partitionBy(station, "other").orderBy("pos")
+    pairs = pairs.withColumn("xf", _ffill(F.col("x"), wp)).withColumn("yf", _ffill(F.col("y_raw"), wp))
+    return pairs, best_lag(pairs, [station, "other"], "xf", "yf")
 
 
 def impute_similar_series(df: DataFrame, value: str, station: str = STATION, time: str = MONTH,
@@ -177,15 +201,10 @@ def impute_similar_series(df: DataFrame, value: str, station: str = STATION, tim
     from lacuna.session import cut_lineage
     part_col = cluster if cluster and cluster in df.columns else None
     df = cut_lineage(df)  # read by every step below
-    top = similarity_topn(df, value, n_top, station, time, part_col)
+    pairs, lags = similar_lags(df, value, station, time, n_top, part_col)
     w = Window.partitionBy(station).orderBy(time)
     tgt = df.select(station, time, F.col(value).alias("x")).withColumn("pos", F.row_number().over(w) - 1)
-    oth = df.select(F.col(station).alias("other"), time, F.col(value).alias("y_raw"))
-    # Reference aligned on the target grid
-    pairs = top.select(station, "other").join(tgt, station).join(oth, ["other", time], "left")
     wp = Window.partitionBy(station, "other").orderBy("pos")
-    pairs = pairs.withColumn("xf", _ffill(F.col("x"), wp)).withColumn("yf", _ffill(F.col("y_raw"), wp))
-    lags = best_lag(pairs, [station, "other"], "xf", "yf")
     # shifted[p] = y_raw[p - lag] on the target grid
     src = pairs.select(station, "other", F.col("pos").alias("_sp"), F.col("y_raw").alias("s"))
     sh = (pairs.select(station, "other", "pos", "x").join(lags, [station, "other"])

@@ -338,8 +338,15 @@ def q_spectrum_similarity(spark, sf):
 
 @query("impute_similar_series")
 def q_impute_similar(spark, sf):
-    return rounded(SIM.impute_similar_series(clustered(spark, sf), "level", out="filled")
-                   .select("station_id", "month", "level", "filled"), 4)
+    found = SIM.impute_similar_series(clustered(spark, sf), "level", out="filled")
+    # means of ten values of few digits often lie on a rounding edge, where the order of a sum would decide
+    return rounded(found.select("station_id", "month", "level", (F.col("filled") + 1e-10).alias("filled")))
+
+
+@query("lag_search_join")
+def q_lag_search(spark, sf):
+    """The lag of each station's ten most similar series."""
+    return SIM.similar_lags(cut_lineage(clustered(spark, sf)), "level")[1]
 
 
 @query("top_similar_series")

@@ -905,3 +905,31 @@ ends AS (SELECT station_id, min(p) AS p0, max(p) AS p1 FROM kn GROUP BY 1)
 SELECT fp.station_id, fp.month, round(fp.level, 6) AS level, round(coalesce(fp.level,
     CASE WHEN fp.pos BETWEEN p0 AND p1 THEN y + (s0 * h1 + s1 * h0) / hh * (fp.pos - p) + (s1 - s0) / hh * (fp.pos - p) ** 2 END), 6) AS filled
 FROM fp LEFT JOIN ends ON ends.station_id = fp.station_id LEFT JOIN pc ON pc.station_id = fp.station_id AND fp.pos > lo AND fp.pos <= hi"""
+
+
+# the ten most similar series of each station on its grid, forward-filled; all lags of a pair from the definition
+_LAGS = CLUSTERED + """,
+tp AS (SELECT station_id, other FROM (""" + SQL["top_similar_series"] + """)),
+gr AS (SELECT station_id, month, level AS x, row_number() OVER (PARTITION BY station_id ORDER BY month) - 1 AS pos FROM cl),
+pa_ AS (SELECT gr.station_id, tp.other, gr.month, gr.pos, gr.x, o.level AS y FROM tp JOIN gr USING (station_id) LEFT JOIN cl o ON o.station_id = tp.other AND o.month = gr.month),
+fi_ AS (SELECT *, last_value(x IGNORE NULLS) OVER w AS xf, last_value(y IGNORE NULLS) OVER w AS yf FROM pa_
+        WINDOW w AS (PARTITION BY station_id, other ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+lc AS (SELECT a.station_id, a.other, g.lag, covar_pop(a.xf, b.yf) / (stddev_pop(a.xf) * stddev_pop(b.yf)) AS c
+       FROM fi_ a CROSS JOIN (SELECT unnest(range(-24, 25)) AS lag) g JOIN fi_ b ON b.station_id = a.station_id AND b.other = a.other AND b.pos = a.pos - g.lag
+       WHERE a.xf IS NOT NULL AND b.yf IS NOT NULL
+       GROUP BY ALL HAVING count(*) >= 5 AND min(a.xf) <> max(a.xf) AND min(b.yf) <> max(b.yf)),
+lb AS (SELECT station_id, other, lag FROM lc WHERE round(c, 9) > -1 QUALIFY row_number() OVER (PARTITION BY station_id, other ORDER BY round(c, 9) DESC, lag) = 1),
+lg AS (SELECT tp.station_id, tp.other, coalesce(lb.lag, 0)::INTEGER AS lag FROM tp LEFT JOIN lb USING (station_id, other))"""
+
+SQL["lag_search_join"] = with_(_LAGS, "SELECT station_id, other, lag FROM lg")
+
+SQL["impute_similar_series"] = with_(_LAGS + """,
+sh AS (SELECT p.station_id, p.other, p.pos, p.x, q.y AS s FROM pa_ p JOIN lg USING (station_id, other) LEFT JOIN pa_ q ON q.station_id = p.station_id AND q.other = p.other AND q.pos = p.pos - lg.lag),
+cn AS (SELECT *, sum((s IS NULL)::INT) OVER (PARTITION BY station_id, other ORDER BY pos) AS broken,
+         avg(s) OVER p AS ms, avg(x) OVER p AS mx, max((x IS NOT NULL AND s IS NOT NULL)::INT) OVER p AS common FROM sh WINDOW p AS (PARTITION BY station_id, other)),
+kn AS (SELECT *, last_value(CASE WHEN x IS NOT NULL THEN {'x': x, 's': s, 'broken': broken} END IGNORE NULLS)
+         OVER (PARTITION BY station_id, other ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM cn),
+ad AS (SELECT station_id, pos, CASE WHEN x IS NOT NULL THEN x WHEN common = 1 THEN CASE WHEN s IS NOT NULL AND k.s IS NOT NULL AND broken = k.broken THEN k.x + s - k.s END
+         ELSE s - ms + mx END AS v FROM kn),
+rc AS (SELECT station_id, pos, avg(v) AS v FROM ad GROUP BY 1, 2)""", """
+SELECT gr.station_id, gr.month, round(gr.x, 6) AS level, round(coalesce(gr.x, rc.v) + 1e-10, 6) AS filled FROM gr LEFT JOIN rc USING (station_id, pos)""")

@@ -11,6 +11,7 @@ work per query stays proportional to its neighbourhood, not to the partition siz
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import partial
 
@@ -85,17 +86,38 @@ def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, piv
 
     ``queries``: part…, q_id, q_z; ``items``: part…, i_id, i_z (arrays of one length within a part);
     an item is no neighbour of the query with its id; ties (distances rounded to 9 digits) go to the
-    smaller id. Items fall into the cell of their nearest pivot (one item in CELL of the part, at
-    most ``pivots``, drawn by hash). A query meets its own cell first, which bounds its k-th distance r; then only the cells whose
-    pivot is no farther than r plus the cell's radius can hold a nearer item (triangle inequality).
-    Cells are cut into blocks of about ``block`` items by hash; a block and its queries are one
-    vectorised task that returns k rows for a query, so no pair is ever a row.
+    smaller id.
+
+    If no part has more than ``block`` items, a block of queries meets all items of its part in one vectorised
+    task. Else items fall into the cell of their nearest pivot (one item in CELL of the part, at most ``pivots`` or
+    the root of the largest part's size, drawn by hash). A query meets its own cell first, which bounds its k-th
+    distance r; then only the cells whose pivot is no farther than r plus the cell's radius can hold a nearer
+    item (triangle inequality). Cells are cut into blocks of about ``block`` items, and the queries of a cell into
+    blocks too, by hash; a block of items and one of queries are one task that returns k rows for a query, so no
+    pair is ever a row.
     """
+    types = {f.name: f.dataType.simpleString() for f in queries.select(*part, "q_id").schema.fields}
+    types["i_id"] = items.schema["i_id"].dataType.simpleString()
+    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", dist double, sim double, rank int"
+    search = partial(_block_topk, part=part, k=k, correlate=correlate)
+    own = lambda df, cols: df.select([F.col(c).alias(c) for c in cols])  # noqa: E731  both sides may stem from one table
+    sizes = items.groupBy(*part).agg(F.count(F.lit(1)).alias("_size"))
+    most = sizes.agg(F.max("_size")).first()[0] or 0
+    if most <= block:
+        n = max(1, -(-queries.count() // block))
+        key = [*part, "block"]
+        asked = queries.withColumn("block", F.pmod(F.xxhash64("q_id"), F.lit(n)).cast("int"))
+        found = items.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        near = own(asked, [*key, "q_id", "q_z"]).groupBy(*key).cogroup(own(found, [*key, "i_id", "i_z"]).groupBy(*key)).applyInArrow(search, schema)
+        return near if correlate else near.drop("sim")
+    return _cells_topk(queries, items, part, k, sizes, max(pivots, math.isqrt(most) + 1), block, correlate, search, schema, own)
+
+
+def _cells_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, sizes: DataFrame, pivots: int, block: int, correlate: bool, search, schema: str, own) -> DataFrame:
     from lacuna.session import cut_lineage
     drawn = Window.partitionBy(*part).orderBy(F.xxhash64("i_id"), "i_id")
     piv = (items.withColumn("_r", F.row_number().over(drawn)).filter(F.col("_r") <= pivots)
            .groupBy(*part).agg(F.sort_array(F.collect_list(F.struct("_r", "i_z"))).alias("_p")))
-    sizes = items.groupBy(*part).agg(F.count(F.lit(1)).alias("_size"))
     piv = piv.join(sizes, part).select(*part, F.transform(F.slice("_p", F.lit(1), F.ceil(F.col("_size") / CELL).cast("int")), lambda p: p["i_z"]).alias("_piv"))
 
     def to_pivots(z):
@@ -108,29 +130,30 @@ def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, piv
     it = cut_lineage(it.join(cells.select(*part, "cell", "blocks"), [*part, "cell"])
                      .withColumn("block", F.pmod(F.xxhash64("i_id"), F.col("blocks")).cast("int")).drop("blocks", "_near"))
     listed = cells.groupBy(*part).agg(F.collect_list(F.struct("cell", "radius", "blocks")).alias("_cells"))
-    qs = queries.join(piv, part).join(listed, part).withColumn("_d", to_pivots("q_z"))
+    # the distances to the pivots are computed where they are used, never stored with a query
+    placed = queries.join(piv, part).join(listed, part).withColumn("_d", to_pivots("q_z"))
     home = F.array_min(F.transform("_cells", lambda c: F.struct(F.get(F.col("_d"), c["cell"]).alias("d"), c["cell"].alias("cell"), c["blocks"].alias("blocks"))))
-    qs = cut_lineage(qs.withColumn("_home", home).drop("_piv"))
-    types = {f.name: f.dataType.simpleString() for f in queries.select(*part, "q_id").schema.fields}
-    types["i_id"] = items.schema["i_id"].dataType.simpleString()
-    schema = ", ".join(f"{c} {t}" for c, t in types.items()) + ", dist double, sim double"
-    key = [*part, "cell", "block"]
+    qs = cut_lineage(placed.select(*part, "q_id", "q_z", home.alias("_home")))
+    key = [*part, "cell", "block", "qblock"]
 
     def near(asked: DataFrame) -> DataFrame:
-        own = lambda cols: [F.col(c).alias(c) for c in cols]  # noqa: E731  both sides may stem from one table
-        return (asked.select(own([*key, "q_id", "q_z"])).groupBy(*key).cogroup(it.select(own([*key, "i_id", "i_z"])).groupBy(*key))
-                .applyInArrow(partial(_block_topk, part=part, k=k, correlate=correlate), schema))
-
-    first = near(qs.select("*", F.col("_home.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("_home.blocks") - 1)).alias("block")))
+        """``asked`` (part…, q_id, q_z, cell, blocks) against every block of its cell."""
+        crowd = asked.groupBy(*part, "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("qblocks"))
+        left = (asked.join(crowd, [*part, "cell"]).withColumn("qblock", F.pmod(F.xxhash64("q_id"), F.col("qblocks")).cast("int"))
+                .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+        right = it.join(crowd, [*part, "cell"]).withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
+        return own(left, [*key, "q_id", "q_z"]).groupBy(*key).cogroup(own(right, [*key, "i_id", "i_z"]).groupBy(*key)).applyInArrow(search, schema).drop("rank")
+
+    first = near(qs.select("*", F.col("_home.cell").alias("cell"), F.col("_home.blocks").alias("blocks")))
     best = Window.partitionBy(*part, "q_id").orderBy("dist", "i_id")
     first = cut_lineage(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank"))
     reach = first.groupBy(*part, "q_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(float("inf")).alias("_r"))
     open_ = qs.join(reach, [*part, "q_id"], "left").withColumn("_r", F.coalesce("_r", F.lit(float("inf"))))
     if correlate:  # half a unit of the ninth digit, on both sides, as distance
         open_ = open_.withColumn("_r", F.sqrt(F.col("_r") * F.col("_r") + 2e-9 * F.size("q_z")))
+    open_ = open_.join(piv, part).join(listed, part).withColumn("_d", to_pivots("q_z"))
     far = F.filter("_cells", lambda c: (c["cell"] != F.col("_home.cell")) & (F.get(F.col("_d"), c["cell"]) - c["radius"] <= F.col("_r") + 1e-6))
-    open_ = open_.withColumn("_c", F.explode(far)).select("*", F.col("_c.cell").alias("cell"),
-                                                          F.explode(F.sequence(F.lit(0), F.col("_c.blocks") - 1)).alias("block"))
+    open_ = open_.select(*part, "q_id", "q_z", F.explode(far).alias("_c")).select(*part, "q_id", "q_z", F.col("_c.cell").alias("cell"), F.col("_c.blocks").alias("blocks"))
     every = first.unionByName(near(open_))
     every = every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return every if correlate else every.drop("sim")
@@ -138,9 +161,9 @@ def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, piv
 
 def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int, correlate: bool = False) -> pa.Table:
     """The k nearest items of a block for each of its queries."""
-    names = [*part, "q_id", "i_id", "dist", "sim"]
-    types = [asked.schema.field(c).type for c in [*part, "q_id"]] + [found.schema.field("i_id").type, pa.float64(), pa.float64()]
-    rows = [[], [], [], []]
+    names = [*part, "q_id", "i_id", "dist", "sim", "rank"]
+    types = [asked.schema.field(c).type for c in [*part, "q_id"]] + [found.schema.field("i_id").type, pa.float64(), pa.float64(), pa.int32()]
+    rows = [[], [], [], [], []]
     if len(asked) and len(found):
         q = np.array(asked["q_z"].to_pylist(), np.float64)
         z = np.array(found["i_z"].to_pylist(), np.float64)
@@ -161,5 +184,6 @@ def _block_topk(asked: pa.Table, found: pa.Table, part: list[str], k: int, corre
                 rows[1] += i_id[near].tolist()
                 rows[2] += row[near].tolist()
                 rows[3] += sim[i, near].tolist() if correlate else [None] * len(near)
+                rows[4] += range(1, len(near) + 1)
     same = [[asked[c][0].as_py()] * len(rows[0]) if len(asked) else [] for c in part]
     return pa.table([pa.array(v, t) for v, t in zip([*same, *rows], types)], names=names)

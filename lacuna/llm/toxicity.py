@@ -19,12 +19,13 @@ import io
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lacuna.llm import birnn
 from lacuna.session import cut_lineage
 
-SAMPLE, WINDOWS = 2500, 80
+SAMPLE, WINDOWS, ROWS = 2500, 80, 1000
 THRESHOLD = 0.7
 
 
@@ -100,8 +101,8 @@ def _guarded(run):
     return f
 
 
-def with_scores(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """``docs`` and a column ``score``, 0 to 1."""
+def with_scores(docs: DataFrame, model: bytes | None, of: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``docs`` and a column ``score``, 0 to 1, of the text column or, by ``of``, of a field in a struct column."""
     if model is None:
         return docs.withColumn("score", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -109,8 +110,12 @@ def with_scores(docs: DataFrame, model: bytes | None) -> DataFrame:
     def run(batches):
         scorer = birnn.Scorer(_unpack(shared.value))
         for b in batches:
-            score = scorer([t.as_py() for t in b.column("text")])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score, pa.float64())], [*b.schema.names, "score"])
+            for at in range(0, b.num_rows, ROWS):  # so few texts are Python strings at a time
+                part = b.slice(at, ROWS)
+                texts = part.column(of[0])
+                for name in of[1:]:
+                    texts = pc.struct_field(texts, name)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scorer(texts.to_pylist()), pa.float64())], [*part.schema.names, "score"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
@@ -125,4 +130,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
     whole = docs.select(F.struct(*docs.columns).alias("doc"))  # whatever its columns are named
-    return with_scores(whole.select("doc", "doc.text"), fit(docs, labels)).filter(F.col("score") < threshold).select("doc.*")
+    return with_scores(whole, fit(docs, labels), ("doc", "text")).filter(F.col("score") < threshold).select("doc.*")

@@ -753,9 +753,18 @@ def q_scan_series_folder(spark, sf):
 @query("write_per_station")
 def q_write_per_station(spark, sf):
     p = _stage(spark, "per_station_files")
-    WR.write_per_station(_series_text(monthly_levels(spark, sf)), p)
-    back = spark.read.option("sep", ";").option("header", True).schema(RD.SERIES_SCHEMA + ", station_file string").csv(p)
-    return back.groupBy(F.col("station_file").cast("long").alias("station_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    manifest = WR.write_per_station(_series_text(monthly_levels(spark, sf)), p, rows=1000)
+    station = F.regexp_extract("station_file", "^data_(.*)$", 1).cast("long")
+    return manifest.groupBy(station.alias("station_id")).agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query("series_pipeline")
+def q_series_pipeline(spark, sf):
+    """All stages over a folder: fusion, classes, training, completion; its summary of scores."""
+    sources = {"readings": dt.readings(spark, sf), "weather": dt.points(spark, sf), "pet": dt.pet_daily(spark, sf), "soil": dt.soil(spark, sf)}
+    settings = SPI.Settings(methods={"level": tuple(SCORE_METHODS)}, window=WINDOW)
+    s = SPI.run(spark, _stage(spark, "series_pipeline"), settings, sources)
+    return rounded(s.select("station_id", "lat", "lon", "cluster", "variable", "method", "nrmse"))
 
 
 @query("write_by_cluster")
@@ -813,6 +822,7 @@ from lacuna.operators import windows as WIN  # noqa: E402
 from lacuna.operators.impute import models as MD  # noqa: E402
 from lacuna.operators.impute import window_model as WM  # noqa: E402
 from lacuna.operators.impute import grid_search as GS  # noqa: E402
+from lacuna.plans import series_pipeline as SPI  # noqa: E402
 
 SCALE_FEATURES = ["level", "lon", "lat"]
 WINDOW_FEATURES = ["level", "lon", "lat", "time_num", "pet", "rain", "temp", "sealed_area", "total_area"]

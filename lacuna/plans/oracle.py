@@ -933,3 +933,5 @@ ad AS (SELECT station_id, pos, CASE WHEN x IS NOT NULL THEN x WHEN common = 1 TH
          ELSE s - ms + mx END AS v FROM kn),
 rc AS (SELECT station_id, pos, avg(v) AS v FROM ad GROUP BY 1, 2)""", """
 SELECT gr.station_id, gr.month, round(gr.x, 6) AS level, round(coalesce(gr.x, rc.v) + 1e-10, 6) AS filled FROM gr LEFT JOIN rc USING (station_id, pos)""")
+
+SQL["series_pipeline"] = SQL["score_on_holes"]

@@ -148,3 +148,24 @@ FROM d LEFT JOIN g USING (rid)"""
 
 
 ORACLE["op11_license_scan"] = _licenses()
+
+
+# the CRC bit by bit, near words from all words with one code point left out
+ORACLE["op13_spelling_variants"] = f"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(run, '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS run, count(*) AS c
+      FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+k AS (SELECT *, concat(doc_id::VARCHAR, ':', run) AS name FROM r),
+h AS (SELECT run, c, xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(name))), lambda i: ('0x' || substr(hex(name), 2 * i::INT + 1, 2))::BIGINT)),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1))))) AS h FROM k),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY 1 HAVING sum(c) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM v)),
+s AS (SELECT DISTINCT d.word AS a, d.n AS na, v.word AS b, v.n AS nb FROM d JOIN v ON v.word = d.rest),
+p AS (SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION ALL SELECT a, b, nb FROM s UNION ALL SELECT b, a, na FROM s),
+f AS (SELECT v.word, v.n, count(p.other) AS n_near, max(p.n) AS most, arg_min(p.other, (-p.n, p.other)) AS best FROM v LEFT JOIN p ON p.word = v.word GROUP BY 1, 2),
+g AS (SELECT word, n, n_near, CASE WHEN most >= 10 * n THEN best END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM f),
+t AS (SELECT word, coalesce(form, word) AS root, form FROM g UNION ALL SELECT t.word, g.form, g.form FROM t JOIN g ON g.word = t.form WHERE g.form IS NOT NULL),
+e AS (SELECT t.word, t.root FROM t JOIN g ON g.word = t.root WHERE g.form IS NULL)
+SELECT g.word, g.form, e.root, g.n, g.n_near, g.form_n FROM g JOIN e ON e.word = g.word"""

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lacuna.llm import spelling as S
+from lacuna.llm.oracle import ORACLE
+from tests.llm.conftest import duck, same
 
 
 def near(a: str, b: str) -> bool:
@@ -101,3 +103,11 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted(map(tuple, S.spelling_variants(odd_docs).collect())) == want
     assert S.spelling_variants(no_docs).collect() == []
     assert S.word_counts(odd_docs.withColumn("word", F.lit(1))).count() == len(counted(rows))
+
+
+def test_equals_sql(spark, odd_docs):
+    r = random.Random(12)
+    pool = ["".join(r.choice("abcñé") for _ in range(r.randint(7, 9))) for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(pool) if r.random() < .8 else r.choice(pool)[:-1] + "x" for _ in range(200))) for i in range(40)], "doc_id long, text string")
+    for df in (docs, odd_docs.select("doc_id", "text")):
+        same(S.spelling_variants(df), duck({"documents": df}, ORACLE["op13_spelling_variants"]))

@@ -19,11 +19,11 @@ def _value(rule: str) -> str:
 
 
 def _quality() -> str:
-    p = quality.RISK / len(quality.LADDERS)
-    steps = ", ".join(f"('{r}', {i}, {float(c)}::DOUBLE)" for r, ladder in quality.LADDERS.items() for i, c in enumerate(ladder))
-    pick = "CASE s.rule " + " ".join(f"WHEN '{r}' THEN {_value(r)}" for r in quality.LADDERS) + " END"
-    rejected = ", ".join(f"CASE WHEN {_value(r)} > (SELECT cutoff FROM cut WHERE rule = '{r}' AND cut.lang IS NOT DISTINCT FROM f.lang) THEN '{r}' END"
-                         for r in quality.LADDERS)
+    rules = list(quality.LADDERS)
+    vectors = ", ".join(f"({i}, " + ", ".join(f"{v[r]}::DOUBLE" for r in rules) + ")" for i, v in enumerate(quality.steps()))
+    beyond = " OR ".join(f"{_value(r)} > s.{r}" for r in rules)
+    rejected = ", ".join(f"CASE WHEN {_value(r)} > (SELECT {r} FROM cut WHERE cut.lang IS NOT DISTINCT FROM f.lang) THEN '{r}' END" for r in rules)
+    p = quality.RISK
     return f"""
 WITH w AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text, {WORDS} AS words,
              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
@@ -37,15 +37,15 @@ f AS (SELECT w.doc_id, lang, len(words) AS n_words, length(array_to_string(words
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
       FROM w LEFT JOIN c USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
-s(rule, step, cutoff) AS (VALUES {steps}),
+s(step, {", ".join(rules)}) AS (VALUES {vectors}),
 known AS (SELECT b.* FROM b JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)
           WHERE quality = 1 AND NOT base_failed),
-tried AS (SELECT lang, s.rule, s.step, s.cutoff, count(*) AS n, count(*) FILTER (WHERE {pick} > s.cutoff) AS k FROM known, s GROUP BY ALL),
+tried AS (SELECT lang, s.step, count(*) AS n, count(*) FILTER (WHERE {beyond}) AS k FROM known, s GROUP BY ALL),
 tested AS (SELECT *, (SELECT count(*) FROM (SELECT DISTINCT lang FROM known)) AS strata,
              (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p}))) FROM range(0, k + 1) q(i)) AS pv
            FROM tried),
-held AS (SELECT *, bool_and(k < n * {p} AND pv <= {quality.LEVEL} / (strata * {len(quality.LADDERS)})) OVER (PARTITION BY lang, rule ORDER BY step) AS reached FROM tested),
-cut AS (SELECT lang, rule, min(cutoff) AS cutoff FROM held WHERE reached GROUP BY ALL),
+held AS (SELECT *, bool_and(k < n * {p} AND pv <= {quality.LEVEL} / strata) OVER (PARTITION BY lang ORDER BY step) AS reached FROM tested),
+cut AS (SELECT lang, s.* FROM (SELECT lang, max(step) AS step FROM held WHERE reached GROUP BY ALL) JOIN s USING (step)),
 j AS (SELECT f.*, coalesce(array_to_string([{rejected}], ','), '') AS rejected_by FROM b f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rejected_by = '' AS kept, rejected_by FROM j"""

@@ -1,10 +1,10 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Each rule rejects a text whose value lies above a cutoff. The cutoffs are certified on labelled
-rows: for a stratum, a rule and a cutoff, k of the n good rows would be rejected, and
-P(Binomial(n, risk per rule) <= k) is the exact p-value of "more than that share of good texts is
-rejected". Along a rule's ladder, from lenient to strict, cutoffs are certified until the first that
-fails (a fixed sequence needs no correction); across strata and rules the level is divided by their
+Each rule rejects a text whose value lies above a cutoff. The cutoffs of all rules are certified
+together on labelled rows: for a stratum and a step of the ladder (a cutoff for each rule), k of the n good
+rows would be rejected by any rule, and P(Binomial(n, risk) <= k) is the exact p-value of "more than
+that share of good texts is rejected". From lenient to strict, steps are certified until the first that
+fails (a fixed sequence needs no correction); across strata the level is divided by their
 number (Bonferroni). So with probability ``1 - level`` no stratum loses more than ``risk`` of its good
 texts to all rules together. A stratum without enough labelled rows gets no cutoff and loses none.
 
@@ -16,6 +16,8 @@ ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,7 +28,7 @@ BLANK = " \t\n\x0b\f\r"
 RISK, LEVEL = 0.02, 0.05
 MAX_STRATA = 10_000
 
-# value that a rule compares, and its ladder of cutoffs from lenient to strict
+# value that a rule compares, and its ladder of cutoffs from lenient to strict; step i takes the i-th of each, or its last
 LADDERS = {
     "symbols_per_word": [2.0, 1.5, 1.0, 0.75, 0.5, 0.3, 0.2, 0.1, 0.05, 0.02],
     "dup_line_share": [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15],
@@ -97,24 +99,27 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def certified(known: DataFrame, risk: float = RISK, level: float = LEVEL, ladders: dict = LADDERS) -> DataFrame:
-    """stratum and a column for each rule: its strictest certified cutoff or null.
+    """stratum and a column for each rule: its cutoff at the strictest certified step or null.
 
     ``known``: a row for each labelled text that passed the base rules, with its counts and ``quality``.
     """
-    value = values()
-    steps = [(rule, i, c) for rule, ladder in ladders.items() for i, c in enumerate(ladder)]
-    good = (known.filter("quality = 1").groupBy("stratum")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"),
-                                    F.count_if(value[rule] > c).alias("k")) for rule, i, c in steps]).alias("steps")))
+    value, vectors = values(), steps(ladders)
+    tried = [F.struct(F.lit(i).alias("step"), F.count_if(reduce(or_, (value[r] > c for r, c in v.items()))).alias("k")) for i, v in enumerate(vectors)]
+    good = known.filter("quality = 1").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.array(*tried).alias("steps"))
     rows = good.select("stratum", "n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("strata"), "steps")
     rows = rows.select("stratum", "n", "strata", F.inline("steps"))
-    passed = binomial_cdf(F.col("k"), F.col("n"), risk / len(ladders)) <= level / (F.col("strata") * len(ladders))
+    passed = binomial_cdf(F.col("k"), F.col("n"), risk) <= level / F.col("strata")
     rows = rows.withColumn("passed", passed)
-    ladder = Window.partitionBy("stratum", "rule").orderBy("step")
+    ladder = Window.partitionBy("stratum").orderBy("step")
     rows = rows.withColumn("reached", F.min(F.col("passed").cast("int")).over(ladder) == 1)
-    return rows.groupBy("stratum").agg(*[F.min(F.when(F.col("reached") & (F.col("rule") == r), F.col("cutoff"))).alias(f"cut_{r}")
-                                         for r in ladders])
+    at = rows.groupBy("stratum").agg(F.max(F.when(F.col("reached"), F.col("step"))).alias("at"))
+    return at.select("stratum", *[F.get(F.array(*[F.lit(v[r]) for v in vectors]), F.col("at")).alias(f"cut_{r}") for r in ladders])
+
+
+def steps(ladders: dict = LADDERS) -> list[dict[str, float]]:
+    """The cutoffs of all rules at each step."""
+    most = max(map(len, ladders.values()))
+    return [{r: float(ladder[min(i, len(ladder) - 1)]) for r, ladder in ladders.items()} for i in range(most)]
 
 
 def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:

@@ -76,3 +76,13 @@ def test_odd_rows(odd_docs, odd_labels, no_docs):
     same(found, duck({"documents": odd_docs, "labels": odd_labels}, ORACLE["op1_quality_rules"]))
     assert Q.quality(no_docs, odd_labels).count() == 0
     assert Q.quality(odd_docs, odd_labels.limit(0)).filter("not base_failed and not kept").count() == 0
+
+
+def test_two_hundred_labels_certify_all_rules_together(spark):
+    """217 good labels without a rejection suffice for four strata: (1 - 0.02)^217 is below 0.05 / 4."""
+    row = lambda lang: (lang, 100, 500, 0, 10, 0, 0, 1)
+    known = spark.createDataFrame([row("a")] * 217 + [row("b")] * 216 + [row("c"), row("d")],
+                                  "stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, quality int")
+    cuts = {r.stratum: r for r in Q.certified(known).collect()}
+    assert cuts["a"].cut_symbols_per_word == 0.02 and cuts["a"].cut_dup_line_share == 0.15 and cuts["a"].cut_short_words == -4.25
+    assert all(cuts[s].cut_symbols_per_word is None for s in "bcd")

@@ -1,4 +1,4 @@
-"""K-nearest-neighbour imputation inside each series.
+"""K-nearest-neighbour imputation inside each series.
 
 Features: lon, lat, year, sin and cos of 2π·month/12, standardised per station on the complete rows
 (population std; a constant feature is divided by 1). A missing row takes the mean value of its k
@@ -6,73 +6,72 @@ nearest complete rows (distance ties: earlier row first). ``past_only`` keeps st
 and shrinks k (no earlier row → stays null). A missing row with a null feature takes the mean of the
 complete rows; a station with fewer than k complete rows is filled with its mean.
 
-The neighbour search is exact and banded on the year (``lacuna.operators.neighbours``): the scaled
-year difference is a lower bound of the distance, so only nearby years are joined.
+A series (one array, bounded by the calendar) is the unit of work: its missing rows meet its complete
+rows as one matrix of distances, some rows at a time, so no pair of rows is ever a row of a table.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions import calendar as cal
-from lacuna.operators.neighbours import banded_topk
 from lacuna.operators.series import STATION, MONTH
 
-DIST_DIGITS = 9
+DIST_DIGITS, ROWS = 9, 512
+
+
+def nearest_rows(asked: np.ndarray, items: np.ndarray, k: int, forbidden: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the ``k`` nearest items of each asked row (fewer if there are not so many), nearest first, the earlier item first
+    at equal distance (9 digits), and which of these count (a forbidden pair never does)."""
+    d = np.round(np.sqrt(((asked[:, None, :] - items[None]) ** 2).sum(axis=2)), DIST_DIGITS)
+    if forbidden is not None:
+        d[forbidden] = np.inf
+    order = np.argsort(d, axis=1, kind="stable")[:, :k]
+    return order, np.isfinite(np.take_along_axis(d, order, axis=1))
+
+
+def knn_fill(v: np.ndarray, features: np.ndarray, k: int, past_only: bool) -> np.ndarray:
+    """The series with its missing values filled; NaN where nothing fills."""
+    known, whole = ~np.isnan(v), ~np.isnan(features).any(axis=1)
+    complete, out = known & whole, v.copy()
+    if complete.sum() < k:
+        out[~known] = v[known].mean() if known.any() else np.nan
+        return out
+    spread = features[complete].std(axis=0)
+    z = (features - features[complete].mean(axis=0)) / np.where(spread == 0, 1.0, spread)
+    out[~known & ~whole] = v[complete].mean()
+    items, asked = np.flatnonzero(complete), np.flatnonzero(~known & whole)
+    for at in range(0, len(asked), ROWS):
+        rows = asked[at:at + ROWS]
+        order, counts = nearest_rows(z[rows], z[items], k, items[None] >= rows[:, None] if past_only else None)
+        n = counts.sum(axis=1)
+        total = np.where(counts, v[items[order]], 0.0).sum(axis=1)
+        out[rows] = np.where(n > 0, total / np.where(n > 0, n, 1), np.nan)
+    return out
 
 
 def impute_knn(df: DataFrame, value: str, station: str = STATION, time: str = MONTH, k: int = 5,
-               past_only: bool = False, coords: tuple[str, ...] = ("lon", "lat"),
-               widths: tuple[float, ...] = (2.0, 8.0), out: str | None = None) -> DataFrame:
+               past_only: bool = False, coords: tuple[str, ...] = ("lon", "lat"), out: str | None = None) -> DataFrame:
     out = out or value
-    t = (df.withColumn("_f_year", F.year(time).cast("double"))
-           .withColumn("_f_sin", cal.cyclic_month_sin(time))
-           .withColumn("_f_cos", cal.cyclic_month_cos(time)))
-    feats = [c for c in coords] + ["_f_year", "_f_sin", "_f_cos"]
-    feat_ok = F.lit(True)
-    for f in feats:
-        feat_ok = feat_ok & F.col(f).isNotNull()
-    t = t.withColumn("_complete", F.col(value).isNotNull() & feat_ok).withColumn("_feat_ok", feat_ok)
-    # Per-station scaler fitted on complete rows
-    aggs = [F.count(F.when(F.col("_complete"), 1)).alias("_ncomp"),
-            F.avg(F.when(F.col("_complete"), F.col(value))).alias("_cmean"),
-            F.avg(value).alias("_vmean")]
-    for f in feats:
-        aggs.append(F.avg(F.when(F.col("_complete"), F.col(f))).alias(f"_mu{f}"))
-        aggs.append(F.stddev_pop(F.when(F.col("_complete"), F.col(f))).alias(f"_sd{f}"))
-    stats = t.groupBy(station).agg(*aggs)
-    t = t.join(stats, station)
-    for f in feats:
-        sd = F.when(F.col(f"_sd{f}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd{f}"))
-        t = t.withColumn(f"_z{f}", (F.col(f) - F.col(f"_mu{f}")) / sd)
-    t = t.withColumn("_inv_sy", F.lit(1.0) / F.when(F.col("_sd_f_year") == 0, F.lit(1.0)).otherwise(F.col("_sd_f_year")))
-    zc = [f"_z{f}" for f in feats]
-    from lacuna.session import cut_lineage
-    t = cut_lineage(t)      # read by the queries, the items and the final fill
-    q = (t.filter(F.col(value).isNull() & F.col("_feat_ok") & (F.col("_ncomp") >= k))
-         .select(station, F.col(time).alias("q_t"), F.col("_f_year").alias("q_year"),
-                 F.col("_inv_sy").alias("q_inv_sy"), *[F.col(z).alias(f"q{z}") for z in zc]))
-    it = (t.filter(F.col("_complete"))
-          .select(station, F.col(time).alias("i_t"), F.col("_f_year").alias("i_year"),
-                  F.col(value).alias("i_v"), *[F.col(z).alias(f"i{z}") for z in zc]))
+    features = [*(F.col(c).cast("double") for c in coords), F.year(time).cast("double"), cal.cyclic_month_sin(time), cal.cyclic_month_cos(time)]
+    names = [f"x{i}" for i in range(len(features))]
+    row = F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v"), *[f.alias(n) for f, n in zip(features, names)])
+    g = df.groupBy(station).agg(F.sort_array(F.collect_list(row)).alias("_s"))
+    g = g.select(station, F.col("_s.t").alias("times"), F.col("_s.v").alias("v"), *[F.col(f"_s.{n}").alias(n) for n in names])
+    kind, when = g.schema[station].dataType.simpleString(), g.schema["times"].dataType.simpleString()
 
-    def dist():
-        s = None
-        for z in zc:
-            d = F.col(f"q{z}") - F.col(f"i{z}")
-            s = d * d if s is None else s + d * d
-        return F.round(F.sqrt(s), DIST_DIGITS)
+    def run(batches):
+        for b in batches:
+            found = []
+            for i in range(b.num_rows):
+                v, *x = (c[i].values.to_numpy(zero_copy_only=False).astype(np.float64) for c in b.columns[2:])
+                found.append(knn_fill(v, np.stack(x, axis=1), k, past_only))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.float64()))], [station, "times", "_f"])
 
-    pf = (lambda: F.col("i_t") < F.col("q_t")) if past_only else None
-    top = banded_topk(q, it.withColumnRenamed("i_t", "i_t"), [station], "q_t", "i_t", "year", dist, k,
-                      list(widths), scale=F.col("q_inv_sy"), tiebreak=[F.col("i_t")], pair_filter=pf)
-    vals = top.join(it.select(station, "i_t", "i_v"), [station, "i_t"])
-    est = vals.groupBy(station, F.col("q_t").alias(time)).agg(F.avg("i_v").alias("_knn"))
-    t = t.join(est, [station, time], "left")
-    fill = (F.when(F.col(value).isNotNull(), F.col(value))
-            .when(F.col("_ncomp") < k, F.col("_vmean"))
-            .when(~F.col("_feat_ok"), F.col("_cmean"))
-            .otherwise(F.col("_knn")))
+    filled = g.mapInArrow(run, f"`{station}` {kind}, times {when}, _f array<double>")
+    filled = filled.select(station, F.inline(F.arrays_zip("times", "_f"))).select(station, F.col("times").alias(time), F.nanvl("_f", F.lit(None).cast("double")).alias("_f"))
     keep = [c for c in df.columns if c != out]
-    return t.withColumn(out, fill).select(*keep, out)
+    return df.join(filled, [station, time], "left").withColumn(out, F.coalesce(F.col(value), F.col("_f"))).select(*keep, out)

@@ -1,81 +1,19 @@
-"""Exact k-nearest search by banded candidates (used by kNN imputation and similar-series search).
-
-Items and queries carry a 1-D *band* value such that ``distance(q, i) ≥ scale · |band(q) − band(i)|``
-(a lower bound). Level ℓ joins each query with the items of its own and the two adjacent band
-buckets of width w_ℓ (equi-join on partition + bucket): any item outside those buckets is farther
-than ``scale · w_ℓ``. A query whose k-th best candidate lies within that bound — or which already
-saw every item of its partition — is final. Open queries go to the next, wider level; the last
-level joins the remaining queries with their whole partition. So the result is exact while the
-work per query stays proportional to its neighbourhood, not to the partition size.
-"""
+"""Exact k-nearest search between two tables of vectors (similar series, nearest points)."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 CELL = 256
 
 
-def banded_topk(queries: DataFrame, items: DataFrame, part: list[str], qid: str, iid: str,
-                band: str, dist: Callable[[], Column], k: int, widths: list[float], scale: Column | float = 1.0,
-                tiebreak: list[Column] | None = None, pair_filter: Callable[[], Column] | None = None,
-                band_scale: Column | float = 1.0) -> DataFrame:
-    """Return (part…, qid, iid, dist, rank) with rank ≤ k for every query.
-
-    ``queries`` columns are prefixed ``q_`` and ``items`` columns ``i_`` by the caller except
-    ``part``; ``band`` names the column present as ``q_<band>`` and ``i_<band>``; ``dist`` and
-    ``pair_filter`` build expressions on those prefixed columns.
-    """
-    tiebreak = tiebreak or []
-    scale_c = scale if isinstance(scale, Column) else F.lit(float(scale))
-    avail = items.groupBy(*part).agg(F.count(F.lit(1)).alias("_avail"))
-    open_q = queries
-    results = []
-    ordering = [F.col("_dist").asc_nulls_last()] + tiebreak + [F.col(iid)]
-    bs = band_scale if isinstance(band_scale, Column) else F.lit(float(band_scale))
-    for w in widths:
-        # bucket width w·band_scale (band_scale may depend on the partition columns)
-        qb = open_q.withColumn("_b", F.explode(F.array(*[
-            (F.floor(F.col(f"q_{band}") / (bs * w)) + d).cast("long") for d in (-1, 0, 1)])))
-        ib = items.withColumn("_b", F.floor(F.col(f"i_{band}") / (bs * w)).cast("long"))
-        j = qb.join(ib, part + ["_b"])
-        if pair_filter is not None:
-            j = j.filter(pair_filter())
-        j = j.withColumn("_dist", dist())
-        wq = Window.partitionBy(*part, qid).orderBy(*ordering)
-        j = (j.withColumn("_rank", F.row_number().over(wq))
-              .withColumn("_ncand", F.count(F.lit(1)).over(Window.partitionBy(*part, qid))))
-        top = j.filter(F.col("_rank") <= k)
-        # a query is final when its k-th candidate is within the guaranteed radius, or it saw all items
-        kth = (top.groupBy(*part, qid)
-               .agg(F.max("_dist").alias("_kd"), F.max("_ncand").alias("_nc"), F.count(F.lit(1)).alias("_nt"),
-                    F.first(scale_c * bs).alias("_scale"))
-               .join(avail, part))
-        done = kth.filter(((F.col("_nt") >= k) & (F.col("_kd") <= F.col("_scale") * w))
-                          | (F.col("_nc") >= F.col("_avail"))).select(*part, qid)
-        results.append(top.join(done, part + [qid], "left_semi"))
-        open_q = open_q.join(done, part + [qid], "left_anti")
-    j = open_q.join(items, part)
-    if pair_filter is not None:
-        j = j.filter(pair_filter())
-    j = j.withColumn("_dist", dist())
-    wq = Window.partitionBy(*part, qid).orderBy(*ordering)
-    results.append(j.withColumn("_rank", F.row_number().over(wq)).filter(F.col("_rank") <= k))
-    cols = part + [qid, iid, "_dist", "_rank"]
-    out = results[0].select(*cols)
-    for r in results[1:]:
-        out = out.unionByName(r.select(*cols))
-    return out.withColumnRenamed("_dist", "dist").withColumnRenamed("_rank", "rank")
-
-
 def cell_topk(queries: DataFrame, items: DataFrame, part: list[str], k: int, pivots: int = 256, block: int = 4096,
               correlate: bool = False) -> DataFrame:
     """Exact k nearest items by Euclidean distance: (part…, q_id, i_id, dist, rank).

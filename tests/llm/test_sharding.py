@@ -60,3 +60,28 @@ def test_many_copies_of_one_row(spark, monkeypatch):
     docs = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("x").alias("text"))
     rows = S.shards(docs, 7).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last")).collect()
     assert sorted(r.n for r in rows) == [142, 143, 143, 143, 143, 143, 143] and all(r.n == r.slots == r.last + 1 for r in rows)
+
+
+def test_matrix_has_the_law_of_shuffled_rows(spark, monkeypatch):
+    """Cells of drawn matrices against matrices counted from rows that numpy shuffles: margins, cell frequencies, variances and
+    covariances within a chunk, between chunks of one half and between chunks far apart."""
+    monkeypatch.setattr(S, "CHUNK", 10)
+    chunks, n, shards = 256, 10, 4
+    counts = spark.createDataFrame([(c, n) for c in range(chunks)], "chunk long, n long")
+    drawn = np.array([[r.sends for r in S.matrix(counts, chunks * n, shards, seed).orderBy("chunk").collect()] for seed in range(1)])
+    r = np.random.default_rng(1)
+    made = []
+    for _ in range(60):
+        labels = r.permutation(np.repeat(np.arange(shards), chunks * n // shards)).reshape(chunks, n)
+        made.append([np.bincount(row, minlength=shards) for row in labels])
+    made = np.array(made)
+    assert (drawn.sum(axis=2) == n).all() and (drawn.sum(axis=1) == chunks * n // shards).all()
+    share = lambda m: np.bincount(m.ravel(), minlength=n + 1) / m.size
+    assert np.abs(share(drawn) - share(made)).max() < 0.06
+    for s in range(shards):
+        assert abs(drawn[:, :, s].var() - made[:, :, s].var()) < 0.6
+    within = lambda m: np.mean((m[:, :, 0] - 2.5) * (m[:, :, 1] - 2.5))
+    assert abs(within(drawn) - within(made)) < 0.4
+    for apart in (1, 2, 64):
+        pair = lambda m: np.mean((m[:, :-apart, 0] - 2.5) * (m[:, apart:, 0] - 2.5))  # noqa: B023, E731
+        assert abs(pair(drawn) - pair(made)) < 0.45

@@ -95,3 +95,56 @@ def test_long_and_missing_labelled_texts(spark):
     found = T.toxicity(docs.drop("y"), labels).join(docs.select("doc_id", "y"), "doc_id").filter("held_out").collect()
     assert len(found) > 100 and sum(r.predicted == r.y for r in found) >= 0.9 * len(found)
     assert sum(r.predicted for r in found if r.y) >= 0.7 * sum(r.y for r in found)
+
+
+def plain_score(text, p):
+    """The network by the equations, one number at a time, over every window of the text."""
+    import math
+    import zlib
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    dot = lambda a, b: sum(float(x) * float(y) for x, y in zip(a, b))
+
+    def gru(xs, w, b, u):
+        k = len(u) // 3
+        h, out = [0.0] * k, []
+        for x in xs:
+            i = [dot(row, x) + float(c) for row, c in zip(w, b)]
+            a = [dot(row, h) for row in u]
+            z = [sigmoid(i[j] + a[j]) for j in range(k)]
+            r = [sigmoid(i[k + j] + a[k + j]) for j in range(k)]
+            n = [math.tanh(i[2 * k + j] + r[j] * a[2 * k + j]) for j in range(k)]
+            h = [z[j] * h[j] + (1 - z[j]) * n[j] for j in range(k)]
+            out.append(h)
+        return out
+
+    def pooled(xs, name):
+        fw = gru(xs, p[name + "Wf"], p[name + "bf"], p[name + "Uf"])
+        bw = gru(xs[::-1], p[name + "Wb"], p[name + "bb"], p[name + "Ub"])[::-1]
+        states = [f + b for f, b in zip(fw, bw)]
+        e = [dot(p[name + "a"], s) for s in states]
+        w = [math.exp(v - max(e)) for v in e]
+        return [sum(a * s[j] for a, s in zip(w, states)) / sum(w) for j in range(len(states[0]))]
+
+    def vector(word):
+        codes = [ord(c) if ord(c) < 128 else 128 + ord(c) % 127 for c in word] + [0] * (-len(word) % B.FILL)
+        return pooled([p["chars"][c] for c in codes], "c") + [float(v) for v in p["words"][zlib.crc32(word.encode()) % B.BUCKETS]]
+
+    words = [w[i:i + 20] for w in text.lower().split() for i in range(0, len(w), 20)]
+    if not words:
+        return 0.0
+    vectors, best = [vector(w) for w in words], -math.inf
+    at = 0
+    while True:
+        first = max(0, min(at, len(words) - 32))
+        best = max(best, dot(p["out"], pooled(vectors[first:first + 32], "w")) + float(p["bias"][0]))
+        if first + 32 >= len(words):
+            return sigmoid(float(p["scale"][0]) * best + float(p["scale"][1]))
+        at += 24
+
+
+def test_scores_equal_the_plain_equations():
+    r = np.random.default_rng(2)
+    p = B.new_parameters(5)
+    p["words"], p["bias"], p["scale"] = r.normal(0, .5, p["words"].shape).astype(np.float32), np.array([.3], np.float32), np.array([1.7, -.4], np.float32)
+    rows = ["", "one", "Über ñandú straße 日本", "x" * 61, *(t[:150] for t, _ in texts(3, 4)), " ".join(t for t, _ in texts(9, 5))[:420]]
+    assert np.allclose(B.Scorer(p)(rows), [plain_score(t, p) for t in rows], atol=2e-5)

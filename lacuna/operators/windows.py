@@ -68,8 +68,8 @@ def overlap_average(window_preds: DataFrame, series: DataFrame, size: int, out:
                     known = ~np.isnan(rows[:, t])
                     np.add.at(total, at[known] + t, rows[known, t])
                     np.add.at(hits, at[known] + t, 1)
-                found.append(pa.scalar(np.where(hits > 0, total / np.where(hits > 0, hits, 1), np.nan).tolist(), pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f.as_py() for f in found], pa.list_(pa.float64()))], [station, "_avg"])
+                found.append(np.where(hits > 0, total / np.where(hits > 0, hits, 1), np.nan))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.float64()))], [station, "_avg"])
 
     g = window_preds.groupBy(station).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), "values")).alias("_w"))
     g = g.select(station, F.transform("_w", lambda w: w["start"]).alias("start"), F.transform("_w", lambda w: w["values"]).alias("values"))

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KEPT, GROUP, LONG, SEGMENT = 350_000, 1_000_000, 256, 100_000
+KEPT, GROUP, LONG, SEGMENT = 300_000, 500_000, 256, 100_000
 
 # one row per token at the place of its last byte but for the start, where tokens are bytes. Each row knows its
 # successor; key, the rank of the two and both places in one number, is null where they are no token

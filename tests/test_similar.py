@@ -115,3 +115,41 @@ def test_cell_search_equals_brute_force(spark, block, monkeypatch):
     for p, i, v in rows:
         want = sorted((round(float(np.sqrt(((z[i] - z[j]) ** 2).sum())), 9), j) for o, j, _ in rows if o == p and j != i)[:6]
         assert [got[i][k + 1] for k in range(6)] == [(pytest.approx(d), j) for d, j in want]
+
+
+@pytest.mark.parametrize("block,items", [(4096, 32768), (40, 50)])
+def test_correlated_search_equals_brute_force(spark, block, items, monkeypatch):
+    """Blocks of queries against blocks of items; a query that comes twice is answered twice, by whole lists."""
+    import lacuna.operators.neighbours as NB
+    monkeypatch.setattr(NB, "ITEMS", items, raising=False)
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=(300, 6)).round(1)
+    z[40:70] = z[40]
+    z = (z - z.mean(axis=1, keepdims=True)) / z.std(axis=1, keepdims=True)
+    rows = [("a" if i % 2 else "b", i, [float(x) for x in v]) for i, v in enumerate(z)]
+    q = spark.createDataFrame(rows + rows[:3], "p string, q_id long, q_z array<double>")
+    it = spark.createDataFrame(rows, "p string, i_id long, i_z array<double>")
+    got = {}
+    for r in cell_topk(q, it, ["p"], 6, block=block, correlate=True).collect():
+        got.setdefault(r.q_id, []).append((r["rank"], r.i_id, r.sim))
+    for p, i, _ in rows:
+        order = sorted((-round(min(float(z[i] @ z[j]) / 6, 1.0), 9), j) for o, j, _ in rows if o == p and j != i)[:6]
+        copies = 2 if i < 3 else 1
+        assert sorted(x[:2] for x in got[i]) == sorted((k + 1, j) for k, (_, j) in enumerate(order) for _ in range(copies)), i
+        assert all(sim == pytest.approx(-dict((j, c) for c, j in order)[j], abs=1e-8) for _, j, sim in got[i])
+
+
+def test_tiles_equal_one_product(monkeypatch):
+    import pyarrow as pa
+    import lacuna.operators.neighbours as NB
+    rng = np.random.default_rng(8)
+    z = rng.normal(size=(500, 7)).round(1)
+    z[100:200] = z[100]
+    z = (z - z.mean(axis=1, keepdims=True)) / z.std(axis=1, keepdims=True)
+    ids = rng.permutation(500)
+    asked = pa.table({"p": [1] * 90, "q_id": ids[:90], "q_no": ids[:90], "q_z": pa.array(z[:90].tolist())})
+    found = pa.table({"p": [1] * 500, "i_id": ids, "i_z": pa.array(z.tolist())})
+    whole = NB._tiled_topk(asked, found, ["p"], 5)
+    monkeypatch.setattr(NB, "TILE", (16, 32))
+    monkeypatch.setattr(NB, "EXACT", 10)
+    assert NB._tiled_topk(asked, found, ["p"], 5).equals(whole) and whole.num_rows == 450

@@ -204,3 +204,22 @@ def test_sliding_windows(spark, series, pairing):
     x, y = [0.0, -1.0, 2.0, 3.0, 4.0, 5.0, 6.0], [0.0, N, 2.0, 3.0, 4.0, 5.0, 6.0]
     want = [(1, i - 1, x[i - 3:i], y[i - 3:i]) for i in range(3, 7)] if pairing == "cnn" else [(1, i - 2, x[i - 4:i - 1], y[i - 3:i]) for i in range(4, 7)]
     assert got == want
+
+
+def test_forest_sorts_by_each_feature_once(monkeypatch):
+    calls = []
+    plain = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    r = np.random.default_rng(1)
+    x, y = r.normal(size=(40, 2)), r.normal(size=40)
+    MD.forest(x, y, x, MD.bootstrap("s", 40, 5, 42))
+    assert len(calls) == 2
+
+
+def test_forest_draws_are_those_of_the_hash():
+    import hashlib
+    want = np.zeros((3, 7), int)
+    for t in range(3):
+        for i in range(7):
+            want[t, int(hashlib.md5(f"a|{t}|{i}|42".encode()).hexdigest()[:8], 16) % 7] += 1
+    assert (MD.bootstrap("a", 7, 3, 42) == want).all()

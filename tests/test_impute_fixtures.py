@@ -172,3 +172,24 @@ def test_rational_search_finds_the_zero_of_a_rational_function():
     p, *_ = splines._rational(0.5, f(0.5), 1.0, f(1.0), 5.0, f(5.0))
     assert p == pytest.approx(1.5)
     assert splines._rational(0.5, f(0.5), 1.0, f(1.0), -1.0, -2.0)[0] == pytest.approx(1.5)
+
+
+def test_smoothing_spline_factors_once_for_all_weights(monkeypatch):
+    """A plain series needs no singular-value least squares, which would be solved anew for every knot set and weight."""
+    import numpy as np
+    r = np.random.default_rng(3)
+    x = np.sort(r.choice(84, 70, replace=False)).astype(float)
+    y = 25 + 10 * np.sin(x / 9) + r.normal(0, 2, 70)
+    monkeypatch.setattr(np.linalg, "lstsq", lambda *a, **k: pytest.fail("lstsq"))
+    t, c = splines.smoothing_fit(x, y, 3, 70.0)
+    assert len(t) > 8 and float(((splines._evaluate(t, 3, c, x) - y) ** 2).sum()) == pytest.approx(70.0, rel=1e-3)
+
+
+def test_no_window_reads_the_rest_of_a_series_at_every_row(spark, series):
+    from lacuna.operators.impute import local, registry, similar
+    from lacuna.operators.impute.linear import impute_linear
+    df = series([1, None, 3, None, 2, 5, None])
+    made = [fn(df, "level", out="filled") for fn in (impute_linear, local.impute_pchip, local.impute_akima)] + [similar.spectrum(df, "level", ["station_id"])]
+    for plan in [m._jdf.queryExecution().optimizedPlan().toString() for m in made]:
+        assert "currentrow$(), unboundedfollowing$()" not in plan and "RowFrame, 1, unboundedfollowing$()" not in plan
+    assert "REPARTITION_BY_NUM" in registry.predictions_long(df, "level", ["pchip", "knn"])._jdf.queryExecution().executedPlan().toString()

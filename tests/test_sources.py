@@ -118,3 +118,20 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session)
+
+
+def test_run_log_evaluates_its_errors_once(spark, monkeypatch, tmp_path):
+    from lacuna.plans import catalog
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [(i, "knn", 0.5, 0.25, 0.1 if i % 2 else 0.2) for i in range(10)]
+    df = spark.createDataFrame(rows, "dataset long, method string, NMAE double, NRMSE double, pct_removed double")
+    monkeypatch.setattr(catalog, "_errors", lambda *_: df.mapInPandas(counted, df.schema))
+    monkeypatch.setattr(catalog, "_stage", lambda *_: str(tmp_path / "log"))
+    assert sorted(map(tuple, catalog.q_append_run_log(spark, "").collect())) == rows
+    assert seen.value == 10

@@ -153,3 +153,12 @@ def test_tiles_equal_one_product(monkeypatch):
     monkeypatch.setattr(NB, "TILE", (16, 32))
     monkeypatch.setattr(NB, "EXACT", 10)
     assert NB._tiled_topk(asked, found, ["p"], 5).equals(whole) and whole.num_rows == 450
+
+
+def test_vectors_of_one_length_are_a_part(spark):
+    """spectrum_similarity: the length of the vectors is one of the columns of a part."""
+    from lacuna.plans.catalog import similar_from_vectors
+    rng = np.random.default_rng(9)
+    rows = [("c", s, i, float(v)) for s in range(8) for i, v in enumerate(rng.normal(size=6))]
+    got = similar_from_vectors(spark.createDataFrame(rows, "cluster string, station_id long, bin int, amp double"), 3)
+    assert got.count() == 24 and got.filter("station_id = other").count() == 0

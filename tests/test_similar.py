@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import column, month
 from lacuna.operators.impute.similar import best_lag, impute_similar_series, lag_of, similarity_topn
@@ -162,3 +163,26 @@ def test_vectors_of_one_length_are_a_part(spark):
     rows = [("c", s, i, float(v)) for s in range(8) for i, v in enumerate(rng.normal(size=6))]
     got = similar_from_vectors(spark.createDataFrame(rows, "cluster string, station_id long, bin int, amp double"), 3)
     assert got.count() == 24 and got.filter("station_id = other").count() == 0
+
+
+def test_station_is_unit_of_work(spark, series):
+    """One row a station with its similar series as arrays; months of pairs never are rows of a join or window."""
+    from lacuna.operators.impute.similar import similar_pairs
+    rng = np.random.default_rng(1)
+    df = series([1.0, N, 3.0, 4.0, 2.0, 6.0], station=1)
+    for s in (2, 3, 4):
+        df = df.unionByName(series([float(v) for v in rng.normal(size=6)], station=s))
+    df = df.unionByName(series([5.0], station=9).withColumn("station_id", F.lit(None).cast("long")))
+    rows = similar_pairs(df, similarity_topn(df, "level", 2, cluster=None), "level").collect()
+    assert sorted(r.station_id for r in rows) == [1, 2, 3, 4]
+    assert all(len(r["_t"]) == 6 and len(r["_o"]) == 2 for r in rows)
+    done = impute_similar_series(df, "level", out="filled", n_top=2, cluster=None)
+    assert done.count() == 25
+    assert "windowspecdefinition(station_id#" not in done._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matches_is_left_join():
+    from lacuna.operators.impute.similar import _matches
+    asked, items = np.array([0, 1, 1, 4]), np.array([1, 1, 2, 4])
+    i, j = _matches(asked, items)
+    assert list(zip(i.tolist(), j.tolist())) == [(0, -1), (1, 0), (1, 1), (2, 0), (2, 1), (3, 3)]

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import column, month
 from lacuna.operators import windows as WIN
@@ -223,3 +224,27 @@ def test_forest_draws_are_those_of_the_hash():
         for i in range(7):
             want[t, int(hashlib.md5(f"a|{t}|{i}|42".encode()).hexdigest()[:8], 16) % 7] += 1
     assert (MD.bootstrap("a", 7, 3, 42) == want).all()
+
+
+def test_holes_of_all_features_without_a_row_per_block(spark, series):
+    """Hole blocks are drawn per station; holed inputs equal each feature's own blocks, with one aggregation for all."""
+    from lacuna.operators.holes import block_rows, hash_int, hole_blocks
+    from lacuna.operators.impute.window_model import holed_inputs
+    df = series([float(v) for v in range(30)], station=7).withColumn("pet", F.lit(1.0))
+    df = df.unionByName(series([1.0, 2.0], station=8).withColumn("pet", F.lit(1.0)).withColumn("station_id", F.lit(None).cast("long")))
+    # the SQL rule, block by block
+    for pct, sizes in ((0.2, (1, 5)), (0.95, (1, 2))):
+        target, hit = int(30 * pct), []
+        rows = spark.range(2 * target).select(hash_int(F.lit(7), F.col("id"), 42, "len").alias("l"), hash_int(F.lit(7), F.col("id"), 42, "start").alias("s")).collect()
+        blocks = [(min(sizes[0] + r.l % (sizes[1] - sizes[0] + 1), 30), r.s) for r in rows]
+        blocks = [range(s % (30 - n + 1), s % (30 - n + 1) + n) for n, s in blocks]
+        tail = spark.range(30).orderBy(hash_int(F.lit(7), F.col("id"), 42, "tail"), "id").collect()
+        for b in [*blocks, *[[r.id] for r in tail]]:
+            hit += b if len(set(hit)) < target else []
+        found = hole_blocks(df, pct, 42, sizes)
+        assert sorted((r.station_id, r.pos) for r in found.collect()) == [(7, p) for p in sorted(set(hit))]
+        assert block_rows("7", 30, pct, 42, sizes) == sorted(set(hit))
+    h = holed_inputs(df, ["level", "pet"], ["level", "pet"])
+    gone = [{i for i, r in enumerate(h.filter("station_id = 7").orderBy("month").collect()) if r[f"h_{f}"] is None} for f in ("level", "pet")]
+    assert gone == [set(block_rows("7", 30, 0.1, seed, (1, 5))) for seed in (42, 43)]
+    assert h._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1

@@ -193,3 +193,13 @@ def test_no_window_reads_the_rest_of_a_series_at_every_row(spark, series):
     for plan in [m._jdf.queryExecution().optimizedPlan().toString() for m in made]:
         assert "currentrow$(), unboundedfollowing$()" not in plan and "RowFrame, 1, unboundedfollowing$()" not in plan
     assert "REPARTITION_BY_NUM" in registry.predictions_long(df, "level", ["pchip", "knn"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_local_methods_change_direction_twice(spark, series):
+    """All that looks back is computed together, and all that looks forward: three sorts of a series, not six."""
+    from lacuna.operators.impute.local import impute_akima, impute_pchip
+    df = series([1.0, None, 4.0, 2.0, None, 7.0])
+    for fn in (impute_pchip, impute_akima):
+        plan = fn(df, "level", out="f")._jdf.queryExecution().sparkPlan().toString()
+        windows = [l for l in plan.splitlines() if "Window [" in l]
+        assert 1 + sum(("DESC" in a) != ("DESC" in b) for a, b in zip(windows, windows[1:])) == 3
